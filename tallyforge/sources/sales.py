@@ -1,0 +1,167 @@
+"""Export files of any layout to one checked table of line items."""
+
+from __future__ import annotations
+
+from functools import reduce
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..functions import guess_format, null_tokens, to_date
+from ..operators.layout import UNDERSCORE, HeaderMap, map_header, missing_message, missing_required, to_line_items
+from ..operators.quality import MAX_BROADCAST_FILES, Checked, order_id_issues, validate
+from ..schema import LINE_ITEM
+from ..session import shared_dir
+from .delimited import cell, overlong_files, read_delimited
+from .files import file_name, list_files, profile_files
+from .workbook import read_workbooks
+
+HALT_SCHEMA = "source_file string, reason string, message string"
+ISSUE_SCHEMA = "source_file string, check string, level string, count long, message string"
+
+
+class Scan(NamedTuple):
+    """Typed rows whose dates are still text, and what the headers told."""
+
+    rows: DataFrame | None
+    halts: list[tuple[str, str, str]]
+    issues: list[tuple[str, str, str, int, str]]
+    file_count: int
+
+
+def scan_exports(spark: SparkSession, path: str | list[str]) -> Scan:
+    """Read every export under ``path``; unusable files are reported, not raised."""
+    paths = list_files(spark, path)
+    books = [p for p in paths if p.lower().endswith(".xlsx")]
+    texts = [p for p in paths if p not in set(books)]
+    parts: list[DataFrame] = []
+    halts: list[tuple[str, str, str]] = []
+    issues: list[tuple[str, str, str, int, str]] = []
+
+    def accept(header, files: list[str]) -> HeaderMap | None:
+        mapping = map_header(header)
+        missing = missing_required(mapping.columns) if mapping.layout == "clean" else []
+        for f in map(file_name, files):
+            if missing:
+                halts.append((f, "missing_columns", missing_message(f, missing)))
+            elif mapping.repeated:
+                names = ", ".join(sorted(set(mapping.repeated)))
+                issues.append((
+                    f, "repeated_header", "warn", len(mapping.repeated),
+                    f"{f} has more than one column for: {names} — the first one was used.",
+                ))
+        return None if missing else mapping
+
+    if texts:
+        plan = profile_files(spark, texts)
+        unreadable = dict(plan.unreadable)
+        for layout, files in plan.layouts.items():
+            if layout.multiline:
+                long = {r["file_path"]: r["fields"] for r in overlong_files(spark, layout, files).collect()}
+                unreadable |= {
+                    f: f"expected {len(layout.header)} fields in every line, saw {n}" for f, n in long.items()
+                }
+                files = [f for f in files if f not in long]
+            mapping = accept(layout.header, files) if files else None
+            if mapping:
+                parts.append(to_line_items(read_delimited(spark, layout, files), mapping, cell))
+        halts += [
+            (file_name(f), "unreadable", f"'{file_name(f)}' couldn't be read: {why}")
+            for f, why in unreadable.items()
+        ]
+    if books:
+        parts += _workbook_parts(spark, books, accept, halts)
+    rows = reduce(DataFrame.unionByName, parts) if parts else None
+    return Scan(rows, halts, issues, len(paths))
+
+
+def _workbook_parts(spark, books, accept, halts) -> list[DataFrame]:
+    # Unzipping is the expensive step and the rows are needed twice: keep them as a table.
+    staged = shared_dir(spark)
+    read_workbooks(spark, books).write.parquet(staged)
+    cells = spark.read.parquet(staged)
+    by_header: dict[tuple, list[str]] = {}
+    found = set()
+    for r in cells.where(F.col("row_id") <= 0).toLocalIterator():
+        found.add(r["path"])
+        if r["error"]:
+            name = file_name(r["path"])
+            halts.append((name, "unreadable", f"'{name}' couldn't be read: {r['error']}"))
+        else:
+            header = tuple((h or f"unnamed: {i}").strip() for i, h in enumerate(r["cells"]))
+            by_header.setdefault(header, []).append(r["path"])
+    failed = {h[0] for h in halts}
+    parts = []
+    for header, files in by_header.items():
+        files = [f for f in files if file_name(f) not in failed]
+        mapping = accept(header, files) if files else None
+        if not mapping:
+            continue
+        ours = spark.createDataFrame([(f,) for f in files], "path string")
+        raw = (
+            cells.where((F.col("row_id") > 0) & F.col("error").isNull())
+            .join(F.broadcast(ours) if len(files) <= MAX_BROADCAST_FILES else ours, "path", "left_semi")
+            .select(
+                *[null_tokens(F.get("cells", i)).alias(cell(i)) for i in range(len(header))],
+                F.element_at(F.split("path", "/"), -1).alias("file_name"),
+                F.col("path").alias("file_path"),
+                F.lit(0).cast("long").alias("block_start"),
+                "row_id",
+            )
+        )
+        parts.append(to_line_items(raw, mapping, cell))
+    halts += [
+        (file_name(f), "unreadable", f"'{file_name(f)}' couldn't be read: no columns to parse from file")
+        for f in books if f not in found
+    ]
+    return parts
+
+
+def with_dates(rows: DataFrame, file_count: int | None = None) -> DataFrame:
+    """Read each file's dates with the format of its first date."""
+    first = (
+        rows.where(F.col("date_text").isNotNull())
+        .groupBy("source_file")
+        .agg(F.min_by("date_text", F.struct("block_start", "row_id")).alias("sample"))
+        .select("source_file", guess_format(F.col("sample")).alias("date_format"))
+    )
+    if file_count is not None and file_count <= MAX_BROADCAST_FILES:
+        first = F.broadcast(first)
+    return (
+        rows.join(first, "source_file", "left")
+        .withColumn("date", to_date(F.col("date_text"), F.col("date_format")))
+        .drop("date_text", "date_format", "block_start")
+    )
+
+
+def read_sales(spark: SparkSession, path: str | list[str], stage: bool = True) -> Checked:
+    """Line items, issues and halts of the exports under ``path``.
+
+    The rules need whole-file facts before any row can be kept, so the rows are
+    read several times.  With ``stage`` the parsed cells are written once as
+    Parquet to the shared folder and read from there.
+    """
+    scan = scan_exports(spark, path)
+    if scan.rows is None:
+        empty = spark.createDataFrame([], LINE_ITEM).withColumn("dq", F.array().cast("array<string>"))
+        return Checked(
+            empty.withColumn("row_id", F.lit(0).cast("long")),
+            spark.createDataFrame(scan.issues, ISSUE_SCHEMA),
+            spark.createDataFrame(scan.halts, HALT_SCHEMA),
+        )
+    typed = scan.rows
+    if stage:
+        staged = shared_dir(spark)
+        typed.write.parquet(staged)
+        typed = spark.read.parquet(staged)
+    dated = with_dates(typed, scan.file_count)
+    checked = validate(dated, scan.file_count)
+    raw_ids = typed.where(F.col("layout") == UNDERSCORE).select(
+        "source_file", F.col("given_order_id").alias("order_id")
+    )
+    reused = order_id_issues(raw_ids).join(checked.halts, "source_file", "left_anti")
+    return Checked(
+        checked.rows.drop("given_order_id", "layout", "missing_optional"),
+        checked.issues.unionByName(reused).unionByName(spark.createDataFrame(scan.issues, ISSUE_SCHEMA)),
+        checked.halts.unionByName(spark.createDataFrame(scan.halts, HALT_SCHEMA)),
+    )
