@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.periods import latest_two
 from ..sources.star import star_sales
@@ -36,7 +36,16 @@ def periods(spark: SparkSession, sf_dir: str) -> tuple[str | None, str | None]:
 
 def rounded(table: DataFrame, **digits: int) -> DataFrame:
     """Round for the comparison: sums of doubles depend on their order."""
-    return table.withColumns({c: F.round(F.col(c), n) for c, n in digits.items()})
+    return table.selectExpr(
+        *[f"round(`{c}`, {digits[c]}) AS `{c}`" if c in digits else f"`{c}`" for c in table.columns]
+    )
+
+
+def counted(rows: DataFrame, by: str, *sums: str, **digits: int) -> DataFrame:
+    """``SELECT by, count(*) AS n, sums ... GROUP BY by``, rounded."""
+    items = ", ".join([by, "count(*) AS n", *sums])
+    table = rows.sparkSession.sql(f"SELECT {items} FROM {{rows}} GROUP BY 1", rows=rows)
+    return rounded(table, **digits) if digits else table
 
 
 def money(*names: str) -> dict[str, int]:
@@ -47,10 +56,6 @@ def rate(*names: str) -> dict[str, int]:
     return dict.fromkeys(names, 6)
 
 
-def bigint(c: Column) -> Column:
-    return c.cast("long")
-
-
 # ------------------------------------------------------------ SQL building blocks
 
 SALES_SQL = """

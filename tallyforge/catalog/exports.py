@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterator
 from xml.sax.saxutils import escape
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.derive import with_measures
 from ..session import shared_dir
-from ..sources.star import star_line_totals, star_sales, table
+from ..sources.star import star_sales, table
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def write_csv(rows: DataFrame, out: str, sep: str = ",", charset: str = "UTF-8") -> str:
@@ -22,101 +25,78 @@ def write_csv(rows: DataFrame, out: str, sep: str = ",", charset: str = "UTF-8")
     return out
 
 
-def write_lines(rows: DataFrame, header: str, line: Column, out: str) -> str:
+def write_lines(rows: DataFrame, header: str, line: str, out: str) -> str:
     """Lines as they are, under a header as it is."""
-    rows.select(line.alias(header)).write.option("header", True).option("sep", "\x01").option(
+    rows.selectExpr(f"{line} AS `{header}`").write.option("header", True).option("sep", "\x01").option(
         "quote", ""
     ).csv(out)
     return out
 
 
-def raw_cells(rows: DataFrame, columns: dict[str, Column], file: Column) -> DataFrame:
+def raw_cells(rows: DataFrame, columns: dict[str, str], file: str) -> DataFrame:
     """Text cells ``c0..cN`` under the given headers, as a file scan would give them."""
-    return rows.select(
-        *[c.cast("string").alias(f"c{i}") for i, c in enumerate(columns.values())],
-        file.alias("file_name"), file.alias("file_path"),
-        F.lit(0).cast("long").alias("block_start"),
-        F.monotonically_increasing_id().alias("row_id"),
+    return rows.selectExpr(
+        *[f"string({c}) AS c{i}" for i, c in enumerate(columns.values())],
+        f"'{file}' AS file_name", f"'{file}' AS file_path", "0L AS block_start",
+        "monotonically_increasing_id() AS row_id",
     )
 
 
-def clean_columns(names: dict[str, str]) -> dict[str, Column]:
-    """Header -> cell of the clean layout; ``names`` maps headers to sales columns."""
-    return {header: F.col(c) for header, c in names.items()}
-
-
-def underscore_columns() -> dict[str, Column]:
-    """The underscore layout: currency and percent text, mixed case."""
-    price = F.concat(F.lit("$"), F.format_number("price", 2))
-    profit = F.concat(F.when(F.col("profit") < 0, "--$").otherwise("$"), F.format_number(F.abs("profit"), 2))
-    percent = F.concat(F.rint(F.col("discount") * 100).cast("int").cast("string"), F.lit("%"))
-    return {
-        "Order_ID": F.col("order_id"),
-        "Order_Date": F.date_format("date", "M/d/yyyy"),
-        "Customer_Name": F.lit(" Ann "),
-        "Product": F.col("product"),
-        "Product_Category": F.lower("category"),
-        "Region": F.lower("region"),
-        "Units_Sold": F.col("quantity").cast("int"),
-        "Unit_Price": price,
-        "Discount_Pct": percent,
-        "Profit": profit,
-    }
-
-
-def line_total_columns() -> dict[str, Column]:
-    """The line-total layout: sales instead of a price."""
-    return {
-        "Order ID": F.col("order_id"),
-        "Order Date": F.date_format("date", "MM/dd/yyyy"),
-        "Customer Name": F.lit("Ann"),
-        "Product Name": F.col("product"),
-        "Category": F.col("category"),
-        "Region": F.col("region"),
-        "Quantity": F.col("quantity"),
-        "Discount": F.col("discount"),
-        "Profit": F.col("profit"),
-        "Sales": F.col("quantity") * F.col("price") * (1 - F.col("discount")),
-    }
-
+# Header -> cell of the raw layouts.  Underscore: currency and percent text, mixed case.
+UNDERSCORE_CELLS = {
+    "Order_ID": "order_id",
+    "Order_Date": "date_format(date, 'M/d/yyyy')",
+    "Customer_Name": "' Ann '",
+    "Product": "product",
+    "Product_Category": "lower(category)",
+    "Region": "lower(region)",
+    "Units_Sold": "int(quantity)",
+    "Unit_Price": "concat('$', format_number(price, 2))",
+    "Discount_Pct": "concat(int(rint(discount * 100)), '%')",
+    "Profit": "concat(CASE WHEN profit < 0 THEN '--$' ELSE '$' END, format_number(abs(profit), 2))",
+}
+
+# Line totals: sales instead of a price.
+LINE_TOTAL_CELLS = {
+    "Order ID": "order_id",
+    "Order Date": "date_format(date, 'MM/dd/yyyy')",
+    "Customer Name": "'Ann'",
+    "Product Name": "product",
+    "Category": "category",
+    "Region": "region",
+    "Quantity": "quantity",
+    "Discount": "discount",
+    "Profit": "profit",
+    "Sales": "quantity * price * (1 - discount)",
+}
+
+CLEAN_CELLS = {
+    " Date": "date", "PRICE": "price", "Product Name": "product", "category": "category", "Region ": "region",
+    "quantity": "quantity", "discount": "discount", "profit": "profit", "Invoice Number": "order_id",
+}
 
 _SALES = ("date", "order_id", "product", "category", "region", "quantity", "price", "discount", "profit")
 
 
-def sales_with_flags(spark: SparkSession, d: str) -> DataFrame:
-    """Line items with their layout-choosing return flag."""
-    flags = table(spark, d, "lineitem").select("l_returnflag")
-    assert flags is not None
-    return star_sales(spark, d, *_SALES, "return_flag", labels=False)
-
-
 def mixed_exports(spark: SparkSession, d: str) -> str:
     """One folder of exports in all layouts: the line items split by return flag.
 
     A: clean layout, ``;``; N: underscore layout, tabs; R: line-total layout,
     commas.  Part files of the three writes end up in one folder.
     """
-    rows = sales_with_flags(spark, d)
+    rows = star_sales(spark, d, *_SALES, "return_flag", labels=False)
     out = shared_dir(spark)
-    clean = clean_columns({
-        " Date": "date", "PRICE": "price", "Product Name": "product", "category": "category", "Region ": "region",
-        "quantity": "quantity", "discount": "discount", "profit": "profit", "Invoice Number": "order_id",
-    })
-    for flag, columns, sep in (("A", clean, ";"), ("N", underscore_columns(), "\t"), ("R", line_total_columns(), ",")):
-        part = rows.where(F.col("return_flag") == flag)
-        named = part.select(*[c.alias(h) for h, c in columns.items()])
-        named.write.mode("append").option("header", True).option("sep", sep).option("escape", '"').csv(out)
+    for flag, cells, sep in (("A", CLEAN_CELLS, ";"), ("N", UNDERSCORE_CELLS, "\t"), ("R", LINE_TOTAL_CELLS, ",")):
+        part = rows.where(f"return_flag = '{flag}'").selectExpr(*[f"{c} AS `{h}`" for h, c in cells.items()])
+        part.write.mode("append").option("header", True).option("sep", sep).option("escape", '"').csv(out)
     return out
 
 
 def undated_export(spark: SparkSession, d: str, out: str) -> None:
     """A further export whose dates cannot be read, and one without a price."""
     regions = table(spark, d, "nation")
-    bad = regions.select(F.lit("soon").alias("date"), F.lit("5").alias("price"), F.col("n_name").alias("product"))
-    bad.write.mode("append").option("header", True).csv(out)
-    regions.select(F.lit("2001-01-01").alias("date"), F.col("n_name").alias("product")).write.mode(
-        "append"
-    ).option("header", True).csv(out)
+    for cells in (["'soon' AS date", "'5' AS price", "n_name AS product"], ["'2001-01-01' AS date", "n_name AS product"]):
+        regions.selectExpr(*cells).write.mode("append").option("header", True).csv(out)
 
 
 # --------------------------------------------------------------- workbooks
@@ -167,5 +147,3 @@ def workbooks_of(rows: DataFrame) -> DataFrame:
 
     return rows.mapInPandas(pack, "path string, content binary")
 
-
-__all__ = ["mixed_exports", "raw_cells", "star_line_totals", "with_measures", "workbooks_of", "write_csv", "write_lines"]

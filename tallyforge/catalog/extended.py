@@ -80,7 +80,7 @@ query("underperformers", _sql(_UNDER))(_underperformers)
 """))
 def discount_impact(spark, d):
     rows = star_line_totals(spark, d, "Order ID", "Discount", "Profit")
-    rows = rows.withColumn("Discount %", X.discount_percent(F.col("Discount")))
+    rows = rows.withColumn("Discount %", F.expr(X.discount_percent("Discount")))
     return rounded(X.discount_impact(rows), **rate("Avg_Profit"))
 
 

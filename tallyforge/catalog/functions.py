@@ -1,27 +1,21 @@
-"""Queries of the column functions, each over a whole table."""
+"""Queries of the scalar functions, each over a whole table."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 from .. import functions as fn
 from ..functions.text import WHITESPACE
+from ..operators.labels import dq_flag
 from ..operators.quality import flagged, usable
 from ..sources.sales import with_dates
-from ..sources.star import star_exports, star_sales, table
-from .base import exports_sql, query, rounded, sales_sql
-
-N = F.count(F.lit(1)).alias("n")
-
+from ..sources.star import star_sales, table
+from .base import counted, exports_sql, query, sales_sql
+from .quality import _accepted, kept_rows
 
-def _lines(spark, d):
-    return table(spark, d, "lineitem")
 
-
-def _totals(rows, value: Column, by: str = "l_linenumber", digits: int = 2):
+def _totals(rows, value: str, by: str = "l_linenumber", digits: int = 2):
     """Count, number of values and sum of a derived column."""
-    totals = rows.groupBy(by).agg(N, F.count(value).alias("present"), F.sum(value).alias("total"))
-    return rounded(totals, total=digits)
+    derived = rows.selectExpr(by, f"{value} AS v")
+    return counted(derived, by, "count(v) AS present", "sum(v) AS total", total=digits)
 
 
 def _totals_sql(value: str, by: str = "l_linenumber", digits: int = 2, relation: str = "lineitem") -> str:
@@ -31,63 +25,66 @@ def _totals_sql(value: str, by: str = "l_linenumber", digits: int = 2, relation:
     )
 
 
-# -------------------------------------------------------------- numbers
-
-@query("clean_currency", _totals_sql(
-    "CASE WHEN l_tax = 0 THEN NULL WHEN l_returnflag = 'R' THEN -l_extendedprice ELSE l_extendedprice END"
-))
-def clean_currency(spark, d):
-    amount = F.concat(F.lit("$"), F.format_number("l_extendedprice", 2))
-    text = F.when(F.col("l_tax") == 0, "n/a").when(F.col("l_returnflag") == "R", F.concat(F.lit("--"), amount))
-    return _totals(_lines(spark, d), fn.clean_currency(F.concat(F.lit(" "), text.otherwise(amount))))
-
-
-@query("clean_percent", _totals_sql("l_tax + CASE WHEN l_returnflag = 'R' THEN CAST(0.001 AS DOUBLE) ELSE 0 END", digits=4))
-def clean_percent(spark, d):
-    whole = F.rint(F.col("l_tax") * 100).cast("int").cast("string")
-    text = F.when(F.col("l_returnflag") == "R", F.concat(whole, F.lit(".1"))).otherwise(F.concat(whole, F.lit("% ")))
-    return _totals(_lines(spark, d), fn.clean_percent(text), digits=4)
-
+def _over_lines(name: str, text: str, render, sql: str, digits: int = 2, by: str = "l_linenumber"):
+    """A number function over a text or number built from every line item."""
+    query(name, _totals_sql(sql, by, digits))(
+        lambda spark, d: _totals(
+            table(spark, d, "lineitem").selectExpr("*", f"{text} AS given"), render("given"), by, digits
+        )
+    )
 
-@query("to_number", _totals_sql("""
-    CASE l_linenumber WHEN 1 THEN NULL WHEN 2 THEN NULL WHEN 3 THEN l_quantity + 0.5 WHEN 4 THEN l_quantity * 1000
-         WHEN 5 THEN NULL WHEN 6 THEN -l_quantity ELSE l_quantity END"""))
-def to_number(spark, d):
-    q = F.col("l_quantity").cast("int").cast("string")
-    shape = {1: F.concat(q, F.lit("d")), 2: F.lit("nan"), 3: F.concat(F.lit("\t"), q, F.lit(".5 ")),
-             4: F.concat(q, F.lit("e3")), 5: F.concat(F.lit("$"), q), 6: F.concat(F.lit("-"), q), 7: F.concat(F.lit("+"), q)}
-    text = F.coalesce(*[F.when(F.col("l_linenumber") == k, v) for k, v in shape.items()])
-    return _totals(_lines(spark, d), fn.to_number(text))
 
+# -------------------------------------------------------------- numbers
 
-query("fill_zero", sales_sql(_totals_sql("coalesce(profit, 0)", by="category", relation="sales")))(
-    lambda spark, d: _totals(
-        star_sales(spark, d, "category", "profit", labels=False), fn.fill_zero(F.col("profit")), by="category"
-    )
+_over_lines(
+    "clean_currency",
+    """CASE WHEN l_tax = 0D THEN 'n/a'
+       ELSE concat(CASE WHEN l_returnflag = 'R' THEN ' --$' ELSE ' $' END, format_number(l_extendedprice, 2)) END""",
+    fn.clean_currency,
+    "CASE WHEN l_tax = 0 THEN NULL WHEN l_returnflag = 'R' THEN -l_extendedprice ELSE l_extendedprice END",
 )
-
-query("normalise_discount", _totals_sql(
-    "CASE WHEN l_returnflag = 'A' AND l_discount > 0.01 THEN l_discount * 100 / 100 ELSE l_discount END"
+_over_lines(
+    "clean_percent",
+    "concat(int(rint(l_tax * 100)), CASE WHEN l_returnflag = 'R' THEN '.1' ELSE '% ' END)",
+    fn.clean_percent,
+    "l_tax + CASE WHEN l_returnflag = 'R' THEN CAST(0.001 AS DOUBLE) ELSE 0 END",
+    digits=4,
+)
+_over_lines(
+    "to_number",
+    """CASE l_linenumber WHEN 1 THEN concat(int(l_quantity), 'd') WHEN 2 THEN 'nan'
+       WHEN 3 THEN concat('\\t', int(l_quantity), '.5 ') WHEN 4 THEN concat(int(l_quantity), 'e3')
+       WHEN 5 THEN concat('$', int(l_quantity)) WHEN 6 THEN concat('-', int(l_quantity))
+       ELSE concat('+', int(l_quantity)) END""",
+    fn.to_number,
+    """CASE l_linenumber WHEN 1 THEN NULL WHEN 2 THEN NULL WHEN 3 THEN l_quantity + 0.5 WHEN 4 THEN l_quantity * 1000
+       WHEN 5 THEN NULL WHEN 6 THEN -l_quantity ELSE l_quantity END""",
+)
+_over_lines(
+    "normalise_discount",
+    "CASE WHEN l_returnflag = 'A' AND l_discount > 0.01D THEN l_discount * 100 ELSE l_discount END",
+    fn.normalise_discount,
+    "CASE WHEN l_returnflag = 'A' AND l_discount > 0.01 THEN l_discount * 100 / 100 ELSE l_discount END",
+)
+query("derive_price_from_sales", _totals_sql(
+    "CASE WHEN l_linestatus = 'F' AND l_returnflag = 'R' THEN 0 ELSE l_extendedprice / l_quantity END", by="l_linestatus"
 ))(
     lambda spark, d: _totals(
-        _lines(spark, d),
-        fn.normalise_discount(
-            F.when((F.col("l_returnflag") == "A") & (F.col("l_discount") > 0.01), F.col("l_discount") * 100)
-            .otherwise(F.col("l_discount"))
+        table(spark, d, "lineitem"),
+        fn.price_from_sales(
+            "l_extendedprice * (1 - l_discount)",
+            "CASE WHEN l_linestatus = 'F' AND l_returnflag = 'R' THEN 0D ELSE l_quantity END",
+            "l_discount",
         ),
+        by="l_linestatus",
     )
 )
 
-
-@query("derive_price_from_sales", _totals_sql(
-    "CASE WHEN l_linestatus = 'F' AND l_returnflag = 'R' THEN 0 ELSE l_extendedprice / l_quantity END", by="l_linestatus"
-))
-def derive_price_from_sales(spark, d):
-    sold_out = (F.col("l_linestatus") == "F") & (F.col("l_returnflag") == "R")
-    quantity = F.when(sold_out, 0.0).otherwise(F.col("l_quantity"))
-    line_total = F.col("l_extendedprice") * (1 - F.col("l_discount"))
-    price = fn.price_from_sales(line_total, quantity, F.col("l_discount"))
-    return _totals(_lines(spark, d), price, by="l_linestatus")
+query("fill_zero", sales_sql(_totals_sql("coalesce(profit, 0)", by="category", relation="sales")))(
+    lambda spark, d: _totals(
+        star_sales(spark, d, "category", "profit", labels=False), fn.fill_zero("profit"), by="category"
+    )
+)
 
 
 @query("pct_change", """
@@ -96,44 +93,46 @@ def derive_price_from_sales(spark, d):
       FROM lineitem LEFT JOIN part ON p_partkey = l_partkey GROUP BY 1)
 """)
 def pct_change(spark, d):
-    lines, part = _lines(spark, d), table(spark, d, "part").select("p_partkey", "p_name")
-
-    def sold(flag):
-        return F.sum(F.when(F.col("l_returnflag") == flag, F.col("l_quantity")))
-
-    sums = lines.join(part, lines["l_partkey"] == part["p_partkey"], "left").groupBy("p_name").agg(
-        sold("A").alias("a"), sold("R").alias("r")
+    rows = star_sales(spark, d, "product", "quantity", "return_flag", labels=False)
+    return spark.sql(
+        f"""
+        SELECT p_name, round({fn.pct_change("a", "r")}, 6) AS change
+        FROM (SELECT product AS p_name, sum(CASE WHEN return_flag = 'A' THEN quantity END) AS a,
+                     sum(CASE WHEN return_flag = 'R' THEN quantity END) AS r FROM {{rows}} GROUP BY product)
+        """,
+        rows=rows,
     )
-    return rounded(sums.select("p_name", fn.pct_change(F.col("a"), F.col("r")).alias("change")), change=6)
 
 
 query("safe_ratio", """
     SELECT l_suppkey, round(sum(l_tax) / nullif(sum(CASE WHEN l_discount > 0.05 THEN l_quantity ELSE 0 END), 0), 6) AS ratio
     FROM lineitem GROUP BY 1
 """)(
-    lambda spark, d: rounded(
-        _lines(spark, d).groupBy("l_suppkey").agg(
-            F.sum("l_tax").alias("t"),
-            F.sum(F.when(F.col("l_discount") > 0.05, F.col("l_quantity")).otherwise(0.0)).alias("q"),
-        ).select("l_suppkey", fn.safe_ratio(F.col("t"), F.col("q")).alias("ratio")),
-        ratio=6,
+    lambda spark, d: spark.sql(
+        f"""
+        SELECT l_suppkey, round({fn.safe_ratio("t", "q")}, 6) AS ratio
+        FROM (SELECT l_suppkey, sum(l_tax) AS t, sum(CASE WHEN l_discount > 0.05D THEN l_quantity ELSE 0D END) AS q
+              FROM {{lines}} GROUP BY l_suppkey)
+        """,
+        lines=table(spark, d, "lineitem"),
     )
 )
 
 query("discount_pct", """
     SELECT round_even(l_discount / 8 * 100 * 10, 0) / 10 AS "Discount %", count(*) AS n FROM lineitem GROUP BY 1
-""")(
-    lambda spark, d: _lines(spark, d)
-    .groupBy(fn.discount_percent(F.col("l_discount") / 8).alias("Discount %")).agg(N)
-)
+""")(lambda spark, d: counted(table(spark, d, "lineitem"), f"{fn.discount_percent('l_discount / 8')} AS `Discount %`"))
 
 
 # ---------------------------------------------------------------- rules
 
 query("discount_band", sales_sql("SELECT band, band_ord, count(*) AS n FROM x GROUP BY 1, 2"))(
-    lambda spark, d: star_sales(spark, d, "discount", labels=False)
-    .groupBy(fn.discount_band(F.col("discount")).alias("band"), fn.band_order(F.col("discount")).alias("band_ord"))
-    .agg(N)
+    lambda spark, d: spark.sql(
+        f"""
+        SELECT {fn.discount_band("discount")} AS band, {fn.band_order("discount")} AS band_ord, count(*) AS n
+        FROM {{rows}} GROUP BY 1, 2
+        """,
+        rows=star_sales(spark, d, "discount", labels=False),
+    )
 )
 
 
@@ -142,32 +141,40 @@ query("discount_band", sales_sql("SELECT band, band_ord, count(*) AS n FROM x GR
     FROM x GROUP BY order_id HAVING abs(avg(discount) - CAST(0.15 AS DOUBLE)) > CAST(0.000001 AS DOUBLE)
 """))
 def margin_risk(spark, d):
-    rows = star_sales(spark, d, "order_id", "quantity", "price", "discount", "profit", labels=False)
-    revenue = F.sum(F.col("quantity") * F.col("price") * (1 - F.col("discount"))).alias("revenue")
-    orders = rows.groupBy("order_id").agg(F.avg("discount").alias("mean"), F.sum("profit").alias("profit"), revenue)
-    # A mean of exactly 0.15 may come out a rounding error above or below it.
-    settled = orders.where(F.abs(F.col("mean") - 0.15) > 0.000001)
-    risk = fn.margin_risk(F.col("mean"), fn.safe_ratio(F.col("profit"), F.col("revenue")))
-    return settled.select("order_id", risk.alias("margin_risk"))
+    # A mean of exactly 0.15 may come out a rounding error above or below it: not compared.
+    return spark.sql(
+        f"""
+        SELECT order_id, {fn.margin_risk("mean", fn.safe_ratio("profit", "revenue"))} AS margin_risk
+        FROM (SELECT order_id, avg(discount) AS mean, sum(profit) AS profit,
+                     sum(quantity * price * (1 - discount)) AS revenue FROM {{rows}} GROUP BY order_id)
+        WHERE abs(mean - 0.15D) > 0.000001D
+        """,
+        rows=star_sales(spark, d, "order_id", "quantity", "price", "discount", "profit", labels=False),
+    )
 
 
 query("loss_flag", sales_sql("SELECT product, coalesce(profit < 0, false) AS loss_flag, count(*) AS n FROM sales GROUP BY 1, 2"))(
-    lambda spark, d: star_sales(spark, d, "product", "profit", labels=False)
-    .groupBy("product", fn.loss_flag(F.col("profit")).alias("loss_flag")).agg(N)
+    lambda spark, d: spark.sql(
+        f"SELECT product, {fn.loss_flag('profit')} AS loss_flag, count(*) AS n FROM {{rows}} GROUP BY 1, 2",
+        rows=star_sales(spark, d, "product", "profit", labels=False),
+    )
 )
 
 
-@query("dq_label_text", exports_sql("""
+query("dq_label_text", exports_sql("""
     SELECT CASE label WHEN 'flagged:invalid_region' THEN 'missing region' WHEN 'flagged:invalid_category' THEN 'missing category'
              WHEN 'flagged:invalid_customer' THEN 'missing customer' WHEN 'flagged:negative_profit' THEN 'negative profit on this row'
              WHEN 'clamped:discount' THEN 'discount was out of the valid 0-100% range and was corrected' END AS label_text, count(*) AS n
     FROM (SELECT unnest(string_split(row_flag, ';')) AS label FROM labelled WHERE row_flag IS NOT NULL) GROUP BY 1
-"""))
-def dq_label_text(spark, d):
-    from .quality import kept_rows
+"""))(
+    lambda spark, d: counted(
+        kept_rows(spark, d).selectExpr("explode(dq) AS label"), f"{fn.label_text('label')} AS label_text"
+    )
+)
 
-    labels = kept_rows(spark, d).select(F.explode("dq").alias("label"))
-    return labels.groupBy(fn.label_text(F.col("label")).alias("label_text")).agg(N)
+query("row_labels", exports_sql("SELECT row_flag AS dq_flag, count(*) AS n FROM labelled GROUP BY 1"))(
+    lambda spark, d: counted(flagged(usable(_accepted(spark, d))), f"{dq_flag('dq')} AS dq_flag")
+)
 
 
 # ----------------------------------------------------------------- text
@@ -175,21 +182,21 @@ def dq_label_text(spark, d):
 _NAMES = "SELECT p_partkey, lower(p_name || ' o''' || p_brand || '-' || p_type || ' 3rd') AS s FROM part"
 
 
-@query("title_case", f"""
+query("title_case", f"""
     SELECT p_partkey, array_to_string(list_transform(regexp_extract_all(s, '[a-z]+|[^a-z]+'),
            lambda w: upper(w[1]) || substr(w, 2)), '') AS title FROM ({_NAMES})
-""")
-def title_case(spark, d):
-    s = F.lower(F.concat("p_name", F.lit(" o'"), "p_brand", F.lit("-"), "p_type", F.lit(" 3rd")))
-    return table(spark, d, "part").select("p_partkey", fn.title_case(s).alias("title"))
+""")(
+    lambda spark, d: table(spark, d, "part")
+    .selectExpr("p_partkey", "lower(concat(p_name, ' o\\'', p_brand, '-', p_type, ' 3rd')) AS s")
+    .selectExpr("p_partkey", f"{fn.title_case('s')} AS title")
+)
 
+_SPACES = fn.literal(WHITESPACE)
+_PADDED = f"CASE WHEN c_mktsegment <> 'BUILDING' THEN concat({_SPACES}, c_name, {_SPACES}) END"
 
 query("trim_text", "SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE c_name END AS trimmed FROM customer")(
-    lambda spark, d: table(spark, d, "customer").select(
-        "c_custkey",
-        fn.trim_text(
-            F.when(F.col("c_mktsegment") != "BUILDING", F.concat(F.lit(WHITESPACE), "c_name", F.lit(WHITESPACE)))
-        ).alias("trimmed"),
+    lambda spark, d: table(spark, d, "customer").selectExpr(
+        "c_custkey", f"{fn.trim_text(_PADDED)} AS trimmed"
     )
 )
 
@@ -197,14 +204,11 @@ query("null_tokens", """
     SELECT c_mktsegment, count(*) AS n, count(*) FILTER (WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')) AS present
     FROM customer GROUP BY 1
 """)(
-    lambda spark, d: table(spark, d, "customer").groupBy("c_mktsegment").agg(
-        N,
-        F.count(
-            fn.null_tokens(
-                F.when(F.col("c_mktsegment") == "BUILDING", "n/a")
-                .when(F.col("c_mktsegment") == "MACHINERY", "#N/A").otherwise(F.col("c_name"))
-            )
-        ).alias("present"),
+    lambda spark, d: counted(
+        table(spark, d, "customer").selectExpr(
+            "c_mktsegment", "CASE c_mktsegment WHEN 'BUILDING' THEN 'n/a' WHEN 'MACHINERY' THEN '#N/A' ELSE c_name END AS given"
+        ),
+        "c_mktsegment", f"count({fn.null_tokens('given')}) AS present",
     )
 )
 
@@ -217,20 +221,16 @@ query("null_tokens", """
     FROM lineitem GROUP BY 1
 """)
 def to_date(spark, d):
-    flag, ship = F.col("l_returnflag"), F.col("l_shipdate")
-    text = (
-        F.when(F.col("l_linenumber") == 7, "20260102")
-        .when(flag == "A", F.date_format(ship, "yyyy-MM-dd"))
-        .when(flag == "N", F.date_format(ship, "d-MMM-yyyy"))
-        .otherwise(F.date_format(ship, "yyyy/M/d"))
-    )
     # The sample of a file is its first readable value: the undated rows come last here.
-    rows = _lines(spark, d).select(
-        flag.alias("source_file"), text.alias("date_text"),
-        F.col("l_linenumber").alias("block_start"), F.monotonically_increasing_id().alias("row_id"),
+    rows = table(spark, d, "lineitem").selectExpr(
+        "l_returnflag AS source_file",
+        """CASE WHEN l_linenumber = 7 THEN '20260102' WHEN l_returnflag = 'A' THEN date_format(l_shipdate, 'yyyy-MM-dd')
+           WHEN l_returnflag = 'N' THEN date_format(l_shipdate, 'd-MMM-yyyy') ELSE date_format(l_shipdate, 'yyyy/M/d') END AS date_text""",
+        "l_linenumber AS block_start",
+        "monotonically_increasing_id() AS row_id",
     )
-    return with_dates(rows, 3).groupBy("source_file").agg(
-        N, F.count("date").alias("parsed"), F.min("date").alias("first_day"), F.max("date").alias("last_day")
+    return counted(
+        with_dates(rows, 3), "source_file", "count(date) AS parsed", "min(date) AS first_day", "max(date) AS last_day"
     )
 
 
@@ -238,20 +238,17 @@ query("parse_us_date", """
     SELECT strftime(l_shipdate, '%Y') AS year, count(*) AS n, count(*) FILTER (WHERE l_returnflag <> 'R' OR day(l_shipdate) <= 12) AS parsed
     FROM lineitem GROUP BY 1
 """)(
-    lambda spark, d: _lines(spark, d).groupBy(F.date_format("l_shipdate", "yyyy").alias("year")).agg(
-        N,
-        F.count(
-            fn.parse_us_date(
-                F.when(F.col("l_returnflag") == "R", F.date_format("l_shipdate", "dd/MM/yyyy"))
-                .otherwise(F.date_format("l_shipdate", "MM/dd/yyyy"))
-            )
-        ).alias("parsed"),
+    lambda spark, d: counted(
+        table(spark, d, "lineitem").selectExpr(
+            "date_format(l_shipdate, 'yyyy') AS year",
+            "CASE WHEN l_returnflag = 'R' THEN date_format(l_shipdate, 'dd/MM/yyyy') ELSE date_format(l_shipdate, 'MM/dd/yyyy') END AS given",
+        ),
+        "year", f"count({fn.parse_us_date('given')}) AS parsed",
     )
 )
 
 query("month_bucket", "SELECT strftime(o_orderdate, '%Y-%m') AS period, count(*) AS n FROM orders GROUP BY 1")(
-    lambda spark, d: table(spark, d, "orders")
-    .groupBy(fn.month_bucket(F.col("o_orderdate")).alias("period")).agg(N)
+    lambda spark, d: counted(table(spark, d, "orders"), f"{fn.month_bucket('o_orderdate')} AS period")
 )
 
 
@@ -262,10 +259,9 @@ def _format_query(name: str, render, sql: str):
     query(name, f"""
         SELECT c_custkey, {sql} AS shown FROM (SELECT c_custkey, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_acctbal END AS v FROM customer)
     """)(
-        lambda spark, d: table(spark, d, "customer").select(
-            "c_custkey",
-            render(F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_acctbal"))).alias("shown"),
-        )
+        lambda spark, d: table(spark, d, "customer")
+        .selectExpr("c_custkey", "CASE WHEN c_mktsegment <> 'BUILDING' THEN c_acctbal END AS v")
+        .selectExpr("c_custkey", f"{render('v')} AS shown")
     )
 
 
@@ -276,12 +272,3 @@ _format_query(
     "fmt_delta", fn.fmt_delta,
     "coalesce(CASE WHEN v >= 0 THEN '▲ ' ELSE '▼ ' END || format('{:.1f}%', abs(v)), 'n/a')",
 )
-
-
-@query("row_labels", exports_sql("SELECT row_flag AS dq_flag, count(*) AS n FROM labelled GROUP BY 1"))
-def row_labels(spark, d):
-    from ..operators.labels import dq_flag
-    from .quality import _accepted
-
-    rows = flagged(usable(_accepted(spark, d)))
-    return rows.groupBy(dq_flag(F.col("dq")).alias("dq_flag")).agg(N)

@@ -18,18 +18,27 @@ from ..schema import (
     NO_CUSTOMER,
     NO_REGION,
 )
+from ..session import shared_dir
 from ..sources.star import EXPORT_FILES, star_exports, star_line_totals, star_sales, table
-from .base import exports_sql, money, query, rounded, sales_sql
+from .base import counted, exports_sql, money, query, rounded, sales_sql
 
 FILES = len(EXPORT_FILES)
 
 
-def checked(spark, d, duplicates: bool = True) -> Q.Checked:
-    return Q.validate(star_exports(spark, d), FILES, duplicates)
+def staged_exports(spark, d):
+    """The exports as one written table, as a file scan leaves them: they are read several times."""
+    path = shared_dir(spark)
+    star_exports(spark, d).write.parquet(path)
+    return spark.read.parquet(path)
 
 
-def kept_rows(spark, d):
-    return checked(spark, d, duplicates=False).rows
+def checked(spark, d) -> Q.Checked:
+    return Q.validate(staged_exports(spark, d), FILES)
+
+
+def kept_rows(spark, d, staged: bool = False):
+    rows = staged_exports(spark, d) if staged else star_exports(spark, d)
+    return Q.validate(rows, FILES, duplicates=False).rows
 
 
 def _accepted(spark, d):
@@ -54,7 +63,7 @@ def _row_rule(name: str, label: str, condition: str, relation: str):
     ))
     def run(spark, d):
         rows = _accepted(spark, d)
-        labelled = rows.withColumn("labels", Q.all_labels(rows.columns))
+        labelled = rows.withColumn("labels", F.expr(Q.all_labels(rows.columns)))
         return (
             labelled.where(F.array_contains("labels", label))
             .groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count"))
@@ -96,10 +105,10 @@ def _copies_per_file(rows, keys):
 
 
 query("dup_copies_in_file", exports_sql(_COPIES.format(copies="file_copies")))(
-    lambda spark, d: _copies_per_file(kept_rows(spark, d), ["source_file", *BUSINESS_COLUMNS])
+    lambda spark, d: _copies_per_file(kept_rows(spark, d, staged=True), ["source_file", *BUSINESS_COLUMNS])
 )
 query("dup_copies_cross_file", exports_sql(_COPIES.format(copies="copies")))(
-    lambda spark, d: _copies_per_file(kept_rows(spark, d), BUSINESS_COLUMNS)
+    lambda spark, d: _copies_per_file(kept_rows(spark, d, staged=True), BUSINESS_COLUMNS)
 )
 
 
@@ -109,7 +118,7 @@ def _tagged(name: str, keys: list[str], condition: str):
         f"FROM tagged WHERE {condition} GROUP BY 1, 2, 3, 4"
     ))
     def run(spark, d):
-        rows = tag_duplicates(kept_rows(spark, d), keys).where(F.array_contains("dq", DUPLICATE))
+        rows = tag_duplicates(kept_rows(spark, d, staged=True), keys).where(F.array_contains("dq", DUPLICATE))
         period = F.date_format(F.to_date("date"), "yyyy-MM").alias("period")
         return rows.groupBy("order_id", "source_file", "product", period).agg(
             F.count(F.lit(1)).alias("row_count")
@@ -156,8 +165,8 @@ def order_id_issues(spark, d):
 """))
 def flag_append(spark, d):
     rows = checked(spark, d).rows
-    again = append_label(F.col("dq"), F.array_contains("dq", DUPLICATE), DUPLICATE)
-    return rows.groupBy(dq_flag(again).alias("dq_flag")).agg(F.count(F.lit(1)).alias("row_count"))
+    again = append_label("dq", f"array_contains(dq, '{DUPLICATE}')", DUPLICATE)
+    return counted(rows, f"{dq_flag(again)} AS dq_flag").withColumnRenamed("n", "row_count")
 
 
 _ISSUES = """
@@ -236,7 +245,7 @@ query("strict_cross_file", exports_sql("""
       SELECT count(DISTINCT source_file) AS files FROM kept
       GROUP BY date, customer, product, category, region, quantity, price, discount, profit, sales_target
       HAVING count(DISTINCT source_file) > 1)
-"""))(lambda spark, d: Q.strict_cross_file_copies(kept_rows(spark, d)))
+"""))(lambda spark, d: Q.strict_cross_file_copies(Q.file_copies(kept_rows(spark, d, staged=True))))
 
 
 @query("dq_note_join", exports_sql("""

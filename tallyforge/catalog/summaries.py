@@ -20,7 +20,7 @@ from ..operators.periods import distinct_periods, in_period
 from ..functions import bar_length
 from ..schema import KPI_NAMES
 from ..sources.star import star_sales
-from .base import exports_sql, money, periods, query, rate, rounded, sales_sql
+from .base import counted, exports_sql, money, periods, query, rate, rounded, sales_sql
 
 _MEASURES = ("date", "quantity", "price", "discount", "profit")
 
@@ -38,8 +38,10 @@ query("latest_two_periods", sales_sql(
 
 def _roles(spark, d):
     newest = distinct_periods(star_sales(spark, d, "date", labels=False)).limit(2)
-    is_current = F.col("period") == newest.agg(F.max("period")).scalar()
-    return newest.select("period", F.when(is_current, "current").otherwise("prior").alias("role"))
+    return spark.sql(
+        "SELECT period, CASE WHEN period = (SELECT max(period) FROM {t}) THEN 'current' ELSE 'prior' END AS role FROM {t}",
+        t=newest,
+    )
 
 
 def _period_query(name: str, condition: str, which: int):
@@ -48,10 +50,8 @@ def _period_query(name: str, condition: str, which: int):
     ))
     def run(spark, d):
         rows = in_period(star_sales(spark, d, "date", "region", "quantity", "price", "discount"), periods(spark, d)[which])
-        table = rows.groupBy("region").agg(
-            F.count(F.lit(1)).alias("line_items"), F.sum(S.REVENUE).alias("revenue")
-        )
-        return rounded(table, **money("revenue"))
+        table = counted(rows, "region", f"sum({S.REVENUE}) AS revenue", **money("revenue"))
+        return table.withColumnRenamed("n", "line_items")
 
 
 _period_query("filter_current_period", "is_cur", 0)
@@ -209,8 +209,7 @@ def bar_share(spark, d):
 """))
 def bar_lengths(spark, d):
     by_product = flat.revenue_by(star_sales(spark, d, "product", "quantity", "price", "discount"), "product")
-    bar = bar_length(F.col("revenue"), F.lit(1e9))
-    return rounded(by_product.select("product", bar.alias("bar")), **rate("bar"))
+    return rounded(by_product.selectExpr("product", f"{bar_length('revenue', '1e9D')} AS bar"), **rate("bar"))
 
 
 @query("name_with_note", sales_sql(f"""
@@ -425,7 +424,7 @@ query("top_category", flags_sql(
 def extreme_regions(spark, d):
     table = S.region_summary(star_sales(spark, d, *_MEASURES, "region"), *periods(spark, d))
     change = F.struct("pct_change", "region")
-    return table.where(F.col("pct_change").isNotNull()).agg(
+    return table.where("pct_change IS NOT NULL").agg(
         F.min_by("region", change).alias("worst"), F.max_by("region", change).alias("best")
     )
 
@@ -436,7 +435,8 @@ def _derived(name: str, sql: str):
     @query(name, sales_sql(f"SELECT category, count({sql}) AS n, round(sum({sql}), 2) AS total FROM x GROUP BY category"))
     def run(spark, d):
         rows = with_measures(star_sales(spark, d, *_MEASURES, "category", labels=False))
-        table = rows.groupBy("category").agg(F.count(name[7:]).alias("n"), F.sum(name[7:]).alias("total"))
+        measure = name.removeprefix("derive_")
+        table = rows.groupBy("category").agg(F.count(measure).alias("n"), F.sum(measure).alias("total"))
         return rounded(table, total=2)
 
 
@@ -524,9 +524,10 @@ def weak_regions(spark, d):
 def dq_note(spark, d):
     from .quality import checked
 
-    rows = checked(spark, d).rows
-    return (
-        rows.groupBy("product")
-        .agg(F.count(F.lit(1)).alias("line_items"), *note_counts(F.lit(True)))
-        .select("product", "line_items", note().alias("dq_note"))
+    return spark.sql(
+        f"""
+        SELECT product, line_items, {note()} AS dq_note
+        FROM (SELECT product, count(*) AS line_items, {", ".join(note_counts())} FROM {{rows}} GROUP BY product)
+        """,
+        rows=checked(spark, d).rows,
     )

@@ -1,20 +1,18 @@
-"""Dates: one format per file, months as periods."""
+"""Dates: one format per file, months as periods.  All functions give SQL text."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, functions as F
-
-from .text import strip
+from .text import literal, strip
 
 # The formats tried in this order on a file's first date.
 DATE_FORMATS = [
     "yyyy-MM-dd",
     "yyyy-MM-dd HH:mm:ss",
     "yyyy-MM-dd HH:mm",
+    "yyyy-MM-dd HH:mm:ss.SSS",
     "yyyy-MM-dd HH:mm:ss.SSSSSS",
     "yyyy-MM-dd'T'HH:mm:ss",
+    "yyyy-MM-dd'T'HH:mm:ss.SSS",
     "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     "M/d/yyyy",
     "M/d/yy",
@@ -36,40 +34,37 @@ DATE_FORMATS = [
 ]
 
 
-def parse_date(c: Column, date_format: str) -> Column:
-    return F.try_to_timestamp(strip(c), F.lit(date_format)).cast("timestamp_ntz")
+def parse_date(c: str, date_format: str) -> str:
+    return f"CAST(try_to_timestamp({strip(c)}, {literal(date_format)}) AS TIMESTAMP_NTZ)"
 
 
-def guess_format(sample: Column) -> Column:
+def guess_format(sample: str) -> str:
     """The first known format that reads ``sample``; NULL if none does."""
-    return F.coalesce(
-        *[F.when(parse_date(sample, f).isNotNull(), F.lit(f)) for f in DATE_FORMATS]
+    cases = " ".join(
+        f"WHEN {parse_date(sample, f)} IS NOT NULL THEN {literal(f)}" for f in DATE_FORMATS
     )
+    return f"CASE {cases} END"
 
 
-def to_date(c: Column, date_format: Column) -> Column:
+def to_date(c: str, date_format: str) -> str:
     """Read ``c`` with its file's format; a file without one is read value by value.
 
     The formats are literals behind a CASE, so each row runs one prepared parser.
     """
-    by_value = F.coalesce(*[parse_date(c, f) for f in DATE_FORMATS])
-    chosen = reduce(
-        lambda case, f: case.when(date_format == f, parse_date(c, f)),
-        DATE_FORMATS[1:],
-        F.when(date_format == DATE_FORMATS[0], parse_date(c, DATE_FORMATS[0])),
-    )
-    return chosen.when(date_format.isNull(), by_value)
+    chosen = " ".join(f"WHEN {literal(f)} THEN {parse_date(c, f)}" for f in DATE_FORMATS)
+    by_value = ", ".join(parse_date(c, f) for f in DATE_FORMATS)
+    return f"CASE {date_format} {chosen} ELSE coalesce({by_value}) END"
 
 
-def parse_us_date(c: Column) -> Column:
+def parse_us_date(c: str) -> str:
     """``MM/dd/yyyy`` or NULL."""
     return parse_date(c, "M/d/yyyy")
 
 
-def month_start(c: Column) -> Column:
-    return F.trunc(c, "month")
+def month_start(c: str) -> str:
+    return f"trunc({c}, 'month')"
 
 
-def month_bucket(c: Column) -> Column:
+def month_bucket(c: str) -> str:
     """``yyyy-MM``; sorts in time order as text."""
-    return F.date_format(F.to_date(c), "yyyy-MM")
+    return f"date_format(to_date({c}), 'yyyy-MM')"

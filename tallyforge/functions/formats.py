@@ -1,59 +1,52 @@
-"""Report text for numbers.  All round half to even."""
+"""Report text for numbers, as SQL text.  All round half to even."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 NOT_AVAILABLE = "n/a"
 
 
-def _pattern(c: Column, pattern: str) -> Column:
-    return F.call_function("format_number", c.cast("double"), F.lit(pattern))
-
-
-def _or_na(text: Column) -> Column:
-    return F.coalesce(text, F.lit(NOT_AVAILABLE))
-
-
-def one_decimal(c: Column) -> Column:
+def one_decimal(c: str) -> str:
     """``-53.3``; NULL stays NULL."""
-    return _pattern(c, "0.0")
+    return f"format_number(double({c}), '0.0')"
 
 
-def signed_decimal(c: Column) -> Column:
+def signed_decimal(c: str) -> str:
     """``+8.2``; NULL stays NULL."""
-    return F.concat(F.when(c < 0, "").otherwise("+"), one_decimal(c))
+    return f"concat(CASE WHEN {c} < 0 THEN '' ELSE '+' END, {one_decimal(c)})"
 
 
-def whole(c: Column) -> Column:
+def whole(c: str) -> str:
     """``1,234``; NULL stays NULL."""
-    return _pattern(c, "#,##0")
+    return f"format_number(double({c}), '#,##0')"
 
 
-def dollars(c: Column) -> Column:
+def dollars(c: str) -> str:
     """``$1,234``; NULL stays NULL."""
-    return F.concat(F.lit("$"), whole(c))
+    return f"concat('$', {whole(c)})"
+
+
+def _or_na(text: str) -> str:
+    return f"coalesce({text}, '{NOT_AVAILABLE}')"
 
 
-def fmt_money(c: Column) -> Column:
+def fmt_money(c: str) -> str:
     return _or_na(dollars(c))
 
 
-def fmt_pct(c: Column, signed: bool = True) -> Column:
-    return _or_na(F.concat(signed_decimal(c) if signed else one_decimal(c), F.lit("%")))
+def fmt_pct(c: str, signed: bool = True) -> str:
+    return _or_na(f"concat({signed_decimal(c) if signed else one_decimal(c)}, '%')")
 
 
-def fmt_num(c: Column) -> Column:
+def fmt_num(c: str) -> str:
     return _or_na(whole(c))
 
 
-def fmt_delta(c: Column) -> Column:
-    arrow = F.when(c >= 0, "▲ ").otherwise("▼ ")
-    return _or_na(F.concat(arrow, one_decimal(F.abs(c)), F.lit("%")))
+def fmt_delta(c: str) -> str:
+    arrow = f"CASE WHEN {c} >= 0 THEN '▲ ' ELSE '▼ ' END"
+    return _or_na(f"concat({arrow}, {one_decimal(f'abs({c})')}, '%')")
 
 
-def bar_length(value: Column, largest: Column) -> Column:
+def bar_length(value: str, largest: str) -> str:
     """Bar length in percent of the largest bar, at least 2."""
-    return F.when(largest == 0, F.lit(0.0)).otherwise(
-        F.greatest(F.lit(2.0), value / F.nullif(largest, F.lit(0.0)) * 100)
-    )
+    share = f"{value} / nullif({largest}, 0D) * 100"
+    return f"CASE WHEN {largest} = 0 THEN 0D ELSE greatest(2D, {share}) END"

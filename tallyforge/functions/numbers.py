@@ -1,63 +1,67 @@
-"""Number parsing and ratio arithmetic as column expressions."""
+"""Number parsing and ratio arithmetic, as SQL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 from .text import strip
 
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
-def to_number(c: Column) -> Column:
+def to_number(c: str) -> str:
     """A finite decimal number, or NULL.
 
     The pattern keeps out what a cast would accept beyond that: ``1d``, ``nan``,
     ``Infinity`` and hexadecimal floats.
     """
     text = strip(c)
-    value = F.when(text.rlike(_NUMBER), text.try_cast("double"))
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+    value = f"nullif(nullif(try_cast({text} AS DOUBLE), double('Infinity')), double('-Infinity'))"
+    return f"CASE WHEN {text} RLIKE r'{_NUMBER}' THEN {value} END"
 
 
-def clean_currency(c: Column) -> Column:
+def clean_currency(c: str) -> str:
     """``--$3,600.00`` -> -3600.0: a leading double dash is a minus sign."""
-    return to_number(F.regexp_replace(F.regexp_replace(strip(c), "^--", "-"), "[$,]", ""))
+    text = strip(c)
+    return to_number(f"translate(CASE WHEN startswith({text}, '--') THEN substr({text}, 2) ELSE {text} END, '$,', '')")
 
 
-def clean_percent(c: Column) -> Column:
+def clean_percent(c: str) -> str:
     """``10%`` -> 0.10; the division happens with or without the sign."""
-    return to_number(F.replace(strip(c), F.lit("%"))) / 100.0
+    number = to_number(f"replace({strip(c)}, '%')")
+    return f"({number}) / 100D"
 
 
-def fill_zero(c: Column) -> Column:
-    return F.coalesce(c, F.lit(0.0))
+def fill_zero(c: str) -> str:
+    return f"coalesce({c}, 0D)"
 
 
-def normalise_discount(c: Column) -> Column:
+def normalise_discount(c: str) -> str:
     """A discount above 1 was typed as a percentage."""
-    return F.when(c > 1, c / 100.0).otherwise(c)
+    return f"CASE WHEN {c} > 1 THEN {_nested(c)} / 100D ELSE {c} END"
 
 
-def safe_ratio(numerator: Column, denominator: Column) -> Column:
+def safe_ratio(numerator: str, denominator: str) -> str:
     """NULL instead of an error where the denominator is zero."""
-    return numerator / F.nullif(denominator, F.lit(0.0))
+    return f"({_nested(numerator)} / nullif({denominator}, 0D))"
 
 
-def pct_change(current: Column, prior: Column) -> Column:
-    return safe_ratio(current - prior, F.abs(prior)) * 100.0
+def pct_change(current: str, prior: str) -> str:
+    return f"{safe_ratio(f'{_nested(current)} - {_nested(prior)}', f'abs({prior})')} * 100"
 
 
-def price_from_sales(sales: Column, quantity: Column, discount: Column) -> Column:
+def price_from_sales(sales: str, quantity: str, discount: str) -> str:
     """Unit price behind a line total; 0 where it cannot be told."""
-    return fill_zero(safe_ratio(sales, quantity * (1 - discount)))
+    return fill_zero(safe_ratio(sales, f"{_nested(quantity)} * (1 - {_nested(discount)})"))
 
 
-def round_half_even(c: Column, digits: int) -> Column:
-    scale = float(10**digits)
-    return F.rint(c * scale) / scale
+def round_half_even(c: str, digits: int) -> str:
+    scale = f"{10**digits}D"
+    return f"rint({_nested(c)} * {scale}) / {scale}"
 
 
-def discount_percent(rate: Column) -> Column:
+def discount_percent(rate: str) -> str:
     """0.125 -> 12.5, one decimal."""
-    return round_half_even(rate * 100, 1)
+    return round_half_even(f"{_nested(rate)} * 100", 1)
+
+
+def _nested(c: str) -> str:
+    return c if c.replace("_", "").isalnum() else f"({c})"

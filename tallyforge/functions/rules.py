@@ -1,39 +1,36 @@
-"""Business rules as column expressions."""
+"""Business rules, as SQL text."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, functions as F
-
 from ..schema import DISCOUNT_BANDS, HIGH_DISCOUNT, LOW_MARGIN
+from .text import literal
 
 
-def _by_band(discount: Column, values: list) -> Column:
+def _by_band(discount: str, values: list[str]) -> str:
     """CASE over the band bounds; a missing discount falls in the first band."""
-    first, *middle, last = zip([upper for upper, _ in DISCOUNT_BANDS], values)
-    case = F.when(discount.isNull() | (discount <= first[0]), F.lit(first[1]))
-    case = reduce(lambda acc, uv: acc.when(discount <= uv[0], F.lit(uv[1])), middle, case)
-    return case.otherwise(F.lit(last[1]))
+    bounds = [upper for upper, _ in DISCOUNT_BANDS]
+    cases = [f"WHEN {discount} IS NULL THEN {values[0]}"]
+    cases += [f"WHEN {discount} <= {upper!r}D THEN {value}" for upper, value in zip(bounds[:-1], values)]
+    return f"CASE {' '.join(cases)} ELSE {values[-1]} END"
 
 
-def band_order(discount: Column) -> Column:
-    return _by_band(discount, list(range(len(DISCOUNT_BANDS))))
+def band_order(discount: str) -> str:
+    return _by_band(discount, [str(i) for i in range(len(DISCOUNT_BANDS))])
 
 
-def discount_band(discount: Column) -> Column:
-    return _by_band(discount, [label for _, label in DISCOUNT_BANDS])
+def discount_band(discount: str) -> str:
+    return _by_band(discount, [literal(label) for _, label in DISCOUNT_BANDS])
 
 
-def band_label(order: Column) -> Column:
+def band_label(order: str) -> str:
     """Label of a band number; lets a group-by carry the small number only."""
-    return F.element_at(F.array(*[F.lit(label) for _, label in DISCOUNT_BANDS]), order + 1)
+    return f"element_at(array({', '.join(literal(label) for _, label in DISCOUNT_BANDS)}), {order} + 1)"
 
 
-def margin_risk(avg_discount: Column, margin: Column) -> Column:
+def margin_risk(avg_discount: str, margin: str) -> str:
     """Big discount on a thin margin; an unknown margin is no risk."""
-    return F.coalesce((avg_discount >= HIGH_DISCOUNT) & (margin < LOW_MARGIN), F.lit(False))
+    return f"coalesce({avg_discount} >= {HIGH_DISCOUNT!r}D AND {margin} < {LOW_MARGIN!r}D, false)"
 
 
-def loss_flag(profit: Column) -> Column:
-    return F.coalesce(profit < 0, F.lit(False))
+def loss_flag(profit: str) -> str:
+    return f"coalesce({profit} < 0, false)"

@@ -1,9 +1,7 @@
-"""Text clean-up as column expressions."""
+"""Text clean-up.  Every function takes and gives SQL text for ``F.expr`` or ``selectExpr``."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 from ..schema import LABEL_TEXT, NA_TOKENS
 
 # Every character Unicode counts as white space, plus the four ASCII separators.
@@ -14,28 +12,34 @@ WHITESPACE = (
 _CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 
 
-def strip(c: Column) -> Column:
+def literal(text: str) -> str:
+    """A SQL string literal."""
+    plain = text.replace("\\", "\\\\").replace("'", "\\'")
+    return "'" + "".join(c if c.isprintable() else f"\\u{ord(c):04x}" for c in plain) + "'"
+
+
+def strip(c: str) -> str:
     """Strip all Unicode white space from both ends; NULL stays NULL."""
-    return F.btrim(c, F.lit(WHITESPACE))
+    return f"btrim({c}, {literal(WHITESPACE)})"
 
 
-def trim_text(c: Column) -> Column:
+def trim_text(c: str) -> str:
     """Missing text becomes ``''``, the rest is stripped."""
-    return strip(F.coalesce(c, F.lit("")))
+    return strip(f"coalesce({c}, '')")
 
 
-def null_tokens(c: Column) -> Column:
+def null_tokens(c: str) -> str:
     """NULL for the cells that stand for a missing value (``NA``, ``n/a``, ...)."""
-    return F.when(~c.isin(NA_TOKENS), c)
+    return f"CASE WHEN {c} NOT IN ({', '.join(map(literal, NA_TOKENS))}) THEN {c} END"
 
 
-def title_case(c: Column) -> Column:
+def title_case(c: str) -> str:
     """Capitalise every run of letters: ``o'brien 3rd`` -> ``O'Brien 3Rd``."""
-    runs = F.regexp_extract_all(trim_text(c), F.lit(f"([{_CASED}]+|[^{_CASED}]+)"), F.lit(1))
-    return F.array_join(F.transform(runs, F.initcap), "")
+    runs = f"regexp_extract_all({trim_text(c)}, r'([{_CASED}]+|[^{_CASED}]+)', 1)"
+    return f"array_join(transform({runs}, word -> initcap(word)), '')"
 
 
-def label_text(label: Column) -> Column:
+def label_text(label: str) -> str:
     """Plain words for a quality label; an unknown label is kept as it is."""
-    pairs = F.create_map(*[F.lit(x) for kv in LABEL_TEXT.items() for x in kv])
-    return F.coalesce(F.try_element_at(pairs, label), label)
+    cases = " ".join(f"WHEN {literal(k)} THEN {literal(v)}" for k, v in LABEL_TEXT.items())
+    return f"CASE {label} {cases} ELSE {label} END"

@@ -2,30 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from ..functions import month_bucket, safe_ratio, strip
 
-GROSS_SALES = F.col("quantity") * F.col("price")
-DISCOUNT_AMOUNT = GROSS_SALES * F.col("discount")
-REVENUE = GROSS_SALES * (1 - F.col("discount"))
-MARGIN = safe_ratio(F.col("profit"), REVENUE)
-
-MEASURES = {
-    "gross_sales": GROSS_SALES,
-    "discount_amount": DISCOUNT_AMOUNT,
-    "revenue": REVENUE,
-    "margin": MARGIN,
-}
+GROSS_SALES = "quantity * price"
+DISCOUNT_AMOUNT = "quantity * price * discount"
+REVENUE = "quantity * price * (1 - discount)"
+MARGIN = safe_ratio("profit", REVENUE)
 
 
 def with_measures(rows: DataFrame) -> DataFrame:
     """Add gross_sales, discount_amount, revenue, margin and period."""
-    return rows.withColumns({**MEASURES, "period": month_bucket(F.col("date"))})
+    return rows.selectExpr(
+        "*",
+        f"{GROSS_SALES} AS gross_sales",
+        f"{DISCOUNT_AMOUNT} AS discount_amount",
+        f"{REVENUE} AS revenue",
+        f"{MARGIN} AS margin",
+        f"{month_bucket('date')} AS period",
+    )
 
 
-def ensure_order_id(order_id: Column, source_file: Column, row_id: Column) -> Column:
+def ensure_order_id(order_id: str, source_file: str, row_id: str) -> str:
     """The trimmed id, or one made of file and row where it is blank."""
     text = strip(order_id)
-    blank = F.coalesce(text.isin("", "nan", "none"), F.lit(True))
-    return F.when(~blank, text).otherwise(F.concat(source_file, F.lit("-row"), row_id.cast("string")))
+    blank = f"coalesce({text} IN ('', 'nan', 'none'), true)"
+    return f"CASE WHEN {blank} THEN concat({source_file}, '-row', {row_id}) ELSE {text} END"

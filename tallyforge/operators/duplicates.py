@@ -1,72 +1,94 @@
 """Copies of a row: counting and marking them without gathering a group.
 
-A window over the business columns would put all copies of a row in one task.
-Here the copies are counted by an aggregation, which collapses them before the
-shuffle, and the counts are joined back.  The join is safe for a row copied any
-number of times: groups holding more than 1/10,000 of all rows are looked up in
-a broadcast table - there are fewer than 10,000 of them by counting alone - and
-their rows are spread over the shuffle instead of meeting in one partition.
+A window over the business columns would put all copies of a row in one task,
+and send every row through a shuffle on ten columns.  Here
+
+1. rows are counted by a 64-bit hash of the columns: eight bytes of each row
+   are shuffled, and copies collapse before it;
+2. only rows whose hash occurs more than once are grouped by the columns
+   themselves, which makes the count exact.  The repeated rows found are written
+   to the shared folder, so their number and size are known from here on;
+3. rows look their count up in that table.  Spark broadcasts it if its size
+   allows.  Otherwise a group holding more than 1/10,000 of the copies is
+   looked up in a broadcast of its own - there are fewer than 10,000 such groups
+   by counting alone - and its rows are spread over the shuffle.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, functions as F
 
 from ..schema import BUSINESS_COLUMNS, DUPLICATE
+from ..session import shared_dir
 from .labels import append_label
 
-# A hot group holds more than one part in HOT_GROUPS of the rows, so there are
-# fewer than HOT_GROUPS of them: this bounds the broadcast.
+# Hashes that occur more than once are broadcast up to this many (8 bytes each).
+MAX_BROADCAST_HASHES = 1_000_000
+# A hot group has more than one part in HOT_GROUPS of all copies.
 HOT_GROUPS = 10_000
 SPREAD = 4096
 
 
 def copy_groups(rows: DataFrame, keys: list[str]) -> DataFrame:
     """One row per distinct key with its number of rows; NULLs are equal."""
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+    return rows.groupBy(*keys).agg(F.count("*").alias("copies"))
+
+
+def _written(table: DataFrame) -> DataFrame:
+    path = shared_dir(table.sparkSession)
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
+def repeated_rows(rows: DataFrame, keys: list[str] | None = None, split: list[str] | None = None) -> DataFrame:
+    """The keys held by more than one row, with ``copies``, as a stored table.
+
+    ``split`` columns are further group columns: a key is kept if its rows are
+    more than one over all of them together.
+    """
+    keys = keys or BUSINESS_COLUMNS
+    hashed = rows.select(*keys, *(split or []), F.xxhash64(*keys).alias("key_hash"))
+    suspects = _written(copy_groups(hashed, ["key_hash"]).where("copies > 1").select("key_hash"))
+    if suspects.count() <= MAX_BROADCAST_HASHES:
+        hashed = hashed.join(F.broadcast(suspects), "key_hash", "left_semi")
+    groups = copy_groups(hashed, [*keys, *(split or [])])
+    return _written(groups if split else groups.where("copies > 1"))
 
 
-def with_copies(rows: DataFrame, keys: list[str], row_id: str = "row_id") -> DataFrame:
+def with_copies(
+    rows: DataFrame, keys: list[str] | None = None, row_id: str = "row_id", repeated: DataFrame | None = None
+) -> DataFrame:
     """Add ``copies``: how many rows share this row's key (1 = it is alone).
 
     ``row_id`` is any value that differs between copies; it only spreads them.
+    ``repeated`` is the table of repeated keys, if it is there already.
     """
-    groups = copy_groups(rows, keys)
-    repeated = groups.where(F.col("copies") > 1)
-    threshold = (groups.agg(F.sum("copies") / F.lit(HOT_GROUPS))).scalar()
+    keys = keys or BUSINESS_COLUMNS
+    if repeated is None:
+        repeated = repeated_rows(rows, keys)
+    threshold = repeated.agg(F.sum("copies") / F.lit(HOT_GROUPS)).scalar()
     hot = _renamed(repeated.where(F.col("copies") > threshold), keys, "h")
     cold = _renamed(repeated.where(F.col("copies") <= threshold), keys, "c")
-
-    spread = F.when(
-        F.col("h_copies").isNotNull(), F.pmod(F.xxhash64(row_id), F.lit(SPREAD - 1)) + 1
-    ).otherwise(F.lit(0))
-    looked_up = rows.join(F.broadcast(hot), _same(keys, "h"), "left").withColumn("_spread", spread)
-    joined = looked_up.join(
-        cold.withColumn("c_spread", F.lit(0).cast("long")),
-        _same(keys, "c") & (F.col("_spread") == F.col("c_spread")),
-        "left",
+    spread = f"CASE WHEN h_copies IS NULL THEN 0L ELSE pmod(xxhash64({row_id}), {SPREAD - 1}L) + 1 END"
+    return (
+        rows.join(F.broadcast(hot), _same(keys, "h"), "left")
+        .withColumn("spread", F.expr(spread))
+        .join(cold.withColumn("c_spread", F.lit(0).cast("long")), _same([*keys, "spread"], "c"), "left")
+        .selectExpr(*[f"`{c}`" for c in rows.columns], "coalesce(h_copies, c_copies, 1L) AS copies")
     )
-    copies = F.coalesce("h_copies", "c_copies", F.lit(1)).cast("long").alias("copies")
-    return joined.select(*rows.columns, copies)
 
 
-def tag_duplicates(rows: DataFrame, keys: list[str] | None = None, row_id: str = "row_id") -> DataFrame:
+def tag_duplicates(
+    rows: DataFrame, keys: list[str] | None = None, row_id: str = "row_id", repeated: DataFrame | None = None
+) -> DataFrame:
     """Append the duplicate label to ``dq`` on every copy of a repeated row."""
-    keys = keys or BUSINESS_COLUMNS
-    return (
-        with_copies(rows, keys, row_id)
-        .withColumn("dq", append_label(F.col("dq"), F.col("copies") > 1, DUPLICATE))
-        .drop("copies")
-    )
+    label = append_label("dq", "copies > 1", DUPLICATE)
+    return with_copies(rows, keys, row_id, repeated).withColumn("dq", F.expr(label)).drop("copies")
 
 
 def _renamed(groups: DataFrame, keys: list[str], prefix: str) -> DataFrame:
-    return groups.select(*[F.col(c).alias(f"{prefix}_{c}") for c in [*keys, "copies"]])
+    return groups.selectExpr(*[f"{c} AS {prefix}_{c}" for c in [*keys, "copies"]])
 
 
 def _same(keys: list[str], prefix: str):
-    return reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}_{k}")) for k in keys]
-    )
+    return F.expr(" AND ".join(f"{k} <=> {prefix}_{k}" for k in keys))

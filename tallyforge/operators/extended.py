@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from ..functions import discount_percent, loss_flag, month_bucket, parse_us_date
+from ..functions import discount_percent, loss_flag, month_start, parse_us_date
 from ..schema import UNDERPERFORMER_QUANTILE
 
 CLEAN_REQUIRED = ["Order Date", "Ship Date", "Discount", "Profit"]
@@ -15,53 +15,54 @@ def clean_export(raw: DataFrame) -> DataFrame:
     missing = [c for c in CLEAN_REQUIRED if c not in raw.columns]
     if missing:
         raise ValueError(f"missing required column(s): {', '.join(missing)}")
-    dates = {
-        c: parse_us_date(F.col(f"`{c}`")) for c in ("Order Date", "Ship Date")
-        if dict(raw.dtypes)[c] == "string"
-    }
-    return (
-        raw.dropDuplicates()
-        .withColumns(dates)
-        .withColumns(
-            {"Discount %": discount_percent(F.col("Discount")), "Loss_Flag": loss_flag(F.col("Profit"))}
-        )
+    text = {c for c, kind in raw.dtypes if c in ("Order Date", "Ship Date") and kind == "string"}
+    return raw.dropDuplicates().selectExpr(
+        *[f"{parse_us_date(f'`{c}`')} AS `{c}`" if c in text else f"`{c}`" for c in raw.columns],
+        f"{discount_percent('Discount')} AS `Discount %`",
+        f"{loss_flag('Profit')} AS Loss_Flag",
     )
 
 
-def _month() -> Column:
-    """Undated rows form a month of their own."""
-    return F.coalesce(month_bucket(F.col("`Order Date`")), F.lit("NaT"))
-
-
-def _total(column: str) -> Column:
-    return F.coalesce(F.sum(column), F.lit(0.0))
+def _total(column: str) -> str:
+    return f"coalesce(sum({column}), 0D)"
 
 
-def _grouped(rows: DataFrame, *by: str):
-    kept = rows
-    for column in by:
-        kept = kept.where(F.col(f"`{column}`").isNotNull())
-    return kept.groupBy(*[f"`{column}`" for column in by])
+def _sql(rows: DataFrame, text: str) -> DataFrame:
+    return rows.sparkSession.sql(text, rows=rows)
 
 
 def region_category_sales(rows: DataFrame) -> DataFrame:
-    return _grouped(rows, "Region", "Category").agg(_total("Sales").alias("Sales"))
+    return _sql(rows, f"""
+        SELECT Region, Category, {_total("Sales")} AS Sales
+        FROM {{rows}} WHERE Region IS NOT NULL AND Category IS NOT NULL
+        GROUP BY Region, Category
+    """)
 
 
 def product_performance(rows: DataFrame) -> DataFrame:
-    return _grouped(rows.withColumn("Month", _month()), "Product Name", "Region", "Segment", "Month").agg(
-        _total("Sales").alias("Total_Sales"), _total("Profit").alias("Total_Profit")
-    )
+    """Sales and profit by product, region, segment and month; undated rows form a month."""
+    return _sql(rows, f"""
+        SELECT `Product Name`, Region, Segment, coalesce(date_format(month, 'yyyy-MM'), 'NaT') AS Month,
+               Total_Sales, Total_Profit
+        FROM (
+            SELECT `Product Name`, Region, Segment, {month_start("`Order Date`")} AS month,
+                   {_total("Sales")} AS Total_Sales, {_total("Profit")} AS Total_Profit
+            FROM {{rows}}
+            WHERE `Product Name` IS NOT NULL AND Region IS NOT NULL AND Segment IS NOT NULL
+            GROUP BY 1, 2, 3, 4
+        )
+    """)
 
 
 def monthly_trend(rows: DataFrame) -> DataFrame:
-    by_day = F.trunc("`Order Date`", "month")
-    return (
-        rows.groupBy(by_day.alias("m"))
-        .agg(_total("Sales").alias("Sales"), _total("Profit").alias("Profit"))
-        .select(F.coalesce(F.date_format("m", "yyyy-MM"), F.lit("NaT")).alias("Month"), "Sales", "Profit")
-        .orderBy("Month")
-    )
+    return _sql(rows, f"""
+        SELECT coalesce(date_format(month, 'yyyy-MM'), 'NaT') AS Month, Sales, Profit
+        FROM (
+            SELECT {month_start("`Order Date`")} AS month, {_total("Sales")} AS Sales, {_total("Profit")} AS Profit
+            FROM {{rows}} GROUP BY 1
+        )
+        ORDER BY Month
+    """)
 
 
 def underperformers(rows: DataFrame) -> DataFrame:
@@ -69,16 +70,23 @@ def underperformers(rows: DataFrame) -> DataFrame:
 
     The percentile runs over one number per pair, after the aggregation.
     """
-    profit = _grouped(rows, "Category", "Region").agg(_total("Profit").alias("Profit"))
-    cut = profit.agg(F.percentile("Profit", UNDERPERFORMER_QUANTILE)).scalar()
-    return profit.where(F.col("Profit") < cut)
+    pairs = _sql(rows, f"""
+        SELECT Category, Region, {_total("Profit")} AS Profit
+        FROM {{rows}} WHERE Category IS NOT NULL AND Region IS NOT NULL
+        GROUP BY Category, Region
+    """)
+    return _sql(pairs, f"""
+        SELECT * FROM {{rows}}
+        WHERE Profit < (SELECT percentile(Profit, {UNDERPERFORMER_QUANTILE}) FROM {{rows}})
+    """)
 
 
 def discount_impact(rows: DataFrame) -> DataFrame:
     """Mean profit and number of lines per discount step."""
-    return _grouped(rows, "Discount %").agg(
-        F.avg("Profit").alias("Avg_Profit"), F.count("`Order ID`").alias("Orders")
-    )
+    return _sql(rows, """
+        SELECT `Discount %`, avg(Profit) AS Avg_Profit, count(`Order ID`) AS Orders
+        FROM {rows} WHERE `Discount %` IS NOT NULL GROUP BY `Discount %`
+    """)
 
 
 def region_category_pivot(rows: DataFrame, categories: list[str] | None = None) -> DataFrame:
@@ -91,13 +99,13 @@ def region_category_pivot(rows: DataFrame, categories: list[str] | None = None)
     if categories is None:
         found = sums.select("Category").distinct().orderBy("Category").collect()
         categories = [r["Category"] for r in found]
-    return sums.groupBy("Region").pivot("Category", categories).agg(F.sum("Sales")).na.fill(0.0)
+    return sums.groupBy("Region").pivot("Category", categories).sum("Sales").na.fill(0.0)
 
 
 def top_products(rows: DataFrame, n: int = 10) -> DataFrame:
-    return (
-        _grouped(rows, "Product Name")
-        .agg(_total("Sales").alias("Sales"))
-        .orderBy(F.desc("Sales"), "`Product Name`")
-        .limit(n)
-    )
+    return _sql(rows, f"""
+        SELECT `Product Name`, {_total("Sales")} AS Sales
+        FROM {{rows}} WHERE `Product Name` IS NOT NULL
+        GROUP BY 1 ORDER BY Sales DESC, `Product Name` LIMIT {n}
+    """)
+

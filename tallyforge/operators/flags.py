@@ -4,54 +4,41 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from ..functions.formats import dollars, one_decimal, signed_decimal, whole
-from ..functions import pct_change
+from ..functions import literal, pct_change
+from ..functions.formats import dollars, one_decimal, signed_decimal
 from ..schema import DECLINE_CRITICAL, DECLINE_WARNING, LOW_MARGIN
 from .summaries import DIMENSIONS, dimension_summaries, overall_margin
 
+DECLINE_REASON = (
+    f"CASE WHEN pct_change <= {DECLINE_WARNING}D "
+    f"THEN concat('revenue down ', {one_decimal('pct_change')}, '% vs prior period') END"
+)
+MARGIN_REASON = (
+    f"CASE WHEN margin < {LOW_MARGIN}D THEN concat('margin only ', {one_decimal('margin * 100')}, '%') END"
+)
+LOSS_REASON = f"CASE WHEN profit < 0 THEN concat('negative total profit (', {dollars('profit')}, ')') END"
 
-def _true(c: Column) -> Column:
-    return F.coalesce(c, F.lit(False))
-
-
-def decline_reason() -> Column:
-    pct = F.col("pct_change")
-    return F.when(
-        pct <= DECLINE_WARNING, F.concat(F.lit("revenue down "), one_decimal(pct), F.lit("% vs prior period"))
-    )
-
-
-def margin_reason() -> Column:
-    margin = F.col("margin")
-    return F.when(margin < LOW_MARGIN, F.concat(F.lit("margin only "), one_decimal(margin * 100), F.lit("%")))
-
-
-def loss_reason() -> Column:
-    profit = F.col("profit")
-    return F.when(profit < 0, F.concat(F.lit("negative total profit ("), dollars(profit), F.lit(")")))
-
-
-def reason() -> Column:
-    """All reasons of a group, NULL if there is none."""
-    return F.nullif(F.concat_ws("; ", decline_reason(), margin_reason(), loss_reason()), F.lit(""))
-
-
-def severity() -> Column:
-    critical = _true(F.col("pct_change") <= DECLINE_CRITICAL) | _true(F.col("profit") < 0)
-    return F.when(reason().isNotNull(), F.when(critical, "critical").otherwise("warning"))
+# All reasons of a group, NULL if there is none.
+REASON = f"nullif(concat_ws('; ', {DECLINE_REASON}, {MARGIN_REASON}, {LOSS_REASON}), '')"
+SEVERITY = (
+    f"CASE WHEN pct_change <= {DECLINE_CRITICAL}D OR profit < 0 THEN 'critical' "
+    f"WHEN pct_change <= {DECLINE_WARNING}D OR margin < {LOW_MARGIN}D THEN 'warning' END"
+)
 
 
 def flag_rows(summaries: DataFrame) -> DataFrame:
     """Flags of long-form summaries, critical first, then by dimension and revenue."""
-    order = F.array_position(F.array(*[F.lit(d) for d in DIMENSIONS]), F.col("dimension"))
-    return (
-        summaries.where(F.col("dimension") != "all")
-        .withColumns({"reason": reason(), "severity": severity()})
-        .where(F.col("reason").isNotNull())
-        .orderBy(F.col("severity"), order, F.desc("revenue"), "name")
-        .select("dimension", "name", "reason", "severity")
+    order = ", ".join(literal(d) for d in DIMENSIONS)
+    return summaries.sparkSession.sql(
+        f"""
+        SELECT dimension, name, {REASON} AS reason, {SEVERITY} AS severity
+        FROM {{summaries}}
+        WHERE dimension <> 'all' AND {SEVERITY} IS NOT NULL
+        ORDER BY severity, array_position(array({order}), dimension), revenue DESC, name
+        """,
+        summaries=summaries,
     )
 
 
@@ -62,96 +49,69 @@ def flags(rows: DataFrame, current: str | None, prior: str | None) -> DataFrame:
 def generate_flags(category: DataFrame, region: DataFrame, product: DataFrame) -> DataFrame:
     """Flags of three finished summary tables."""
     long = [
-        table.select(F.lit(d).alias("dimension"), F.col(d).alias("name"), "revenue", "profit", "margin", "pct_change")
+        table.selectExpr(f"'{d}' AS dimension", f"{d} AS name", "revenue", "profit", "margin", "pct_change")
         for d, table in zip(DIMENSIONS, (category, region, product))
     ]
     return flag_rows(reduce(DataFrame.unionByName, long))
 
 
 def flag_counts(flag_table: DataFrame) -> DataFrame:
-    return flag_table.agg(
-        F.count_if(F.col("severity") == "critical").alias("critical"),
-        F.count_if(F.col("severity") == "warning").alias("warning"),
+    return flag_table.sparkSession.sql(
+        "SELECT count_if(severity = 'critical') AS critical, count_if(severity = 'warning') AS warning FROM {t}",
+        t=flag_table,
     )
 
 
 def flag_lines(flag_table: DataFrame) -> DataFrame:
     """One sentence per flag."""
-    line = F.concat(
-        F.initcap("dimension"), F.lit(": "), F.col("name"), F.lit(" — "),
-        F.replace(F.col("reason"), F.lit("; "), F.lit(" and ")), F.lit("."),
-    )
-    return flag_table.select("dimension", "name", "severity", line.alias("line"))
+    line = "concat(initcap(dimension), ': ', name, ' — ', replace(reason, '; ', ' and '), '.')"
+    return flag_table.selectExpr("dimension", "name", "severity", f"{line} AS line")
 
 
 def summary_facts(summaries: DataFrame) -> DataFrame:
     """One row with everything the summary says, from long-form summaries."""
-    is_total = F.col("dimension") == "all"
-    is_region = F.col("dimension") == "region"
-    changed = is_region & F.col("pct_change").isNotNull()
-    best_first = F.when(F.col("dimension") == "category", F.struct(-F.col("revenue"), "name"))
-    by_change = F.when(changed, F.struct("pct_change", "name"))
-    level = F.when(~is_total, severity())
-    return summaries.agg(
-        F.coalesce(F.max(F.when(is_total, F.col("revenue"))), F.lit(0.0)).alias("revenue"),
-        F.max(F.when(is_total, F.col("profit"))).alias("profit"),
-        F.max(F.when(is_total, F.col("prior_revenue"))).alias("prior_revenue"),
-        F.min_by("name", best_first).alias("top_category"),
-        F.min_by("revenue", best_first).alias("top_category_revenue"),
-        F.count_if(is_region).alias("regions"),
-        F.min_by("name", by_change).alias("worst_region"),
-        F.min_by("pct_change", by_change).alias("worst_change"),
-        F.max_by("name", by_change).alias("best_region"),
-        F.max_by("pct_change", by_change).alias("best_change"),
-        F.count_if(level == "critical").alias("critical"),
-        F.count_if(level == "warning").alias("warning"),
+    best_first = "CASE WHEN dimension = 'category' THEN struct(-revenue, name) END"
+    by_change = "CASE WHEN dimension = 'region' AND pct_change IS NOT NULL THEN struct(pct_change, name) END"
+    return summaries.sparkSession.sql(
+        f"""
+        SELECT coalesce(max(revenue) FILTER (WHERE dimension = 'all'), 0D) AS revenue,
+               max(profit) FILTER (WHERE dimension = 'all') AS profit,
+               max(prior_revenue) FILTER (WHERE dimension = 'all') AS prior_revenue,
+               min_by(name, {best_first}) AS top_category,
+               min_by(revenue, {best_first}) AS top_category_revenue,
+               count_if(dimension = 'region') AS regions,
+               min_by(name, {by_change}) AS worst_region, min_by(pct_change, {by_change}) AS worst_change,
+               max_by(name, {by_change}) AS best_region, max_by(pct_change, {by_change}) AS best_change,
+               count_if(dimension <> 'all' AND {SEVERITY} = 'critical') AS critical,
+               count_if(dimension <> 'all' AND {SEVERITY} = 'warning') AS warning
+        FROM {{summaries}}
+        """,
+        summaries=summaries,
     )
 
 
 def summary_bullets(facts: DataFrame, current: str | None, prior: str | None) -> DataFrame:
     """The summary as ``(ord, bullet)``."""
-    revenue, profit = F.col("revenue"), F.col("profit")
-    margin = overall_margin(profit, revenue)
-    change = pct_change(revenue, F.col("prior_revenue"))
-    start = F.concat(F.lit(f"In {current or 'this period'}, total sales revenue was "), dollars(revenue))
-    headline = F.when(
-        margin.isNotNull(),
-        F.concat(
-            start, F.lit(" with "), dollars(profit), F.lit(" in profit (a "), one_decimal(margin),
-            F.lit("% overall margin)."),
-        ),
-    ).otherwise(
-        F.concat(start, F.lit(". No profit data was provided, so profit and margin aren't shown."))
-    )
-    if prior is None:
-        versus = F.lit(
-            "No prior period was found in the data yet, so period-over-period comparisons aren't available."
-        )
-    else:
-        versus = F.concat(
-            F.when(change >= 0, "Up ").when(change < 0, "Down "), one_decimal(F.abs(change)),
-            F.lit(f"% versus {prior} ("), dollars(F.col("prior_revenue")), F.lit(")."),
-        )
-    top = F.concat(
-        F.col("top_category"), F.lit(" was the top category by revenue ("),
-        dollars(F.col("top_category_revenue")), F.lit(")."),
-    )
-    regions = F.when(
-        (F.col("regions") > 1) & (F.col("worst_change") < 0),
-        F.concat(
-            F.col("worst_region"), F.lit(" was the weakest region ("), one_decimal(F.col("worst_change")),
-            F.lit("%), while "), F.col("best_region"), F.lit(" led growth ("),
-            signed_decimal(F.col("best_change")), F.lit("%)."),
-        ),
+    margin = overall_margin("profit", "revenue")
+    change = pct_change("revenue", "prior_revenue")
+    start = f"concat('In {current or 'this period'}, total sales revenue was ', {dollars('revenue')}"
+    without_profit = literal(". No profit data was provided, so profit and margin aren't shown.")
+    no_prior = literal(
+        "No prior period was found in the data yet, so period-over-period comparisons aren't available."
     )
-    raised = F.when(
-        F.col("critical") + F.col("warning") > 0,
-        F.concat(
-            F.col("critical").cast("string"), F.lit(" critical and "), F.col("warning").cast("string"),
-            F.lit(" warning flag(s) were raised below — see Flags for detail."),
-        ),
-    ).otherwise("No critical issues were flagged this period.")
-    bullets = F.array_compact(F.array(headline, versus, top, regions, raised))
-    return facts.select(F.posexplode(bullets).alias("ord", "bullet")).select(
-        (F.col("ord") + 1).alias("ord"), "bullet"
+    headline = f"""CASE WHEN profit IS NOT NULL
+        THEN {start}, ' with ', {dollars("profit")}, ' in profit (a ', {one_decimal(margin)}, '% overall margin).')
+        ELSE {start}, {without_profit}) END"""
+    versus = f"""concat(CASE WHEN {change} >= 0 THEN 'Up ' WHEN {change} < 0 THEN 'Down ' END,
+        {one_decimal(f"abs({change})")}, '% versus {prior} (', {dollars("prior_revenue")}, ').')"""
+    top = f"concat(top_category, ' was the top category by revenue (', {dollars('top_category_revenue')}, ').')"
+    regions = f"""CASE WHEN regions > 1 AND worst_change < 0 THEN concat(
+        worst_region, ' was the weakest region (', {one_decimal("worst_change")}, '%), while ',
+        best_region, ' led growth (', {signed_decimal("best_change")}, '%).') END"""
+    raised = """CASE WHEN critical + warning > 0 THEN concat(
+        critical, ' critical and ', warning, ' warning flag(s) were raised below — see Flags for detail.')
+        ELSE 'No critical issues were flagged this period.' END"""
+    bullets = ", ".join([headline, no_prior if prior is None else versus, top, regions, raised])
+    return facts.selectExpr(f"posexplode(array_compact(array({bullets}))) AS (at, bullet)").selectExpr(
+        "at + 1 AS ord", "bullet"
     )

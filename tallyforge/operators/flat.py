@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from ..functions import round_half_even, safe_ratio
 from ..schema import WEAK_REGION_SHARE
@@ -10,31 +10,36 @@ from .derive import REVENUE
 
 
 def revenue_by(rows: DataFrame, by: str) -> DataFrame:
-    return rows.where(F.col(by).isNotNull()).groupBy(by).agg(F.sum(REVENUE).alias("revenue"))
+    return rows.sparkSession.sql(
+        f"SELECT {by}, sum({REVENUE}) AS revenue FROM {{rows}} WHERE {by} IS NOT NULL GROUP BY {by}", rows=rows
+    )
 
 
 def discount_impact_by_product(rows: DataFrame) -> DataFrame:
     """Summed revenue, discount rates and profit per product, with the margin in percent."""
-    return (
-        rows.where(F.col("product").isNotNull())
-        .groupBy("product")
-        .agg(
-            F.sum(REVENUE).alias("revenue"),
-            F.coalesce(F.sum("discount"), F.lit(0.0)).alias("discount"),
-            F.coalesce(F.sum("profit"), F.lit(0.0)).alias("profit"),
-        )
-        .withColumn(
-            "profit_margin",
-            round_half_even(safe_ratio(F.col("profit"), F.col("revenue")) * 100, 2),
+    margin = round_half_even(f"{safe_ratio('profit', 'revenue')} * 100", 2)
+    return rows.sparkSession.sql(
+        f"""
+        SELECT *, {margin} AS profit_margin
+        FROM (
+            SELECT product, sum({REVENUE}) AS revenue, coalesce(sum(discount), 0D) AS discount,
+                   coalesce(sum(profit), 0D) AS profit
+            FROM {{rows}} WHERE product IS NOT NULL GROUP BY product
         )
+        """,
+        rows=rows,
     )
 
 
 def weak_regions(rows: DataFrame) -> DataFrame:
     """Regions that earn less than a fifth of the average region."""
-    by_region = revenue_by(rows, "region")
-    average = by_region.agg(F.avg("revenue")).scalar()
-    return by_region.where(F.col("revenue") < average * WEAK_REGION_SHARE)
+    return rows.sparkSession.sql(
+        f"""
+        SELECT * FROM {{by_region}}
+        WHERE revenue < (SELECT avg(revenue) FROM {{by_region}}) * {WEAK_REGION_SHARE}D
+        """,
+        by_region=revenue_by(rows, "region"),
+    )
 
 
 def analyze_sales(rows: DataFrame) -> dict[str, DataFrame]:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from ..functions import fmt_money, fmt_num, fmt_pct, pct_change, safe_ratio
+from ..functions import fmt_money, fmt_num, fmt_pct, literal, pct_change, safe_ratio
 from ..schema import KPI_NAMES
 from .derive import DISCOUNT_AMOUNT, GROSS_SALES, REVENUE
 from .periods import in_periods, is_period
@@ -12,6 +12,27 @@ from .summaries import overall_margin
 
 _SUMS = ["n", "gross", "disc", "net", "units", "profit", "target", "prior_net", "prior_profit"]
 
+_FIGURES = {
+    "gross_sales": "gross",
+    "discount_amount": "disc",
+    "net_sales": "net",
+    "total_profit": "profit",
+    "overall_margin": overall_margin("profit", "net"),
+    "num_orders": "orders",
+    "units_sold": "units",
+    "avg_order_value": safe_ratio("net", "double(orders)"),
+    "avg_selling_price": safe_ratio("net", "units"),
+    "discount_rate": f"{safe_ratio('disc', 'gross')} * 100",
+    "profit_per_order": safe_ratio("profit", "double(orders)"),
+    "distinct_customers": "customers",
+    "sales_target": "nullif(target, 0D)",
+    "target_achievement": f"{safe_ratio('net', 'target')} * 100",
+    "sales_growth": pct_change("net", "prior_net"),
+    "profit_growth": pct_change("profit", "prior_profit"),
+    "negative_profit_orders": "CASE WHEN profit IS NOT NULL THEN loss_orders END",
+    "discounted_orders": "cut_orders",
+}
+
 
 def kpis(rows: DataFrame, current: str | None, prior: str | None) -> DataFrame:
     """One row with the 18 figures; NULL where one cannot be told.
@@ -22,66 +43,47 @@ def kpis(rows: DataFrame, current: str | None, prior: str | None) -> DataFrame:
     """
     cur, pri = is_period(current), is_period(prior)
     has_orders = "order_id" in rows.columns
-    has_customers = "customer" in rows.columns
-    keys = ["order_id"] * has_orders + ["customer"] * has_customers
-    lines = in_periods(rows, current, prior).groupBy(*keys).agg(
-        F.count_if(cur).alias("n"),
-        F.sum(F.when(cur, GROSS_SALES)).alias("gross"),
-        F.sum(F.when(cur, DISCOUNT_AMOUNT)).alias("disc"),
-        F.sum(F.when(cur, REVENUE)).alias("net"),
-        F.sum(F.when(cur, F.col("quantity"))).alias("units"),
-        F.sum(F.when(cur, F.col("profit"))).alias("profit"),
-        F.sum(F.when(cur, F.col("sales_target"))).alias("target"),
-        F.sum(F.when(pri, REVENUE)).alias("prior_net"),
-        F.sum(F.when(pri, F.col("profit"))).alias("prior_profit"),
-    )
+    keys = [k for k in ("order_id", "customer") if k in rows.columns]
+    sums = ", ".join(f"sum({c}) AS {c}" for c in _SUMS)
     if len(keys) == 2:
-        rolled = lines.groupingSets([["order_id"], ["customer"]], *keys).agg(
-            (F.grouping("customer") == 1).alias("per_order"),
-            *[F.sum(c).alias(c) for c in _SUMS],
-        )
-        per_order, per_customer = F.col("per_order"), ~F.col("per_order")
+        rolled = f"""
+            SELECT order_id, customer, grouping(customer) = 1 AS per_order, {sums}
+            FROM lines GROUP BY GROUPING SETS ((order_id), (customer))
+        """
     else:
-        rolled = lines
-        per_order = F.lit(True)
-        per_customer = F.lit(has_customers)
-
-    def real(key: str, part: Column) -> Column:
-        return part & (F.col("n") > 0) & F.col(key).isNotNull()
-
-    order = real("order_id", per_order) if has_orders else None
-    customer = real("customer", per_customer) if has_customers else None
-    null_count = F.lit(None).cast("long")
-    totals = rolled.agg(
-        *[F.sum(F.when(per_order, F.col(c))).alias(c) for c in _SUMS],
-        (F.count_if(order) if has_orders else F.sum("n")).alias("num_orders"),
-        (F.count_if(customer) if has_customers else null_count).alias("distinct_customers"),
-        (F.count_if(order & (F.col("profit") < 0)) if has_orders else null_count).alias("loss_orders"),
-        (F.count_if(order & (F.col("disc") > 0)) if has_orders else null_count).alias("cut_orders"),
+        rolled = "SELECT *, true AS per_order FROM lines"
+    order = "per_order AND n > 0 AND order_id IS NOT NULL"
+    customer = f"{'NOT per_order AND' if has_orders else ''} n > 0 AND customer IS NOT NULL"
+    none = "CAST(NULL AS BIGINT)"
+    totals = [
+        *[f"sum(CASE WHEN per_order THEN {c} END) AS {c}" for c in _SUMS],
+        (f"count_if({order})" if has_orders else "sum(n)") + " AS orders",
+        (f"count_if({customer})" if "customer" in keys else none) + " AS customers",
+        (f"count_if({order} AND profit < 0)" if has_orders else none) + " AS loss_orders",
+        (f"count_if({order} AND disc > 0)" if has_orders else none) + " AS cut_orders",
+    ]
+    figures = ", ".join(f"CASE WHEN n > 0 THEN {_FIGURES[k]} END AS {k}" for k in KPI_NAMES)
+    return rows.sparkSession.sql(
+        f"""
+        WITH lines AS (
+            SELECT {"".join(k + ", " for k in keys)}
+                   count_if({cur}) AS n,
+                   sum(CASE WHEN {cur} THEN {GROSS_SALES} END) AS gross,
+                   sum(CASE WHEN {cur} THEN {DISCOUNT_AMOUNT} END) AS disc,
+                   sum(CASE WHEN {cur} THEN {REVENUE} END) AS net,
+                   sum(CASE WHEN {cur} THEN quantity END) AS units,
+                   sum(CASE WHEN {cur} THEN profit END) AS profit,
+                   sum(CASE WHEN {cur} THEN sales_target END) AS target,
+                   sum(CASE WHEN {pri} THEN {REVENUE} END) AS prior_net,
+                   sum(CASE WHEN {pri} THEN profit END) AS prior_profit
+            FROM {{rows}}
+            {"GROUP BY " + ", ".join(keys) if keys else ""}
+        ),
+        rolled AS ({rolled})
+        SELECT {figures} FROM (SELECT {", ".join(totals)} FROM rolled)
+        """,
+        rows=in_periods(rows, current, prior),
     )
-    orders = F.col("num_orders").cast("double")
-    target = F.nullif(F.col("target"), F.lit(0.0))
-    figures = {
-        "gross_sales": F.col("gross"),
-        "discount_amount": F.col("disc"),
-        "net_sales": F.col("net"),
-        "total_profit": F.col("profit"),
-        "overall_margin": overall_margin(F.col("profit"), F.col("net")),
-        "num_orders": F.col("num_orders"),
-        "units_sold": F.col("units"),
-        "avg_order_value": safe_ratio(F.col("net"), orders),
-        "avg_selling_price": safe_ratio(F.col("net"), F.col("units")),
-        "discount_rate": safe_ratio(F.col("disc"), F.col("gross")) * 100,
-        "profit_per_order": safe_ratio(F.col("profit"), orders),
-        "distinct_customers": F.col("distinct_customers"),
-        "sales_target": target,
-        "target_achievement": F.col("net") / target * 100,
-        "sales_growth": pct_change(F.col("net"), F.col("prior_net")),
-        "profit_growth": pct_change(F.col("profit"), F.col("prior_profit")),
-        "negative_profit_orders": F.when(F.col("profit").isNotNull(), F.col("loss_orders")),
-        "discounted_orders": F.col("cut_orders"),
-    }
-    return totals.select(*[F.when(F.col("n") > 0, figures[k]).alias(k) for k in KPI_NAMES])
 
 
 # Label, formatter and definition of each shown figure.
@@ -122,13 +124,10 @@ def kpi_rows(figures: DataFrame) -> DataFrame:
     """The figures as rows ``(ord, metric, value, definition)``."""
     entries = []
     for ord_, (name, label, kind, definition) in enumerate(_SHOWN, start=1):
-        text = _FORMATS[kind](F.col(name))
+        text = _FORMATS[kind](name)
         if name in ("sales_target", "target_achievement"):
-            text = F.when(F.col(name).isNull(), _NO_SOURCE).otherwise(text)
-        entries.append(
-            F.struct(
-                F.lit(ord_).alias("ord"), F.lit(label).alias("metric"),
-                text.alias("value"), F.lit(definition).alias("definition"),
-            )
-        )
-    return figures.select(F.inline(F.array(*entries)))
+            text = f"CASE WHEN {name} IS NULL THEN {literal(_NO_SOURCE)} ELSE {text} END"
+        entries.append(f"{ord_}, {literal(label)}, {text}, {literal(definition)}")
+    return figures.selectExpr(
+        f"stack({len(entries)}, {', '.join(entries)}) AS (ord, metric, value, definition)"
+    )

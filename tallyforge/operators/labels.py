@@ -1,47 +1,40 @@
-"""Quality labels of a row, an array in rule order."""
+"""Quality labels of a row, an array in rule order.  All functions give SQL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
+from ..functions import literal
 from ..schema import LABEL_TEXT
 
+NO_LABELS = "CAST(array() AS ARRAY<STRING>)"
+
 
-def append_label(labels: Column, condition: Column, label: str) -> Column:
+def append_label(labels: str, condition: str, label: str) -> str:
     """Add a label where the condition holds, once."""
-    return F.when(condition, F.array_union(labels, F.array(F.lit(label)))).otherwise(labels)
+    return f"CASE WHEN {condition} THEN array_union({labels}, array({literal(label)})) ELSE {labels} END"
 
 
-def dq_flag(labels: Column) -> Column:
+def dq_flag(labels: str) -> str:
     """``a;b`` for the edge of the system; NULL for a clean row."""
-    return F.nullif(F.array_join(labels, ";"), F.lit(""))
+    return f"nullif(array_join({labels}, ';'), '')"
 
 
-def note_counts(condition: Column) -> list[Column]:
+def note_counts(condition: str = "true") -> list[str]:
     """Aggregates behind a group's note: tagged rows, and rows per label."""
-    tagged = F.count_if(condition & (F.size("dq") > 0)).alias("n_tagged")
     per_label = [
-        F.count_if(condition & F.array_contains("dq", label)).alias(f"n_{label}")
+        f"count_if({condition} AND array_contains(dq, {literal(label)})) AS `n_{label}`"
         for label in sorted(LABEL_TEXT)
     ]
-    return [tagged, *per_label]
+    return [f"count_if({condition} AND size(dq) > 0) AS n_tagged", *per_label]
 
 
-def note() -> Column:
+def note() -> str:
     """``3 rows affected: missing region (2), duplicate row (1)``; NULL if none."""
-    parts = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    F.col(f"n_{label}") > 0,
-                    F.concat(F.lit(f"{LABEL_TEXT[label]} ("), F.col(f"n_{label}").cast("string"), F.lit(")")),
-                )
-                for label in sorted(LABEL_TEXT)
-            ]
-        )
-    )
-    word = F.when(F.col("n_tagged") == 1, " row").otherwise(" rows")
-    text = F.concat(
-        F.col("n_tagged").cast("string"), word, F.lit(" affected: "), F.array_join(parts, ", ")
+    parts = [
+        f"CASE WHEN `n_{label}` > 0 THEN concat({literal(LABEL_TEXT[label])}, ' (', `n_{label}`, ')') END"
+        for label in sorted(LABEL_TEXT)
+    ]
+    word = "CASE WHEN n_tagged = 1 THEN ' row' ELSE ' rows' END"
+    return (
+        f"CASE WHEN n_tagged > 0 THEN concat(n_tagged, {word}, ' affected: ', "
+        f"concat_ws(', ', {', '.join(parts)})) END"
     )
-    return F.when(F.col("n_tagged") > 0, text)

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from ..functions import (
     clean_currency,
     clean_percent,
     fill_zero,
+    literal,
     normalise_discount,
     price_from_sales,
     title_case,
@@ -26,6 +27,7 @@ from ..schema import (
     LINE_TOTAL_HEADERS,
     OPTIONAL_DEFAULTS,
     REQUIRED_COLUMNS,
+    TEXT_COLUMNS,
     UNDERSCORE_HEADERS,
 )
 from .derive import ensure_order_id
@@ -98,30 +100,34 @@ def to_line_items(raw: DataFrame, mapping: HeaderMap, cell) -> DataFrame:
     ``cell(i)`` names the raw column at position i.  ``raw`` also carries
     file_name, file_path, block_start and row_id.
     """
-    source = {target: F.col(cell(i)) for target, i in mapping.columns.items()}
-    build = {CLEAN: _clean, UNDERSCORE: _underscore, LINE_TOTAL: _line_total}[mapping.layout]
-    typed = build(source)
-    absent = [c for c in OPTIONAL_DEFAULTS if c not in source and c not in typed]
-    typed |= {c: F.lit(OPTIONAL_DEFAULTS[c]).cast(_type_of(c)) for c in absent}
-    own_id = source.get("order_id", F.lit(None).cast("string"))
-    return raw.select(
-        source["date"].alias("date_text"),
-        *[typed[c].cast(_type_of(c)).alias(c) for c in BUSINESS_COLUMNS if c != "date"],
-        ensure_order_id(own_id, F.col("file_name"), F.col("row_id")).alias("order_id"),
-        own_id.alias("given_order_id"),
-        F.lit(mapping.layout).alias("layout"),
-        F.col("file_name").alias("source_file"),
-        F.array(*[F.lit(c) for c in absent]).cast("array<string>").alias("missing_optional"),
+    source = {target: cell(i) for target, i in mapping.columns.items()}
+    typed = {CLEAN: _clean, UNDERSCORE: _underscore, LINE_TOTAL: _line_total}[mapping.layout](source)
+    absent = [c for c in OPTIONAL_DEFAULTS if c not in typed]
+    typed |= {c: _default(c) for c in absent}
+    own_id = source.get("order_id", "CAST(NULL AS STRING)")
+    return raw.selectExpr(
+        f"{source['date']} AS date_text",
+        *[f"CAST({typed[c]} AS {_type_of(c)}) AS {c}" for c in BUSINESS_COLUMNS if c != "date"],
+        f"{ensure_order_id(own_id, 'file_name', 'row_id')} AS order_id",
+        f"{own_id} AS given_order_id",
+        f"'{mapping.layout}' AS layout",
+        "file_name AS source_file",
+        f"CAST(array({', '.join(map(literal, absent))}) AS ARRAY<STRING>) AS missing_optional",
         "block_start",
         "row_id",
     )
 
 
 def _type_of(column: str) -> str:
-    return "string" if column in ("customer", "product", "category", "region") else "double"
+    return "STRING" if column in TEXT_COLUMNS else "DOUBLE"
 
 
-def _clean(source: dict[str, Column]) -> dict[str, Column]:
+def _default(column: str) -> str:
+    value = OPTIONAL_DEFAULTS[column]
+    return "NULL" if value is None else literal(value) if isinstance(value, str) else repr(value)
+
+
+def _clean(source: dict[str, str]) -> dict[str, str]:
     rules = {
         "customer": trim_text, "product": trim_text, "category": trim_text, "region": trim_text,
         "quantity": lambda c: fill_zero(to_number(c)),
@@ -133,7 +139,7 @@ def _clean(source: dict[str, Column]) -> dict[str, Column]:
     return {name: rule(source[name]) for name, rule in rules.items() if name in source}
 
 
-def _raw_common(source: dict[str, Column]) -> dict[str, Column]:
+def _raw_common(source: dict[str, str]) -> dict[str, str]:
     return {
         "customer": trim_text(source["customer"]),
         "product": trim_text(source["product"]),
@@ -144,14 +150,14 @@ def _raw_common(source: dict[str, Column]) -> dict[str, Column]:
     }
 
 
-def _underscore(source: dict[str, Column]) -> dict[str, Column]:
+def _underscore(source: dict[str, str]) -> dict[str, str]:
     return _raw_common(source) | {
         "price": fill_zero(clean_currency(source["price"])),
         "discount": fill_zero(clean_percent(source["discount"])),
     }
 
 
-def _line_total(source: dict[str, Column]) -> dict[str, Column]:
+def _line_total(source: dict[str, str]) -> dict[str, str]:
     discount = to_number(source["discount"])
     price = price_from_sales(clean_currency(source["sales"]), to_number(source["quantity"]), discount)
     return _raw_common(source) | {"price": price, "discount": fill_zero(discount)}

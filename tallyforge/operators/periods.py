@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from ..functions import month_start
 
@@ -13,18 +11,20 @@ def distinct_periods(rows: DataFrame) -> DataFrame:
     """The months present, newest first.
 
     Groups on the month's first day (plain arithmetic per row) and formats the
-    few results; a table partitioned by ``period`` uses that column instead.
+    few results; a table partitioned by ``period`` groups on that column.
     """
-    if "period" in rows.columns and "date" not in rows.columns:
-        months = rows.select("period").where(F.col("period").isNotNull()).distinct()
-    else:
-        months = (
-            rows.where(F.col("date").isNotNull())
-            .select(month_start(F.col("date")).alias("m"))
-            .distinct()
-            .select(F.date_format("m", "yyyy-MM").alias("period"))
-        )
-    return months.orderBy(F.desc("period"))
+    stored = "period" in rows.columns
+    month = "period" if stored else month_start("date")
+    label = "month" if stored else "date_format(month, 'yyyy-MM')"
+    return rows.sparkSession.sql(
+        f"""
+        SELECT {label} AS period
+        FROM (SELECT DISTINCT {month} AS month FROM {{rows}})
+        WHERE month IS NOT NULL
+        ORDER BY period DESC
+        """,
+        rows=rows,
+    )
 
 
 def latest_two(rows: DataFrame) -> tuple[str | None, str | None]:
@@ -37,26 +37,24 @@ def latest_two(rows: DataFrame) -> tuple[str | None, str | None]:
     return tuple(found + [None] * (2 - len(found)))
 
 
-def _bounds(period: str) -> tuple[datetime, datetime]:
-    year, month = map(int, period.split("-"))
-    return datetime(year, month, 1), datetime(year + month // 12, month % 12 + 1, 1)
-
-
-def is_period(period: str | None, date: str = "date"):
+def is_period(period: str | None, date: str = "date") -> str:
     """True for the rows of a month, written as a range the scan can use."""
     if period is None:
-        return F.lit(False)
-    first, following = (F.lit(d).cast("timestamp_ntz") for d in _bounds(period))
-    return (F.col(date) >= first) & (F.col(date) < following)
+        return "false"
+    year, month = map(int, period.split("-"))
+    following = f"{year + month // 12:04}-{month % 12 + 1:02}-01"
+    return f"({date} >= TIMESTAMP_NTZ'{period}-01' AND {date} < TIMESTAMP_NTZ'{following}')"
 
 
-def in_period(rows: DataFrame, period: str | None) -> DataFrame:
-    kept = rows.where(is_period(period))
-    # Also name the month, for the directories of a table partitioned by it.
-    return kept.where(F.col("period") == period) if period and "period" in rows.columns else kept
+def in_periods(rows: DataFrame, *periods: str | None) -> DataFrame:
+    """The rows of some months."""
+    wanted = [p for p in periods if p]
+    kept = rows.where(" OR ".join(map(is_period, wanted)) or "false")
+    if not wanted or "period" not in rows.columns:
+        return kept
+    # Also name the months, for the directories of a table partitioned by them.
+    return kept.where(f"period IN ({', '.join(repr(p) for p in wanted)})")
 
 
-def in_periods(rows: DataFrame, current: str | None, prior: str | None) -> DataFrame:
-    kept = rows.where(is_period(current) | is_period(prior))
-    wanted = [p for p in (current, prior) if p]
-    return kept.where(F.col("period").isin(wanted)) if wanted and "period" in rows.columns else kept
+def in_period(rows: DataFrame, period: str | None) -> DataFrame:
+    return in_periods(rows, period)

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from ..functions import literal, strip
 from ..schema import (
     BAD_DATE,
     BAD_QTY_PRICE,
@@ -22,17 +23,12 @@ from ..schema import (
     NO_CUSTOMER,
     NO_REGION,
 )
-from ..functions import strip
-from .duplicates import copy_groups, tag_duplicates
+from .duplicates import copy_groups, repeated_rows, tag_duplicates
+from .labels import NO_LABELS
 
 # A per-file table is broadcast up to this many files (a few MB of names).
 MAX_BROADCAST_FILES = 20_000
 
-FILE_ISSUES = [
-    "bad_date", "invalid_qty_price", "invalid_region", "invalid_category",
-    "invalid_customer", "discount", "negative_profit", "duplicate",
-]
-
 
 class Checked(NamedTuple):
     """Kept rows, and what was found on the way."""
@@ -42,76 +38,65 @@ class Checked(NamedTuple):
     halts: DataFrame
 
 
-# --------------------------------------------------------------- conditions
-
-def _true(c: Column) -> Column:
-    return F.coalesce(c, F.lit(False))
-
-
-def bad_date() -> Column:
-    return F.col("date").isNull()
-
-
-def bad_qty_price() -> Column:
-    return _true(F.col("quantity") <= 0) | _true(F.col("price") < 0)
-
-
-def blank(column: str) -> Column:
-    """Blank text (the caller leaves out columns the file never had)."""
-    return strip(F.coalesce(F.col(column), F.lit(""))) == ""
-
+# ---------------------------------------------------- conditions, as SQL text
 
-def bad_discount() -> Column:
-    return _true((F.col("discount") < 0) | (F.col("discount") > 1))
+BAD_DATE_ROW = "date IS NULL"
+BAD_QTY_PRICE_ROW = "(coalesce(quantity <= 0, false) OR coalesce(price < 0, false))"
+KEPT_ROW = "(date IS NOT NULL AND (quantity > 0 OR quantity IS NULL) AND (price >= 0 OR price IS NULL))"
+CLAMPED_DISCOUNT = "CASE WHEN discount < 0 THEN 0D WHEN discount > 1 THEN 1D ELSE discount END"
 
 
-def loss_row() -> Column:
-    return _true(F.col("profit") < 0)
+def blank(column: str) -> str:
+    return strip(f"coalesce({column}, '')") + " = ''"
 
 
-def clamped(discount: Column) -> Column:
-    return F.when(discount < 0, 0.0).when(discount > 1, 1.0).otherwise(discount)
+# check -> (column it looks at, condition, label), in rule order
+_ROW_RULES = {
+    "invalid_region": ("region", blank("region"), NO_REGION),
+    "invalid_category": ("category", blank("category"), NO_CATEGORY),
+    "invalid_customer": ("customer", blank("customer"), NO_CUSTOMER),
+    "discount": ("discount", "coalesce(discount < 0 OR discount > 1, false)", DISCOUNT_CLAMPED),
+    "negative_profit": ("profit", "coalesce(profit < 0, false)", LOSS_ROW),
+}
 
 
-def _row_rules(columns: list[str]) -> list[tuple[str, Column, str]]:
-    """(check, condition, label) in rule order, for the columns the rows have.
+def row_rules(columns: list[str]) -> list[tuple[str, str, str]]:
+    """(check, condition, label) for the columns the rows have.
 
     A column that the row's file did not carry (``missing_optional``) holds a
     default: its rule is off.
     """
-    rules = [
-        ("invalid_region", "region", blank("region"), NO_REGION),
-        ("invalid_category", "category", blank("category"), NO_CATEGORY),
-        ("invalid_customer", "customer", blank("customer"), NO_CUSTOMER),
-        ("discount", "discount", bad_discount(), DISCOUNT_CLAMPED),
-        ("negative_profit", "profit", loss_row(), LOSS_ROW),
-    ]
 
-    def active(column: str, condition: Column) -> Column:
+    def active(column: str, condition: str) -> str:
         if "missing_optional" not in columns or column == "discount":
-            return condition
-        return condition & ~F.array_contains("missing_optional", column)
+            return f"({condition})"
+        return f"({condition} AND NOT array_contains(missing_optional, '{column}'))"
 
-    return [(check, active(c, cond), label) for check, c, cond, label in rules if c in columns]
+    return [
+        (check, active(column, condition), label)
+        for check, (column, condition, label) in _ROW_RULES.items()
+        if column in columns
+    ]
 
 
-# ------------------------------------------------------------------- labels
+def row_labels(columns: list[str]) -> str:
+    """The labels of one kept row, in rule order, as an array.
 
-def row_labels(columns: list[str]) -> Column:
-    """The labels of one kept row, in rule order, as an array."""
-    none = F.array().cast("array<string>")
-    # Concatenated arrays stay in generated code; dropping NULLs from one array would not.
-    return F.concat(
-        none, *[F.when(cond, F.array(F.lit(label))).otherwise(none) for _, cond, label in _row_rules(columns)]
-    )
+    Concatenated arrays stay in generated code; dropping NULLs from one array
+    would not.
+    """
+    parts = [
+        f"CASE WHEN {condition} THEN array({literal(label)}) ELSE {NO_LABELS} END"
+        for _, condition, label in row_rules(columns)
+    ]
+    return f"concat({', '.join([NO_LABELS, *parts])})"
 
 
-def all_labels(columns: list[str]) -> Column:
+def all_labels(columns: list[str]) -> str:
     """Labels of a row not filtered yet: a dropped row has the one that dropped it."""
     return (
-        F.when(bad_date(), F.array(F.lit(BAD_DATE)))
-        .when(bad_qty_price(), F.array(F.lit(BAD_QTY_PRICE)))
-        .otherwise(row_labels(columns))
+        f"CASE WHEN {BAD_DATE_ROW} THEN array({literal(BAD_DATE)}) "
+        f"WHEN {BAD_QTY_PRICE_ROW} THEN array({literal(BAD_QTY_PRICE)}) ELSE {row_labels(columns)} END"
     )
 
 
@@ -119,33 +104,33 @@ def all_labels(columns: list[str]) -> Column:
 
 def file_counts(rows: DataFrame) -> DataFrame:
     """One row per file: every count the rules need, from a single pass."""
-    dated = ~bad_date()
-    kept = dated & ~bad_qty_price()
-    found = {"bad_date": bad_date(), "invalid_qty_price": dated & bad_qty_price()}
-    found |= {check: kept & cond for check, cond, _ in _row_rules(rows.columns)}
-    return rows.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *[F.count_if(cond).alias(name) for name, cond in found.items()],
+    counts = [
+        f"count_if({BAD_DATE_ROW}) AS bad_date",
+        f"count_if(date IS NOT NULL AND {BAD_QTY_PRICE_ROW}) AS invalid_qty_price",
+        *[f"count_if({KEPT_ROW} AND {cond}) AS {check}" for check, cond, _ in row_rules(rows.columns)],
+    ]
+    return rows.sparkSession.sql(
+        f"SELECT source_file, count(*) AS n_rows, {', '.join(counts)} FROM {{rows}} GROUP BY source_file",
+        rows=rows,
     )
 
 
-def _too_many_bad_dates() -> Column:
-    return F.col("bad_date") / F.col("n_rows") > DATE_HALT_FRACTION
+_TOO_MANY_BAD_DATES = f"bad_date / n_rows > {DATE_HALT_FRACTION}D"
 
 
 def date_halts(counts: DataFrame) -> DataFrame:
     """Files with too many unreadable dates, with the message for each."""
-    share = F.rint(F.col("bad_date") / F.col("n_rows") * 100).cast("int").cast("string")
-    message = F.concat(
-        F.lit("'"), F.col("source_file"), F.lit("' can't be used — "), share,
-        F.lit(
-            "% of its rows don't have a valid date, so this file was skipped entirely. Fix: open the "
-            "file and check the 'date' column — make sure it's named exactly 'date' and every row has "
-            "a real date (e.g. 2026-07-15), then run the report again."
-        ),
+    cure = literal(
+        "% of its rows don't have a valid date, so this file was skipped entirely. Fix: open the file and "
+        "check the 'date' column — make sure it's named exactly 'date' and every row has a real date "
+        "(e.g. 2026-07-15), then run the report again."
     )
-    return counts.where(_too_many_bad_dates()).select(
-        "source_file", F.lit("bad_dates").alias("reason"), message.alias("message")
+    start = literal("' can't be used — ")
+    share = "int(rint(bad_date / n_rows * 100))"
+    return counts.where(_TOO_MANY_BAD_DATES).selectExpr(
+        "source_file",
+        "'bad_dates' AS reason",
+        f"concat('\\'', source_file, {start}, {share}, {cure}) AS message",
     )
 
 
@@ -163,83 +148,75 @@ def without_halted(rows: DataFrame, halts: DataFrame, file_count: int | None = N
 
 def usable(rows: DataFrame) -> DataFrame:
     """Drop undated rows and rows with impossible quantity or price."""
-    kept = rows.where(F.col("date").isNotNull()) if "date" in rows.columns else rows
-    for column, good in (("quantity", F.col("quantity") > 0), ("price", F.col("price") >= 0)):
-        if column in rows.columns:
-            kept = kept.where(F.col(column).isNull() | good)
-    return kept
+    rules = {
+        "date": "date IS NOT NULL",
+        "quantity": "(quantity > 0 OR quantity IS NULL)",
+        "price": "(price >= 0 OR price IS NULL)",
+    }
+    return rows.where(" AND ".join(rule for c, rule in rules.items() if c in rows.columns) or "true")
 
 
 def flagged(rows: DataFrame) -> DataFrame:
     """Label the kept rows in ``dq`` and clamp their discount."""
-    labelled = rows.withColumn("dq", row_labels(rows.columns))
-    if "discount" not in rows.columns:
-        return labelled
-    return labelled.withColumn("discount", clamped(F.col("discount")))
+    columns = [
+        f"{CLAMPED_DISCOUNT} AS discount" if c == "discount" else f"`{c}`" for c in rows.columns
+    ]
+    return rows.selectExpr(*columns, f"{row_labels(rows.columns)} AS dq")
 
 
 # ------------------------------------------------------------------- issues
 
 def issue_rows(counts: DataFrame, checks: list[str]) -> DataFrame:
     """One row per file and check that found something."""
-    names = F.create_map(*[F.lit(x) for c in checks for x in (c, ISSUE_MESSAGES[c][0])])
-    texts = F.create_map(*[F.lit(x) for c in checks for x in (c, ISSUE_MESSAGES[c][1])])
-    long = counts.select(
-        "source_file",
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("check"), F.col(c).alias("count")) for c in checks])
-        ).alias("i"),
-    ).select("source_file", "i.*")
-    message = F.call_function(
-        "format_string", F.try_element_at(texts, F.col("check")), F.col("count"), F.col("source_file")
-    )
-    return long.where(F.col("count") > 0).select(
-        "source_file",
-        "check",
-        F.try_element_at(names, F.col("check")).alias("level"),
-        F.col("count").cast("long"),
-        message.alias("message"),
+    entries = ", ".join(
+        f"{literal(c)}, {literal(ISSUE_MESSAGES[c][0])}, {c}, "
+        f"format_string({literal(ISSUE_MESSAGES[c][1])}, {c}, source_file)"
+        for c in checks
     )
+    return counts.selectExpr(
+        "source_file", f"stack({len(checks)}, {entries}) AS (check, level, count, message)"
+    ).where("count > 0")
 
 
-def duplicate_issues(kept: DataFrame) -> DataFrame:
-    """Copies beyond the first: per file, and over all files (source_file NULL)."""
-    in_file = copy_groups(kept, ["source_file", *BUSINESS_COLUMNS])
-    per_file = (
-        in_file.where(F.col("copies") > 1)
-        .groupBy("source_file")
-        .agg(F.sum(F.col("copies") - 1).alias("duplicate"))
-    )
-    overall = (
-        in_file.groupBy(*BUSINESS_COLUMNS)
-        .agg(F.sum("copies").alias("copies"))
-        .where(F.col("copies") > 1)
-        .agg(F.sum(F.col("copies") - 1).alias("cross_file_duplicate"))
-        .select(F.lit(None).cast("string").alias("source_file"), "cross_file_duplicate")
-    )
+def duplicate_issues(file_copies: DataFrame) -> DataFrame:
+    """Copies beyond the first: per file, and over all files (source_file NULL).
+
+    ``file_copies`` counts the repeated rows per file and key.
+    """
+    per_file = file_copies.groupBy("source_file").agg(F.sum(F.expr("copies - 1")).alias("duplicate"))
+    overall = copies_over_files(file_copies).agg(F.sum(F.expr("copies - 1")).alias("cross_file_duplicate"))
     return issue_rows(per_file, ["duplicate"]).unionByName(
-        issue_rows(overall, ["cross_file_duplicate"])
+        issue_rows(overall.selectExpr("CAST(NULL AS STRING) AS source_file", "*"), ["cross_file_duplicate"])
     )
 
 
-def strict_cross_file_copies(kept: DataFrame) -> DataFrame:
+def file_copies(kept: DataFrame) -> DataFrame:
+    """Repeated rows with their number of copies in each file."""
+    return repeated_rows(kept, split=["source_file"])
+
+
+def copies_over_files(per_file: DataFrame) -> DataFrame:
+    totals = per_file.groupBy(*BUSINESS_COLUMNS).agg(F.sum("copies").alias("copies"))
+    return totals.where("copies > 1")
+
+
+def strict_cross_file_copies(per_file: DataFrame) -> DataFrame:
     """Rows whose copy sits in another file, counted without in-file copies."""
     return (
-        copy_groups(kept, ["source_file", *BUSINESS_COLUMNS])
-        .groupBy(*BUSINESS_COLUMNS)
-        .agg(F.count(F.lit(1)).alias("files"))
-        .where(F.col("files") > 1)
-        .agg(F.coalesce(F.sum(F.col("files") - 1), F.lit(0)).alias("strict_cross_file"))
+        copy_groups(per_file, BUSINESS_COLUMNS)
+        .where("copies > 1")
+        .agg(F.expr("coalesce(sum(copies - 1), 0L)").alias("strict_cross_file"))
     )
 
 
 def order_id_reuse(rows: DataFrame) -> DataFrame:
     """Ids used more than once within a file, before any row is dropped."""
-    return (
-        rows.where(F.col("order_id").isNotNull())
-        .groupBy("source_file", "order_id")
-        .agg(F.count(F.lit(1)).alias("uses"))
-        .where(F.col("uses") > 1)
+    return rows.sparkSession.sql(
+        """
+        SELECT source_file, order_id, count(*) AS uses FROM {rows} WHERE order_id IS NOT NULL
+        GROUP BY source_file, order_id HAVING count(*) > 1
+        """,
+        rows=rows,
     )
 
 
@@ -250,61 +227,52 @@ def order_id_issues(rows: DataFrame, max_listed: int = 100) -> DataFrame:
     first ``max_listed`` ids only.  The rank limit runs inside each task before
     the shuffle, so a file with many reused ids does not fill one task.
     """
-    reused = order_id_reuse(rows)
-    counts = reused.groupBy("source_file").agg(F.count(F.lit(1)).alias("count"))
-    in_order = Window.partitionBy("source_file").orderBy("order_id")
-    listed = (
-        reused.withColumn("rank", F.row_number().over(in_order))
-        .where(F.col("rank") <= max_listed)
-        .groupBy("source_file")
-        .agg(F.array_join(F.sort_array(F.collect_list("order_id")), ", ").alias("ids"))
-    )
-    more = F.when(
-        F.col("count") > max_listed,
-        F.concat(F.lit(" and "), (F.col("count") - max_listed).cast("string"), F.lit(" more")),
-    ).otherwise("")
-    message = F.concat(
-        F.lit("Order_ID reused across different orders: "), F.col("ids"), more,
-        F.lit(
-            " -- likely a typo (e.g. a repeated ID that should be the next number in sequence). Rows "
-            "were kept since their order details differ, but the ID(s) need fixing at the source."
-        ),
+    start = literal("Order_ID reused across different orders: ")
+    cure = literal(
+        " -- likely a typo (e.g. a repeated ID that should be the next number in sequence). Rows were kept "
+        "since their order details differ, but the ID(s) need fixing at the source."
     )
-    return counts.join(listed, "source_file").select(
-        "source_file",
-        F.lit("order_id_reuse").alias("check"),
-        F.lit("warn").alias("level"),
-        "count",
-        message.alias("message"),
+    return rows.sparkSession.sql(
+        f"""
+        WITH counts AS (SELECT source_file, count(*) AS count FROM {{reused}} GROUP BY source_file),
+        listed AS (
+            SELECT source_file, array_join(sort_array(collect_list(order_id)), ', ') AS ids
+            FROM (
+                SELECT source_file, order_id,
+                       row_number() OVER (PARTITION BY source_file ORDER BY order_id) AS place
+                FROM {{reused}}
+            )
+            WHERE place <= {max_listed}
+            GROUP BY source_file
+        )
+        SELECT source_file, 'order_id_reuse' AS check, 'warn' AS level, count,
+               concat({start}, ids,
+                      CASE WHEN count > {max_listed} THEN concat(' and ', count - {max_listed}, ' more') ELSE '' END,
+                      {cure}) AS message
+        FROM counts JOIN listed USING (source_file)
+        """,
+        reused=order_id_reuse(rows),
     )
 
 
 def banner(issues: DataFrame, halts: DataFrame) -> DataFrame:
     """Totals of the quality banner, one row."""
-    skipped = F.coalesce(F.sum(F.when(F.col("level") == "skip", F.col("count"))), F.lit(0))
-    both = issues.select("level", "count").unionByName(
-        halts.select(F.lit("halt").alias("level"), F.lit(1).cast("long").alias("count"))
-    )
-    return both.agg(
-        F.count_if(F.col("level") == "halt").alias("halts"),
-        F.count_if(F.col("level") == "warn").alias("warnings"),
-        skipped.alias("skipped_rows"),
+    return issues.sparkSession.sql(
+        """
+        SELECT count_if(level = 'halt') AS halts, count_if(level = 'warn') AS warnings,
+               coalesce(sum(CASE WHEN level = 'skip' THEN count END), 0L) AS skipped_rows
+        FROM (SELECT level, count FROM {issues} UNION ALL SELECT 'halt', 1L FROM {halts})
+        """,
+        issues=issues,
+        halts=halts,
     )
 
 
 def missing_profile(rows: DataFrame) -> DataFrame:
     """Missing values per column, in one pass."""
-    counts = rows.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in rows.columns])
-    return counts.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("missing"))
-                    for c in rows.columns
-                ]
-            )
-        ).alias("p")
-    ).select("p.*")
+    counts = rows.selectExpr(*[f"count_if(`{c}` IS NULL) AS `{c}`" for c in rows.columns])
+    pairs = ", ".join(f"{literal(c)}, `{c}`" for c in rows.columns)
+    return counts.selectExpr(f"stack({len(rows.columns)}, {pairs}) AS (column, missing)")
 
 
 # -------------------------------------------------------------------- whole
@@ -312,16 +280,18 @@ def missing_profile(rows: DataFrame) -> DataFrame:
 def validate(rows: DataFrame, file_count: int | None = None, duplicates: bool = True) -> Checked:
     """All rules over typed line items of any number of files.
 
-    ``file_count`` is the number of files if the caller knows it.  Without
-    ``duplicates`` the copies are neither tagged nor counted, which saves the
-    shuffle over all business columns.
+    ``file_count`` is the number of files if the caller knows it.  With
+    ``duplicates`` the repeated rows are looked for at once (see
+    ``duplicates.repeated_rows``); the rest runs when a result is used.
     """
     counts = file_counts(rows)
     halts = date_halts(counts)
-    accepted = counts.where(~_too_many_bad_dates())
-    issues = issue_rows(accepted, [c for c in FILE_ISSUES if c != "duplicate"])
+    accepted = counts.where(f"NOT ({_TOO_MANY_BAD_DATES})")
+    checks = ["bad_date", "invalid_qty_price", *[check for check, _, _ in row_rules(rows.columns)]]
+    issues = issue_rows(accepted, checks)
     kept = flagged(usable(without_halted(rows, halts, file_count)))
     if duplicates:
-        issues = issues.unionByName(duplicate_issues(kept))
-        kept = tag_duplicates(kept)
+        per_file = file_copies(kept)
+        issues = issues.unionByName(duplicate_issues(per_file))
+        kept = tag_duplicates(kept, repeated=copies_over_files(per_file))
     return Checked(kept, issues, halts)

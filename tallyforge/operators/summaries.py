@@ -8,9 +8,17 @@ of the rows costs no more than any other.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-from ..functions import band_label, band_order, margin_risk, month_start, pct_change, safe_ratio
+from pyspark.sql import DataFrame, functions as F
+
+from ..functions import (
+    band_label,
+    band_order,
+    bar_length,
+    margin_risk,
+    month_start,
+    pct_change,
+    safe_ratio,
+)
 from .derive import DISCOUNT_AMOUNT, GROSS_SALES, REVENUE
 from .labels import note, note_counts
 from .periods import in_period, in_periods, is_period
@@ -18,44 +26,48 @@ from .periods import in_period, in_periods, is_period
 DIMENSIONS = ("category", "region", "product")
 
 
-def _notes(rows: DataFrame, condition: Column) -> tuple[list[Column], Column]:
-    """Note aggregates and note column; no labels in the input, no note."""
+def _notes(rows: DataFrame, condition: str) -> tuple[list[str], str]:
+    """Note aggregates and note text; no labels in the input, no note."""
     if "dq" not in rows.columns:
-        return [], F.lit(None).cast("string")
+        return [], "CAST(NULL AS STRING)"
     return note_counts(condition), note()
 
 
-def _compared(current: str | None, prior: str | None) -> list[Column]:
+def _compared(current: str | None, prior: str | None) -> list[str]:
     cur, pri = is_period(current), is_period(prior)
     return [
-        F.count_if(cur).alias("n_current"),
-        F.sum(F.when(cur, REVENUE)).alias("revenue"),
-        F.sum(F.when(cur, F.col("profit"))).alias("profit"),
-        F.sum(F.when(cur, F.col("quantity"))).alias("quantity"),
-        F.avg(F.when(cur, F.col("discount"))).alias("avg_discount"),
-        F.sum(F.when(pri, REVENUE)).alias("prior_revenue"),
+        f"count_if({cur}) AS n_current",
+        f"sum(CASE WHEN {cur} THEN {REVENUE} END) AS revenue",
+        f"sum(CASE WHEN {cur} THEN profit END) AS profit",
+        f"sum(CASE WHEN {cur} THEN quantity END) AS quantity",
+        f"avg(CASE WHEN {cur} THEN discount END) AS avg_discount",
+        f"sum(CASE WHEN {pri} THEN {REVENUE} END) AS prior_revenue",
     ]
 
 
-def _summary_columns() -> list[Column]:
-    return [
-        F.col("revenue"), F.col("profit"), F.col("quantity"), F.col("avg_discount"), F.col("prior_revenue"),
-        safe_ratio(F.col("profit"), F.col("revenue")).alias("margin"),
-        pct_change(F.col("revenue"), F.col("prior_revenue")).alias("pct_change"),
-    ]
+_SUMMARY = f"""
+    revenue, profit, quantity, avg_discount, prior_revenue,
+    {safe_ratio("profit", "revenue")} AS margin,
+    {pct_change("revenue", "prior_revenue")} AS pct_change
+"""
 
 
 def grouped_summary(rows: DataFrame, by: str, current: str | None, prior: str | None) -> DataFrame:
     """Totals per group of the current month, with the change against the prior one."""
     counts, dq_note = _notes(rows, is_period(current))
-    return (
-        in_periods(rows, current, prior)
-        .where(F.col(by).isNotNull())
-        .groupBy(by)
-        .agg(*_compared(current, prior), *counts)
-        .where(F.col("n_current") > 0)
-        .select(by, *_summary_columns(), dq_note.alias("dq_note"))
-        .orderBy(F.desc("revenue"), by)
+    return rows.sparkSession.sql(
+        f"""
+        SELECT {by}, {_SUMMARY}, {dq_note} AS dq_note
+        FROM (
+            SELECT {by}, {", ".join(_compared(current, prior) + counts)}
+            FROM {{rows}}
+            WHERE {by} IS NOT NULL
+            GROUP BY {by}
+        )
+        WHERE n_current > 0
+        ORDER BY revenue DESC, {by}
+        """,
+        rows=in_periods(rows, current, prior),
     )
 
 
@@ -79,73 +91,75 @@ def dimension_summaries(
     Long form ``(dimension, name, ...)``; the total is dimension ``all``.
     """
     counts, dq_note = _notes(rows, is_period(current))
-    sets = [[d] for d in dimensions] + [[]]
-    dimension = F.coalesce(*[F.when(F.grouping(d) == 0, F.lit(d)) for d in dimensions], F.lit("all"))
-    grouped = (
-        in_periods(rows, current, prior)
-        .groupingSets(sets, *dimensions)
-        .agg(dimension.alias("dimension"), *_compared(current, prior), *counts)
-    )
-    name = F.coalesce(*dimensions)
-    kept = (F.col("dimension") == "all") | ((F.col("n_current") > 0) & name.isNotNull())
-    return grouped.where(kept).select(
-        "dimension", name.alias("name"), *_summary_columns(), dq_note.alias("dq_note")
+    which = " ".join(f"WHEN grouping({d}) = 0 THEN '{d}'" for d in dimensions)
+    sets = ", ".join(f"({d})" for d in dimensions)
+    return rows.sparkSession.sql(
+        f"""
+        SELECT dimension, name, {_SUMMARY}, {dq_note} AS dq_note
+        FROM (
+            SELECT CASE {which} ELSE 'all' END AS dimension, coalesce({", ".join(dimensions)}) AS name,
+                   {", ".join(_compared(current, prior) + counts)}
+            FROM {{rows}}
+            GROUP BY GROUPING SETS ({sets}, ())
+        )
+        WHERE dimension = 'all' OR (n_current > 0 AND name IS NOT NULL)
+        """,
+        rows=in_periods(rows, current, prior),
     )
 
 
-def headline_totals(rows: DataFrame, current: str | None) -> DataFrame:
-    """Revenue, profit and margin of a month; both NULL where no profit is known."""
-    totals = in_period(rows, current).agg(
-        F.coalesce(F.sum(REVENUE), F.lit(0.0)).alias("revenue"), F.sum("profit").alias("profit")
-    )
-    return totals.withColumn("margin", overall_margin(F.col("profit"), F.col("revenue")))
+def overall_margin(profit: str, revenue: str) -> str:
+    """Percent; 0 where nothing was sold, NULL where no profit is known."""
+    return f"CASE WHEN {profit} IS NOT NULL THEN coalesce({safe_ratio(profit, revenue)} * 100, 0D) END"
 
 
-def overall_margin(profit: Column, revenue: Column) -> Column:
-    """Percent; 0 where nothing was sold, NULL where no profit is known."""
-    return F.when(profit.isNotNull(), F.coalesce(safe_ratio(profit, revenue) * 100, F.lit(0.0)))
+def headline_totals(rows: DataFrame, current: str | None) -> DataFrame:
+    """Revenue, profit and margin of a month; the last two NULL where no profit is known."""
+    return rows.sparkSession.sql(
+        f"""
+        SELECT *, {overall_margin("profit", "revenue")} AS margin
+        FROM (SELECT coalesce(sum({REVENUE}), 0D) AS revenue, sum(profit) AS profit FROM {{rows}})
+        """,
+        rows=in_period(rows, current),
+    )
 
 
 def revenue_change(rows: DataFrame, current: str | None, prior: str | None) -> DataFrame:
     """Headline revenue of both months and the change in percent."""
-    cur, pri = is_period(current), is_period(prior)
-    return (
-        in_periods(rows, current, prior)
-        .agg(
-            F.coalesce(F.sum(F.when(cur, REVENUE)), F.lit(0.0)).alias("revenue"),
-            F.sum(F.when(pri, REVENUE)).alias("prior_revenue"),
+    return rows.sparkSession.sql(
+        f"""
+        SELECT *, {pct_change("revenue", "prior_revenue")} AS revenue_change
+        FROM (
+            SELECT coalesce(sum(CASE WHEN {is_period(current)} THEN {REVENUE} END), 0D) AS revenue,
+                   sum(CASE WHEN {is_period(prior)} THEN {REVENUE} END) AS prior_revenue
+            FROM {{rows}}
         )
-        .withColumn("revenue_change", pct_change(F.col("revenue"), F.col("prior_revenue")))
+        """,
+        rows=in_periods(rows, current, prior),
     )
 
 
+_RISK = f"""
+    avg_discount, revenue, profit, {safe_ratio("profit", "revenue")} AS margin,
+    {margin_risk("avg_discount", safe_ratio("profit", "revenue"))} AS margin_risk
+"""
+
+
 def discount_analysis(
     rows: DataFrame, by: str, current: str | None, top_n: int | None = None
 ) -> DataFrame:
     """Average discount, margin and risk per group, biggest discount first."""
-    counts, dq_note = _notes(rows, F.lit(True))
-    table = (
-        in_period(rows, current)
-        .where(F.col(by).isNotNull())
-        .groupBy(by)
-        .agg(
-            F.avg("discount").alias("avg_discount"),
-            F.sum(REVENUE).alias("revenue"),
-            F.sum("profit").alias("profit"),
-            *counts,
-        )
-        .select(by, *_risk_columns(), dq_note.alias("dq_note"))
-        .orderBy(F.desc("avg_discount"), by)
+    counts, dq_note = _notes(rows, "true")
+    sums = ["avg(discount) AS avg_discount", f"sum({REVENUE}) AS revenue", "sum(profit) AS profit", *counts]
+    return rows.sparkSession.sql(
+        f"""
+        SELECT {by}, {_RISK}, {dq_note} AS dq_note
+        FROM (SELECT {by}, {", ".join(sums)} FROM {{rows}} WHERE {by} IS NOT NULL GROUP BY {by})
+        ORDER BY avg_discount DESC, {by}
+        {"" if top_n is None else f"LIMIT {top_n}"}
+        """,
+        rows=in_period(rows, current),
     )
-    return table if top_n is None else table.limit(top_n)
-
-
-def _risk_columns() -> list[Column]:
-    margin = safe_ratio(F.col("profit"), F.col("revenue"))
-    return [
-        F.col("avg_discount"), F.col("revenue"), F.col("profit"), margin.alias("margin"),
-        margin_risk(F.col("avg_discount"), margin).alias("margin_risk"),
-    ]
 
 
 def discount_bands(rows: DataFrame, current: str | None) -> DataFrame:
@@ -153,76 +167,78 @@ def discount_bands(rows: DataFrame, current: str | None) -> DataFrame:
 
     An order with lines in several bands counts in each of them.
     """
-    month = in_period(rows, current)
-    orders = F.count_distinct("order_id") if "order_id" in rows.columns else F.count(F.lit(1))
-    return (
-        month.groupBy(band_order(F.col("discount")).alias("band_ord"))
-        .agg(
-            orders.alias("orders"),
-            F.sum(GROSS_SALES).alias("gross_sales"),
-            F.sum(DISCOUNT_AMOUNT).alias("discount_amount"),
-            F.sum(REVENUE).alias("revenue"),
-            F.sum("profit").alias("profit"),
-        )
-        .orderBy("band_ord")
-        .select(
-            band_label(F.col("band_ord")).alias("band"),
-            "orders", "gross_sales", "discount_amount", "revenue", "profit",
-            safe_ratio(F.col("profit"), F.col("revenue")).alias("margin"),
-            safe_ratio(F.col("revenue"), F.col("orders").cast("double")).alias("avg_order_value"),
+    orders = "count(DISTINCT order_id)" if "order_id" in rows.columns else "count(*)"
+    return rows.sparkSession.sql(
+        f"""
+        SELECT {band_label("band_ord")} AS band, orders, gross_sales, discount_amount, revenue, profit,
+               {safe_ratio("profit", "revenue")} AS margin,
+               {safe_ratio("revenue", "double(orders)")} AS avg_order_value
+        FROM (
+            SELECT {band_order("discount")} AS band_ord, {orders} AS orders,
+                   sum({GROSS_SALES}) AS gross_sales, sum({DISCOUNT_AMOUNT}) AS discount_amount,
+                   sum({REVENUE}) AS revenue, sum(profit) AS profit
+            FROM {{rows}}
+            GROUP BY 1
         )
+        ORDER BY band_ord
+        """,
+        rows=in_period(rows, current),
     )
 
 
 def discount_bands_by_product(rows: DataFrame, current: str | None) -> DataFrame:
     """Every product in every band it was sold in, never capped."""
-    return (
-        in_period(rows, current)
-        .where(F.col("product").isNotNull())
-        .groupBy(band_order(F.col("discount")).alias("band_ord"), "product")
-        .agg(
-            F.avg("discount").alias("avg_discount"),
-            F.sum(REVENUE).alias("revenue"),
-            F.sum("profit").alias("profit"),
+    return rows.sparkSession.sql(
+        f"""
+        SELECT {band_label("band_ord")} AS band, product, {_RISK}
+        FROM (
+            SELECT {band_order("discount")} AS band_ord, product, avg(discount) AS avg_discount,
+                   sum({REVENUE}) AS revenue, sum(profit) AS profit
+            FROM {{rows}}
+            WHERE product IS NOT NULL
+            GROUP BY 1, product
         )
-        .orderBy("band_ord", F.desc("avg_discount"), "product")
-        .select(band_label(F.col("band_ord")).alias("band"), "product", *_risk_columns())
+        ORDER BY band_ord, avg_discount DESC, product
+        """,
+        rows=in_period(rows, current),
     )
 
 
 def monthly_summary(rows: DataFrame) -> DataFrame:
     """Revenue, profit and margin of every month, oldest first."""
-    return (
-        rows.where(F.col("date").isNotNull())
-        .groupBy(month_start(F.col("date")).alias("month"))
-        .agg(F.sum(REVENUE).alias("revenue"), F.sum("profit").alias("profit"))
-        .orderBy("month")
-        .select(
-            F.date_format("month", "yyyy-MM").alias("period"), "revenue", "profit",
-            safe_ratio(F.col("profit"), F.col("revenue")).alias("margin"),
+    return rows.sparkSession.sql(
+        f"""
+        SELECT date_format(month, 'yyyy-MM') AS period, revenue, profit,
+               {safe_ratio("profit", "revenue")} AS margin
+        FROM (
+            SELECT {month_start("date")} AS month, sum({REVENUE}) AS revenue, sum(profit) AS profit
+            FROM {{rows}}
+            WHERE date IS NOT NULL
+            GROUP BY 1
         )
+        ORDER BY month
+        """,
+        rows=rows,
     )
 
 
 def with_bar_share(table: DataFrame) -> DataFrame:
     """Bar length of each group against the largest revenue of the table."""
-    from ..functions import bar_length
-
-    largest = table.agg(F.max("revenue")).scalar()
-    return table.withColumn("bar", bar_length(F.col("revenue"), largest))
+    bar = bar_length("revenue", "(SELECT max(revenue) FROM {table})")
+    return table.sparkSession.sql(f"SELECT *, {bar} AS bar FROM {{table}}", table=table)
 
 
 def with_top_marker(table: DataFrame, by: str, n: int = 10) -> DataFrame:
     """Mark the first ``n`` rows of a discount table as shown at a glance."""
     top = table.orderBy(F.desc("avg_discount"), by).limit(n).select(by, F.lit(True).alias("in_top"))
-    return table.join(F.broadcast(top), by, "left").withColumn(
-        "in_top", F.coalesce("in_top", F.lit(False))
-    )
+    marked = table.join(F.broadcast(top), by, "left")
+    return marked.withColumn("in_top", F.expr("coalesce(in_top, false)"))
 
 
 def with_name_note(table: DataFrame, by: str) -> DataFrame:
     """The name as shown: marked only if the group's own rows were tagged."""
-    marked = F.concat(F.col(by), F.lit("  ⚠ "), F.col("dq_note"))
-    return table.withColumns(
-        {"is_marked": F.col("dq_note").isNotNull(), "shown_name": F.coalesce(marked, F.col(by))}
+    return table.selectExpr(
+        "*",
+        "dq_note IS NOT NULL AS is_marked",
+        f"coalesce(concat({by}, '  ⚠ ', dq_note), {by}) AS shown_name",
     )

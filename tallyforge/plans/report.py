@@ -54,6 +54,12 @@ def report_stamp(current: str | None) -> str:
     return current or date.today().isoformat()
 
 
+def curated_rows(spark: SparkSession, curated: str) -> DataFrame:
+    """The curated table; its month stays a directory filter."""
+    rows = spark.read.parquet(curated)
+    return rows.withColumn("period", F.col("period").cast("string"))
+
+
 def write_report(spark: SparkSession, source: str | list[str], curated: str, out: str) -> str:
     """Exports -> curated line items by month -> report tables; returns the stamp.
 
@@ -62,11 +68,10 @@ def write_report(spark: SparkSession, source: str | list[str], curated: str, out
     """
     checked = read_sales(spark, source)
     write_curated(with_measures(checked.rows), curated)
-    return write_report_tables(spark.read.parquet(curated), checked, out)
+    return write_report_tables(curated_rows(spark, curated), checked, out)
 
 
 def write_report_tables(rows: DataFrame, checked: Checked, out: str) -> str:
-    rows = rows.withColumn("period", F.col("period").cast("string")) if "period" in rows.columns else rows
     current, prior = latest_two(rows)
     stamp = report_stamp(current)
     write_sections(report_sections(rows, current, prior), out, stamp)

@@ -37,9 +37,13 @@ def write_cleaned_csv(cleaned: DataFrame, out: str) -> str:
 
 
 def write_curated(rows: DataFrame, out: str) -> str:
-    """Line items by month, each file in date order."""
+    """Line items by month, each file in date order.
+
+    Rebalancing lets Spark split a big month over as many tasks as its size
+    needs, and give a small one a single file.
+    """
     (
-        rows.repartition("period", F.pmod(F.xxhash64("order_id"), F.lit(64)))
+        rows.hint("rebalance", "period")
         .sortWithinPartitions("period", "date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import null_tokens
-from .files import DELIMITERS, Layout, occurrences
+from ..functions import literal, null_tokens
+from .files import Layout, occurrences, without_quoted
 
 _C1 = bytes(range(0x80, 0xA0))
 _C1_DEFINED = [b for b in _C1 if bytes([b]).decode("cp1252", errors="ignore")]
@@ -36,12 +36,12 @@ def read_delimited(spark: SparkSession, layout: Layout, paths: list[str]) -> Dat
         .option("multiLine", layout.multiline)
         .option("encoding", "UTF-8" if layout.charset == "UTF-8" else "ISO-8859-1")
     )
-    return reader.csv(paths).select(
-        *[null_tokens(_decoded(F.col(n), layout.charset)).alias(n) for n in names],
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("row_id"),
+    return reader.csv(paths).selectExpr(
+        *[f"{null_tokens(_decoded(n, layout.charset))} AS {n}" for n in names],
+        "_metadata.file_path AS file_path",
+        "_metadata.file_name AS file_name",
+        "_metadata.file_block_start AS block_start",
+        "monotonically_increasing_id() AS row_id",
     )
 
 
@@ -64,19 +64,15 @@ def overlong_files(spark: SparkSession, layout: Layout, paths: list[str]) -> Dat
         .option("columnNameOfCorruptRecord", "_broken")
         .csv(paths)
     )
-    bare = F.regexp_replace(F.regexp_replace("_broken", "[\r\n]+$", ""), '"([^"]|"")*"', "")
-    fields = occurrences(bare, layout.delimiter) + 1
+    bare = without_quoted("regexp_replace(_broken, r'[\r\n]+$', '')")
     return (
-        records.where(F.col("_broken").isNotNull())
-        .select(F.col("_metadata.file_path").alias("file_path"), fields.alias("fields"))
-        .where(F.col("fields") > len(names))
+        records.where("_broken IS NOT NULL")
+        .selectExpr("_metadata.file_path AS file_path", f"{occurrences(f'({bare})', layout.delimiter)} + 1 AS fields")
+        .where(f"fields > {len(names)}")
         .groupBy("file_path")
         .agg(F.max("fields").alias("fields"))
     )
 
 
-def _decoded(c: Column, charset: str) -> Column:
-    return c if charset == "UTF-8" else F.translate(c, _C1_READ, _C1_MEANT)
-
-
-__all__ = ["DELIMITERS", "cell", "overlong_files", "read_delimited"]
+def _decoded(c: str, charset: str) -> str:
+    return c if charset == "UTF-8" else f"translate({c}, {literal(_C1_READ)}, {literal(_C1_MEANT)})"

@@ -12,7 +12,9 @@ import csv
 from collections import defaultdict
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+from ..functions import literal
 
 # Delimiters that may separate the fields, by preference.
 DELIMITERS = [",", ";", "\t", "|"]
@@ -41,13 +43,12 @@ def discover_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
     The content column is never selected, so no file is opened.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", FILE_PATTERN)
-        .load(path)
-        .select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", FILE_PATTERN).load(path)
+    return (
+        files.selectExpr("path", "element_at(split(path, '/'), -1) AS file_name", "length")
+        .where("NOT startswith(file_name, '~$')")
+        .orderBy("path")
     )
-    return files.where(~F.col("file_name").startswith("~$")).orderBy("path")
 
 
 def list_files(spark: SparkSession, path: str | list[str]) -> list[str]:
@@ -63,20 +64,21 @@ def file_name(path: str) -> str:
 
 def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Text lines with their file and place in it."""
-    return spark.read.text(paths).select(
-        "value",
-        F.col("_metadata.file_path").alias("file_path"),
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+    return spark.read.text(paths).selectExpr(
+        "value AS line",
+        "_metadata.file_path AS file_path",
+        "struct(_metadata.file_block_start, monotonically_increasing_id() AS row_id) AS place",
     )
 
 
-def _unquoted(line: Column) -> Column:
-    """The line without its quoted parts; only lines with quotes pay for it."""
-    return F.when(F.contains(line, F.lit('"')), F.regexp_replace(line, '"([^"]|"")*"', "")).otherwise(line)
+def without_quoted(line: str) -> str:
+    """The line without its quoted parts; only lines with quotes pay for it.  SQL text."""
+    return f"""CASE WHEN contains({line}, '"') THEN regexp_replace({line}, r'"([^"]|"")*"', '') ELSE {line} END"""
 
 
-def occurrences(line: Column, char: str) -> Column:
-    return F.octet_length(line) - F.octet_length(F.replace(line, F.lit(char)))
+def occurrences(line: str, char: str) -> str:
+    """How often an ASCII character occurs.  SQL text."""
+    return f"(octet_length({line}) - octet_length(replace({line}, {literal(char)})))"
 
 
 def profile_lines(lines: DataFrame) -> DataFrame:
@@ -85,17 +87,22 @@ def profile_lines(lines: DataFrame) -> DataFrame:
     The widest line is kept for every candidate delimiter, so the pass need not
     know the delimiter.
     """
-    line = F.col("value")
-    valid = F.is_valid_utf8(line)
-    not_ascii = ~valid | (F.length(line) != F.octet_length(line))
-    undefined = not_ascii & F.hex(line.cast("binary")).rlike(f"^(?:..)*?(?:{_UNDEFINED_BYTES})")
-    plain = lines.where(F.length(F.trim(line)) > 0).withColumn("bare", _unquoted(line))
-    return plain.groupBy("file_path").agg(
-        F.min_by(line.cast("binary"), F.col("place")).alias("header"),
-        F.bool_and(valid).alias("is_utf8"),
-        F.bool_or(undefined).alias("has_undefined_bytes"),
-        F.bool_or(occurrences(line, '"') % 2 == 1).alias("open_quote"),
-        *[F.max(occurrences(F.col("bare"), d)).alias(f"widest_{i}") for i, d in enumerate(DELIMITERS)],
+    not_ascii = "(NOT is_valid_utf8(line) OR length(line) <> octet_length(line))"
+    undefined = f"{not_ascii} AND hex(CAST(line AS BINARY)) RLIKE '^(?:..)*?(?:{_UNDEFINED_BYTES})'"
+    widest = ", ".join(f"max({occurrences('bare', d)}) AS widest_{i}" for i, d in enumerate(DELIMITERS))
+    quote = '"'
+    return lines.sparkSession.sql(
+        f"""
+        SELECT file_path,
+               min_by(CAST(line AS BINARY), place) AS header,
+               bool_and(is_valid_utf8(line)) AS is_utf8,
+               bool_or({undefined}) AS has_undefined_bytes,
+               bool_or({occurrences("line", quote)} % 2 = 1) AS open_quote,
+               {widest}
+        FROM (SELECT *, {without_quoted("line")} AS bare FROM {{lines}} WHERE length(trim(line)) > 0)
+        GROUP BY file_path
+        """,
+        lines=lines,
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import to_number
 from .delimited import cell, read_delimited
@@ -19,14 +19,8 @@ def read_line_totals(spark: SparkSession, path: str | list[str]) -> DataFrame:
     parts = []
     for layout, files in plan.layouts.items():
         raw = read_delimited(spark, layout, files)
-        parts.append(
-            raw.select(
-                *[
-                    (to_number(F.col(cell(i))) if h in NUMBERS else F.col(cell(i))).alias(h)
-                    for i, h in enumerate(layout.header)
-                ]
-            )
-        )
+        cells = [to_number(cell(i)) if h in NUMBERS else cell(i) for i, h in enumerate(layout.header)]
+        parts.append(raw.selectExpr(*[f"{c} AS `{h}`" for c, h in zip(cells, layout.header)]))
     first, *others = parts
     for part in others:
         first = first.unionByName(part, allowMissingColumns=True)
@@ -36,12 +30,10 @@ def read_line_totals(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def scan_cleaned(spark: SparkSession, path: str) -> DataFrame:
     """A table written by ``write_cleaned_csv``, typed and with parsed dates."""
     rows = read_line_totals(spark, path)
-    dates = {
-        c: F.try_to_timestamp(F.col(f"`{c}`")).cast("timestamp_ntz") for c in ("Order Date", "Ship Date")
+    typed = {
+        "Order Date": "CAST(try_to_timestamp(`Order Date`) AS TIMESTAMP_NTZ)",
+        "Ship Date": "CAST(try_to_timestamp(`Ship Date`) AS TIMESTAMP_NTZ)",
+        "Discount %": to_number("`Discount %`"),
+        "Loss_Flag": "try_cast(Loss_Flag AS BOOLEAN)",
     }
-    extra = {}
-    if "Discount %" in rows.columns:
-        extra["Discount %"] = to_number(F.col("`Discount %`"))
-    if "Loss_Flag" in rows.columns:
-        extra["Loss_Flag"] = F.col("Loss_Flag").try_cast("boolean")
-    return rows.withColumns(dates | extra)
+    return rows.selectExpr(*[f"{typed.get(c, f'`{c}`')} AS `{c}`" for c in rows.columns])

@@ -101,11 +101,11 @@ def _workbook_parts(spark, books, accept, halts) -> list[DataFrame]:
         raw = (
             cells.where((F.col("row_id") > 0) & F.col("error").isNull())
             .join(F.broadcast(ours) if len(files) <= MAX_BROADCAST_FILES else ours, "path", "left_semi")
-            .select(
-                *[null_tokens(F.get("cells", i)).alias(cell(i)) for i in range(len(header))],
-                F.element_at(F.split("path", "/"), -1).alias("file_name"),
-                F.col("path").alias("file_path"),
-                F.lit(0).cast("long").alias("block_start"),
+            .selectExpr(
+                *[f"{null_tokens(f'get(cells, {i})')} AS {cell(i)}" for i in range(len(header))],
+                "element_at(split(path, '/'), -1) AS file_name",
+                "path AS file_path",
+                "0L AS block_start",
                 "row_id",
             )
         )
@@ -123,22 +123,24 @@ def with_dates(rows: DataFrame, file_count: int | None = None) -> DataFrame:
         rows.where(F.col("date_text").isNotNull())
         .groupBy("source_file")
         .agg(F.min_by("date_text", F.struct("block_start", "row_id")).alias("sample"))
-        .select("source_file", guess_format(F.col("sample")).alias("date_format"))
+        .selectExpr("source_file", f"{guess_format('sample')} AS date_format")
     )
     if file_count is not None and file_count <= MAX_BROADCAST_FILES:
         first = F.broadcast(first)
     return (
         rows.join(first, "source_file", "left")
-        .withColumn("date", to_date(F.col("date_text"), F.col("date_format")))
+        .withColumn("date", F.expr(to_date("date_text", "date_format")))
         .drop("date_text", "date_format", "block_start")
     )
 
 
-def read_sales(spark: SparkSession, path: str | list[str], stage: bool = True) -> Checked:
+def read_sales(
+    spark: SparkSession, path: str | list[str], stage: bool = True, duplicates: bool = True
+) -> Checked:
     """Line items, issues and halts of the exports under ``path``.
 
     The rules need whole-file facts before any row can be kept, so the rows are
-    read several times.  With ``stage`` the parsed cells are written once as
+    read several times.  With ``stage`` the typed rows are written once as
     Parquet to the shared folder and read from there.
     """
     scan = scan_exports(spark, path)
@@ -149,14 +151,13 @@ def read_sales(spark: SparkSession, path: str | list[str], stage: bool = True) -
             spark.createDataFrame(scan.issues, ISSUE_SCHEMA),
             spark.createDataFrame(scan.halts, HALT_SCHEMA),
         )
-    typed = scan.rows
+    dated = with_dates(scan.rows, scan.file_count)
     if stage:
         staged = shared_dir(spark)
-        typed.write.parquet(staged)
-        typed = spark.read.parquet(staged)
-    dated = with_dates(typed, scan.file_count)
-    checked = validate(dated, scan.file_count)
-    raw_ids = typed.where(F.col("layout") == UNDERSCORE).select(
+        dated.write.parquet(staged)
+        dated = spark.read.parquet(staged)
+    checked = validate(dated, scan.file_count, duplicates)
+    raw_ids = dated.where(F.col("layout") == UNDERSCORE).select(
         "source_file", F.col("given_order_id").alias("order_id")
     )
     reused = order_id_issues(raw_ids).join(checked.halts, "source_file", "left_anti")

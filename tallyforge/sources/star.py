@@ -10,7 +10,7 @@ of a sort-merge join at run time.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.quality import flagged, usable
 from ..schema import BUSINESS_COLUMNS
@@ -20,73 +20,74 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _lookup(rows: DataFrame, dimension: DataFrame, key: str, *columns: str) -> DataFrame:
+    """Add columns of a dimension; its key is the first of them."""
+    dimension = dimension.select(*columns)
+    return rows.join(dimension, F.expr(f"{key} = {columns[0]}"), "left")
+
+
 def _facts(spark: SparkSession, sf_dir: str, wanted: set[str]) -> DataFrame:
     """Line items with the dimension columns behind ``wanted``."""
-    rows = table(spark, sf_dir, "lineitem")
+
+    def read(name: str) -> DataFrame:
+        return table(spark, sf_dir, name)
+
+    rows = read("lineitem")
     if wanted & {"p_name", "p_type", "p_size"}:
-        part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
-        rows = rows.join(part, rows["l_partkey"] == part["p_partkey"], "left")
-    if wanted & {"r_name"}:
+        rows = _lookup(rows, read("part"), "l_partkey", "p_partkey", "p_name", "p_type", "p_size")
+    if "r_name" in wanted:
         # One lookup at a time, so that Spark sees each table's own size.
-        supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-        nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-        region = table(spark, sf_dir, "region")
-        rows = (
-            rows.join(supplier, rows["l_suppkey"] == supplier["s_suppkey"], "left")
-            .join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
-            .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
-        )
-    if wanted & {"c_name", "c_mktsegment", "o_orderdate"}:
+        rows = _lookup(rows, read("supplier"), "l_suppkey", "s_suppkey", "s_nationkey")
+        rows = _lookup(rows, read("nation"), "s_nationkey", "n_nationkey", "n_regionkey")
+        rows = _lookup(rows, read("region"), "n_regionkey", "r_regionkey", "r_name")
+    if wanted & {"c_name", "c_mktsegment"}:
         # Buyers meet the orders first: line items are shuffled once, by order.
-        buyer = (
-            table(spark, sf_dir, "orders")
-            .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
-            .select("o_orderkey", "o_orderdate", "c_name", "c_mktsegment")
-        )
-        rows = rows.join(buyer, rows["l_orderkey"] == buyer["o_orderkey"], "left")
+        buyers = _lookup(read("orders"), read("customer"), "o_custkey", "c_custkey", "c_name", "c_mktsegment")
+        rows = _lookup(rows, buyers, "l_orderkey", "o_orderkey", "o_orderdate", "c_name", "c_mktsegment")
+    elif "o_orderdate" in wanted:
+        rows = _lookup(rows, read("orders"), "l_orderkey", "o_orderkey", "o_orderdate")
     return rows
 
 
-def _price() -> Column:
-    return F.floor(F.col("l_extendedprice") / F.col("l_quantity")).cast("double")
-
-
-def _profit() -> Column:
-    whole = F.floor("l_extendedprice").cast("double")
-    return F.when(F.col("l_linenumber") != 7, whole * ((F.col("l_partkey") % 10) - 2) / 20.0)
-
+_PRICE = "double(floor(l_extendedprice / l_quantity))"
+_PROFIT = "CASE WHEN l_linenumber <> 7 THEN double(floor(l_extendedprice)) * ((l_partkey % 10) - 2) / 20D END"
 
+# Sales column -> (expression, dimension column it needs)
 SALES = {
-    "date": (lambda: F.col("l_shipdate"), None),
-    "order_id": (lambda: F.col("l_orderkey").cast("string"), None),
-    "customer": (lambda: F.col("c_name"), "c_name"),
-    "product": (lambda: F.col("p_name"), "p_name"),
-    "category": (lambda: F.col("p_type"), "p_type"),
-    "region": (lambda: F.col("r_name"), "r_name"),
-    "quantity": (lambda: F.col("l_quantity"), None),
-    "price": (_price, None),
-    "discount": (lambda: F.col("l_discount") * 3, None),
-    "profit": (_profit, None),
-    "sales_target": (lambda: F.when(F.col("l_linenumber") == 1, F.col("l_quantity") * _price()), None),
+    "date": ("l_shipdate", None),
+    "order_id": ("string(l_orderkey)", None),
+    "customer": ("c_name", "c_name"),
+    "product": ("p_name", "p_name"),
+    "category": ("p_type", "p_type"),
+    "region": ("r_name", "r_name"),
+    "quantity": ("l_quantity", None),
+    "price": (_PRICE, None),
+    "discount": ("l_discount * 3", None),
+    "profit": (_PROFIT, None),
+    "return_flag": ("l_returnflag", None),
+    "sales_target": (f"CASE WHEN l_linenumber = 1 THEN l_quantity * {_PRICE} END", None),
 }
 
 
+def _view(spark: SparkSession, sf_dir: str, columns: dict[str, tuple], names: list[str]) -> DataFrame:
+    wanted = {columns[n][1] for n in names if columns[n][1]}
+    return _facts(spark, sf_dir, wanted).selectExpr(*[f"{columns[n][0]} AS `{n}`" for n in names])
+
+
 def star_sales(spark: SparkSession, sf_dir: str, *columns: str, labels: bool = True) -> DataFrame:
     """Checked line items with the named columns (all of them by default).
 
     With ``labels`` the row rules add ``dq``; the rules of columns that were not
     asked for have nothing to look at and are left out.
     """
-    names = list(columns or ["order_id", *BUSINESS_COLUMNS])
-    wanted = {SALES[n][1] for n in names if SALES[n][1]}
-    rows = _facts(spark, sf_dir, wanted).select(*[SALES[n][0]().alias(n) for n in names])
+    rows = _view(spark, sf_dir, SALES, list(columns or ["order_id", *BUSINESS_COLUMNS]))
     return flagged(usable(rows)) if labels else rows
 
 
 # ------------------------------------------------- unchecked exports with dirt
 
 EXPORT_FILES = [f"export_{flag}{status}.csv" for flag in "ANR" for status in "FO"]
-HALTING_FILE = "export_RO.csv"
+HALTING = "RO"
 
 
 def star_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,52 +96,44 @@ def star_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     One file has too many undated rows; all have some rows for each rule, and
     dates, prices and profits coarse enough for real copies to occur.
     """
-    line, tax = F.col("l_linenumber"), F.col("l_tax")
-    rows = _facts(spark, sf_dir, {"p_name", "r_name"})
-    file = F.concat(F.lit("export_"), "l_returnflag", "l_linestatus", F.lit(".csv"))
-    undated = (line == 7) & ((file == HALTING_FILE) | (F.col("l_quantity") >= 49))
-    size = F.floor(F.col("p_size") / 10).cast("double")
-    return rows.select(
-        F.when(~undated, F.date_trunc("month", "l_shipdate")).cast("timestamp_ntz").alias("date"),
-        F.when((line == 3) & (tax == 0.02), "").otherwise("Walk-in").alias("customer"),
-        F.col("p_name").alias("product"),
-        F.when((line == 3) & (tax == 0.01), "").otherwise(F.col("p_type")).alias("category"),
-        F.when((line == 3) & (tax == 0.0), "  ").otherwise(F.col("r_name")).alias("region"),
-        F.when((line == 1) & (tax == 0.08), 0.0).when(line > 4, 2.0).otherwise(1.0).alias("quantity"),
-        (F.when((line == 2) & (tax == 0.08), -1.0).otherwise(1.0) * (size + 1) * 10).alias("price"),
-        F.when((line == 4) & (tax == 0.0), 1.4)
-        .when((line == 4) & (tax == 0.01), -0.2)
-        .when(F.col("l_discount") >= 0.05, 0.15)
-        .otherwise(0.0)
-        .alias("discount"),
-        F.when(F.col("l_discount") == 0.10, -5.0).when(line != 5, 2.0).alias("profit"),
-        F.lit(None).cast("double").alias("sales_target"),
-        F.col("l_orderkey").cast("string").alias("order_id"),
-        file.alias("source_file"),
-        F.array().cast("array<string>").alias("missing_optional"),
-        F.monotonically_increasing_id().alias("row_id"),
+    return _facts(spark, sf_dir, {"p_name", "r_name"}).selectExpr(
+        f"""CASE WHEN l_linenumber = 7 AND (concat(l_returnflag, l_linestatus) = '{HALTING}' OR l_quantity >= 49)
+            THEN NULL ELSE CAST(date_trunc('month', l_shipdate) AS TIMESTAMP_NTZ) END AS date""",
+        "CASE WHEN l_linenumber = 3 AND l_tax = 0.02D THEN '' ELSE 'Walk-in' END AS customer",
+        "p_name AS product",
+        "CASE WHEN l_linenumber = 3 AND l_tax = 0.01D THEN '' ELSE p_type END AS category",
+        "CASE WHEN l_linenumber = 3 AND l_tax = 0D THEN '  ' ELSE r_name END AS region",
+        "CASE WHEN l_linenumber = 1 AND l_tax = 0.08D THEN 0D WHEN l_linenumber > 4 THEN 2D ELSE 1D END AS quantity",
+        """CASE WHEN l_linenumber = 2 AND l_tax = 0.08D THEN -1 ELSE 1 END
+            * (double(floor(p_size / 10)) + 1) * 10 AS price""",
+        """CASE WHEN l_linenumber = 4 AND l_tax = 0D THEN 1.4D WHEN l_linenumber = 4 AND l_tax = 0.01D THEN -0.2D
+            WHEN l_discount >= 0.05D THEN 0.15D ELSE 0D END AS discount""",
+        "CASE WHEN l_discount = 0.10D THEN -5D WHEN l_linenumber <> 5 THEN 2D END AS profit",
+        "CAST(NULL AS DOUBLE) AS sales_target",
+        "string(l_orderkey) AS order_id",
+        "concat('export_', l_returnflag, l_linestatus, '.csv') AS source_file",
+        "CAST(array() AS ARRAY<STRING>) AS missing_optional",
+        "monotonically_increasing_id() AS row_id",
     )
 
 
 # --------------------------------------------------- line-total (Title Case)
 
 _LINE_TOTAL = {
-    "Order ID": (lambda: F.col("l_orderkey").cast("string"), None),
-    "Order Date": (lambda: F.col("o_orderdate"), "o_orderdate"),
-    "Ship Date": (lambda: F.col("l_shipdate"), None),
-    "Customer Name": (lambda: F.col("c_name"), "c_name"),
-    "Segment": (lambda: F.col("c_mktsegment"), "c_mktsegment"),
-    "Region": (lambda: F.col("r_name"), "r_name"),
-    "Category": (lambda: F.col("p_type"), "p_type"),
-    "Product Name": (lambda: F.col("p_name"), "p_name"),
-    "Sales": (lambda: F.floor("l_extendedprice").cast("double"), None),
-    "Quantity": (lambda: F.col("l_quantity"), None),
-    "Discount": (lambda: F.col("l_discount"), None),
-    "Profit": (_profit, None),
+    "Order ID": ("string(l_orderkey)", None),
+    "Order Date": ("o_orderdate", "o_orderdate"),
+    "Ship Date": ("l_shipdate", None),
+    "Customer Name": ("c_name", "c_name"),
+    "Segment": ("c_mktsegment", "c_mktsegment"),
+    "Region": ("r_name", "r_name"),
+    "Category": ("p_type", "p_type"),
+    "Product Name": ("p_name", "p_name"),
+    "Sales": ("double(floor(l_extendedprice))", None),
+    "Quantity": ("l_quantity", None),
+    "Discount": ("l_discount", None),
+    "Profit": (_PROFIT, None),
 }
 
 
 def star_line_totals(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    names = list(columns or _LINE_TOTAL)
-    wanted = {_LINE_TOTAL[n][1] for n in names if _LINE_TOTAL[n][1]}
-    return _facts(spark, sf_dir, wanted).select(*[_LINE_TOTAL[n][0]().alias(n) for n in names])
+    return _view(spark, sf_dir, _LINE_TOTAL, list(columns or _LINE_TOTAL))

@@ -9,14 +9,19 @@ from __future__ import annotations
 
 import io
 import re
+import sys
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+# Send these functions to the workers themselves, so that the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ROWS_SCHEMA = "path string, error string, row_id long, cells array<string>"
 _BATCH = 5_000
 
@@ -29,7 +34,11 @@ def read_workbooks(spark: SparkSession, paths: list[str]) -> DataFrame:
 
     A file that cannot be read gives one row with ``error`` set.
     """
-    files = spark.read.format("binaryFile").load(paths).select("path", "content")
+    return workbook_rows(spark.read.format("binaryFile").load(paths).select("path", "content"))
+
+
+def workbook_rows(files: DataFrame) -> DataFrame:
+    """Rows of workbooks given as ``(path, content)``."""
     return files.mapInPandas(_rows_of_files, ROWS_SCHEMA)
 
 
