@@ -18,7 +18,7 @@ from ..schema import (
     NO_CUSTOMER,
     NO_REGION,
 )
-from ..session import shared_dir
+from ..session import stored
 from ..sources.star import EXPORT_FILES, star_exports, star_line_totals, star_sales, table
 from .base import counted, exports_sql, money, query, rounded, sales_sql
 
@@ -27,9 +27,7 @@ FILES = len(EXPORT_FILES)
 
 def staged_exports(spark, d):
     """The exports as one written table, as a file scan leaves them: they are read several times."""
-    path = shared_dir(spark)
-    star_exports(spark, d).write.parquet(path)
-    return spark.read.parquet(path)
+    return stored(star_exports(spark, d))
 
 
 def checked(spark, d) -> Q.Checked:
@@ -51,7 +49,7 @@ def _accepted(spark, d):
     WHERE source_file NOT IN (SELECT source_file FROM accepted)
 """))
 def bad_date_halt(spark, d):
-    counts = Q.file_counts(star_exports(spark, d))
+    counts = Q.file_counts(star_exports(spark, d, "source_file", "date", "quantity", "price"))
     return Q.date_halts(counts).join(counts, "source_file").select("source_file", "bad_date", "n_rows")
 
 
@@ -136,7 +134,7 @@ _tagged("dq_duplicate_cross_file", BUSINESS_COLUMNS, "copies > 1")
     GROUP BY source_file
 """)
 def order_id_reuse(spark, d):
-    return Q.order_id_reuse(star_exports(spark, d)).groupBy("source_file").agg(
+    return Q.order_id_reuse(star_exports(spark, d, "source_file", "order_id")).groupBy("source_file").agg(
         F.count(F.lit(1)).alias("reused"), F.sum("uses").alias("line_items"),
         F.min("order_id").alias("first_id"), F.max("order_id").alias("last_id"),
     )
@@ -155,7 +153,7 @@ def order_id_reuse(spark, d):
     ) WHERE pos <= 100 GROUP BY source_file
 """)
 def order_id_issues(spark, d):
-    return Q.order_id_issues(star_exports(spark, d))
+    return Q.order_id_issues(star_exports(spark, d, "source_file", "order_id"))
 
 
 @query("dq_flag_append", exports_sql("""
@@ -234,7 +232,7 @@ query("halt_report", exports_sql("""
       format('''{}'' can''t be used — {:.0f}% of its rows don''t have a valid date, so this file was skipped entirely. Fix: open the file and check the ''date'' column — make sure it''s named exactly ''date'' and every row has a real date (e.g. 2026-07-15), then run the report again.',
              source_file, CAST(n_bad AS DOUBLE) / n_rows * 100) AS message
     FROM shares WHERE source_file NOT IN (SELECT source_file FROM accepted)
-"""))(lambda spark, d: Q.date_halts(Q.file_counts(star_exports(spark, d))))
+"""))(lambda spark, d: Q.date_halts(Q.file_counts(star_exports(spark, d, "source_file", "date", "quantity", "price"))))
 
 query("halted_file_exclusion", exports_sql(
     f"SELECT source_file, count(*) AS row_count FROM {_ALL} GROUP BY 1"

@@ -4,18 +4,24 @@ from __future__ import annotations
 
 from .text import strip
 
+# A number short enough to be finite, and any decimal number.
+_PLAIN = r"^[+-]?(\d{1,100}\.?\d{0,100}|\.\d{1,100})([eE][+-]?\d{1,2})?$"
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
 def to_number(c: str) -> str:
     """A finite decimal number, or NULL.
 
-    The pattern keeps out what a cast would accept beyond that: ``1d``, ``nan``,
-    ``Infinity`` and hexadecimal floats.
+    The patterns keep out what a cast would accept beyond that: ``1d``, ``nan``,
+    ``Infinity`` and hexadecimal floats.  Only a number of unusual length is
+    also checked for overflow.
     """
     text = strip(c)
-    value = f"nullif(nullif(try_cast({text} AS DOUBLE), double('Infinity')), double('-Infinity'))"
-    return f"CASE WHEN {text} RLIKE r'{_NUMBER}' THEN {value} END"
+    long = f"nullif(nullif(try_cast({text} AS DOUBLE), double('Infinity')), double('-Infinity'))"
+    return (
+        f"CASE WHEN {text} RLIKE r'{_PLAIN}' THEN try_cast({text} AS DOUBLE) "
+        f"WHEN {text} RLIKE r'{_NUMBER}' THEN {long} END"
+    )
 
 
 def clean_currency(c: str) -> str:

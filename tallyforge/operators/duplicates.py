@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..schema import BUSINESS_COLUMNS, DUPLICATE
-from ..session import shared_dir
+from ..session import stored
 from .labels import append_label
 
 # Hashes that occur more than once are broadcast up to this many (8 bytes each).
@@ -34,12 +34,6 @@ def copy_groups(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("copies"))
 
 
-def _written(table: DataFrame) -> DataFrame:
-    path = shared_dir(table.sparkSession)
-    table.write.parquet(path)
-    return table.sparkSession.read.schema(table.schema).parquet(path)
-
-
 def repeated_rows(rows: DataFrame, keys: list[str] | None = None, split: list[str] | None = None) -> DataFrame:
     """The keys held by more than one row, with ``copies``, as a stored table.
 
@@ -48,11 +42,11 @@ def repeated_rows(rows: DataFrame, keys: list[str] | None = None, split: list[st
     """
     keys = keys or BUSINESS_COLUMNS
     hashed = rows.select(*keys, *(split or []), F.xxhash64(*keys).alias("key_hash"))
-    suspects = _written(copy_groups(hashed, ["key_hash"]).where("copies > 1").select("key_hash"))
+    suspects = stored(copy_groups(hashed, ["key_hash"]).where("copies > 1").select("key_hash"))
     if suspects.count() <= MAX_BROADCAST_HASHES:
         hashed = hashed.join(F.broadcast(suspects), "key_hash", "left_semi")
     groups = copy_groups(hashed, [*keys, *(split or [])])
-    return _written(groups if split else groups.where("copies > 1"))
+    return stored(groups if split else groups.where("copies > 1"))
 
 
 def with_copies(

@@ -23,6 +23,7 @@ from ..schema import (
     NO_CUSTOMER,
     NO_REGION,
 )
+from ..session import stored
 from .duplicates import copy_groups, repeated_rows, tag_duplicates
 from .labels import NO_LABELS
 
@@ -280,11 +281,11 @@ def missing_profile(rows: DataFrame) -> DataFrame:
 def validate(rows: DataFrame, file_count: int | None = None, duplicates: bool = True) -> Checked:
     """All rules over typed line items of any number of files.
 
-    ``file_count`` is the number of files if the caller knows it.  With
-    ``duplicates`` the repeated rows are looked for at once (see
-    ``duplicates.repeated_rows``); the rest runs when a result is used.
+    ``file_count`` is the number of files if the caller knows it.  The counts per
+    file and, with ``duplicates``, the repeated rows are stored at once, as every
+    result needs them; the rest runs when a result is used.
     """
-    counts = file_counts(rows)
+    counts = stored(file_counts(rows))
     halts = date_halts(counts)
     accepted = counts.where(f"NOT ({_TOO_MANY_BAD_DATES})")
     checks = ["bad_date", "invalid_qty_price", *[check for check, _, _ in row_rules(rows.columns)]]

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 @cache
@@ -27,3 +27,14 @@ def shared_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = _local_scratch(spark.sparkContext.applicationId)
     return f"{base.rstrip('/')}/tallyforge-{uuid.uuid4().hex}"
+
+
+def stored(table: DataFrame) -> DataFrame:
+    """The table written to the shared folder and read from there.
+
+    For results that several later plans read: they are computed once, survive a
+    lost executor, and Spark knows their size.
+    """
+    path = shared_dir(table.sparkSession)
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)

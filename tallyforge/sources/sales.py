@@ -11,7 +11,7 @@ from ..functions import guess_format, null_tokens, to_date
 from ..operators.layout import UNDERSCORE, HeaderMap, map_header, missing_message, missing_required, to_line_items
 from ..operators.quality import MAX_BROADCAST_FILES, Checked, order_id_issues, validate
 from ..schema import LINE_ITEM
-from ..session import shared_dir
+from ..session import stored
 from .delimited import cell, overlong_files, read_delimited
 from .files import file_name, list_files, profile_files
 from .workbook import read_workbooks
@@ -77,9 +77,7 @@ def scan_exports(spark: SparkSession, path: str | list[str]) -> Scan:
 
 def _workbook_parts(spark, books, accept, halts) -> list[DataFrame]:
     # Unzipping is the expensive step and the rows are needed twice: keep them as a table.
-    staged = shared_dir(spark)
-    read_workbooks(spark, books).write.parquet(staged)
-    cells = spark.read.parquet(staged)
+    cells = stored(read_workbooks(spark, books))
     by_header: dict[tuple, list[str]] = {}
     found = set()
     for r in cells.where(F.col("row_id") <= 0).toLocalIterator():
@@ -153,9 +151,7 @@ def read_sales(
         )
     dated = with_dates(scan.rows, scan.file_count)
     if stage:
-        staged = shared_dir(spark)
-        dated.write.parquet(staged)
-        dated = spark.read.parquet(staged)
+        dated = stored(dated)
     checked = validate(dated, scan.file_count, duplicates)
     raw_ids = dated.where(F.col("layout") == UNDERSCORE).select(
         "source_file", F.col("given_order_id").alias("order_id")

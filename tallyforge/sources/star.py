@@ -90,31 +90,38 @@ EXPORT_FILES = [f"export_{flag}{status}.csv" for flag in "ANR" for status in "FO
 HALTING = "RO"
 
 
-def star_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+_EXPORTS = {
+    "date": (
+        f"""CASE WHEN l_linenumber = 7 AND (concat(l_returnflag, l_linestatus) = '{HALTING}' OR l_quantity >= 49)
+        THEN NULL ELSE CAST(date_trunc('month', l_shipdate) AS TIMESTAMP_NTZ) END""", None),
+    "customer": ("CASE WHEN l_linenumber = 3 AND l_tax = 0.02D THEN '' ELSE 'Walk-in' END", None),
+    "product": ("p_name", "p_name"),
+    "category": ("CASE WHEN l_linenumber = 3 AND l_tax = 0.01D THEN '' ELSE p_type END", "p_type"),
+    "region": ("CASE WHEN l_linenumber = 3 AND l_tax = 0D THEN '  ' ELSE r_name END", "r_name"),
+    "quantity": (
+        "CASE WHEN l_linenumber = 1 AND l_tax = 0.08D THEN 0D WHEN l_linenumber > 4 THEN 2D ELSE 1D END", None),
+    "price": (
+        """CASE WHEN l_linenumber = 2 AND l_tax = 0.08D THEN -1 ELSE 1 END
+        * (double(floor(p_size / 10)) + 1) * 10""", "p_size"),
+    "discount": (
+        """CASE WHEN l_linenumber = 4 AND l_tax = 0D THEN 1.4D WHEN l_linenumber = 4 AND l_tax = 0.01D THEN -0.2D
+        WHEN l_discount >= 0.05D THEN 0.15D ELSE 0D END""", None),
+    "profit": ("CASE WHEN l_discount = 0.10D THEN -5D WHEN l_linenumber <> 5 THEN 2D END", None),
+    "sales_target": ("CAST(NULL AS DOUBLE)", None),
+    "order_id": ("string(l_orderkey)", None),
+    "source_file": ("concat('export_', l_returnflag, l_linestatus, '.csv')", None),
+    "missing_optional": ("CAST(array() AS ARRAY<STRING>)", None),
+    "row_id": ("monotonically_increasing_id()", None),
+}
+
+
+def star_exports(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Every line item as a row of one of six export files, typed but unchecked.
 
     One file has too many undated rows; all have some rows for each rule, and
     dates, prices and profits coarse enough for real copies to occur.
     """
-    return _facts(spark, sf_dir, {"p_name", "r_name"}).selectExpr(
-        f"""CASE WHEN l_linenumber = 7 AND (concat(l_returnflag, l_linestatus) = '{HALTING}' OR l_quantity >= 49)
-            THEN NULL ELSE CAST(date_trunc('month', l_shipdate) AS TIMESTAMP_NTZ) END AS date""",
-        "CASE WHEN l_linenumber = 3 AND l_tax = 0.02D THEN '' ELSE 'Walk-in' END AS customer",
-        "p_name AS product",
-        "CASE WHEN l_linenumber = 3 AND l_tax = 0.01D THEN '' ELSE p_type END AS category",
-        "CASE WHEN l_linenumber = 3 AND l_tax = 0D THEN '  ' ELSE r_name END AS region",
-        "CASE WHEN l_linenumber = 1 AND l_tax = 0.08D THEN 0D WHEN l_linenumber > 4 THEN 2D ELSE 1D END AS quantity",
-        """CASE WHEN l_linenumber = 2 AND l_tax = 0.08D THEN -1 ELSE 1 END
-            * (double(floor(p_size / 10)) + 1) * 10 AS price""",
-        """CASE WHEN l_linenumber = 4 AND l_tax = 0D THEN 1.4D WHEN l_linenumber = 4 AND l_tax = 0.01D THEN -0.2D
-            WHEN l_discount >= 0.05D THEN 0.15D ELSE 0D END AS discount""",
-        "CASE WHEN l_discount = 0.10D THEN -5D WHEN l_linenumber <> 5 THEN 2D END AS profit",
-        "CAST(NULL AS DOUBLE) AS sales_target",
-        "string(l_orderkey) AS order_id",
-        "concat('export_', l_returnflag, l_linestatus, '.csv') AS source_file",
-        "CAST(array() AS ARRAY<STRING>) AS missing_optional",
-        "monotonically_increasing_id() AS row_id",
-    )
+    return _view(spark, sf_dir, _EXPORTS, list(columns or _EXPORTS))
 
 
 # --------------------------------------------------- line-total (Title Case)
