@@ -42,7 +42,8 @@ from .extended import _T
 from .quality import FILES, checked
 from .summaries import _MEASURES, _SUMMARY_ROUNDS, _summary_sql
 
-N = F.count(F.lit(1)).alias("n")
+def _n():
+    return F.count("*").alias("n")
 
 
 # --------------------------------------------------------------- sources
@@ -86,7 +87,7 @@ def read_delimiters(spark, d):
     ]
     return rounded(
         _union(parts).groupBy("delimiter").agg(
-            N, F.sum("v").alias("total"), F.count_if(F.col("note") == 'a,b;c|"d"').alias("quoted")
+            _n(), F.sum("v").alias("total"), F.count_if(F.col("note") == 'a,b;c|"d"').alias("quoted")
         ),
         total=2,
     )
@@ -117,7 +118,7 @@ def read_charsets(spark, d):
         )
         for layout, rows in _delimited_parts(spark, paths)
     ]
-    return _union(parts).groupBy("charset").agg(N, F.count_if(F.col("name").endswith(" Émilie")).alias("with_accent"))
+    return _union(parts).groupBy("charset").agg(_n(), F.count_if(F.col("name").endswith(" Émilie")).alias("with_accent"))
 
 
 @query("read_workbook", sales_sql("""
@@ -152,7 +153,7 @@ def read_errors_halt(spark, d):
         lines = spark.read.text(out).where(F.col("value") != "date,price")
         rows = lines if scan.rows is None else scan.rows
         found.append(
-            rows.agg(N).select(F.lit(status).alias("status"), "n", F.lit(bool(scan.halts)).alias("rejected"))
+            rows.agg(_n()).select(F.lit(status).alias("status"), "n", F.lit(bool(scan.halts)).alias("rejected"))
         )
     return _union(found)
 
@@ -203,7 +204,7 @@ def source_file(spark, d):
 def union_files(spark, d):
     scan = scan_exports(spark, mixed_exports(spark, d))
     rows = scan.rows.groupBy((F.col("layout") == "clean").alias("own_case"))
-    return rounded(rows.agg(N, F.sum("quantity").alias("units")), units=2)
+    return rounded(rows.agg(_n(), F.sum("quantity").alias("units")), units=2)
 
 
 @query("halts_by_reason", "SELECT unnest(['bad_dates', 'missing_columns']) AS reason, (SELECT count(*) FROM nation) AS lines")
@@ -282,7 +283,7 @@ query("rename_raw_superstore", _totals_sql("product", "coalesce(profit, 0)"))(
 def detect(spark, d):
     headers = [_MESSY, LINE_TOTAL_CELLS, UNDERSCORE_CELLS]
     parts = [_items(spark, d, h).select(F.lit(detect_layout(list(h))).alias("layout")) for h in headers]
-    return _union(parts).groupBy("layout").agg(N)
+    return _union(parts).groupBy("layout").agg(_n())
 
 
 @query("required_columns", sales_sql("""
@@ -295,7 +296,7 @@ def required_columns(spark, d):
     message = missing_message("export.csv", missing)
     return rows.groupBy(
         F.lit(", ".join(missing)).alias("missing"), F.lit("header named exactly 'price'" in message).alias("named")
-    ).agg(N)
+    ).agg(_n())
 
 
 @query("default_optional", sales_sql("""
@@ -305,7 +306,7 @@ def required_columns(spark, d):
 def default_optional(spark, d):
     rows = _items(spark, d, {"date": "date", "price": "price"})
     table_ = rows.groupBy("region", "customer", "quantity", "discount").agg(
-        N, F.count("profit").alias("with_profit"), F.sum("price").alias("total")
+        _n(), F.count("profit").alias("with_profit"), F.sum("price").alias("total")
     )
     return rounded(table_, total=2)
 
@@ -316,7 +317,7 @@ def default_optional(spark, d):
 """))
 def missing_optional(spark, d):
     rows = _items(spark, d, {"date": "date", "price": "price"})
-    return rows.select(F.explode("missing_optional").alias("column")).groupBy("column").agg(N)
+    return rows.select(F.explode("missing_optional").alias("column")).groupBy("column").agg(_n())
 
 
 @query("prune_columns", sales_sql("""
@@ -324,7 +325,7 @@ def missing_optional(spark, d):
 """))
 def prune_columns(spark, d):
     rows = _items(spark, d, _MESSY)
-    return rows.groupBy("region").agg(N, F.lit("comment" in rows.columns).alias("has_comment"))
+    return rows.groupBy("region").agg(_n(), F.lit("comment" in rows.columns).alias("has_comment"))
 
 
 @query("add_sales_target_null", sales_sql("""
@@ -333,7 +334,7 @@ def prune_columns(spark, d):
 """))
 def add_sales_target_null(spark, d):
     rows = _items(spark, d, UNDERSCORE_CELLS)
-    return rows.groupBy("category").agg(N, F.count("sales_target").alias("with_target"))
+    return rows.groupBy("category").agg(_n(), F.count("sales_target").alias("with_target"))
 
 
 @query("ensure_order_id", """
@@ -390,7 +391,7 @@ def latest_and_dated(spark, d):
 """))
 def curated(spark, d):
     out = write_curated(with_measures(star_sales(spark, d, *_MEASURES, "order_id")), shared_dir(spark))
-    return rounded(curated_rows(spark, out).groupBy("period").agg(N, F.sum("gross_sales").alias("gross_sales")), **money("gross_sales"))
+    return rounded(curated_rows(spark, out).groupBy("period").agg(_n(), F.sum("gross_sales").alias("gross_sales")), **money("gross_sales"))
 
 
 _LINE_TOTALS = ("Order Date", "Ship Date", "Region", "Category", "Product Name", "Segment", "Sales", "Discount", "Profit", "Order ID")
@@ -412,7 +413,7 @@ def cleaned_csv(spark, d):
     cleaned = X.clean_export(_us_dates(star_line_totals(spark, d, *_LINE_TOTALS)))
     stored = scan_cleaned(spark, write_cleaned_csv(cleaned, shared_dir(spark)))
     table_ = stored.groupBy("Loss_Flag").agg(
-        N, F.count("Order Date").alias("dated"), F.sum("Sales").alias("Sales"), F.sum("Discount %").alias("discounts")
+        _n(), F.count("Order Date").alias("dated"), F.sum("Sales").alias("Sales"), F.sum("Discount %").alias("discounts")
     )
     return rounded(table_, **money("Sales", "discounts"))
 
@@ -450,6 +451,6 @@ def write_quality(spark, d):
     out = shared_dir(spark)
     found = checked(spark, d)
     write_quality_report(found.issues, found.halts, out, "2001-11")
-    issues = read_section(spark, out, "issues").groupBy("level").agg(N)
-    halts = read_section(spark, out, "halts").agg(N).withColumn("level", F.lit("halt"))
+    issues = read_section(spark, out, "issues").groupBy("level").agg(_n())
+    halts = read_section(spark, out, "halts").agg(_n()).withColumn("level", F.lit("halt"))
     return issues.withColumn("section", F.lit("issues")).unionByName(halts.withColumn("section", F.lit("halts")))

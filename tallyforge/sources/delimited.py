@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import literal, null_tokens
-from .files import Layout, occurrences, without_quoted
+from .files import PLAIN_FILE_NAME, Layout, literal_paths, occurrences, without_quoted
 
 _C1 = bytes(range(0x80, 0xA0))
 _C1_DEFINED = [b for b in _C1 if bytes([b]).decode("cp1252", errors="ignore")]
@@ -36,10 +36,10 @@ def read_delimited(spark: SparkSession, layout: Layout, paths: list[str]) -> Dat
         .option("multiLine", layout.multiline)
         .option("encoding", "UTF-8" if layout.charset == "UTF-8" else "ISO-8859-1")
     )
-    return reader.csv(paths).selectExpr(
+    return reader.csv(literal_paths(paths)).selectExpr(
         *[f"{null_tokens(_decoded(n, layout.charset))} AS {n}" for n in names],
         "_metadata.file_path AS file_path",
-        "_metadata.file_name AS file_name",
+        f"{PLAIN_FILE_NAME} AS file_name",
         "_metadata.file_block_start AS block_start",
         "monotonically_increasing_id() AS row_id",
     )
@@ -62,15 +62,20 @@ def overlong_files(spark: SparkSession, layout: Layout, paths: list[str]) -> Dat
         .option("columnPruning", False)
         .option("encoding", "UTF-8" if layout.charset == "UTF-8" else "ISO-8859-1")
         .option("columnNameOfCorruptRecord", "_broken")
-        .csv(paths)
+        .csv(literal_paths(paths))
     )
     bare = without_quoted("regexp_replace(_broken, r'[\r\n]+$', '')")
     return (
         records.where("_broken IS NOT NULL")
-        .selectExpr("_metadata.file_path AS file_path", f"{occurrences(f'({bare})', layout.delimiter)} + 1 AS fields")
+        .selectExpr(
+            "_metadata.file_path AS file_path",
+            f"{occurrences(f'({bare})', layout.delimiter)} + 1 AS fields",
+            names[0],
+        )
         .where(f"fields > {len(names)}")
         .groupBy("file_path")
-        .agg(F.max("fields").alias("fields"))
+        # Spark does not read the marked records alone, so another column is counted along.
+        .agg(F.max("fields").alias("fields"), F.count(names[0]).alias("filled"))
     )
 
 

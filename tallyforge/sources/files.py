@@ -9,8 +9,10 @@ holds the list of files for the reader anyway.
 from __future__ import annotations
 
 import csv
+import re
 from collections import defaultdict
 from typing import NamedTuple
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,19 +54,35 @@ def discover_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str | list[str]) -> list[str]:
-    found = [r["path"] for r in discover_files(spark, path).select("path").collect()]
+    """Paths of the export files, empty ones included; taken from the listing, without a job."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", FILE_PATTERN).load(path).inputFiles()
+    found = sorted(p for p in map(plain_path, listed) if not file_name(p).startswith("~$"))
     if not found:
         raise FileNotFoundError(f"No sales exports ({FILE_PATTERN}) found in {path}.")
     return found
 
 
+def plain_path(path: str) -> str:
+    """A path from a listing or from file metadata, unescaped and in one spelling."""
+    return re.sub("^file:/+", "file:/", unquote(path))
+
+
+# The same for a file's name, as SQL text; a plus sign is no escape in a path.
+PLAIN_FILE_NAME = "url_decode(replace(_metadata.file_name, '+', '%2B'))"
+
+
+def literal_paths(paths: list[str]) -> list[str]:
+    """Paths for a reader: characters of a glob pattern stand for themselves."""
+    return [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]
+
+
 def file_name(path: str) -> str:
     return path.rsplit("/", 1)[-1]
 
 
 def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Text lines with their file and place in it."""
-    return spark.read.text(paths).selectExpr(
+    return spark.read.text(literal_paths(paths)).selectExpr(
         "value AS line",
         "_metadata.file_path AS file_path",
         "struct(_metadata.file_block_start, monotonically_increasing_id() AS row_id) AS place",
@@ -112,7 +130,7 @@ def profile_files(spark: SparkSession, paths: list[str]) -> FilePlan:
     unreadable: dict[str, str] = {}
     seen = set()
     for row in profile_lines(read_lines(spark, paths)).toLocalIterator():
-        path = row["file_path"]
+        path = plain_path(row["file_path"])
         seen.add(file_name(path))
         if not row["is_utf8"] and row["has_undefined_bytes"]:
             unreadable[path] = "it is neither UTF-8 nor windows-1252 text"

@@ -13,7 +13,7 @@ from ..operators.quality import MAX_BROADCAST_FILES, Checked, order_id_issues, v
 from ..schema import LINE_ITEM
 from ..session import stored
 from .delimited import cell, overlong_files, read_delimited
-from .files import file_name, list_files, profile_files
+from .files import file_name, list_files, plain_path, profile_files
 from .workbook import read_workbooks
 
 HALT_SCHEMA = "source_file string, reason string, message string"
@@ -57,7 +57,9 @@ def scan_exports(spark: SparkSession, path: str | list[str]) -> Scan:
         unreadable = dict(plan.unreadable)
         for layout, files in plan.layouts.items():
             if layout.multiline:
-                long = {r["file_path"]: r["fields"] for r in overlong_files(spark, layout, files).collect()}
+                long = {
+                    plain_path(r["file_path"]): r["fields"] for r in overlong_files(spark, layout, files).collect()
+                }
                 unreadable |= {
                     f: f"expected {len(layout.header)} fields in every line, saw {n}" for f, n in long.items()
                 }

@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+from .files import literal_paths
+
 # Send these functions to the workers themselves, so that the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -34,7 +36,7 @@ def read_workbooks(spark: SparkSession, paths: list[str]) -> DataFrame:
 
     A file that cannot be read gives one row with ``error`` set.
     """
-    return workbook_rows(spark.read.format("binaryFile").load(paths).select("path", "content"))
+    return workbook_rows(spark.read.format("binaryFile").load(literal_paths(paths)).select("path", "content"))
 
 
 def workbook_rows(files: DataFrame) -> DataFrame:

@@ -89,7 +89,7 @@ def test_files_of_many_shapes_in_one_folder(spark, tmp_path):
     put(tmp_path, "semi.csv", "date;price;customer\n13/02/2026;10;Zoë\n01/02/2026;11;Al\n")
     put(tmp_path, "old.csv", "date,price,customer\n2026-02-01,10,Zoë €5 \n", "cp1252")
     put(tmp_path, "bom.csv", "﻿date,price\n2026-02-01,1\n", "utf-8")
-    put(tmp_path, "pipe.csv", "price|date\n5|2026-02-03\n")
+    put(tmp_path, "pipe [1] {a}%20.csv", "price|date\n5|2026-02-03\n")
     put(tmp_path, "~$lock.xlsx", b"")
     put(tmp_path, "noprice.csv", "date,qty\n2026-02-01,1\n")
     put(tmp_path, "long.csv", "date,price\n2026-02-01,1\n2026-02-01,1,2\n")
@@ -103,7 +103,7 @@ def test_files_of_many_shapes_in_one_folder(spark, tmp_path):
     assert found == {
         ("semi.csv", "2026-02-13"): (10.0, "Zoë"), ("semi.csv", "2026-02-01"): (11.0, "Al"),
         ("old.csv", "2026-02-01"): (10.0, "Zoë €5"), ("bom.csv", "2026-02-01"): (1.0, "Unknown"),
-        ("pipe.csv", "2026-02-03"): (5.0, "Unknown"), ("short.csv", "2026-02-01"): (7.0, ""),
+        ("pipe [1] {a}%20.csv", "2026-02-03"): (5.0, "Unknown"), ("short.csv", "2026-02-01"): (7.0, ""),
     }
     assert halts_of(checked) == {
         "noprice.csv": "missing_columns", "long.csv": "unreadable", "empty.csv": "unreadable",
@@ -175,13 +175,14 @@ def book(*rows):
 def test_workbook(spark, tmp_path):
     put(tmp_path, "book.xlsx", book(
         ("Date", "Price", "Customer", "Order ID", "Quantity"),
-        (datetime.date(2026, 7, 1), 12.5, "A & B", 17, 2), (None,) * 5, (datetime.date(2026, 7, 2), 3, None, "x", None),
+        (datetime.date(2026, 7, 1), 12.5, "A & B", 17, 2), (None,) * 5, (datetime.date(2026, 7, 2), 3, None, "x", 1),
     ))
     put(tmp_path, "other.xlsx", book(("date", "qty"), (datetime.date(2026, 7, 1), 1)))
     checked = read_sales(spark, str(tmp_path))
     first, second = rows_of(checked, "date")
     assert (first["price"], first["customer"], first["order_id"], first["quantity"]) == (12.5, "A & B", "17", 2.0)
-    assert first["date"] == datetime.datetime(2026, 7, 1) and second["source_file"] == "book.xlsx" if second else True
+    assert first["date"] == datetime.datetime(2026, 7, 1) 
+    assert (second["source_file"], second["customer"], second["flag"]) == ("book.xlsx", "", "flagged:invalid_customer")
     assert halts_of(checked) == {"other.xlsx": "missing_columns"}
 
 
