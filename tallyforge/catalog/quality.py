@@ -27,7 +27,11 @@ FILES = len(EXPORT_FILES)
 
 def staged_exports(spark, d):
     """The exports as one written table, as a file scan leaves them: they are read several times."""
-    return stored(star_exports(spark, d))
+    rows = star_exports(spark, d)
+    cores = spark.sparkContext.defaultParallelism
+    if table(spark, d, "lineitem").rdd.getNumPartitions() < cores:
+        rows = rows.repartition(cores)  # a small table in few splits would leave cores idle in every later pass
+    return stored(rows)
 
 
 def checked(spark, d) -> Q.Checked:

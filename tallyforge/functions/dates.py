@@ -47,13 +47,14 @@ def guess_format(sample: str) -> str:
 
 
 def to_date(c: str, date_format: str) -> str:
-    """Read ``c`` with its file's format; a file without one is read value by value.
-
-    The formats are literals behind a CASE, so each row runs one prepared parser.
-    """
-    chosen = " ".join(f"WHEN {literal(f)} THEN {parse_date(c, f)}" for f in DATE_FORMATS)
-    by_value = ", ".join(parse_date(c, f) for f in DATE_FORMATS)
-    return f"CASE {date_format} {chosen} ELSE coalesce({by_value}) END"
+    """Read ``c`` with its file's format; a file without one is read value by value."""
+    text = strip(c)
+    formats = ", ".join(map(literal, DATE_FORMATS))
+    by_value = f"array_compact(transform(array({formats}), f -> try_to_timestamp({text}, f)))"
+    return (
+        f"CAST(CASE WHEN {date_format} IS NOT NULL THEN try_to_timestamp({text}, {date_format}) "
+        f"ELSE get({by_value}, 0) END AS TIMESTAMP_NTZ)"
+    )
 
 
 def parse_us_date(c: str) -> str:

@@ -41,12 +41,19 @@ def repeated_rows(rows: DataFrame, keys: list[str] | None = None, split: list[st
     more than one over all of them together.
     """
     keys = keys or BUSINESS_COLUMNS
-    hashed = rows.select(*keys, *(split or []), F.xxhash64(*keys).alias("key_hash"))
+    split = split or []
+    hashed = rows.select(*keys, *split, F.xxhash64(*keys).alias("key_hash"))
     suspects = stored(copy_groups(hashed, ["key_hash"]).where("copies > 1").select("key_hash"))
-    if suspects.count() <= MAX_BROADCAST_HASHES:
+    few = suspects.count() <= MAX_BROADCAST_HASHES
+    if few:
         hashed = hashed.join(F.broadcast(suspects), "key_hash", "left_semi")
-    groups = copy_groups(hashed, [*keys, *(split or [])])
-    return stored(groups if split else groups.where("copies > 1"))
+    groups = copy_groups(hashed, ["key_hash", *keys, *split])
+    if not split:
+        groups = groups.where("copies > 1")
+    elif not few:
+        # After the aggregation a key has one row per split value, however often it was copied.
+        groups = groups.join(suspects, "key_hash", "left_semi")
+    return stored(groups.drop("key_hash"))
 
 
 def with_copies(
@@ -63,11 +70,14 @@ def with_copies(
     threshold = repeated.agg(F.sum("copies") / F.lit(HOT_GROUPS)).scalar()
     hot = _renamed(repeated.where(F.col("copies") > threshold), keys, "h")
     cold = _renamed(repeated.where(F.col("copies") <= threshold), keys, "c")
+    # The other side of ``spread`` is 0 for every row, but must not be a constant: Spark would
+    # take it out of the join keys.
+    zero = F.expr("pmod(c_copies, 1L)")
     spread = f"CASE WHEN h_copies IS NULL THEN 0L ELSE pmod(xxhash64({row_id}), {SPREAD - 1}L) + 1 END"
     return (
         rows.join(F.broadcast(hot), _same(keys, "h"), "left")
         .withColumn("spread", F.expr(spread))
-        .join(cold.withColumn("c_spread", F.lit(0).cast("long")), _same([*keys, "spread"], "c"), "left")
+        .join(cold.withColumn("c_spread", zero), _same([*keys, "spread"], "c"), "left")
         .selectExpr(*[f"`{c}`" for c in rows.columns], "coalesce(h_copies, c_copies, 1L) AS copies")
     )
 

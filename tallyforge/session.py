@@ -21,7 +21,7 @@ def shared_dir(spark: SparkSession) -> str:
     master, where driver and executors are one process, may fall back to a
     temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")

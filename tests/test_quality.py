@@ -165,6 +165,19 @@ def test_copies_of_a_hot_row(spark, monkeypatch, hot_groups, max_hashes):
     assert found == {("hot", 1000): 1000, ("x", 2): 1000, ("x", 1): 1000}
 
 
+def test_hot_rows_are_spread_over_the_shuffle(spark):
+    rows = spark.range(100).selectExpr("'hot' AS k", "id AS row_id")
+    counted = duplicates.with_copies(rows, ["k"])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    (join,) = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert "spread" in join.split("], [")[0]
+
+
 def test_order_id_reuse_lists_ids_and_counts_all(spark):
     rows = spark.range(500).selectExpr("'f.csv' AS source_file", "concat('S', lpad(int(id / 2), 3, '0')) AS order_id")
     (issue,) = Q.order_id_issues(rows, max_listed=2).collect()
