@@ -43,9 +43,12 @@ def kept_rows(spark, d, staged: bool = False):
     return Q.validate(rows, FILES, duplicates=False).rows
 
 
-def _accepted(spark, d):
-    rows = star_exports(spark, d)
-    return Q.without_halted(rows, Q.date_halts(Q.file_counts(rows)), FILES)
+def _halts(spark, d):
+    return Q.date_halts(Q.file_counts(star_exports(spark, d, "source_file", "date", "quantity", "price")))
+
+
+def _accepted(spark, d, *columns):
+    return Q.without_halted(star_exports(spark, d, *columns), _halts(spark, d), FILES)
 
 
 @query("dq_bad_date_halt", exports_sql("""
@@ -236,11 +239,11 @@ query("halt_report", exports_sql("""
       format('''{}'' can''t be used — {:.0f}% of its rows don''t have a valid date, so this file was skipped entirely. Fix: open the file and check the ''date'' column — make sure it''s named exactly ''date'' and every row has a real date (e.g. 2026-07-15), then run the report again.',
              source_file, CAST(n_bad AS DOUBLE) / n_rows * 100) AS message
     FROM shares WHERE source_file NOT IN (SELECT source_file FROM accepted)
-"""))(lambda spark, d: Q.date_halts(Q.file_counts(star_exports(spark, d, "source_file", "date", "quantity", "price"))))
+"""))(_halts)
 
 query("halted_file_exclusion", exports_sql(
     f"SELECT source_file, count(*) AS row_count FROM {_ALL} GROUP BY 1"
-))(lambda spark, d: _accepted(spark, d).groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count")))
+))(lambda spark, d: _accepted(spark, d, "source_file").groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count")))
 
 query("strict_cross_file", exports_sql("""
     SELECT CAST(coalesce(sum(files - 1), 0) AS BIGINT) AS strict_cross_file FROM (

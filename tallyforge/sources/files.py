@@ -103,7 +103,8 @@ def profile_lines(lines: DataFrame) -> DataFrame:
     """One row per file: header line, charset, quoting and widest line.
 
     The widest line is kept for every candidate delimiter, so the pass need not
-    know the delimiter.
+    know the delimiter.  The set of validity flags makes this a hash aggregation:
+    next to the text buffer of ``min_by`` alone, Spark would sort all lines first.
     """
     not_ascii = "(NOT is_valid_utf8(line) OR length(line) <> octet_length(line))"
     undefined = f"{not_ascii} AND hex(CAST(line AS BINARY)) RLIKE '^(?:..)*?(?:{_UNDEFINED_BYTES})'"
@@ -113,7 +114,7 @@ def profile_lines(lines: DataFrame) -> DataFrame:
         f"""
         SELECT file_path,
                min_by(CAST(line AS BINARY), place) AS header,
-               bool_and(is_valid_utf8(line)) AS is_utf8,
+               NOT array_contains(collect_set(is_valid_utf8(line)), false) AS is_utf8,
                bool_or({undefined}) AS has_undefined_bytes,
                bool_or({occurrences("line", quote)} % 2 = 1) AS open_quote,
                {widest}

@@ -119,11 +119,18 @@ def _workbook_parts(spark, books, accept, halts) -> list[DataFrame]:
 
 def with_dates(rows: DataFrame, file_count: int | None = None) -> DataFrame:
     """Read each file's dates with the format of its first date."""
-    first = (
-        rows.where(F.col("date_text").isNotNull())
-        .groupBy("source_file")
-        .agg(F.min_by("date_text", F.struct("block_start", "row_id")).alias("sample"))
-        .selectExpr("source_file", f"{guess_format('sample')} AS date_format")
+    # The set keeps this a hash aggregation; with text buffers alone Spark would sort the rows first.
+    first = rows.sparkSession.sql(
+        f"""
+        SELECT source_file, {guess_format("sample")} AS date_format
+        FROM (
+            SELECT source_file, min_by(date_text, CASE WHEN date_text IS NOT NULL THEN struct(block_start, row_id) END) AS sample,
+                   collect_set(date_text IS NULL) AS undated
+            FROM {{rows}} GROUP BY source_file
+        )
+        WHERE array_contains(undated, false)
+        """,
+        rows=rows.select("source_file", "date_text", "block_start", "row_id"),
     )
     if file_count is not None and file_count <= MAX_BROADCAST_FILES:
         first = F.broadcast(first)
