@@ -24,10 +24,10 @@ from ..sources.delimited import cell, read_delimited
 from ..sources.files import discover_files, list_files, profile_files
 from ..sources.line_totals import read_line_totals, scan_cleaned
 from ..sources.sales import read_sales, scan_exports
-from ..sources.star import star_exports, star_line_totals, star_sales, table
+from ..sources.star import star_line_totals, star_sales, table
 from ..sources.workbook import workbook_rows
 from ..streaming.incremental import ingest_new_files, stored_rows
-from .base import counted, exports_sql, money, periods, query, rounded, sales_sql
+from .base import counted, money, periods, query, rounded, sales_sql
 from .exports import (
     LINE_TOTAL_CELLS,
     UNDERSCORE_CELLS,
@@ -39,7 +39,7 @@ from .exports import (
     write_lines,
 )
 from .extended import _T
-from .quality import FILES, checked
+from .quality import checked, issues_sql
 from .summaries import _MEASURES, _SUMMARY_ROUNDS, _summary_sql
 
 def _n():
@@ -442,10 +442,9 @@ def write_calculations(spark, d):
     return rounded(spark.read.parquet(f"{base}/tables/Region_Category"), **money("Sales"))
 
 
-@query("write_quality_report", exports_sql("""
+@query("write_quality_report", issues_sql("""
     SELECT 'halts' AS section, 'halt' AS level, (SELECT count(*) FROM shares) - (SELECT count(*) FROM accepted) AS n
-    UNION ALL SELECT 'issues', 'skip', 2 * (SELECT count(*) FROM accepted)
-    UNION ALL SELECT 'issues', 'warn', 6 * (SELECT count(*) FROM accepted) + 1
+    UNION ALL SELECT 'issues', level, count(*) FROM issues GROUP BY level
 """))
 def write_quality(spark, d):
     out = shared_dir(spark)

@@ -138,7 +138,9 @@ def test_labels_keep_rule_order(spark):
     assert flags(kept) == {"O0#0": "flagged:invalid_region;clamped:discount"}
 
 
-def test_copies_in_another_file(spark):
+@pytest.mark.parametrize("max_hashes", [10**6, 0])
+def test_copies_in_another_file(spark, monkeypatch, max_hashes):
+    monkeypatch.setattr(duplicates, "MAX_BROADCAST_HASHES", max_hashes)
     rows = frame(3) + [{**r, "source_file": "copy.csv"} for r in frame(2)]
     kept, issues, _ = run(spark, rows)
     assert len(flags(kept)) == 4 and "duplicate" not in issues
