@@ -44,7 +44,7 @@ def kept_rows(spark, d, staged: bool = False):
 
 
 def _halts(spark, d):
-    return Q.date_halts(Q.file_counts(star_exports(spark, d, "source_file", "date", "quantity", "price")))
+    return Q.date_halts(Q.file_counts(star_exports(spark, d, "source_file", "date")))
 
 
 def _accepted(spark, d, *columns):
@@ -56,7 +56,7 @@ def _accepted(spark, d, *columns):
     WHERE source_file NOT IN (SELECT source_file FROM accepted)
 """))
 def bad_date_halt(spark, d):
-    counts = Q.file_counts(star_exports(spark, d, "source_file", "date", "quantity", "price"))
+    counts = Q.file_counts(star_exports(spark, d, "source_file", "date"))
     return Q.date_halts(counts).join(counts, "source_file").select("source_file", "bad_date", "n_rows")
 
 

@@ -104,12 +104,15 @@ def all_labels(columns: list[str]) -> str:
 # --------------------------------------------------------------- file rules
 
 def file_counts(rows: DataFrame) -> DataFrame:
-    """One row per file: every count the rules need, from a single pass."""
-    counts = [
-        f"count_if({BAD_DATE_ROW}) AS bad_date",
-        f"count_if(date IS NOT NULL AND {BAD_QTY_PRICE_ROW}) AS invalid_qty_price",
-        *[f"count_if({KEPT_ROW} AND {cond}) AS {check}" for check, cond, _ in row_rules(rows.columns)],
-    ]
+    """One row per file: every count the rules need, from a single pass.
+
+    Only the rules of columns the rows have are counted; dates are enough to
+    tell the rejected files.
+    """
+    counts = [f"count_if({BAD_DATE_ROW}) AS bad_date"]
+    if {"quantity", "price"} <= set(rows.columns):
+        counts.append(f"count_if(date IS NOT NULL AND {BAD_QTY_PRICE_ROW}) AS invalid_qty_price")
+        counts += [f"count_if({KEPT_ROW} AND {cond}) AS {check}" for check, cond, _ in row_rules(rows.columns)]
     return rows.sparkSession.sql(
         f"SELECT source_file, count(*) AS n_rows, {', '.join(counts)} FROM {{rows}} GROUP BY source_file",
         rows=rows,
