@@ -9,8 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
-from .common import table
+from . import line_dedup, simhash
+from .common import table, texts
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -27,3 +27,30 @@ def query(run: Run) -> Run:
 def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, max_bits=4)
     return found.selectExpr("doc_id", f"{simhash.hex_of('fp')} AS fingerprint", "component_id")
+
+
+@query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_lines(texts(table(spark, sf_dir, "documents")), least=20, min_docs=3)
+    return kept.selectExpr("doc_id", "n_lines", "n_dropped", "sha2(text, 256) AS kept_sha256")
+
+
+SQL["op3_line_dedup"] = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
+  FROM documents
+),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+),
+gone AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+),
+marked AS (SELECT keyed.*, keeper IS NOT NULL AND doc_id <> keeper AS drops FROM keyed LEFT JOIN gone USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE drops) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT drops), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
