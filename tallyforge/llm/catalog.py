@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, simhash
+from . import line_dedup, packing, simhash, topk
 from .common import table, texts
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,27 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("doc_id", f"{simhash.hex_of('fp')} AS fingerprint", "component_id")
 
 
+@query
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.whole_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    found = topk.top_k(vectors, vectors.where("id % 100 = 0"), k=10)
+    return found.selectExpr("query_id", "CAST(rank AS int) AS rank", "vec_id", "score")
+
+
+SQL["op2_topk_search"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS vec FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+pairs AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.vec, v.vec) AS BIGINT) AS score
+  FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM pairs QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10
+"""
+
+
 @query
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_lines(texts(table(spark, sf_dir, "documents")), least=20, min_docs=3)
@@ -54,3 +75,14 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE drops) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT drops), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+
+def word_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_digest(table(spark, sf_dir, "documents"), word_tokenizer, size=2048)
