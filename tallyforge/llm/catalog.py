@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, packing, simhash, topk
+from . import line_dedup, packing, simhash, substring_dedup, topk
 from .common import table, texts
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -86,3 +86,31 @@ def word_tokenizer() -> str:
 @query
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_digest(table(spark, sf_dir, "documents"), word_tokenizer, size=2048)
+
+
+@query
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), size=50)
+    return kept.selectExpr("doc_id", "n_words", "n_removed", "sha2(text, 256) AS kept_sha256")
+
+
+SQL["op9_substring_dedup"] = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+),
+spots AS (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS pos FROM w WHERE len(words) >= 50),
+windows AS (SELECT doc_id, pos, array_to_string(words[pos:pos + 49], ' ') AS seq FROM spots),
+first AS (SELECT seq, min(doc_id) AS low FROM windows GROUP BY seq),
+gone AS (
+  SELECT DISTINCT doc_id, pos + k AS pos
+  FROM (SELECT windows.doc_id, pos FROM windows JOIN first USING (seq) WHERE low < windows.doc_id), range(50) AS r(k)
+),
+placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM w),
+marked AS (SELECT placed.*, gone.pos IS NOT NULL AS drops FROM placed LEFT JOIN gone ON gone.doc_id = placed.doc_id AND gone.pos = placed.pos)
+SELECT w.doc_id, len(words) AS n_words, coalesce(removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN (
+  SELECT doc_id, count(*) FILTER (WHERE drops) AS removed, string_agg(word, ' ' ORDER BY pos) FILTER (WHERE NOT drops) AS kept
+  FROM marked GROUP BY doc_id
+) AS m ON m.doc_id = w.doc_id
+"""
