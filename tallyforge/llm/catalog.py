@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, packing, simhash, substring_dedup, topk
+from . import line_dedup, lm_score, packing, simhash, substring_dedup, topk
 from .common import table, texts
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,11 @@ FROM marked GROUP BY doc_id
 """
 
 
+@query
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"), folds=7, held_out=2)
+
+
 def word_tokenizer() -> str:
     import public_tokenizers
 
