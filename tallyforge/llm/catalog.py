@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, lm_score, packing, simhash, substring_dedup, topk
+from . import langid, line_dedup, lm_score, packing, simhash, substring_dedup, topk
 from .common import table, texts
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,15 @@ def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(table(spark, sf_dir, "documents"), folds=7, held_out=2)
 
 
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.predict(docs.select("doc_id", "text"), langid.fit(docs, folds=4, fold=2))
+    return found.selectExpr(
+        "doc_id", "crc32(CAST(coalesce(CAST(doc_id AS string), '') AS binary)) % 4 = 2 AS held_out", "lang_pred", "score", "rejected"
+    )
+
+
 def word_tokenizer() -> str:
     import public_tokenizers
 
