@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, line_dedup, lm_score, packing, simhash, substring_dedup, topk
+from . import langid, line_dedup, lm_score, packing, pii, simhash, substring_dedup, topk
 from .common import table, texts
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -128,3 +128,15 @@ FROM w LEFT JOIN (
   FROM marked GROUP BY doc_id
 ) AS m ON m.doc_id = w.doc_id
 """
+
+
+def _written(spans: str) -> str:
+    return f"array_join(transform({spans}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')"
+
+
+@query
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs)).drop("text")
+    counts = [f"CAST(size(filter(base, s -> s.kind = '{k}')) AS long) AS n_{k}" for k in pii.KINDS]
+    return found.selectExpr("doc_id", *counts, f"sha2({_written('base')}, 256) AS base_sha256", f"{_written('spans')} AS spans")
