@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, line_dedup, lm_score, packing, pii, simhash, substring_dedup, topk
+from . import langid, line_dedup, lm_score, packing, pii, simhash, substring_dedup, suffix_dedup, topk
 from .common import table, texts
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -140,3 +140,9 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(docs, pii.fit(docs)).drop("text")
     counts = [f"CAST(size(filter(base, s -> s.kind = '{k}')) AS long) AS n_{k}" for k in pii.KINDS]
     return found.selectExpr("doc_id", *counts, f"sha2({_written('base')}, 256) AS base_sha256", f"{_written('spans')} AS spans")
+
+
+@query
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), size=400)
+    return kept.selectExpr("doc_id", "n_bytes", "n_removed", "n_spans", "sha2(kept, 256) AS kept_sha256")

@@ -12,64 +12,25 @@ has the same window.  Windows that do, taken together, are the maximal exact rep
 
 from __future__ import annotations
 
-from functools import cache
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
 from ..session import stored
-from .chunks import Chunk, answered, asked, cut, from_planes, mix, pack_sorted, planes, ranges_of, segments, stored_chunks, unpack_sorted
+from .chunks import Chunk, Rolling, answered, asked, cut, from_planes, mix, pack_sorted, planes, ranges_of, segments, stored_chunks, unpack_sorted
 from .common import words_of
 
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
-@cache
-def _inverse(base: int) -> int:
-    return pow(base, -1, 1 << 64)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
-    if n:
-        out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-def rolling(values: np.ndarray, size: int, base: int) -> np.ndarray:
-    """A 64-bit hash of each run of ``size`` values; empty if there are fewer."""
-    if len(values) < size:
-        return np.zeros(0, np.uint64)
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * _powers(base, len(values)), out=sums[1:])
-    return mix((sums[size:] - sums[:-size]) * _powers(_inverse(base), len(values) - size + 1))
-
-
-def _inside(chunk: Chunk, size: int) -> np.ndarray:
-    """Which runs of ``size`` words of the chunk lie in one document."""
-    count = max(0, len(chunk.words) - size + 1)
-    marks = np.zeros(count + 1, np.int32)
-    for start, end in zip(chunk.starts.tolist(), chunk.ends.tolist(), strict=True):
-        if end - start >= size:
-            marks[start] += 1
-            marks[end - size + 1] -= 1
-    return np.cumsum(marks)[:count] > 0
-
-
-def _documents(chunk: Chunk) -> np.ndarray:
-    """The rank of each word's document among the chunk's documents."""
-    return np.repeat(np.arange(len(chunk.lengths)), chunk.lengths)
-
-
 class Probes:
     """A chunk's distinct rolling block hashes (48 bits, sorted) and where they are."""
 
     def __init__(self, chunk: Chunk, block: int):
-        hashes = rolling(chunk.word_hashes()[chunk.words] if len(chunk.words) else np.zeros(0, np.uint64), block, BASES[0])
-        self.at = np.flatnonzero(_inside(chunk, block))
+        hashes = Rolling(chunk.word_hashes()[chunk.words] if len(chunk.words) else np.zeros(0, np.uint64), BASES[0]).all(block)
+        self.at = np.flatnonzero(chunk.inside(block))
         self.hashes, self.which = np.unique(hashes[self.at] & np.uint64(0xFFFFFFFFFFFF << 16), return_inverse=True)
-        document = _documents(chunk)
+        document = chunk.documents()
         self.document = document[self.at] if len(self.at) else self.at
         self.anchor = (self.at - chunk.starts[self.document]) % block == 0 if len(self.at) else np.zeros(0, bool)
 
@@ -95,7 +56,7 @@ def _hits(chunk: Chunk, probes: Probes, block: int, size: int, replies: pd.DataF
     # A window starting at s holds the block at q when s <= q and q + block <= s + size.
     np.add.at(marks, np.maximum(at - (size - block), 0), 1)
     np.add.at(marks, at + 1, -1)
-    inside = _inside(chunk, size)
+    inside = chunk.inside(size)
     return np.flatnonzero((np.cumsum(marks)[: len(inside)] > 0) & inside)
 
 
@@ -104,8 +65,8 @@ class Windows:
 
     def __init__(self, chunk: Chunk, at: np.ndarray, size: int, ranks: np.ndarray):
         values = chunk.word_hashes()[chunk.words] if len(at) else np.zeros(0, np.uint64)
-        first = rolling(values, size, BASES[0])[at] if len(at) else np.zeros(0, np.uint64)
-        second = rolling(mix(values + np.uint64(1)), size, BASES[1])[at] >> np.uint64(32) if len(at) else first
+        first = Rolling(values, BASES[0]).all(size)[at] if len(at) else np.zeros(0, np.uint64)
+        second = Rolling(mix(values + np.uint64(1)), BASES[1]).all(size)[at] >> np.uint64(32) if len(at) else first
         order = np.lexsort((second, first))
         a, b = first[order], second[order]
         new = np.ones(len(a), bool)
@@ -113,7 +74,7 @@ class Windows:
         self.first, self.second = a[new], b[new]
         self.which = np.empty(len(a), np.int64)
         self.which[order] = np.cumsum(new) - 1
-        self.rank = ranks[_documents(chunk)[at]] if len(at) else np.zeros(0, np.int64)
+        self.rank = ranks[chunk.documents()[at]] if len(at) else np.zeros(0, np.int64)
         self.least = np.full(len(self.first), np.iinfo(np.int64).max)
         np.minimum.at(self.least, self.which, self.rank)
 
