@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, line_dedup, lm_score, packing, pii, simhash, substring_dedup, suffix_dedup, topk
+from . import decontaminate, langid, line_dedup, lm_score, packing, pii, simhash, substring_dedup, suffix_dedup, topk
 from .common import table, texts
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +102,13 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_digest(table(spark, sf_dir, "documents"), word_tokenizer, size=2048)
 
 
+@query
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"), similarity=0.8)
+    return found.selectExpr("doc_id", "explode(hits) AS hit").selectExpr("doc_id", "hit.item_id", "hit.edits", "hit.item_words")
+
+
 @query
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), size=50)

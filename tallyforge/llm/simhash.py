@@ -20,9 +20,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import stored
-from .common import LOWER, byte_rows, texts
+from .common import LOWER, byte_rows, fresh, texts
 from .components import components
 
 
@@ -110,10 +111,11 @@ def links(prints: DataFrame, max_bits: int = 4) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
-    """``doc_id, fp, component_id`` for every row.
+    """``doc_id, fp, component_id, root`` for every row.
 
     component_id is the smallest doc_id that can be reached over links of at most
-    ``max_bits`` differing bits; null only if no row of the component has an id.
+    ``max_bits`` differing bits; null only if no row of the component has an id.  root
+    is the component's smallest fingerprint (as a signed number).
     Texts without words share fingerprint 0 and are linked like any others.  An
     empty table gives no rows.  Links are between distinct fingerprints, which
     loses none between rows: copies reach each other through their fingerprint.
@@ -121,22 +123,41 @@ def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataF
     rows = stored(fingerprints(docs, words))
     prints = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     roots = stored(components(links(prints, max_bits)))
-    linked = rows.sparkSession.sql(
-        """WITH low AS (SELECT root, min(first_id) AS low_id FROM {roots} JOIN {prints} ON fp = node GROUP BY root)
-           SELECT node, low_id FROM {roots} JOIN low USING (root)""",
+    return rows.sparkSession.sql(
+        """WITH low AS (SELECT root, min(first_id) AS low_id FROM {roots} JOIN {prints} ON fp = node GROUP BY root),
+                linked AS (SELECT node, root, low_id FROM {roots} JOIN low USING (root)),
+                named AS (SELECT fp, CASE WHEN node IS NULL THEN first_id ELSE low_id END AS component_id, coalesce(root, fp) AS root
+                          FROM {prints} LEFT JOIN linked ON fp = node)
+           SELECT doc_id, fp, component_id, root FROM {rows} JOIN named USING (fp)""",
         roots=roots,
         prints=prints,
-    )
-    return rows.sparkSession.sql(
-        """WITH named AS (SELECT fp, CASE WHEN node IS NULL THEN first_id ELSE low_id END AS component_id
-                          FROM {prints} LEFT JOIN {linked} ON fp = node)
-           SELECT doc_id, fp, component_id FROM {rows} JOIN named USING (fp)""",
         rows=rows,
-        prints=prints,
-        linked=linked,
     )
 
 
+def one_of_each(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
+    """The documents without near duplicates: of each component one row, one with its smallest doc_id.
+
+    Columns stay.  Of several rows with that id, one with the smallest fingerprint
+    stays; of rows equal in both, any one.
+    """
+    found = stored(near_duplicates(docs, words, max_bits))
+    stay = stored(found.where("doc_id <=> component_id").groupBy("root").agg(F.min("fp").alias("stay_fp"), F.first("component_id").alias("stay_id")).drop("root"))
+    single = found.where("doc_id <=> component_id").groupBy("root", "fp").count().where("count > 1").isEmpty()
+    columns, name = docs.columns, fresh("fp", docs.columns)
+    at = columns.index("text")
+    rows = docs.withColumn("text", F.col("text").cast("string"))
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [fingerprint(t, words) for t in byte_rows(batch.column(at))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.int64())], [*columns, name])
+
+    marked = rows.mapInArrow(mark, T.StructType([*(T.StructField(f.name, f.dataType) for f in rows.schema), T.StructField(name, T.LongType())]))
+    kept = marked.join(stay, (marked[name] == stay["stay_fp"]) & marked["doc_id"].cast("long").eqNullSafe(stay["stay_id"]), "left_semi")
+    return (kept if single else kept.dropDuplicates(["doc_id", name])).select(*columns)
+
+
 def hex_of(column: str) -> str:
     """SQL for a long's sixteen hex digits."""
     return f"lpad(lower(hex({column})), 16, '0')"
