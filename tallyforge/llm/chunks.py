@@ -227,7 +227,7 @@ def cut(hashes: np.ndarray, ranges: int) -> list[tuple[int, int, int]]:
     """``range, start, stop`` of sorted hashes; ranges without a hash are left out."""
     at = (((hashes >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)).astype(np.int64)
     names, starts = np.unique(at, return_index=True)
-    return list(zip(names.tolist(), starts.tolist(), [*starts[1:].tolist(), len(hashes)], strict=True))
+    return list(zip(names.tolist(), starts.tolist(), np.append(starts, len(hashes))[1:].tolist(), strict=True))
 
 
 def segments(arrays: list[np.ndarray]) -> list[slice]:
@@ -255,7 +255,7 @@ def answered(
 
     def run(rows: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
         frames = [finish(kind(row), got) for row in rows.to_dict("records")]
-        return pd.concat(frames) if frames else pd.DataFrame({n: [] for n in names})
+        return pd.concat(frames) if frames else pd.DataFrame(columns=names, dtype=object)
 
     return chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInPandas(run, schema)
 

@@ -4,7 +4,8 @@ A text is the TF-IDF vector of its letter n-grams (1 to 3, in lower case, anythi
 else a gap), hashed to a fixed number of dimensions and scaled to length one.  Each
 language's sample is clustered on the sphere; a text gets the language of the
 centroid with the highest cosine.  It is rejected if that cosine is well below what
-the language's own sample reaches, or if it has no letter.
+the language's own sample reaches, or if it has no letter; texts of a few letters say
+too little to be rejected by distance.
 
 Document frequencies count all training rows.  The clusters are fitted on at most
 ``sample`` rows of each language, those with the smallest hash of their id.  What is
@@ -29,6 +30,8 @@ from .common import fresh
 #: Hashed n-gram dimensions.
 DIMENSIONS = 1 << 13
 UNKNOWN = "und"
+#: Texts with fewer n-gram occurrences are too short to be rejected by distance.
+JUDGED = 60
 #: Characters that are looked at in one go.
 BLOCK = 1 << 20
 
@@ -92,15 +95,15 @@ class Model:
         at, values = vector(counts, self.idf)
         cosines = self.centres[:, at] @ values
         i = int(cosines.argmax())
-        return self.languages[i], float(min(1.0, max(0.0, cosines[i]))), bool(cosines[i] < self.limits[i])
+        return self.languages[i], float(min(1.0, max(0.0, cosines[i]))), bool(cosines[i] < self.limits[i] and counts.sum() >= JUDGED)
 
 
-def fit(docs: DataFrame, folds: int = 4, fold: int = 2, clusters: int = 4, sample: int = 1000, slack: float = 0.5) -> Model:
+def fit(docs: DataFrame, folds: int = 4, fold: int = 2, clusters: int = 4, sample: int = 1000, slack: float = 0.4) -> Model:
     """A model from ``text`` and ``lang`` of rows whose crc32(doc_id as text) modulo ``folds`` is not ``fold``.
 
     Rows without a language or a letter are not learned from, nor rows without an id
     sampled.  The rejection limit of a language is ``slack`` times the lowest cosine of
-    its sample with the nearest centroid.  Without training rows the model knows none.
+    its sample, but for texts too short to judge, with the nearest centroid.  Without training rows the model knows none.
     """
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), docs["lang"].cast("string").alias("lang"))
     rows = rows.where(f"lang IS NOT NULL AND crc32(CAST(coalesce(CAST(doc_id AS string), '') AS binary)) % {folds} <> {fold}")
@@ -131,7 +134,7 @@ def fit(docs: DataFrame, folds: int = 4, fold: int = 2, clusters: int = 4, sampl
     )
 
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
-        own = []
+        own, judged = [], []
         for text in group["text"].head(2 * sample):  # ids may repeat
             counts = grams(text)
             if counts is not None:
@@ -139,11 +142,12 @@ def fit(docs: DataFrame, folds: int = 4, fold: int = 2, clusters: int = 4, sampl
                 full = np.zeros(DIMENSIONS, np.float32)
                 full[at] = values
                 own.append(full)
+                judged.append(counts.sum() >= JUDGED)
         if not own:
-            return pd.DataFrame({"lang": [], "centre": [], "limit": []})
+            return pd.DataFrame(columns=["lang", "centre", "limit"], dtype=object)
         points = np.stack(own)
         centres = centroids(points, clusters)
-        limit = slack * float((points @ centres.T).max(axis=1).min())
+        limit = slack * float((points @ centres.T).max(axis=1)[np.array(judged)].min()) if any(judged) else 0.0
         return pd.DataFrame({"lang": group["lang"].iloc[0], "centre": [c.astype("<f4").tobytes() for c in centres], "limit": limit})
 
     learned = rows.join(few, "doc_id", "left_semi").groupBy("lang").applyInPandas(cluster, "lang string, centre binary, limit double").collect()

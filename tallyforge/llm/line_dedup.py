@@ -100,7 +100,7 @@ def twice_seen(docs: DataFrame, least: int, filter_bits: int) -> dict[int, bytes
             _put(once, at)
             _put(twice, _positions(again, part))
         if not twice.any():
-            return pd.DataFrame({"slot": [], "bits": []}).astype({"slot": "int32"})
+            return pd.DataFrame(columns=["slot", "bits"], dtype=object)
         return pd.DataFrame({"slot": rows["slot"].iloc[:1], "bits": [zlib.compress(twice.tobytes(), 1)]})
 
     sent = docs.select(docs["text"].cast("string")).mapInArrow(send, "slot int, hashes binary")

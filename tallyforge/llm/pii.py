@@ -199,9 +199,9 @@ class Model:
 def fit(docs: DataFrame, sample: int = 8000, each: int = 50, least: int = 10, threshold: float = 0.5) -> Model:
     """A model from at most ``sample`` documents (smallest hash of the id) and ``each`` candidates of one.
 
-    Every fifth candidate is held out for the calibration.  A kind with fewer than
-    ``least`` confirmed held-out candidates adds nothing, nor does a table without
-    confirmed candidates.  Rows without an id or text are not sampled.
+    Each half of the candidates is scored by trees of the other half for the
+    calibration.  A kind with fewer than ``least`` confirmed candidates adds nothing,
+    nor does a table with so few.  Rows without an id or text are not sampled.
     """
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     ids = rows.where("doc_id IS NOT NULL").select("doc_id", F.xxhash64("doc_id").alias("at")).distinct().orderBy("at", "doc_id").limit(sample).select("doc_id")
@@ -230,16 +230,16 @@ def fit(docs: DataFrame, sample: int = 8000, each: int = 50, least: int = 10, th
     got.sort(key=lambda r: (r["kind"], r["x"], r["hit"]))
     x = np.array([r["x"] for r in got], dtype=float).reshape(len(got), width)
     y, kinds = np.array([r["hit"] for r in got], dtype=float), np.array([r["kind"] for r in got])
-    test = np.arange(len(got)) % 5 == 0
-    if y[~test].sum() < least or y[~test].all():
+    if y.sum() < least or y.all():
         return Model(None, [0.0] * len(KINDS), threshold)
-    trees = Boosted().fit(x[~test], y[~test])
-    scores = trees.predict(x[test]) if test.any() else np.zeros(0)
+    scores, half = np.zeros(len(got)), np.arange(len(got)) % 2
+    for side in (0, 1):
+        scores[half == side] = Boosted().fit(x[half != side], y[half != side]).predict(x[half == side])
     confirmed = []
     for kind in range(len(KINDS)):
-        own = scores[(kinds[test] == kind) & (y[test] == 1)]
+        own = scores[(kinds == kind) & (y == 1)]
         confirmed.append(float(own.mean()) if len(own) >= least else 0.0)
-    return Model(trees, confirmed, threshold)
+    return Model(Boosted().fit(x, y), confirmed, threshold)
 
 
 def find(docs: DataFrame, model: Model) -> DataFrame:

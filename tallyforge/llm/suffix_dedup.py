@@ -114,7 +114,7 @@ def split(lead: np.ndarray, splitters: np.ndarray) -> list[tuple[int, int, int]]
     """``range, start, stop`` of sorted leads."""
     at = np.searchsorted(splitters, lead, side="right")
     names, starts = np.unique(at, return_index=True)
-    return list(zip(names.tolist(), starts.tolist(), [*starts[1:].tolist(), len(lead)], strict=True))
+    return list(zip(names.tolist(), starts.tolist(), np.append(starts, len(lead))[1:].tolist(), strict=True))
 
 
 def words_around(sides: np.ndarray, low: int) -> list[np.ndarray]:
