@@ -5,10 +5,10 @@ overlapping spans: numbers in any grouping, dotted quads, mail addresses in free
 written-out form.  Boosted trees score a candidate by its format and by what stands
 around it; they are trained to tell candidates that a rule confirms from the rest, on
 features that do not hold the rule's check digit or length test.  Confirmed
-candidates are only some of the true ones, so the score is calibrated as in
-positive-unlabelled learning: it is divided by the mean score of confirmed held-out
-candidates of the kind, and selected from a threshold on.  Of overlapping candidates
-the best stays; base spans always stay.
+candidates are only some of the true ones, so scores are not probabilities of being
+personal data; as in positive-unlabelled learning, the threshold of a kind is
+calibrated on what confirmed candidates score when held out.  Of overlapping
+candidates the best stays; base spans always stay.
 """
 
 from __future__ import annotations
@@ -169,10 +169,10 @@ def features(text: str, span: Span) -> list[float]:
 
 
 class Model:
-    """Trees, and for each kind the mean score of confirmed held-out candidates (0: the kind adds nothing)."""
+    """Trees, and for each kind the score from which a candidate is selected (infinite: the kind adds nothing)."""
 
-    def __init__(self, trees: Boosted | None, confirmed: list[float], threshold: float):
-        self.trees, self.confirmed, self.threshold = trees, confirmed, threshold
+    def __init__(self, trees: Boosted | None, limits: list[float]):
+        self.trees, self.limits = trees, limits
 
     def more(self, texts: list[str], base: list[list[Span]]) -> list[list[Span]]:
         """The spans to add to each text's base spans."""
@@ -182,25 +182,26 @@ class Model:
             if proposed:
                 marks[i] = covered(text, base[i])
             for span in proposed:
-                if self.confirmed[span[0]] > 0 and 1 not in marks[i][span[1] : span[2]]:
+                if self.limits[span[0]] < 1 and 1 not in marks[i][span[1] : span[2]]:
                     where.append((i, span))
                     rows.append(features(text, span))
         out: list[list[Span]] = [[] for _ in texts]
         if rows:
-            scores = self.trees.predict(np.array(rows, dtype=float)) / np.array([self.confirmed[s[0]] for _, s in where])
-            for k in np.lexsort(([s[1] - s[2] for _, s in where], -np.minimum(scores, 1))).tolist():
+            scores = self.trees.predict(np.array(rows, dtype=float)) / np.array([self.limits[s[0]] for _, s in where])
+            for k in np.lexsort(([s[1] - s[2] for _, s in where], -scores)).tolist():
                 i, span = where[k]
-                if scores[k] >= self.threshold and 1 not in marks[i][span[1] : span[2]]:
+                if scores[k] >= 1 and 1 not in marks[i][span[1] : span[2]]:
                     marks[i][span[1] : span[2]] = b"\1" * (span[2] - span[1])
                     out[i].append(span)
         return out
 
 
-def fit(docs: DataFrame, sample: int = 8000, each: int = 50, least: int = 10, threshold: float = 0.5) -> Model:
+def fit(docs: DataFrame, sample: int = 8000, each: int = 50, least: int = 10, share: float = 0.95, slack: float = 0.5) -> Model:
     """A model from at most ``sample`` documents (smallest hash of the id) and ``each`` candidates of one.
 
-    Each half of the candidates is scored by trees of the other half for the
-    calibration.  A kind with fewer than ``least`` confirmed candidates adds nothing,
+    Each half of the candidates is scored by trees of the other half; the limit of a
+    kind is ``slack`` times the score that ``share`` of its confirmed candidates reach
+    there.  A kind with fewer than ``least`` confirmed candidates adds nothing,
     nor does a table with so few.  Rows without an id or text are not sampled.
     """
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
@@ -231,15 +232,19 @@ def fit(docs: DataFrame, sample: int = 8000, each: int = 50, least: int = 10, th
     x = np.array([r["x"] for r in got], dtype=float).reshape(len(got), width)
     y, kinds = np.array([r["hit"] for r in got], dtype=float), np.array([r["kind"] for r in got])
     if y.sum() < least or y.all():
-        return Model(None, [0.0] * len(KINDS), threshold)
+        return Model(None, [np.inf] * len(KINDS))
     scores, half = np.zeros(len(got)), np.arange(len(got)) % 2
     for side in (0, 1):
-        scores[half == side] = Boosted().fit(x[half != side], y[half != side]).predict(x[half == side])
-    confirmed = []
+        scores[half == side] = _trees().fit(x[half != side], y[half != side]).predict(x[half == side])
+    limits = []
     for kind in range(len(KINDS)):
         own = scores[(kinds == kind) & (y == 1)]
-        confirmed.append(float(own.mean()) if len(own) >= least else 0.0)
-    return Model(Boosted().fit(x, y), confirmed, threshold)
+        limits.append(slack * float(np.quantile(own, 1 - share)) if len(own) >= least else np.inf)
+    return Model(_trees().fit(x, y), limits)
+
+
+def _trees() -> Boosted:
+    return Boosted(trees=40, depth=3, rate=0.2, least=3.0)
 
 
 def find(docs: DataFrame, model: Model) -> DataFrame:
