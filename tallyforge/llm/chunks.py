@@ -268,11 +268,16 @@ def _inverse(base: int) -> int:
     return pow(base, -1, 1 << 64)
 
 
+_known_powers: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
-    if n:
+    """The first n powers; a worker keeps the longest run it needed."""
+    if len(_known_powers.get(base, ())) < n:
+        out = np.full(n, base, dtype=np.uint64)
         out[0] = 1
-    return np.multiply.accumulate(out)
+        _known_powers[base] = np.multiply.accumulate(out)
+    return _known_powers[base][:n] if n else np.zeros(0, np.uint64)
 
 
 class Rolling:

@@ -53,12 +53,21 @@ def sliding_least(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 class Anchors:
-    """Anchors of a chunk's windows: place, hash, and the first and last window of each."""
+    """Anchors of a chunk's windows: place, and the first and last window of each."""
 
-    def __init__(self, chunk: Texts, size: int):
+    def __init__(self, chunk: Texts, size: int, packed: bytes | None = None):
         self.gram = size // 2
         table = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
         self.rolling = Rolling(table[chunk.data], BASE)
+        if packed is None:
+            self._choose(chunk, size)
+        else:
+            self.place, self.first, self.last = np.frombuffer(packed, np.int32).reshape(3, -1).astype(np.int64)
+        hashes = self.rolling.at(self.place, self.gram)
+        self.hashes, self.which, counts = np.unique(hashes, return_inverse=True, return_counts=True)
+        self.several = counts > 1
+
+    def _choose(self, chunk: Texts, size: int) -> None:
         hashes = self.rolling.all(self.gram)
         keys = (hashes & ~np.uint64(0xFFFFFFFF)) | np.arange(len(hashes), dtype=np.uint64)
         windows = np.flatnonzero(chunk.inside(size))
@@ -66,8 +75,22 @@ class Anchors:
         new = np.flatnonzero(np.diff(places, prepend=-1))
         self.place, self.first = places[new], windows[new]
         self.last = windows[np.append(new[1:], len(windows)) - 1] if len(new) else self.first
-        self.hashes, self.which, counts = np.unique(hashes[self.place], return_inverse=True, return_counts=True)
-        self.several = counts > 1
+
+    def packed(self) -> bytes:
+        return np.stack([self.place, self.first, self.last]).astype(np.int32).tobytes()
+
+    def leads(self, chunk: Texts) -> bytes:
+        """The first bytes at some of the anchors, evenly chosen, as signed numbers in their order."""
+        at = self.place[np.linspace(0, len(self.place) - 1, min(SAMPLED, len(self.place))).astype(np.int64)] if len(self.place) else self.place
+        return (first_bytes(chunk.data, at) ^ SIGN).tobytes()
+
+
+def first_bytes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as a number that orders like them."""
+    lead = np.zeros(len(at), np.uint64)
+    for i in range(8):
+        lead = (lead << np.uint64(8)) | data[at + i]
+    return lead
 
 
 class Cells:
@@ -89,9 +112,7 @@ class Cells:
         whole = (self.core - CELL + 1 >= self.start) & (self.core + size <= self.end)
         spans = np.zeros(len(run), np.uint64)
         spans[whole] = rolling.at(self.core[whole] - CELL + 1, size + CELL - 1) | np.uint64(1)
-        lead = np.zeros(len(run), np.uint64)
-        for i in range(8):
-            lead = (lead << np.uint64(8)) | chunk.data[self.core + i]
+        lead = first_bytes(chunk.data, self.core)
         order = np.lexsort((spans, hashes, lead))
         keys = [x[order] for x in (lead, hashes, spans)]
         new = changes(*keys)
@@ -212,8 +233,9 @@ def remove_repeats(docs: DataFrame, size: int = 400) -> DataFrame:
 
     def anchor_rows(chunk: Texts):
         anchors = Anchors(chunk, size)
+        yield chunk.number, -1, None, None, anchors.packed(), np.frombuffer(anchors.leads(chunk), np.int64).tolist()
         for name, a, b in cut(anchors.hashes, ranges):
-            yield chunk.number, name, pack_sorted(anchors.hashes[a:b]), np.packbits(anchors.several[a:b]).tobytes()
+            yield chunk.number, name, pack_sorted(anchors.hashes[a:b]), np.packbits(anchors.several[a:b]).tobytes(), None, None
 
     def repeated(rows: pd.DataFrame) -> pd.DataFrame:
         arrays = [unpack_sorted(x) for x in rows["hashes"]]
@@ -224,14 +246,24 @@ def remove_repeats(docs: DataFrame, size: int = 400) -> DataFrame:
         found = pd.DataFrame({"chunk": rows["chunk"], "range": rows["range"], "hits": made})
         return found[found["hits"].notna()]
 
+    sent = stored(asked(chunks, anchor_rows, "chunk long, range int, hashes binary, several binary, anchors binary, leads array<long>", Texts))
     hits = stored(
-        asked(chunks, anchor_rows, "chunk long, range int, hashes binary, several binary", Texts)
-        .groupBy("range")
-        .applyInPandas(repeated, "chunk long, range int, hits binary")
+        sent.where("range >= 0").select("chunk", "range", "hashes", "several").groupBy("range").applyInPandas(repeated, "chunk long, range int, hits binary")
     )
+    shares = [i / ranges for i in range(1, ranges)]
+    leads = sent.where("range < 0").select(F.explode("leads").alias("lead"))
+    picked = leads.agg(F.percentile_approx("lead", shares, 100 * ranges).alias("at")).first()["at"] if shares else None
+    splitters = np.unique(np.array(picked or [], dtype=np.int64)).view(np.uint64) ^ SIGN
+
+    columns = ("anchors", "hits", "states", "bits")
+
+    def reply(table: DataFrame, column: str) -> DataFrame:
+        return table.selectExpr("chunk", "range", *(c if c == column else f"CAST(NULL AS binary) AS {c}" for c in columns))
+
+    known = reply(sent.where("range < 0"), "anchors").unionByName(reply(hits, "hits"))
 
     def cells_of(chunk: Texts, got: pd.DataFrame) -> Cells:
-        anchors = Anchors(chunk, size)
+        anchors = Anchors(chunk, size, next(x for x in got["anchors"] if x is not None))
         hit = np.zeros(len(anchors.hashes), bool)
         bits = {r: x for r, x in zip(got["range"], got["hits"], strict=True) if x is not None}
         for name, a, b in cut(anchors.hashes, ranges):
@@ -239,15 +271,6 @@ def remove_repeats(docs: DataFrame, size: int = 400) -> DataFrame:
                 hit[a:b] = np.unpackbits(np.frombuffer(bits[name], np.uint8), count=b - a)
         return Cells(chunk, anchors, np.flatnonzero(hit[anchors.which]) if len(anchors.which) else anchors.which, size)
 
-    def sampled(chunk: Texts, got: pd.DataFrame) -> pd.DataFrame:
-        lead = cells_of(chunk, got).lead
-        some = lead[np.linspace(0, len(lead) - 1, min(SAMPLED, len(lead))).astype(np.int64)] if len(lead) else lead
-        return pd.DataFrame({"lead": (some ^ SIGN).view(np.int64), "n": len(lead) / max(1, len(some))})
-
-    shares = [i / ranges for i in range(1, ranges)]
-    picked = answered(chunks, hits, sampled, "lead long, n double", Texts).agg(F.percentile_approx("lead", shares, 100 * ranges).alias("at")).first() if shares else None
-    splitters = np.unique(np.array(picked["at"] if picked and picked["at"] else [], dtype=np.int64)).view(np.uint64) ^ SIGN
-
     def core_rows(chunk: Texts, got: pd.DataFrame) -> pd.DataFrame:
         cells = cells_of(chunk, got)
         rows = [
@@ -257,7 +280,7 @@ def remove_repeats(docs: DataFrame, size: int = 400) -> DataFrame:
         return pd.DataFrame(rows, columns=["chunk", "range", "lead", "core", "span", "several"])
 
     states = stored(
-        answered(chunks, hits, core_rows, "chunk long, range int, lead binary, core binary, span binary, several binary", Texts)
+        answered(chunks, known, core_rows, "chunk long, range int, lead binary, core binary, span binary, several binary", Texts)
         .groupBy("range")
         .applyInPandas(settle, "chunk long, range int, states binary")
     )
@@ -270,12 +293,7 @@ def remove_repeats(docs: DataFrame, size: int = 400) -> DataFrame:
                 out[a:b] = np.frombuffer(found[name], np.uint8)
         return out
 
-    empty = {c: f"CAST(NULL AS binary) AS {c}" for c in ("hits", "states", "bits")}
-
-    def reply(table: DataFrame, column: str) -> DataFrame:
-        return table.selectExpr("chunk", "range", *(column if c == column else empty[c] for c in empty))
-
-    settled = reply(hits, "hits").unionByName(reply(states, "states"))
+    settled = known.unionByName(reply(states, "states"))
 
     def open_rows(chunk: Texts, got: pd.DataFrame) -> pd.DataFrame:
         cells = cells_of(chunk, got)
