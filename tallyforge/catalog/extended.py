@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import extended as X
-from ..sources.star import star_line_totals, table
+from ..sources.star import star_line_totals
 from .base import money, query, rate, rounded
 
 _T = """
@@ -84,14 +84,13 @@ def discount_impact(spark, d):
     return rounded(X.discount_impact(rows), **rate("Avg_Profit"))
 
 
-@query("region_category_pivot", _sql(
-    'SELECT "Region", COLUMNS(* EXCLUDE "Region") FROM (PIVOT (SELECT "Region", "Category", "Sales" FROM t) '
-    'ON "Category" USING coalesce(sum("Sales"), 0) GROUP BY "Region")'
-))
-def region_category_pivot(spark, d):
-    listed = table(spark, d, "part").select("p_type").distinct().orderBy("p_type").collect()
-    rows = star_line_totals(spark, d, "Region", "Category", "Sales")
-    return X.region_category_pivot(rows, [r["p_type"] for r in listed])
+_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+
+query("region_category_pivot", _sql('SELECT "Region", ' + ", ".join(
+    f"coalesce(sum(\"Sales\") FILTER (WHERE \"Category\" = '{c}'), 0) AS \"{c}\"" for c in _TYPES
+) + ' FROM t WHERE "Region" IS NOT NULL GROUP BY "Region"'))(
+    lambda spark, d: X.region_category_pivot(star_line_totals(spark, d, "Region", "Category", "Sales"))
+)
 
 
 query("top_products", _sql("""

@@ -23,20 +23,20 @@ from ..sinks.tables import (
 from ..sources.delimited import cell, read_delimited
 from ..sources.files import discover_files, list_files, profile_files
 from ..sources.line_totals import read_line_totals, scan_cleaned
-from ..sources.sales import read_sales, scan_exports
+from ..sources.sales import read_sales, scan_exports, with_dates
 from ..sources.star import star_line_totals, star_sales, table
-from ..sources.workbook import workbook_rows
 from ..streaming.incremental import ingest_new_files, stored_rows
 from .base import counted, money, periods, query, rounded, sales_sql
 from .exports import (
     LINE_TOTAL_CELLS,
     UNDERSCORE_CELLS,
     mixed_exports,
+    name_files,
     raw_cells,
     undated_export,
-    workbooks_of,
     write_csv,
     write_lines,
+    write_workbooks,
 )
 from .extended import _T
 from .quality import checked, issues_sql
@@ -127,11 +127,7 @@ def read_charsets(spark, d):
 """))
 def read_workbook(spark, d):
     rows = star_sales(spark, d, "date", "product", "quantity", "price", labels=False)
-    cells = workbook_rows(workbooks_of(rows)).where((F.col("row_id") > 0) & F.col("error").isNull())
-    typed = cells.selectExpr(
-        "to_timestamp_ntz(cells[0]) AS date", "cells[1] AS product",
-        f"{to_number('cells[2]')} AS quantity", f"{to_number('cells[3]')} AS price",
-    )
+    typed = with_dates(scan_exports(spark, write_workbooks(rows, shared_dir(spark))).rows)
     sums = [f"sum({GROSS_SALES}) AS gross_sales", "min(date) AS first_day", "max(date) AS last_day"]
     return counted(typed, "product", *sums, **money("gross_sales"))
 
@@ -158,6 +154,32 @@ def read_errors_halt(spark, d):
     return _union(found)
 
 
+@query("equal_names", """
+    SELECT 'text' AS kind, (SELECT count(*) FROM orders WHERE o_orderstatus <> 'P') AS n, CAST(1 AS BIGINT) AS halts
+    UNION ALL SELECT 'workbook', (SELECT count(*) FROM nation), CAST(1 AS BIGINT)
+""")
+def equal_names(spark, d):
+    """Two folders with files of the same names, one of them broken: the good one's rows are all there."""
+    orders = table(spark, d, "orders").selectExpr("o_orderstatus", "date_format(o_orderdate, 'yyyy-MM-dd') AS day", "string(o_totalprice) AS price")
+    books = table(spark, d, "nation").selectExpr("timestamp_ntz'2001-07-01' AS date", "double(n_nationkey) AS price")
+    found = []
+    for kind in ("text", "workbook"):
+        base = shared_dir(spark)
+        for folder, good in (("a", False), ("b", True)):
+            out = f"{base}/{folder}"
+            if kind == "text":
+                line = "concat(day, ',', price)" if good else "concat(day, ',', price, ',9')"
+                rows = orders.where("o_orderstatus <> 'P'" if good else "o_orderstatus = 'P'").coalesce(1)
+                write_lines(rows, "date,price", line, out)
+            else:
+                write_workbooks(books.coalesce(1), out, broken=not good)
+            name_files(spark, out, "export.csv" if kind == "text" else "export.xlsx")
+        read = read_sales(spark, [f"{base}/a", f"{base}/b"])
+        halts = read.halts.agg(_n()).withColumnRenamed("n", "halts")
+        found.append(read.rows.agg(_n()).crossJoin(halts).select(F.lit(kind).alias("kind"), "n", "halts"))
+    return _union(found)
+
+
 _MIXED = sales_sql("""
     , mixed AS (
       SELECT CASE WHEN l_returnflag = 'A' THEN p_type ELSE upper(p_type[1]) || lower(substr(p_type, 2)) END AS category,
@@ -386,6 +408,27 @@ def latest_and_dated(spark, d):
     return rounded(latest.unionByName(dated).select("copy", "report_period", "revenue"), **money("revenue"))
 
 
+@query("sections_again", sales_sql("""
+    SELECT strftime((SELECT p FROM pri), '%Y-%m') AS latest, (SELECT count(*) FROM (SELECT DISTINCT region FROM x WHERE is_pri)) AS n,
+           CAST(0 AS BIGINT) AS emptied, (SELECT count(DISTINCT date_trunc('month', date)) FROM x) - 1 AS months
+"""))
+def sections_again(spark, d):
+    """A month written twice, the second time without rows; an older month last; the curated table without its last month."""
+    out, store = shared_dir(spark), shared_dir(spark)
+    current, prior = periods(spark, d)
+    rows = with_measures(star_sales(spark, d, *_MEASURES, "region"))
+    regions = rows.select("period", "region").distinct()
+    write_section(regions.where(F.col("period") == current), out, "regions", current)
+    write_section(regions.where("false"), out, "regions", current)
+    write_section(regions.where(F.col("period") == prior), out, "regions", prior)
+    write_curated(rows, store)
+    write_curated(rows.where(F.col("period") != current), store)
+    latest = read_section(spark, out, "regions").groupBy(F.col("report_period").alias("latest")).agg(_n())
+    emptied = read_section(spark, out, "regions", current).agg(F.count("*").alias("emptied"))
+    months = curated_rows(spark, store).agg(F.count_distinct("period").alias("months"))
+    return latest.crossJoin(emptied).crossJoin(months)
+
+
 @query("write_curated", sales_sql("""
     SELECT strftime(date, '%Y-%m') AS period, count(*) AS n, round(sum(gross), 2) AS gross_sales FROM x GROUP BY 1
 """))

@@ -216,21 +216,26 @@ query("null_tokens", """
 # ---------------------------------------------------------------- dates
 
 @query("to_date", """
-    SELECT l_returnflag AS source_file, count(*) AS n, count(*) FILTER (WHERE l_linenumber <> 7) AS parsed,
+    SELECT l_returnflag || (l_orderkey % 2) AS source_file, count(*) AS n, count(*) FILTER (WHERE l_linenumber <> 7) AS parsed,
            min(l_shipdate) FILTER (WHERE l_linenumber <> 7) AS first_day, max(l_shipdate) FILTER (WHERE l_linenumber <> 7) AS last_day
     FROM lineitem GROUP BY 1
 """)
 def to_date(spark, d):
     # The sample of a file is its first readable value: the undated rows come last here.
-    rows = table(spark, d, "lineitem").selectExpr(
-        "l_returnflag AS source_file",
-        """CASE WHEN l_linenumber = 7 THEN '20260102' WHEN l_returnflag = 'A' THEN date_format(l_shipdate, 'yyyy-MM-dd')
-           WHEN l_returnflag = 'N' THEN date_format(l_shipdate, 'd-MMM-yyyy') ELSE date_format(l_shipdate, 'yyyy/M/d') END AS date_text""",
+    formats = {
+        "A0": "yyyy-MM-dd", "A1": "yyyy-MM-dd'T'HH:mm:ss'Z'", "N0": "d-MMM-yyyy", "N1": "yyyy-MM-dd'T'HH:mm:ss'+00:00'",
+        "R0": "yyyy/M/d", "R1": "yyyy-MM-dd HH:mm:ss.SSS'+02:00'",
+    }
+    cases = " ".join(f"WHEN '{file}' THEN date_format(l_shipdate, {fn.literal(pattern)})" for file, pattern in formats.items())
+    rows = table(spark, d, "lineitem").selectExpr("*", "concat(l_returnflag, l_orderkey % 2) AS file_path").selectExpr(
+        "file_path",
+        "file_path AS source_file",
+        f"CASE WHEN l_linenumber = 7 THEN '20260102' ELSE CASE file_path {cases} END END AS date_text",
         "l_linenumber AS block_start",
         "monotonically_increasing_id() AS row_id",
     )
     return counted(
-        with_dates(rows, 3), "source_file", "count(date) AS parsed", "min(date) AS first_day", "max(date) AS last_day"
+        with_dates(rows), "source_file", "count(date) AS parsed", "min(date) AS first_day", "max(date) AS last_day"
     )
 
 

@@ -18,29 +18,23 @@ from ..schema import (
     NO_CUSTOMER,
     NO_REGION,
 )
-from ..session import stored
-from ..sources.star import EXPORT_FILES, star_exports, star_line_totals, star_sales, table
+from ..session import shared_dir, stored
+from ..sinks.tables import read_section, write_quality_report
+from ..sources.star import star_exports, star_line_totals, star_sales, table
 from .base import counted, exports_sql, money, query, rounded, sales_sql
 
-FILES = len(EXPORT_FILES)
-
-
 def staged_exports(spark, d):
     """The exports as one written table, as a file scan leaves them: they are read several times."""
-    rows = star_exports(spark, d)
-    cores = spark.sparkContext.defaultParallelism
-    if table(spark, d, "lineitem").rdd.getNumPartitions() < cores:
-        rows = rows.repartition(cores)  # a small table in few splits would leave cores idle in every later pass
-    return stored(rows)
+    return stored(star_exports(spark, d))
 
 
 def checked(spark, d) -> Q.Checked:
-    return Q.validate(staged_exports(spark, d), FILES)
+    return Q.validate(staged_exports(spark, d))
 
 
 def kept_rows(spark, d, staged: bool = False):
     rows = staged_exports(spark, d) if staged else star_exports(spark, d)
-    return Q.validate(rows, FILES, duplicates=False).rows
+    return Q.validate(rows, duplicates=False).rows
 
 
 def _halts(spark, d):
@@ -48,7 +42,7 @@ def _halts(spark, d):
 
 
 def _accepted(spark, d, *columns):
-    return Q.without_halted(star_exports(spark, d, *columns), _halts(spark, d), FILES)
+    return Q.without_halted(star_exports(spark, d, *columns), _halts(spark, d))
 
 
 @query("dq_bad_date_halt", exports_sql("""
@@ -148,19 +142,29 @@ def order_id_reuse(spark, d):
 
 
 @query("order_id_issues", """
-    SELECT source_file, 'order_id_reuse' AS "check", 'warn' AS level, max(n) AS count,
-      'Order_ID reused across different orders: ' || string_agg(order_id, ', ' ORDER BY order_id)
-        || CASE WHEN max(n) > 100 THEN ' and ' || (max(n) - 100) || ' more' ELSE '' END
+    SELECT source_file, 'order_id_reuse' AS "check", 'warn' AS level, count(*) AS count,
+      count(*) || ' Order_ID(s) reused across different orders in ' || source_file
         || ' -- likely a typo (e.g. a repeated ID that should be the next number in sequence). Rows were kept since '
         || 'their order details differ, but the ID(s) need fixing at the source.' AS message
-    FROM (
-      SELECT *, row_number() OVER (PARTITION BY source_file ORDER BY order_id) AS pos, count(*) OVER (PARTITION BY source_file) AS n
-      FROM (SELECT 'export_' || l_returnflag || l_linestatus || '.csv' AS source_file,
-                   CAST(l_orderkey AS VARCHAR) AS order_id FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)
-    ) WHERE pos <= 100 GROUP BY source_file
+    FROM (SELECT 'export_' || l_returnflag || l_linestatus || '.csv' AS source_file,
+                 CAST(l_orderkey AS VARCHAR) AS order_id FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)
+    GROUP BY source_file
 """)
 def order_id_issues(spark, d):
-    return Q.order_id_issues(star_exports(spark, d, "source_file", "order_id"))
+    return Q.order_id_issues(Q.order_id_reuse(star_exports(spark, d, "source_file", "order_id")))
+
+
+@query("reused_order_ids", """
+    SELECT 'export_' || l_returnflag || l_linestatus || '.csv' AS source_file, CAST(l_orderkey AS VARCHAR) AS order_id, count(*) AS uses
+    FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1
+""")
+def reused_order_ids(spark, d):
+    """Every reused id, as the quality report stores it."""
+    out = shared_dir(spark)
+    rows = star_exports(spark, d, "source_file", "date", "order_id")
+    reused = Q.order_id_reuse(rows)
+    write_quality_report(Q.order_id_issues(reused), Q.date_halts(Q.file_counts(rows)), out, "2001-11", reused)
+    return read_section(spark, out, "reused_order_ids").select("source_file", "order_id", "uses")
 
 
 @query("dq_flag_append", exports_sql("""

@@ -34,26 +34,45 @@ DATE_FORMATS = [
 ]
 
 
+# Those that may also end in an offset (Z, +00:00); the date and time are kept as written.
+OFFSET_FORMATS = [f + "XXX" for f in DATE_FORMATS if f.startswith("yyyy-MM-dd") and ":ss" in f]
+_OFFSET = "(?<=:[0-9][0-9]|[.][0-9][0-9][0-9]|[.][0-9][0-9][0-9][0-9][0-9][0-9])(Z|[+-][0-9][0-9]:?[0-9][0-9])$"
+
+_ALL_FORMATS = [*DATE_FORMATS, *OFFSET_FORMATS]
+
+
+def _moment(text: str, date_format: str) -> str:
+    if date_format.endswith("XXX"):
+        # A text without an offset is not of this format.
+        bare = f"regexp_replace({text}, {literal(_OFFSET)}, '')"
+        return f"CASE WHEN {bare} <> {text} THEN try_to_timestamp({bare}, {literal(date_format.removesuffix('XXX'))}) END"
+    return f"try_to_timestamp({text}, {literal(date_format)})"
+
+
 def parse_date(c: str, date_format: str) -> str:
-    return f"CAST(try_to_timestamp({strip(c)}, {literal(date_format)}) AS TIMESTAMP_NTZ)"
+    return f"CAST({_moment(strip(c), date_format)} AS TIMESTAMP_NTZ)"
 
 
 def guess_format(sample: str) -> str:
     """The first known format that reads ``sample``; NULL if none does."""
     cases = " ".join(
-        f"WHEN {parse_date(sample, f)} IS NOT NULL THEN {literal(f)}" for f in DATE_FORMATS
+        f"WHEN {parse_date(sample, f)} IS NOT NULL THEN {literal(f)}" for f in _ALL_FORMATS
     )
     return f"CASE {cases} END"
 
 
 def to_date(c: str, date_format: str) -> str:
-    """Read ``c`` with its file's format; a file without one is read value by value."""
+    """Read ``c`` with its file's format; a file without one is read value by value.
+
+    Every known format is a branch with a literal pattern: Spark builds its parser
+    once, where a pattern from a column is looked up for every row.
+    """
     text = strip(c)
-    formats = ", ".join(map(literal, DATE_FORMATS))
-    by_value = f"array_compact(transform(array({formats}), f -> try_to_timestamp({text}, f)))"
+    branches = " ".join(f"WHEN {literal(f)} THEN {_moment(text, f)}" for f in _ALL_FORMATS)
+    by_value = ", ".join(_moment(text, f) for f in _ALL_FORMATS)
     return (
-        f"CAST(CASE WHEN {date_format} IS NOT NULL THEN try_to_timestamp({text}, {date_format}) "
-        f"ELSE get({by_value}, 0) END AS TIMESTAMP_NTZ)"
+        f"CAST(CASE WHEN {date_format} IS NULL THEN coalesce({by_value}) "
+        f"ELSE CASE {date_format} {branches} ELSE try_to_timestamp({text}, {date_format}) END END AS TIMESTAMP_NTZ)"
     )
 
 

@@ -24,8 +24,8 @@ def with_measures(rows: DataFrame) -> DataFrame:
     )
 
 
-def ensure_order_id(order_id: str, source_file: str, row_id: str) -> str:
-    """The trimmed id, or one made of file and row where it is blank."""
+def ensure_order_id(order_id: str, file: str, row_id: str) -> str:
+    """The trimmed id, or one made of the file's path and the row where it is blank."""
     text = strip(order_id)
     blank = f"coalesce({text} IN ('', 'nan', 'none'), true)"
-    return f"CASE WHEN {blank} THEN concat({source_file}, '-row', {row_id}) ELSE {text} END"
+    return f"CASE WHEN {blank} THEN concat({file}, '-row', {row_id}) ELSE {text} END"

@@ -6,7 +6,8 @@ and send every row through a shuffle on ten columns.  Here
 1. rows are counted by a 64-bit hash of the columns: eight bytes of each row
    are shuffled, and copies collapse before it;
 2. only rows whose hash occurs more than once are grouped by the columns
-   themselves, which makes the count exact.  The repeated rows found are written
+   themselves, which makes the count exact; Spark knows the size of the stored
+   hashes and chooses the join.  The repeated rows found are written
    to the shared folder, so their number and size are known from here on;
 3. rows look their count up in that table.  Spark broadcasts it if its size
    allows.  Otherwise a group holding more than 1/10,000 of the copies is
@@ -22,8 +23,6 @@ from ..schema import BUSINESS_COLUMNS, DUPLICATE
 from ..session import stored
 from .labels import append_label
 
-# Hashes that occur more than once are broadcast up to this many (8 bytes each).
-MAX_BROADCAST_HASHES = 1_000_000
 # A hot group has more than one part in HOT_GROUPS of all copies.
 HOT_GROUPS = 10_000
 SPREAD = 4096
@@ -44,15 +43,9 @@ def repeated_rows(rows: DataFrame, keys: list[str] | None = None, split: list[st
     split = split or []
     hashed = rows.select(*keys, *split, F.xxhash64(*keys).alias("key_hash"))
     suspects = stored(copy_groups(hashed, ["key_hash"]).where("copies > 1").select("key_hash"))
-    few = suspects.count() <= MAX_BROADCAST_HASHES
-    if few:
-        hashed = hashed.join(F.broadcast(suspects), "key_hash", "left_semi")
-    groups = copy_groups(hashed, ["key_hash", *keys, *split])
+    groups = copy_groups(hashed.join(suspects, "key_hash", "left_semi"), ["key_hash", *keys, *split])
     if not split:
         groups = groups.where("copies > 1")
-    elif not few:
-        # After the aggregation a key has one row per split value, however often it was copied.
-        groups = groups.join(suspects, "key_hash", "left_semi")
     return stored(groups.drop("key_hash"))
 
 

@@ -22,21 +22,25 @@ from ..schema import (
     NO_CATEGORY,
     NO_CUSTOMER,
     NO_REGION,
+    TOO_MANY_BAD_DATES,
 )
 from ..session import stored
 from .duplicates import copy_groups, repeated_rows, tag_duplicates
 from .labels import NO_LABELS
 
-# A per-file table is broadcast up to this many files (a few MB of names).
-MAX_BROADCAST_FILES = 20_000
-
 
 class Checked(NamedTuple):
-    """Kept rows, and what was found on the way."""
+    """Kept rows, and what was found on the way; ``reused_ids`` are the order ids that a file uses again."""
 
     rows: DataFrame
     issues: DataFrame
     halts: DataFrame
+    reused_ids: DataFrame | None = None
+
+
+def file_key(table: DataFrame) -> list[str]:
+    """What tells files apart: the path.  Rows that did not come from files may have a name only."""
+    return [c for c in ("file_path", "source_file") if c in table.columns]
 
 
 # ---------------------------------------------------- conditions, as SQL text
@@ -109,12 +113,13 @@ def file_counts(rows: DataFrame) -> DataFrame:
     Only the rules of columns the rows have are counted; dates are enough to
     tell the rejected files.
     """
+    key = ", ".join(file_key(rows))
     counts = [f"count_if({BAD_DATE_ROW}) AS bad_date"]
     if {"quantity", "price"} <= set(rows.columns):
         counts.append(f"count_if(date IS NOT NULL AND {BAD_QTY_PRICE_ROW}) AS invalid_qty_price")
         counts += [f"count_if({KEPT_ROW} AND {cond}) AS {check}" for check, cond, _ in row_rules(rows.columns)]
     return rows.sparkSession.sql(
-        f"SELECT source_file, count(*) AS n_rows, {', '.join(counts)} FROM {{rows}} GROUP BY source_file",
+        f"SELECT {key}, count(*) AS n_rows, {', '.join(counts)} FROM {{rows}} GROUP BY {key}",
         rows=rows,
     )
 
@@ -124,30 +129,19 @@ _TOO_MANY_BAD_DATES = f"bad_date / n_rows > {DATE_HALT_FRACTION}D"
 
 def date_halts(counts: DataFrame) -> DataFrame:
     """Files with too many unreadable dates, with the message for each."""
-    cure = literal(
-        "% of its rows don't have a valid date, so this file was skipped entirely. Fix: open the file and "
-        "check the 'date' column — make sure it's named exactly 'date' and every row has a real date "
-        "(e.g. 2026-07-15), then run the report again."
-    )
-    start = literal("' can't be used — ")
     share = "int(rint(bad_date / n_rows * 100))"
     return counts.where(_TOO_MANY_BAD_DATES).selectExpr(
         "source_file",
         "'bad_dates' AS reason",
-        f"concat('\\'', source_file, {start}, {share}, {cure}) AS message",
+        f"format_string({literal(TOO_MANY_BAD_DATES)}, {share}, source_file) AS message",
+        *file_key(counts)[:-1],
     )
 
 
-def without_halted(rows: DataFrame, halts: DataFrame, file_count: int | None = None) -> DataFrame:
-    """Rows of the files that were not rejected.
-
-    The list of halted files is broadcast when the number of files is known and
-    small; otherwise Spark decides by the size it measures.
-    """
-    names = halts.select("source_file")
-    if file_count is not None and file_count <= MAX_BROADCAST_FILES:
-        names = F.broadcast(names)
-    return rows.join(names, "source_file", "left_anti")
+def without_halted(rows: DataFrame, halts: DataFrame) -> DataFrame:
+    """Rows of the files that were not rejected."""
+    key = file_key(rows)[0]
+    return rows.join(halts.select(key), key, "left_anti")
 
 
 def usable(rows: DataFrame) -> DataFrame:
@@ -178,7 +172,7 @@ def issue_rows(counts: DataFrame, checks: list[str]) -> DataFrame:
         for c in checks
     )
     return counts.selectExpr(
-        "source_file", f"stack({len(checks)}, {entries}) AS (check, level, count, message)"
+        "source_file", f"stack({len(checks)}, {entries}) AS (check, level, count, message)", *file_key(counts)[:-1]
     ).where("count > 0")
 
 
@@ -187,16 +181,17 @@ def duplicate_issues(file_copies: DataFrame) -> DataFrame:
 
     ``file_copies`` counts the repeated rows per file and key.
     """
-    per_file = file_copies.groupBy("source_file").agg(F.sum(F.expr("copies - 1")).alias("duplicate"))
+    key = file_key(file_copies)
+    per_file = file_copies.groupBy(*key).agg(F.sum(F.expr("copies - 1")).alias("duplicate"))
     overall = copies_over_files(file_copies).agg(F.sum(F.expr("copies - 1")).alias("cross_file_duplicate"))
     return issue_rows(per_file, ["duplicate"]).unionByName(
-        issue_rows(overall.selectExpr("CAST(NULL AS STRING) AS source_file", "*"), ["cross_file_duplicate"])
+        issue_rows(overall.selectExpr(*[f"CAST(NULL AS STRING) AS {c}" for c in key], "*"), ["cross_file_duplicate"])
     )
 
 
 def file_copies(kept: DataFrame) -> DataFrame:
     """Repeated rows with their number of copies in each file."""
-    return repeated_rows(kept, split=["source_file"])
+    return repeated_rows(kept, split=file_key(kept))
 
 
 def copies_over_files(per_file: DataFrame) -> DataFrame:
@@ -215,48 +210,20 @@ def strict_cross_file_copies(per_file: DataFrame) -> DataFrame:
 
 def order_id_reuse(rows: DataFrame) -> DataFrame:
     """Ids used more than once within a file, before any row is dropped."""
+    key = ", ".join(file_key(rows))
     return rows.sparkSession.sql(
-        """
-        SELECT source_file, order_id, count(*) AS uses FROM {rows} WHERE order_id IS NOT NULL
-        GROUP BY source_file, order_id HAVING count(*) > 1
+        f"""
+        SELECT {key}, order_id, count(*) AS uses FROM {{rows}} WHERE order_id IS NOT NULL
+        GROUP BY {key}, order_id HAVING count(*) > 1
         """,
         rows=rows,
     )
 
 
-def order_id_issues(rows: DataFrame, max_listed: int = 100) -> DataFrame:
-    """One issue per file with reused ids.
-
-    The count is exact and ``order_id_reuse`` has every id; the text names the
-    first ``max_listed`` ids only.  The rank limit runs inside each task before
-    the shuffle, so a file with many reused ids does not fill one task.
-    """
-    start = literal("Order_ID reused across different orders: ")
-    cure = literal(
-        " -- likely a typo (e.g. a repeated ID that should be the next number in sequence). Rows were kept "
-        "since their order details differ, but the ID(s) need fixing at the source."
-    )
-    return rows.sparkSession.sql(
-        f"""
-        WITH counts AS (SELECT source_file, count(*) AS count FROM {{reused}} GROUP BY source_file),
-        listed AS (
-            SELECT source_file, array_join(sort_array(collect_list(order_id)), ', ') AS ids
-            FROM (
-                SELECT source_file, order_id,
-                       row_number() OVER (PARTITION BY source_file ORDER BY order_id) AS place
-                FROM {{reused}}
-            )
-            WHERE place <= {max_listed}
-            GROUP BY source_file
-        )
-        SELECT source_file, 'order_id_reuse' AS check, 'warn' AS level, count,
-               concat({start}, ids,
-                      CASE WHEN count > {max_listed} THEN concat(' and ', count - {max_listed}, ' more') ELSE '' END,
-                      {cure}) AS message
-        FROM counts JOIN listed USING (source_file)
-        """,
-        reused=order_id_reuse(rows),
-    )
+def order_id_issues(reused: DataFrame) -> DataFrame:
+    """One issue per file with reused ids, from ``order_id_reuse``, whose rows name every id."""
+    counts = reused.groupBy(*file_key(reused)).agg(F.count("*").alias("order_id_reuse"))
+    return issue_rows(counts, ["order_id_reuse"])
 
 
 def banner(issues: DataFrame, halts: DataFrame) -> DataFrame:
@@ -281,19 +248,18 @@ def missing_profile(rows: DataFrame) -> DataFrame:
 
 # -------------------------------------------------------------------- whole
 
-def validate(rows: DataFrame, file_count: int | None = None, duplicates: bool = True) -> Checked:
+def validate(rows: DataFrame, duplicates: bool = True) -> Checked:
     """All rules over typed line items of any number of files.
 
-    ``file_count`` is the number of files if the caller knows it.  The counts per
-    file and, with ``duplicates``, the repeated rows are stored at once, as every
-    result needs them; the rest runs when a result is used.
+    The counts per file and, with ``duplicates``, the repeated rows are stored at
+    once, as every result needs them; the rest runs when a result is used.
     """
     counts = stored(file_counts(rows))
     halts = date_halts(counts)
     accepted = counts.where(f"NOT ({_TOO_MANY_BAD_DATES})")
     checks = ["bad_date", "invalid_qty_price", *[check for check, _, _ in row_rules(rows.columns)]]
     issues = issue_rows(accepted, checks)
-    kept = flagged(usable(without_halted(rows, halts, file_count)))
+    kept = flagged(usable(without_halted(rows, halts)))
     if duplicates:
         per_file = file_copies(kept)
         issues = issues.unionByName(duplicate_issues(per_file))

@@ -75,6 +75,6 @@ def write_report_tables(rows: DataFrame, checked: Checked, out: str) -> str:
     current, prior = latest_two(rows)
     stamp = report_stamp(current)
     write_sections(report_sections(rows, current, prior), out, stamp)
-    write_quality_report(checked.issues, checked.halts, out, stamp)
+    write_quality_report(checked.issues, checked.halts, out, stamp, checked.reused_ids)
     write_sections({"banner": banner(checked.issues, checked.halts)}, out, stamp)
     return stamp

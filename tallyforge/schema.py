@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# ---------------------------------------------------------------- columns
+# ------------------------------------------------- fixed values: columns
 
 REQUIRED_COLUMNS = ["date", "price"]
 
@@ -39,6 +39,7 @@ LINE_ITEM = T.StructType(
     + [
         T.StructField("order_id", T.StringType()),
         T.StructField("source_file", T.StringType()),
+        T.StructField("file_path", T.StringType()),
         T.StructField("missing_optional", T.ArrayType(T.StringType())),
     ]
 )
@@ -114,6 +115,23 @@ LABEL_TEXT = {
     NO_CUSTOMER: "missing customer",
 }
 
+# Why a file without required columns is rejected: one of them, or several.
+MISSING_COLUMNS = (
+    "'{file}' can't be used — it's missing the column: {missing}. Fix: open the file, add a header named exactly "
+    "'{first}' with the right values in each row, then run the report again. Required columns: {required}. "
+    "Optional columns (the report still works without them): {optional}.",
+    "'{file}' can't be used — it's missing the columns: {missing}. Fix: open the file, add a header named exactly "
+    "'{first}' (and: {others}) with the right values in each row, then run the report again. Required columns: "
+    "{required}. Optional columns (the report still works without them): {optional}.",
+)
+
+# %1$d is the share of rows in percent and %2$s the file.
+TOO_MANY_BAD_DATES = (
+    "'%2$s' can't be used — %1$d%% of its rows don't have a valid date, so this file was skipped entirely. Fix: open "
+    "the file and check the 'date' column — make sure it's named exactly 'date' and every row has a real date "
+    "(e.g. 2026-07-15), then run the report again."
+)
+
 # Check name -> (level, message); %1$d is the count and %2$s the file.
 ISSUE_MESSAGES = {
     "bad_date": ("skip", "Skipped %1$d row(s) in %2$s — the 'date' column was blank or unreadable for those rows."),
@@ -124,6 +142,12 @@ ISSUE_MESSAGES = {
     "discount": ("warn", "Corrected %1$d discount value(s) in %2$s that were outside the valid 0-100%% range."),
     "negative_profit": ("warn", "%1$d row(s) have negative profit in %2$s."),
     "duplicate": ("warn", "Found %1$d duplicate row(s) within %2$s — not removed."),
+    "order_id_reuse": (
+        "warn",
+        "%1$d Order_ID(s) reused across different orders in %2$s -- likely a typo (e.g. a repeated ID that should be "
+        "the next number in sequence). Rows were kept since their order details differ, but the ID(s) need fixing at "
+        "the source.",
+    ),
     "cross_file_duplicate": (
         "warn",
         "Found %1$d row(s) duplicated across multiple files — check for the same export saved "

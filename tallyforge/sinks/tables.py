@@ -5,16 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
+def _dated(out: str, section: str, stamp: str) -> str:
+    return f"{out.rstrip('/')}/{section}/dated/{stamp}"
+
+
+def _latest(out: str, section: str) -> str:
+    return f"{out.rstrip('/')}/{section}/latest"
+
+
 def write_section(table: DataFrame, out: str, section: str, stamp: str) -> str:
-    """One section as a Parquet table; a new run of a month replaces that month only."""
-    path = f"{out.rstrip('/')}/{section}"
-    (
-        table.withColumn("report_period", F.lit(stamp))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("report_period")
-        .parquet(path)
-    )
+    """One section as Parquet tables: a dated copy, and the latest one, which is the last run's.
+
+    Each is a directory of its own that a run replaces as a whole, also by a table
+    without rows, whose columns stay readable.  Older dated copies stay.
+    """
+    path = _dated(out, section, stamp)
+    table.withColumn("report_period", F.lit(stamp)).write.mode("overwrite").parquet(path)
+    table.sparkSession.read.parquet(path).write.mode("overwrite").parquet(_latest(out, section))
     return path
 
 
@@ -23,12 +30,8 @@ def write_sections(sections: dict[str, DataFrame], out: str, stamp: str) -> dict
 
 
 def read_section(spark: SparkSession, out: str, section: str, period: str | None = None) -> DataFrame:
-    """A dated copy, or the latest one."""
-    table = spark.read.option("recursiveFileLookup", False).parquet(f"{out.rstrip('/')}/{section}")
-    table = table.withColumn("report_period", F.col("report_period").cast("string"))
-    if period is None:
-        return table.where(F.col("report_period") == table.agg(F.max("report_period")).scalar())
-    return table.where(F.col("report_period") == period)
+    """A dated copy, or what the last run wrote."""
+    return spark.read.parquet(_latest(out, section) if period is None else _dated(out, section, period))
 
 
 def write_cleaned_csv(cleaned: DataFrame, out: str) -> str:
@@ -37,21 +40,28 @@ def write_cleaned_csv(cleaned: DataFrame, out: str) -> str:
 
 
 def write_curated(rows: DataFrame, out: str) -> str:
-    """Line items by month, each file in date order.
+    """Line items by month, each file in date order; replaces the whole table.
 
-    Rebalancing lets Spark split a big month over as many tasks as its size
+    A month that is not in ``rows`` is gone afterwards.  Appending by month is what
+    the stream of new files is for.  Rebalancing lets Spark split a big month over as many tasks as its size
     needs, and give a small one a single file.
     """
     (
         rows.hint("rebalance", "period")
         .sortWithinPartitions("period", "date")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static")
         .partitionBy("period")
         .parquet(out)
     )
     return out
 
 
-def write_quality_report(issues: DataFrame, halts: DataFrame, out: str, stamp: str) -> dict[str, str]:
-    return write_sections({"issues": issues, "halts": halts}, out, stamp)
+def write_quality_report(
+    issues: DataFrame, halts: DataFrame, out: str, stamp: str, reused_ids: DataFrame | None = None
+) -> dict[str, str]:
+    """Issues, halted files and, one row each, the order ids that a file uses again."""
+    sections = {"issues": issues, "halts": halts}
+    if reused_ids is not None:
+        sections["reused_order_ids"] = reused_ids
+    return write_sections(sections, out, stamp)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import literal, null_tokens
-from .files import PLAIN_FILE_NAME, Layout, literal_paths, occurrences, without_quoted
+from .files import PLAIN_FILE_PATH, Layout, literal_paths, occurrences, without_quoted
 
 _C1 = bytes(range(0x80, 0xA0))
 _C1_DEFINED = [b for b in _C1 if bytes([b]).decode("cp1252", errors="ignore")]
@@ -18,7 +18,7 @@ def cell(i: int) -> str:
 
 
 def read_delimited(spark: SparkSession, layout: Layout, paths: list[str]) -> DataFrame:
-    """Rows of the files of one layout: ``c0..cN``, file_path, file_name, place, row_id.
+    """Rows of the files of one layout: ``c0..cN``, file_path, block_start, row_id.
 
     Cells that stand for a missing value are NULL.  windows-1252 is read as
     ISO-8859-1, which Spark supports as it is, and the 27 characters the two do
@@ -38,8 +38,7 @@ def read_delimited(spark: SparkSession, layout: Layout, paths: list[str]) -> Dat
     )
     return reader.csv(literal_paths(paths)).selectExpr(
         *[f"{null_tokens(_decoded(n, layout.charset))} AS {n}" for n in names],
-        "_metadata.file_path AS file_path",
-        f"{PLAIN_FILE_NAME} AS file_name",
+        f"{PLAIN_FILE_PATH} AS file_path",
         "_metadata.file_block_start AS block_start",
         "monotonically_increasing_id() AS row_id",
     )

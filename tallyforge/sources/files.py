@@ -67,8 +67,8 @@ def plain_path(path: str) -> str:
     return re.sub("^file:/+", "file:/", unquote(path))
 
 
-# The same for a file's name, as SQL text; a plus sign is no escape in a path.
-PLAIN_FILE_NAME = "url_decode(replace(_metadata.file_name, '+', '%2B'))"
+# The same as SQL text; a plus sign is no escape in a path.
+PLAIN_FILE_PATH = "regexp_replace(url_decode(replace(_metadata.file_path, '+', '%2B')), '^file:/+', 'file:/')"
 
 
 def literal_paths(paths: list[str]) -> list[str]:
@@ -132,7 +132,7 @@ def profile_files(spark: SparkSession, paths: list[str]) -> FilePlan:
     seen = set()
     for row in profile_lines(read_lines(spark, paths)).toLocalIterator():
         path = plain_path(row["file_path"])
-        seen.add(file_name(path))
+        seen.add(path)
         if not row["is_utf8"] and row["has_undefined_bytes"]:
             unreadable[path] = "it is neither UTF-8 nor windows-1252 text"
             continue
@@ -149,7 +149,7 @@ def profile_files(spark: SparkSession, paths: list[str]) -> FilePlan:
             key = Layout(delimiter, charset, row["open_quote"], tuple(h.strip() for h in header))
             layouts[key].append(path)
     for path in paths:
-        if file_name(path) not in seen and path not in unreadable:
+        if path not in seen and path not in unreadable:
             unreadable[path] = "no columns to parse from file"
     return FilePlan(dict(layouts), unreadable)
 

@@ -9,24 +9,24 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import guess_format, null_tokens, to_date
 from ..operators.layout import UNDERSCORE, HeaderMap, map_header, missing_message, missing_required, to_line_items
-from ..operators.quality import MAX_BROADCAST_FILES, Checked, order_id_issues, validate
+from ..operators.quality import Checked, order_id_issues, order_id_reuse, validate
 from ..schema import LINE_ITEM
 from ..session import stored
 from .delimited import cell, overlong_files, read_delimited
 from .files import file_name, list_files, plain_path, profile_files
 from .workbook import read_workbooks
 
-HALT_SCHEMA = "source_file string, reason string, message string"
-ISSUE_SCHEMA = "source_file string, check string, level string, count long, message string"
+HALT_SCHEMA = "source_file string, reason string, message string, file_path string"
+ISSUE_SCHEMA = "source_file string, check string, level string, count long, message string, file_path string"
+REUSED_SCHEMA = "file_path string, source_file string, order_id string, uses long"
 
 
 class Scan(NamedTuple):
     """Typed rows whose dates are still text, and what the headers told."""
 
     rows: DataFrame | None
-    halts: list[tuple[str, str, str]]
-    issues: list[tuple[str, str, str, int, str]]
-    file_count: int
+    halts: list[tuple[str, str, str, str]]
+    issues: list[tuple[str, str, str, int, str, str]]
 
 
 def scan_exports(spark: SparkSession, path: str | list[str]) -> Scan:
@@ -35,20 +35,21 @@ def scan_exports(spark: SparkSession, path: str | list[str]) -> Scan:
     books = [p for p in paths if p.lower().endswith(".xlsx")]
     texts = [p for p in paths if p not in set(books)]
     parts: list[DataFrame] = []
-    halts: list[tuple[str, str, str]] = []
-    issues: list[tuple[str, str, str, int, str]] = []
+    halts: list[tuple[str, str, str, str]] = []
+    issues: list[tuple[str, str, str, int, str, str]] = []
 
     def accept(header, files: list[str]) -> HeaderMap | None:
         mapping = map_header(header)
         missing = missing_required(mapping.columns) if mapping.layout == "clean" else []
-        for f in map(file_name, files):
+        for path in files:
+            f = file_name(path)
             if missing:
-                halts.append((f, "missing_columns", missing_message(f, missing)))
+                halts.append((f, "missing_columns", missing_message(f, missing), path))
             elif mapping.repeated:
                 names = ", ".join(sorted(set(mapping.repeated)))
                 issues.append((
                     f, "repeated_header", "warn", len(mapping.repeated),
-                    f"{f} has more than one column for: {names} — the first one was used.",
+                    f"{f} has more than one column for: {names} — the first one was used.", path,
                 ))
         return None if missing else mapping
 
@@ -67,75 +68,74 @@ def scan_exports(spark: SparkSession, path: str | list[str]) -> Scan:
             mapping = accept(layout.header, files) if files else None
             if mapping:
                 parts.append(to_line_items(read_delimited(spark, layout, files), mapping, cell))
-        halts += [
-            (file_name(f), "unreadable", f"'{file_name(f)}' couldn't be read: {why}")
-            for f, why in unreadable.items()
-        ]
+        halts += [_unreadable(f, why) for f, why in unreadable.items()]
     if books:
         parts += _workbook_parts(spark, books, accept, halts)
     rows = reduce(DataFrame.unionByName, parts) if parts else None
-    return Scan(rows, halts, issues, len(paths))
+    return Scan(rows, halts, issues)
+
+
+def _unreadable(path: str, why: str) -> tuple[str, str, str, str]:
+    return file_name(path), "unreadable", f"'{file_name(path)}' couldn't be read: {why}", path
 
 
 def _workbook_parts(spark, books, accept, halts) -> list[DataFrame]:
     # Unzipping is the expensive step and the rows are needed twice: keep them as a table.
     cells = stored(read_workbooks(spark, books))
     by_header: dict[tuple, list[str]] = {}
-    found = set()
+    failed, found = set(), set()
     for r in cells.where(F.col("row_id") <= 0).toLocalIterator():
-        found.add(r["path"])
+        path = plain_path(r["path"])
+        found.add(path)
         if r["error"]:
-            name = file_name(r["path"])
-            halts.append((name, "unreadable", f"'{name}' couldn't be read: {r['error']}"))
+            failed.add(path)
+            halts.append(_unreadable(path, r["error"]))
         else:
             header = tuple((h or f"unnamed: {i}").strip() for i, h in enumerate(r["cells"]))
-            by_header.setdefault(header, []).append(r["path"])
-    failed = {h[0] for h in halts}
+            by_header.setdefault(header, []).append(path)
     parts = []
     for header, files in by_header.items():
-        files = [f for f in files if file_name(f) not in failed]
+        files = [f for f in files if f not in failed]
         mapping = accept(header, files) if files else None
         if not mapping:
             continue
         ours = spark.createDataFrame([(f,) for f in files], "path string")
         raw = (
             cells.where((F.col("row_id") > 0) & F.col("error").isNull())
-            .join(F.broadcast(ours) if len(files) <= MAX_BROADCAST_FILES else ours, "path", "left_semi")
+            .withColumn("path", F.regexp_replace("path", "^file:/+", "file:/"))
+            .join(ours, "path", "left_semi")
             .selectExpr(
                 *[f"{null_tokens(f'get(cells, {i})')} AS {cell(i)}" for i in range(len(header))],
-                "element_at(split(path, '/'), -1) AS file_name",
                 "path AS file_path",
                 "0L AS block_start",
                 "row_id",
             )
         )
         parts.append(to_line_items(raw, mapping, cell))
-    halts += [
-        (file_name(f), "unreadable", f"'{file_name(f)}' couldn't be read: no columns to parse from file")
-        for f in books if f not in found
-    ]
+    halts += [_unreadable(f, "no columns to parse from file") for f in books if f not in found]
     return parts
 
 
-def with_dates(rows: DataFrame, file_count: int | None = None) -> DataFrame:
-    """Read each file's dates with the format of its first date."""
+def with_dates(rows: DataFrame) -> DataFrame:
+    """Read each file's dates with the format of its first date.
+
+    The formats are stored, so Spark knows that they are one small row per file.
+    """
     # The set keeps this a hash aggregation; with text buffers alone Spark would sort the rows first.
     first = rows.sparkSession.sql(
         f"""
-        SELECT source_file, {guess_format("sample")} AS date_format
+        SELECT file_path, {guess_format("sample")} AS date_format
         FROM (
-            SELECT source_file, min_by(date_text, CASE WHEN date_text IS NOT NULL THEN struct(block_start, row_id) END) AS sample,
+            SELECT file_path, min_by(date_text, CASE WHEN date_text IS NOT NULL THEN struct(block_start, row_id) END) AS sample,
                    collect_set(date_text IS NULL) AS undated
-            FROM {{rows}} GROUP BY source_file
+            FROM {{rows}} GROUP BY file_path
         )
         WHERE array_contains(undated, false)
         """,
-        rows=rows.select("source_file", "date_text", "block_start", "row_id"),
+        rows=rows.select("file_path", "date_text", "block_start", "row_id"),
     )
-    if file_count is not None and file_count <= MAX_BROADCAST_FILES:
-        first = F.broadcast(first)
     return (
-        rows.join(first, "source_file", "left")
+        rows.join(stored(first), "file_path", "left")
         .withColumn("date", F.expr(to_date("date_text", "date_format")))
         .drop("date_text", "date_format", "block_start")
     )
@@ -144,7 +144,7 @@ def with_dates(rows: DataFrame, file_count: int | None = None) -> DataFrame:
 def read_sales(
     spark: SparkSession, path: str | list[str], stage: bool = True, duplicates: bool = True
 ) -> Checked:
-    """Line items, issues and halts of the exports under ``path``.
+    """Line items, issues, halts and reused order ids of the exports under ``path``.
 
     The rules need whole-file facts before any row can be kept, so the rows are
     read several times.  With ``stage`` the typed rows are written once as
@@ -157,17 +157,19 @@ def read_sales(
             empty.withColumn("row_id", F.lit(0).cast("long")),
             spark.createDataFrame(scan.issues, ISSUE_SCHEMA),
             spark.createDataFrame(scan.halts, HALT_SCHEMA),
+            spark.createDataFrame([], REUSED_SCHEMA),
         )
-    dated = with_dates(scan.rows, scan.file_count)
+    dated = with_dates(scan.rows)
     if stage:
         dated = stored(dated)
-    checked = validate(dated, scan.file_count, duplicates)
+    checked = validate(dated, duplicates)
     raw_ids = dated.where(F.col("layout") == UNDERSCORE).select(
-        "source_file", F.col("given_order_id").alias("order_id")
+        "file_path", "source_file", F.col("given_order_id").alias("order_id")
     )
-    reused = order_id_issues(raw_ids).join(checked.halts, "source_file", "left_anti")
+    reused = order_id_reuse(raw_ids).join(checked.halts.select("file_path"), "file_path", "left_anti")
     return Checked(
         checked.rows.drop("given_order_id", "layout", "missing_optional"),
-        checked.issues.unionByName(reused).unionByName(spark.createDataFrame(scan.issues, ISSUE_SCHEMA)),
+        checked.issues.unionByName(order_id_issues(reused)).unionByName(spark.createDataFrame(scan.issues, ISSUE_SCHEMA)),
         checked.halts.unionByName(spark.createDataFrame(scan.halts, HALT_SCHEMA)),
+        reused,
     )

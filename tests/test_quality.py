@@ -50,7 +50,7 @@ def test_missing_price_column_halts():
 
 
 def test_clean_frame_has_nothing_to_report(spark):
-    kept, issues, halts = run(spark, frame(), file_count=1)
+    kept, issues, halts = run(spark, frame())
     assert len(kept) == 25 and not flags(kept) and not issues and not halts
 
 
@@ -138,9 +138,7 @@ def test_labels_keep_rule_order(spark):
     assert flags(kept) == {"O0#0": "flagged:invalid_region;clamped:discount"}
 
 
-@pytest.mark.parametrize("max_hashes", [10**6, 0])
-def test_copies_in_another_file(spark, monkeypatch, max_hashes):
-    monkeypatch.setattr(duplicates, "MAX_BROADCAST_HASHES", max_hashes)
+def test_copies_in_another_file(spark):
     rows = frame(3) + [{**r, "source_file": "copy.csv"} for r in frame(2)]
     kept, issues, _ = run(spark, rows)
     assert len(flags(kept)) == 4 and "duplicate" not in issues
@@ -149,15 +147,14 @@ def test_copies_in_another_file(spark, monkeypatch, max_hashes):
 
 def test_halted_file_leaves_the_others(spark):
     rows = frame() + [{**r, "source_file": "halt.csv", "date": None, "region": ""} for r in frame(3)]
-    kept, issues, halts = run(spark, rows, file_count=2)
+    kept, issues, halts = run(spark, rows)
     assert len(kept) == 25 and not issues and [h["source_file"] for h in halts] == ["halt.csv"]
 
 
-@pytest.mark.parametrize("hot_groups, max_hashes", [(1, 10**6), (10_000, 10**6), (10_000, 0), (3, 0)])
-def test_copies_of_a_hot_row(spark, monkeypatch, hot_groups, max_hashes):
+@pytest.mark.parametrize("hot_groups", [1, 3, 10_000])
+def test_copies_of_a_hot_row(spark, monkeypatch, hot_groups):
     """A third of all rows are one row; both the hot and the cold way give exact counts."""
     monkeypatch.setattr(duplicates, "HOT_GROUPS", hot_groups)
-    monkeypatch.setattr(duplicates, "MAX_BROADCAST_HASHES", max_hashes)
     rows = spark.range(3000).selectExpr(
         "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN int(id / 6) ELSE id + 100000 END AS k",
         "CASE WHEN id % 3 = 0 THEN 'hot' ELSE 'x' END AS t", "id AS row_id",
@@ -180,10 +177,27 @@ def test_hot_rows_are_spread_over_the_shuffle(spark):
     assert "spread" in join.split("], [")[0]
 
 
-def test_order_id_reuse_lists_ids_and_counts_all(spark):
+def test_every_reused_order_id_is_a_row(spark):
     rows = spark.range(500).selectExpr("'f.csv' AS source_file", "concat('S', lpad(int(id / 2), 3, '0')) AS order_id")
-    (issue,) = Q.order_id_issues(rows, max_listed=2).collect()
-    assert issue["count"] == 250 and "orders: S000, S001 and 248 more -- likely a typo" in issue["message"]
+    reused = Q.order_id_reuse(rows)
+    assert {r["order_id"] for r in reused.collect()} == {f"S{i:03}" for i in range(250)}
+    (issue,) = Q.order_id_issues(reused).collect()
+    assert issue["count"] == 250 and issue["message"].startswith("250 Order_ID(s) reused across different orders in f.csv -- likely")
+
+
+def test_exact_counting_sees_suspects_only(spark, monkeypatch):
+    """The semi-join stays when nothing may be broadcast."""
+    made = []
+    monkeypatch.setattr(duplicates, "stored", lambda table: made.append(table) or table)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(100).selectExpr("id % 60 AS k", "id % 2 AS f", "id AS row_id")
+        for split in ([], ["f"]):
+            duplicates.repeated_rows(rows, ["k"], split)
+            assert "LeftSemi" in made[-1]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_missing_profile(spark):

@@ -9,7 +9,7 @@ from tallyforge.operators.derive import with_measures
 from tallyforge.operators.labels import dq_flag
 from tallyforge.operators.layout import detect_layout, map_header
 from tallyforge.plans.report import curated_rows, write_report
-from tallyforge.sinks.tables import read_section, write_curated
+from tallyforge.sinks.tables import read_section, write_curated, write_section
 from tallyforge.sources.files import list_files, profile_files, sniff_delimiter
 from tallyforge.sources.sales import read_sales
 from tallyforge.streaming.incremental import ingest_new_files, review_rows, stored_issues, stored_rows
@@ -50,7 +50,7 @@ def test_underscore_layout(spark, tmp_path):
     assert (first["price"], first["discount"], first["profit"], first["category"], first["region"]) == (3600, 0.1, 400, "Electronics", "North")
     assert (second["price"], second["profit"], second["region"], second["flag"]) == (150, -3600, "West", "flagged:negative_profit")
     issues = {r["check"]: r for r in checked.issues.collect()}
-    assert issues["order_id_reuse"]["count"] == 1 and "orders: SO-2 --" in issues["order_id_reuse"]["message"]
+    assert issues["order_id_reuse"]["count"] == 1 and [r["order_id"] for r in checked.reused_ids.collect()] == ["SO-2"]
     assert issues["invalid_qty_price"]["count"] == 1 and not halts_of(checked)
 
 
@@ -81,7 +81,7 @@ def test_clean_layout_aliases_defaults_and_unparseable_cells(spark, tmp_path):
     assert (first["sales_target"], first["profit"], first["customer"], first["region"]) == (500.0, None, "Unknown", "")
     assert first["flag"] == "flagged:invalid_region"
     assert [r["discount"] for r in others] == [0.015, 0.0] and others[1]["product"] == "a;b,c"
-    assert all(r["order_id"].startswith("a.csv-row") for r in others)
+    assert all("/a.csv-row" in r["order_id"] for r in others)
     assert others[0]["order_id"] != others[1]["order_id"]
 
 
@@ -191,6 +191,69 @@ def sales_text(month, n=20):
     return "date,price,product,category,region,quantity\n" + "\n".join(lines) + "\n"
 
 
+def two_folders(tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / name).mkdir()
+    return [str(tmp_path / "a"), str(tmp_path / "b")]
+
+
+def test_equal_names_in_two_folders_are_two_files(spark, tmp_path):
+    folders = two_folders(tmp_path)
+    good = book(("date", "price"), (datetime.date(2026, 7, 1), 1), (datetime.date(2026, 7, 2), 2))
+    put(tmp_path / "a", "export.xlsx", b"no workbook")
+    put(tmp_path / "b", "export.xlsx", good)
+    checked = read_sales(spark, folders)
+    assert checked.rows.count() == 2
+    (halt,) = checked.halts.collect()
+    assert halt["source_file"] == "export.xlsx" and halt["file_path"].endswith("/a/export.xlsx")
+
+
+def test_bad_dates_halt_one_of_two_equal_names(spark, tmp_path):
+    folders = two_folders(tmp_path)
+    put(tmp_path / "a", "e.csv", "date,price,order no\n" + "soon,1,\n" * 10)
+    put(tmp_path / "b", "e.csv", "date,price,order no\n" + "".join(f"2026-07-{i % 28 + 1:02},{i},\n" for i in range(30)))
+    checked = read_sales(spark, folders)
+    assert checked.rows.count() == 30 and checked.rows.select("order_id").distinct().count() == 30
+    assert [h["file_path"][-8:] for h in checked.halts.collect()] == ["/a/e.csv"]
+
+
+def test_synthetic_ids_of_equal_names_differ(spark, tmp_path):
+    folders = two_folders(tmp_path)
+    put(tmp_path / "a", "e.csv", "date,price\n2026-07-01,1\n")
+    put(tmp_path / "b", "e.csv", "date;price\n2026-07-02;1\n")
+    assert read_sales(spark, folders).rows.select("order_id").distinct().count() == 2
+
+
+def test_dates_with_an_offset(spark, tmp_path):
+    put(tmp_path, "z.csv", "date,price\n" + "".join(f"2026-07-{i + 1:02}T23:30:00Z,{i}\n" for i in range(28)))
+    put(tmp_path, "offset.csv", "date,price\n2026-07-01T23:30:00+02:00,1\n2026-07-02T00:10:00+02:00,1\n")
+    checked = read_sales(spark, str(tmp_path))
+    assert not halts_of(checked) and checked.rows.count() == 30
+    assert {str(r["date"]) for r in checked.rows.where("source_file = 'offset.csv'").collect()} == {"2026-07-01 23:30:00", "2026-07-02 00:10:00"}
+
+
+def test_runs_replace_what_they_wrote(spark, tmp_path):
+    out = str(tmp_path)
+    halts = spark.createDataFrame([("a.csv", "bad_dates")], "source_file string, reason string")
+    write_section(halts, out, "halts", "2026-07")
+    write_section(halts.limit(0), out, "halts", "2026-07")
+    for found in (read_section(spark, out, "halts"), read_section(spark, out, "halts", "2026-07")):
+        assert found.columns == ["source_file", "reason", "report_period"] and found.count() == 0
+    write_section(halts, out, "halts", "2026-06")
+    assert [r["report_period"] for r in read_section(spark, out, "halts").collect()] == ["2026-06"]
+
+
+def test_curated_table_loses_months_that_are_gone(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    put(tmp_path / "in", "june.csv", sales_text(6))
+    put(tmp_path / "in", "july.csv", sales_text(7))
+    out, curated = str(tmp_path / "out"), str(tmp_path / "curated")
+    assert write_report(spark, str(tmp_path / "in"), curated, out) == "2026-07"
+    assert write_report(spark, str(tmp_path / "in" / "june.csv"), curated, out) == "2026-06"
+    assert {r["period"] for r in curated_rows(spark, curated).select("period").distinct().collect()} == {"2026-06"}
+    assert {r["report_period"] for r in read_section(spark, out, "summary").collect()} == {"2026-06"}
+
+
 def test_whole_report(spark, tmp_path):
     (tmp_path / "in").mkdir()
     put(tmp_path / "in", "june.csv", sales_text(6))
