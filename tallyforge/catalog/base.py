@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.periods import latest_two
-from ..sources.star import star_sales
+from ..sources.star import star_items
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -31,7 +31,7 @@ def query(name: str, sql: str | None = None):
 
 def periods(spark: SparkSession, sf_dir: str) -> tuple[str | None, str | None]:
     """The two months to compare; reads one column of the line items."""
-    return latest_two(star_sales(spark, sf_dir, "date", labels=False))
+    return latest_two(star_items(spark, sf_dir, "date", labels=False))
 
 
 def rounded(table: DataFrame, **digits: int) -> DataFrame:
@@ -58,8 +58,8 @@ def rate(*names: str) -> dict[str, int]:
 
 # ------------------------------------------------------------ SQL building blocks
 
-SALES_SQL = """
-sales AS (
+ITEMS_SQL = """
+items AS (
   SELECT l_shipdate AS date, CAST(l_orderkey AS VARCHAR) AS order_id, c_name AS customer, p_name AS product,
          p_type AS category, r_name AS region, l_quantity AS quantity,
          CAST(floor(l_extendedprice / l_quantity) AS DOUBLE) AS price, l_discount * 3 AS discount,
@@ -75,10 +75,10 @@ sales AS (
   LEFT JOIN orders ON o_orderkey = l_orderkey
   LEFT JOIN customer ON c_custkey = o_custkey
 ),
-cur AS (SELECT max(date_trunc('month', date)) AS c FROM sales),
-pri AS (SELECT max(date_trunc('month', date)) AS p FROM sales, cur WHERE date_trunc('month', date) < c),
+cur AS (SELECT max(date_trunc('month', date)) AS c FROM items),
+pri AS (SELECT max(date_trunc('month', date)) AS p FROM items, cur WHERE date_trunc('month', date) < c),
 x AS (
-  SELECT sales.*, date_trunc('month', date) = c AS is_cur, date_trunc('month', date) = p AS is_pri,
+  SELECT items.*, date_trunc('month', date) = c AS is_cur, date_trunc('month', date) = p AS is_pri,
          quantity * price AS gross, quantity * price * discount AS disc,
          quantity * price * (1 - discount) AS rev,
          CASE WHEN discount <= 0 THEN 0 WHEN discount <= CAST(0.05 AS DOUBLE) THEN 1
@@ -89,7 +89,7 @@ x AS (
               WHEN discount <= CAST(0.10 AS DOUBLE) THEN 'Above 5% through 10%'
               WHEN discount <= CAST(0.20 AS DOUBLE) THEN 'Above 10% through 20%'
               ELSE 'Above 20%' END AS band
-  FROM sales, cur, pri
+  FROM items, cur, pri
 )
 """
 
@@ -148,8 +148,8 @@ labelled AS (
 """
 
 
-def sales_sql(statement: str) -> str:
-    return f"WITH {SALES_SQL} {statement}"
+def items_sql(statement: str) -> str:
+    return f"WITH {ITEMS_SQL} {statement}"
 
 
 def exports_sql(statement: str) -> str:

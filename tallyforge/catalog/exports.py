@@ -13,7 +13,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_dir
-from ..sources.star import star_sales, table
+from ..sources.star import star_items, table
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -56,7 +56,7 @@ UNDERSCORE_CELLS = {
     "Profit": "concat(CASE WHEN profit < 0 THEN '--$' ELSE '$' END, format_number(abs(profit), 2))",
 }
 
-# Line totals: sales instead of a price.
+# Line totals instead of a price.
 LINE_TOTAL_CELLS = {
     "Order ID": "order_id",
     "Order Date": "date_format(date, 'MM/dd/yyyy')",
@@ -75,7 +75,7 @@ CLEAN_CELLS = {
     "quantity": "quantity", "discount": "discount", "profit": "profit", "Invoice Number": "order_id",
 }
 
-_SALES = ("date", "order_id", "product", "category", "region", "quantity", "price", "discount", "profit")
+_ITEM_CELLS = ("date", "order_id", "product", "category", "region", "quantity", "price", "discount", "profit")
 
 
 def mixed_exports(spark: SparkSession, d: str) -> str:
@@ -84,7 +84,7 @@ def mixed_exports(spark: SparkSession, d: str) -> str:
     A: clean layout, ``;``; N: underscore layout, tabs; R: line-total layout,
     commas.  Part files of the three writes end up in one folder.
     """
-    rows = star_sales(spark, d, *_SALES, "return_flag", labels=False)
+    rows = star_items(spark, d, *_ITEM_CELLS, "return_flag", labels=False)
     out = shared_dir(spark)
     for flag, cells, sep in (("A", CLEAN_CELLS, ";"), ("N", UNDERSCORE_CELLS, "\t"), ("R", LINE_TOTAL_CELLS, ",")):
         part = rows.where(f"return_flag = '{flag}'").selectExpr(*[f"{c} AS `{h}`" for h, c in cells.items()])

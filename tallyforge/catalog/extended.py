@@ -103,6 +103,17 @@ query("top_products", _sql("""
 )
 
 
+@query("drop_exact_duplicates", _sql("""
+    SELECT "Category", count(*) AS row_count, round(sum("Sales"), 2) AS "Sales" FROM (SELECT DISTINCT * FROM t) GROUP BY 1
+"""))
+def drop_exact_duplicates(spark, d):
+    """Whole rows, some of them there twice."""
+    rows = star_line_totals(spark, d)
+    twice = rows.unionByName(rows.where("Quantity < 20"))
+    sums = X.clean_export(twice).groupBy("Category").agg(F.count(F.lit(1)).alias("row_count"), F.sum("Sales").alias("Sales"))
+    return rounded(sums, **money("Sales"))
+
+
 @query("clean_export", _sql("""
     SELECT "Discount %", "Loss_Flag", count(*) AS row_count, count("Order Date") AS dated, round(sum("Sales"), 2) AS "Sales"
     FROM (

@@ -23,10 +23,10 @@ from ..sinks.tables import (
 from ..sources.delimited import cell, read_delimited
 from ..sources.files import discover_files, list_files, profile_files
 from ..sources.line_totals import read_line_totals, scan_cleaned
-from ..sources.sales import read_sales, scan_exports, with_dates
-from ..sources.star import star_line_totals, star_sales, table
+from ..sources.exports import read_exports, scan_exports, with_dates
+from ..sources.star import star_line_totals, star_items, table
 from ..streaming.incremental import ingest_new_files, stored_rows
-from .base import counted, money, periods, query, rounded, sales_sql
+from .base import counted, money, periods, query, rounded, items_sql
 from .exports import (
     LINE_TOTAL_CELLS,
     UNDERSCORE_CELLS,
@@ -40,7 +40,7 @@ from .exports import (
 )
 from .extended import _T
 from .quality import checked, issues_sql
-from .summaries import _MEASURES, _SUMMARY_ROUNDS, _summary_sql
+from .summaries import _MEASURES, _SUMMARY_ROUNDS, _summary_sql, flags_sql
 
 def _n():
     return F.count("*").alias("n")
@@ -121,12 +121,12 @@ def read_charsets(spark, d):
     return _union(parts).groupBy("charset").agg(_n(), F.count_if(F.col("name").endswith(" Émilie")).alias("with_accent"))
 
 
-@query("read_workbook", sales_sql("""
+@query("read_workbook", items_sql("""
     SELECT product, count(*) AS n, round(sum(gross), 2) AS gross_sales, min(date) AS first_day, max(date) AS last_day
     FROM x GROUP BY product
 """))
 def read_workbook(spark, d):
-    rows = star_sales(spark, d, "date", "product", "quantity", "price", labels=False)
+    rows = star_items(spark, d, "date", "product", "quantity", "price", labels=False)
     typed = with_dates(scan_exports(spark, write_workbooks(rows, shared_dir(spark))).rows)
     sums = [f"sum({GROSS_SALES}) AS gross_sales", "min(date) AS first_day", "max(date) AS last_day"]
     return counted(typed, "product", *sums, **money("gross_sales"))
@@ -174,13 +174,13 @@ def equal_names(spark, d):
             else:
                 write_workbooks(books.coalesce(1), out, broken=not good)
             name_files(spark, out, "export.csv" if kind == "text" else "export.xlsx")
-        read = read_sales(spark, [f"{base}/a", f"{base}/b"])
+        read = read_exports(spark, [f"{base}/a", f"{base}/b"])
         halts = read.halts.agg(_n()).withColumnRenamed("n", "halts")
         found.append(read.rows.agg(_n()).crossJoin(halts).select(F.lit(kind).alias("kind"), "n", "halts"))
     return _union(found)
 
 
-_MIXED = sales_sql("""
+_MIXED = items_sql("""
     , mixed AS (
       SELECT CASE WHEN l_returnflag = 'A' THEN p_type ELSE upper(p_type[1]) || lower(substr(p_type, 2)) END AS category,
              l_quantity AS quantity, CAST(floor(l_extendedprice / l_quantity) AS DOUBLE) AS price, l_discount * 3 AS discount,
@@ -193,7 +193,7 @@ _MIXED = sales_sql("""
 
 
 def _mixed_rows(spark, d):
-    return read_sales(spark, mixed_exports(spark, d)).rows
+    return read_exports(spark, mixed_exports(spark, d)).rows
 
 
 @query("combine_files", _MIXED + """
@@ -211,7 +211,7 @@ def combine_files(spark, d):
 @query("source_file", "SELECT 'csv' AS suffix, true AS known_file, count(*) AS n FROM lineitem")
 def source_file(spark, d):
     out = mixed_exports(spark, d)
-    rows = read_sales(spark, out, duplicates=False).rows
+    rows = read_exports(spark, out, duplicates=False).rows
     known = discover_files(spark, out).select(F.col("file_name").alias("source_file"), F.lit(True).alias("known"))
     per_file = rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("k")).join(known, "source_file", "left")
     return per_file.groupBy(
@@ -233,7 +233,7 @@ def union_files(spark, d):
 def halts_by_reason(spark, d):
     out = shared_dir(spark)
     undated_export(spark, d, out)
-    found = read_sales(spark, out)
+    found = read_exports(spark, out)
     # Every line of the two rejected exports is a nation: count them behind the names.
     lines = spark.read.text(out).select(F.col("_metadata.file_name").alias("source_file"), "value")
     data = lines.where(~F.col("value").startswith("date"))
@@ -256,7 +256,7 @@ _ITEMS = ("date", "order_id", "product", "category", "region", "quantity", "pric
 
 
 def _items(spark, d, columns):
-    rows = star_sales(spark, d, *_ITEMS, labels=False)
+    rows = star_items(spark, d, *_ITEMS, labels=False)
     raw = raw_cells(rows, columns, "export.csv")
     return to_line_items(raw, map_header(list(columns)), cell)
 
@@ -270,7 +270,7 @@ def _layout_totals(rows, by="product"):
 
 
 def _totals_sql(by: str, profit: str = "profit") -> str:
-    return sales_sql(
+    return items_sql(
         f"SELECT {by} AS {by.split()[-1] if ' AS ' in by else by}, count(*) AS n, round(sum(gross), 2) AS gross_sales, "
         f"round(sum(rev), 2) AS revenue, round(sum({profit}), 2) AS profit, count({profit}) AS with_profit FROM x GROUP BY 1"
     )
@@ -299,8 +299,8 @@ query("rename_raw_superstore", _totals_sql("product", "coalesce(profit, 0)"))(
 )
 
 
-@query("detect_layout", sales_sql("""
-    SELECT unnest(['clean', 'line_total', 'underscore']) AS layout, (SELECT count(*) FROM sales) AS n
+@query("detect_layout", items_sql("""
+    SELECT unnest(['clean', 'line_total', 'underscore']) AS layout, (SELECT count(*) FROM items) AS n
 """))
 def detect(spark, d):
     headers = [_MESSY, LINE_TOTAL_CELLS, UNDERSCORE_CELLS]
@@ -308,12 +308,12 @@ def detect(spark, d):
     return _union(parts).groupBy("layout").agg(_n())
 
 
-@query("required_columns", sales_sql("""
-    SELECT 'price' AS missing, true AS named, count(*) AS n FROM sales
+@query("required_columns", items_sql("""
+    SELECT 'price' AS missing, true AS named, count(*) AS n FROM items
 """))
 def required_columns(spark, d):
     columns = {h: c for h, c in _MESSY.items() if c != "price"}
-    rows = star_sales(spark, d, *_ITEMS, labels=False)
+    rows = star_items(spark, d, *_ITEMS, labels=False)
     missing = missing_required(map_header(list(columns)).columns)
     message = missing_message("export.csv", missing)
     return rows.groupBy(
@@ -321,9 +321,9 @@ def required_columns(spark, d):
     ).agg(_n())
 
 
-@query("default_optional", sales_sql("""
+@query("default_optional", items_sql("""
     SELECT 'Unknown' AS region, 'Unknown' AS customer, CAST(1 AS DOUBLE) AS quantity, CAST(0 AS DOUBLE) AS discount, count(*) AS n,
-           CAST(0 AS BIGINT) AS with_profit, round(sum(price), 2) AS total FROM sales
+           CAST(0 AS BIGINT) AS with_profit, round(sum(price), 2) AS total FROM items
 """))
 def default_optional(spark, d):
     rows = _items(spark, d, {"date": "date", "price": "price"})
@@ -333,26 +333,26 @@ def default_optional(spark, d):
     return rounded(table_, total=2)
 
 
-@query("missing_optional", sales_sql("""
+@query("missing_optional", items_sql("""
     SELECT unnest(['category', 'customer', 'discount', 'product', 'profit', 'quantity', 'region', 'sales_target']) AS "column",
-           (SELECT count(*) FROM sales) AS n
+           (SELECT count(*) FROM items) AS n
 """))
 def missing_optional(spark, d):
     rows = _items(spark, d, {"date": "date", "price": "price"})
     return rows.select(F.explode("missing_optional").alias("column")).groupBy("column").agg(_n())
 
 
-@query("prune_columns", sales_sql("""
-    SELECT region, count(*) AS n, false AS has_comment FROM sales GROUP BY region
+@query("prune_columns", items_sql("""
+    SELECT region, count(*) AS n, false AS has_comment FROM items GROUP BY region
 """))
 def prune_columns(spark, d):
     rows = _items(spark, d, _MESSY)
     return rows.groupBy("region").agg(_n(), F.lit("comment" in rows.columns).alias("has_comment"))
 
 
-@query("add_sales_target_null", sales_sql("""
+@query("add_sales_target_null", items_sql("""
     SELECT category, count(*) AS n, CAST(0 AS BIGINT) AS with_target FROM
-      (SELECT upper(category[1]) || lower(substr(category, 2)) AS category FROM sales) GROUP BY category
+      (SELECT upper(category[1]) || lower(substr(category, 2)) AS category FROM items) GROUP BY category
 """))
 def add_sales_target_null(spark, d):
     rows = _items(spark, d, UNDERSCORE_CELLS)
@@ -377,10 +377,10 @@ def ensure_ids(spark, d):
 # ----------------------------------------------------------------- sinks
 
 def _report_rows(spark, d):
-    return star_sales(spark, d, *_MEASURES, "order_id", "customer", "product", "category", "region", "sales_target")
+    return star_items(spark, d, *_MEASURES, "order_id", "customer", "product", "category", "region", "sales_target")
 
 
-@query("write_report_tables", sales_sql(
+@query("write_report_tables", items_sql(
     f"SELECT *, strftime((SELECT c FROM cur), '%Y-%m') AS report_period FROM ({_summary_sql('category')})"
 ))
 def write_report_tables(spark, d):
@@ -392,7 +392,58 @@ def write_report_tables(spark, d):
     return rounded(table_, **_SUMMARY_ROUNDS)
 
 
-@query("latest_and_dated", sales_sql("""
+# Section -> rows it must have, as SQL over the items.
+_SECTION_ROWS = {
+    "by_category": "SELECT count(DISTINCT category) FROM x WHERE is_cur",
+    "by_region": "SELECT count(DISTINCT region) FROM x WHERE is_cur",
+    "discounts_by_product": "SELECT count(DISTINCT product) FROM x WHERE is_cur",
+    "discounts_by_category": "SELECT count(DISTINCT category) FROM x WHERE is_cur",
+    "discount_bands": "SELECT count(DISTINCT band) FROM x WHERE is_cur",
+    "discount_bands_by_product": "SELECT count(DISTINCT (band, product)) FROM x WHERE is_cur",
+    "kpis": "SELECT 18",
+    "by_month": "SELECT count(DISTINCT date_trunc('month', date)) FROM x",
+    "flags": "SELECT count(*) FROM flags",
+    "flag_lines": "SELECT count(*) FROM flags",
+    "headline": "SELECT 1",
+    "change": "SELECT 1",
+}
+
+
+@query("report_sections", flags_sql(" UNION ALL ".join(
+    f"SELECT '{name}' AS section, CAST(({rows}) AS BIGINT) AS n, strftime((SELECT c FROM cur), '%Y-%m') AS report_period"
+    for name, rows in _SECTION_ROWS.items()
+)))
+def sections(spark, d):
+    """Every section written and read back."""
+    out = shared_dir(spark)
+    rows = curated_rows(spark, write_curated(with_measures(_report_rows(spark, d)), shared_dir(spark)))
+    current, prior = latest_two(rows)
+    write_sections(report_sections(rows, current, prior), out, current)
+    return _union([
+        read_section(spark, out, name).groupBy("report_period").agg(_n()).withColumn("section", F.lit(name)) for name in _SECTION_ROWS
+    ])
+
+
+@query("extended_tables", f"""WITH {_T},
+    u AS (SELECT DISTINCT "Order Date", "Ship Date", "Region", "Category", "Product Name", "Segment", "Sales", "Discount", "Profit", "Order ID" FROM t),
+    pairs AS (SELECT "Category", "Region", coalesce(sum("Profit"), 0) AS p FROM u GROUP BY 1, 2)
+    SELECT 'Region_Category' AS name, count(*) AS n FROM pairs
+    UNION ALL SELECT 'Product_Performance', count(*) FROM (SELECT DISTINCT "Product Name", "Region", "Segment", date_trunc('month', "Order Date") FROM u)
+    UNION ALL SELECT 'Monthly_Trend', count(DISTINCT date_trunc('month', "Order Date")) FROM u
+    UNION ALL SELECT 'Underperformers', count(*) FROM pairs WHERE p < (SELECT quantile_cont(p, 0.1) FROM pairs)
+    UNION ALL SELECT 'Discount_Impact', count(DISTINCT round_even("Discount" * 100 * 10, 0) / 10) FROM u
+    UNION ALL SELECT 'Region_by_Category', count(DISTINCT "Region") FROM u
+    UNION ALL SELECT 'Top_Products', least(10, count(DISTINCT "Product Name")) FROM u""")
+def extended(spark, d):
+    """Every extended table written and read back."""
+    base = shared_dir(spark)
+    clean_to_csv(spark, _raw_line_totals(spark, d), f"{base}/cleaned")
+    write_extended_tables(spark, f"{base}/cleaned", f"{base}/tables")
+    names = ["Region_Category", "Product_Performance", "Monthly_Trend", "Underperformers", "Discount_Impact", "Region_by_Category", "Top_Products"]
+    return _union([spark.read.parquet(f"{base}/tables/{n}").agg(_n()).withColumn("name", F.lit(n)) for n in names])
+
+
+@query("latest_and_dated", items_sql("""
     SELECT 'latest' AS copy, strftime(c, '%Y-%m') AS report_period, round(sum(rev), 2) AS revenue FROM x, cur WHERE is_cur GROUP BY c
     UNION ALL
     SELECT 'dated', strftime(p, '%Y-%m'), round(sum(rev), 2) FROM x, pri WHERE is_pri GROUP BY p
@@ -400,7 +451,7 @@ def write_report_tables(spark, d):
 def latest_and_dated(spark, d):
     out = shared_dir(spark)
     current, prior = periods(spark, d)
-    rows = star_sales(spark, d, *_MEASURES, labels=False)
+    rows = star_items(spark, d, *_MEASURES, labels=False)
     for month in (current, prior, current):
         write_section(S.headline_totals(rows, month), out, "headline", month)
     latest = read_section(spark, out, "headline").withColumn("copy", F.lit("latest"))
@@ -408,7 +459,7 @@ def latest_and_dated(spark, d):
     return rounded(latest.unionByName(dated).select("copy", "report_period", "revenue"), **money("revenue"))
 
 
-@query("sections_again", sales_sql("""
+@query("sections_again", items_sql("""
     SELECT strftime((SELECT p FROM pri), '%Y-%m') AS latest, (SELECT count(*) FROM (SELECT DISTINCT region FROM x WHERE is_pri)) AS n,
            CAST(0 AS BIGINT) AS emptied, (SELECT count(DISTINCT date_trunc('month', date)) FROM x) - 1 AS months
 """))
@@ -416,7 +467,7 @@ def sections_again(spark, d):
     """A month written twice, the second time without rows; an older month last; the curated table without its last month."""
     out, store = shared_dir(spark), shared_dir(spark)
     current, prior = periods(spark, d)
-    rows = with_measures(star_sales(spark, d, *_MEASURES, "region"))
+    rows = with_measures(star_items(spark, d, *_MEASURES, "region"))
     regions = rows.select("period", "region").distinct()
     write_section(regions.where(F.col("period") == current), out, "regions", current)
     write_section(regions.where("false"), out, "regions", current)
@@ -429,11 +480,11 @@ def sections_again(spark, d):
     return latest.crossJoin(emptied).crossJoin(months)
 
 
-@query("write_curated", sales_sql("""
+@query("write_curated", items_sql("""
     SELECT strftime(date, '%Y-%m') AS period, count(*) AS n, round(sum(gross), 2) AS gross_sales FROM x GROUP BY 1
 """))
 def curated(spark, d):
-    out = write_curated(with_measures(star_sales(spark, d, *_MEASURES, "order_id")), shared_dir(spark))
+    out = write_curated(with_measures(star_items(spark, d, *_MEASURES, "order_id")), shared_dir(spark))
     return rounded(curated_rows(spark, out).groupBy("period").agg(_n(), F.sum("gross_sales").alias("gross_sales")), **money("gross_sales"))
 
 

@@ -6,9 +6,9 @@ from .. import functions as fn
 from ..functions.text import WHITESPACE
 from ..operators.labels import dq_flag
 from ..operators.quality import flagged, usable
-from ..sources.sales import with_dates
-from ..sources.star import star_sales, table
-from .base import counted, exports_sql, query, sales_sql
+from ..sources.exports import with_dates
+from ..sources.star import star_items, table
+from .base import counted, exports_sql, query, items_sql
 from .quality import _accepted, kept_rows
 
 
@@ -80,9 +80,9 @@ query("derive_price_from_sales", _totals_sql(
     )
 )
 
-query("fill_zero", sales_sql(_totals_sql("coalesce(profit, 0)", by="category", relation="sales")))(
+query("fill_zero", items_sql(_totals_sql("coalesce(profit, 0)", by="category", relation="items")))(
     lambda spark, d: _totals(
-        star_sales(spark, d, "category", "profit", labels=False), fn.fill_zero("profit"), by="category"
+        star_items(spark, d, "category", "profit", labels=False), fn.fill_zero("profit"), by="category"
     )
 )
 
@@ -93,7 +93,7 @@ query("fill_zero", sales_sql(_totals_sql("coalesce(profit, 0)", by="category", r
       FROM lineitem LEFT JOIN part ON p_partkey = l_partkey GROUP BY 1)
 """)
 def pct_change(spark, d):
-    rows = star_sales(spark, d, "product", "quantity", "return_flag", labels=False)
+    rows = star_items(spark, d, "product", "quantity", "return_flag", labels=False)
     return spark.sql(
         f"""
         SELECT p_name, round({fn.pct_change("a", "r")}, 6) AS change
@@ -125,18 +125,18 @@ query("discount_pct", """
 
 # ---------------------------------------------------------------- rules
 
-query("discount_band", sales_sql("SELECT band, band_ord, count(*) AS n FROM x GROUP BY 1, 2"))(
+query("discount_band", items_sql("SELECT band, band_ord, count(*) AS n FROM x GROUP BY 1, 2"))(
     lambda spark, d: spark.sql(
         f"""
         SELECT {fn.discount_band("discount")} AS band, {fn.band_order("discount")} AS band_ord, count(*) AS n
         FROM {{rows}} GROUP BY 1, 2
         """,
-        rows=star_sales(spark, d, "discount", labels=False),
+        rows=star_items(spark, d, "discount", labels=False),
     )
 )
 
 
-@query("margin_risk", sales_sql("""
+@query("margin_risk", items_sql("""
     SELECT order_id, coalesce(round(avg(discount), 9) >= CAST(0.15 AS DOUBLE)
              AND sum(profit) / nullif(sum(rev), 0) < CAST(0.10 AS DOUBLE), false) AS margin_risk
     FROM x GROUP BY order_id
@@ -149,14 +149,14 @@ def margin_risk(spark, d):
         FROM (SELECT order_id, round(avg(discount), 9) AS mean, sum(profit) AS profit,
                      sum(quantity * price * (1 - discount)) AS revenue FROM {{rows}} GROUP BY order_id)
         """,
-        rows=star_sales(spark, d, "order_id", "quantity", "price", "discount", "profit", labels=False),
+        rows=star_items(spark, d, "order_id", "quantity", "price", "discount", "profit", labels=False),
     )
 
 
-query("loss_flag", sales_sql("SELECT product, coalesce(profit < 0, false) AS loss_flag, count(*) AS n FROM sales GROUP BY 1, 2"))(
+query("loss_flag", items_sql("SELECT product, coalesce(profit < 0, false) AS loss_flag, count(*) AS n FROM items GROUP BY 1, 2"))(
     lambda spark, d: spark.sql(
         f"SELECT product, {fn.loss_flag('profit')} AS loss_flag, count(*) AS n FROM {{rows}} GROUP BY 1, 2",
-        rows=star_sales(spark, d, "product", "profit", labels=False),
+        rows=star_items(spark, d, "product", "profit", labels=False),
     )
 )
 

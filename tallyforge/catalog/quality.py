@@ -20,8 +20,8 @@ from ..schema import (
 )
 from ..session import shared_dir, stored
 from ..sinks.tables import read_section, write_quality_report
-from ..sources.star import star_exports, star_line_totals, star_sales, table
-from .base import counted, exports_sql, money, query, rounded, sales_sql
+from ..sources.star import star_exports, star_items, table
+from .base import counted, exports_sql, money, query, rounded, items_sql
 
 def staged_exports(spark, d):
     """The exports as one written table, as a file scan leaves them: they are read several times."""
@@ -257,34 +257,13 @@ query("strict_cross_file", exports_sql("""
 """))(lambda spark, d: Q.strict_cross_file_copies(Q.file_copies(kept_rows(spark, d, staged=True))))
 
 
-@query("dq_note_join", exports_sql("""
-    SELECT category, count(*) AS line_items, round(sum(quantity * price * (1 - discount)), 2) AS revenue,
-           count(*) FILTER (WHERE row_flag IS NOT NULL) AS tagged FROM labelled GROUP BY category
-"""))
-def dq_note_join(spark, d):
-    tagged = F.count_if(F.size("dq") > 0).alias("tagged")
-    revenue = F.sum(F.col("quantity") * F.col("price") * (1 - F.col("discount"))).alias("revenue")
-    table_ = kept_rows(spark, d).groupBy("category").agg(F.count(F.lit(1)).alias("line_items"), revenue, tagged)
-    return rounded(table_, **money("revenue"))
-
-
 # ----------------------------------------------------- whole-table profiles
 
 _PROFILED = ["order_id", "profit", "sales_target", "category"]
 
-query("missing_profile", sales_sql(" UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS missing FROM sales" for c in _PROFILED
-)))(lambda spark, d: Q.missing_profile(star_sales(spark, d, *_PROFILED, labels=False)))
-
-query("drop_exact_duplicates", """
-    SELECT p_type AS "Category", count(*) AS row_count
-    FROM (SELECT DISTINCT p_type, p_name, l_discount, l_quantity FROM lineitem LEFT JOIN part ON p_partkey = l_partkey)
-    GROUP BY 1
-""")(
-    lambda spark, d: star_line_totals(spark, d, "Category", "Product Name", "Discount", "Quantity")
-    .dropDuplicates().groupBy("Category").agg(F.count(F.lit(1)).alias("row_count"))
-)
-
+query("missing_profile", items_sql(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS missing FROM items" for c in _PROFILED
+)))(lambda spark, d: Q.missing_profile(star_items(spark, d, *_PROFILED, labels=False)))
 
 @query("repeated_rows", """
     SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1

@@ -42,7 +42,7 @@ def weak_regions(rows: DataFrame) -> DataFrame:
     )
 
 
-def analyze_sales(rows: DataFrame) -> dict[str, DataFrame]:
+def analyze_items(rows: DataFrame) -> dict[str, DataFrame]:
     return {
         "by_region": revenue_by(rows, "region"),
         "by_category": revenue_by(rows, "category"),

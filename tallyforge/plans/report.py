@@ -26,7 +26,7 @@ from ..operators.summaries import (
     with_top_marker,
 )
 from ..sinks.tables import write_curated, write_quality_report, write_sections
-from ..sources.sales import read_sales
+from ..sources.exports import read_exports
 
 
 def report_sections(rows: DataFrame, current: str | None, prior: str | None) -> dict[str, DataFrame]:
@@ -66,7 +66,7 @@ def write_report(spark: SparkSession, source: str | list[str], curated: str, out
     The report reads the curated table, so it touches two months of it, and the
     monthly table the few columns it needs.
     """
-    checked = read_sales(spark, source)
+    checked = read_exports(spark, source)
     write_curated(with_measures(checked.rows), curated)
     return write_report_tables(curated_rows(spark, curated), checked, out)
 

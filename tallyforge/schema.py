@@ -1,4 +1,4 @@
-"""Columns, defaults, labels and thresholds of the sales data model."""
+"""Columns, defaults, labels and thresholds of the data model."""
 
 from __future__ import annotations
 

@@ -141,7 +141,7 @@ def with_dates(rows: DataFrame) -> DataFrame:
     )
 
 
-def read_sales(
+def read_exports(
     spark: SparkSession, path: str | list[str], stage: bool = True, duplicates: bool = True
 ) -> Checked:
     """Line items, issues, halts and reused order ids of the exports under ``path``.

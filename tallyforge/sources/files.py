@@ -58,7 +58,7 @@ def list_files(spark: SparkSession, path: str | list[str]) -> list[str]:
     listed = spark.read.format("binaryFile").option("pathGlobFilter", FILE_PATTERN).load(path).inputFiles()
     found = sorted(p for p in map(plain_path, listed) if not file_name(p).startswith("~$"))
     if not found:
-        raise FileNotFoundError(f"No sales exports ({FILE_PATTERN}) found in {path}.")
+        raise FileNotFoundError(f"No exports ({FILE_PATTERN}) found in {path}.")
     return found
 
 

@@ -62,7 +62,7 @@ _PRICE = "double(floor(l_extendedprice / l_quantity))"
 _PROFIT = "CASE WHEN l_linenumber <> 7 THEN double(floor(l_extendedprice)) * ((l_partkey % 10) - 2) / 20D END"
 
 # Sales column -> (expression, dimension column it needs)
-SALES = {
+ITEM_SOURCES = {
     "date": ("l_shipdate", None),
     "order_id": ("string(l_orderkey)", None),
     "customer": ("c_name", "c_name"),
@@ -83,13 +83,13 @@ def _view(spark: SparkSession, sf_dir: str, columns: dict[str, tuple], names: li
     return _facts(spark, sf_dir, wanted).selectExpr(*[f"{columns[n][0]} AS `{n}`" for n in names])
 
 
-def star_sales(spark: SparkSession, sf_dir: str, *columns: str, labels: bool = True) -> DataFrame:
+def star_items(spark: SparkSession, sf_dir: str, *columns: str, labels: bool = True) -> DataFrame:
     """Checked line items with the named columns (all of them by default).
 
     With ``labels`` the row rules add ``dq``; the rules of columns that were not
     asked for have nothing to look at and are left out.
     """
-    rows = _view(spark, sf_dir, SALES, list(columns or ["order_id", *BUSINESS_COLUMNS]))
+    rows = _view(spark, sf_dir, ITEM_SOURCES, list(columns or ["order_id", *BUSINESS_COLUMNS]))
     return flagged(usable(rows)) if labels else rows
 
 

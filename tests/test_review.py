@@ -244,7 +244,7 @@ def test_notes(spark, sample):
 
 
 def test_flat_tables(sample):
-    tables = flat.analyze_sales(sample)
+    tables = flat.analyze_items(sample)
     assert {r["region"]: round(r["revenue"], 2) for r in tables["by_region"].collect()}["West"] == 4450.0
     assert tables["weak_regions"].count() == 0
     few = sample.where("region <> 'West' OR product = 'Sofa'").where("region <> 'West' OR month(date) = 7")

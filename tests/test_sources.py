@@ -11,7 +11,7 @@ from tallyforge.operators.layout import detect_layout, map_header
 from tallyforge.plans.report import curated_rows, write_report
 from tallyforge.sinks.tables import read_section, write_curated, write_section
 from tallyforge.sources.files import list_files, profile_files, sniff_delimiter
-from tallyforge.sources.sales import read_sales
+from tallyforge.sources.exports import read_exports
 from tallyforge.streaming.incremental import ingest_new_files, review_rows, stored_issues, stored_rows
 
 import pandas as pd
@@ -45,7 +45,7 @@ UNDERSCORE = (
 
 def test_underscore_layout(spark, tmp_path):
     put(tmp_path, "raw.tsv", UNDERSCORE)
-    checked = read_sales(spark, str(tmp_path))
+    checked = read_exports(spark, str(tmp_path))
     first, second = rows_of(checked)
     assert (first["price"], first["discount"], first["profit"], first["category"], first["region"]) == (3600, 0.1, 400, "Electronics", "North")
     assert (second["price"], second["profit"], second["region"], second["flag"]) == (150, -3600, "West", "flagged:negative_profit")
@@ -61,7 +61,7 @@ def test_line_total_layout(spark, tmp_path):
         "A,07/02/2026,07/03/2026,Ann,Home,west,tech,Case,50,1,1,\n"
         "B,07/02/2026,07/03/2026,Bob,Home,west,tech,Case,50,1,20,1\n"
     ))
-    checked = read_sales(spark, str(tmp_path))
+    checked = read_exports(spark, str(tmp_path))
     phone, case = sorted(rows_of(checked), key=lambda r: -r["price"])
     assert phone["price"] == 100.0 and phone["order_id"] == "A" and phone["category"] == "Tech"
     assert case["price"] == 0.0 and case["profit"] == 0.0 and case["sales_target"] is None
@@ -76,7 +76,7 @@ def test_clean_layout_aliases_defaults_and_unparseable_cells(spark, tmp_path):
         "2026-07-02,Lamp,20,,x,1.5,  \n"
         "2026-07-03,\"a;b,c\",30,nan,,abc,West\n"
     ))
-    first, *others = rows_of(read_sales(spark, str(tmp_path)), "date")
+    first, *others = rows_of(read_exports(spark, str(tmp_path)), "date")
     assert (first["price"], first["quantity"], first["discount"], first["order_id"]) == (0.0, 1.0, 0.1, "17")
     assert (first["sales_target"], first["profit"], first["customer"], first["region"]) == (500.0, None, "Unknown", "")
     assert first["flag"] == "flagged:invalid_region"
@@ -98,7 +98,7 @@ def test_files_of_many_shapes_in_one_folder(spark, tmp_path):
     put(tmp_path, "late.csv", "date,price\nsoon,1\n")
     put(tmp_path, "broken.xlsx", b"not a zip")
     put(tmp_path, "notes.txt", "date,price\n2026-02-01,1\n")
-    checked = read_sales(spark, str(tmp_path))
+    checked = read_exports(spark, str(tmp_path))
     found = {(r["source_file"], str(r["date"])[:10]): (r["price"], r["customer"]) for r in checked.rows.collect()}
     assert found == {
         ("semi.csv", "2026-02-13"): (10.0, "Zoë"), ("semi.csv", "2026-02-01"): (11.0, "Al"),
@@ -114,7 +114,7 @@ def test_files_of_many_shapes_in_one_folder(spark, tmp_path):
 def test_line_breaks_inside_quotes(spark, tmp_path):
     put(tmp_path, "multi.csv", 'date,price,customer\n2026-02-01,1,"A\nB"\n2026-02-02,2,"C ""D"" , E"\n')
     put(tmp_path, "bad.csv", 'date,price,customer\n2026-02-01,1,"A\nB"\n2026-02-02,2,x,y\n')
-    checked = read_sales(spark, str(tmp_path))
+    checked = read_exports(spark, str(tmp_path))
     assert {r["customer"] for r in checked.rows.collect()} == {"A\nB", 'C "D" , E'}
     assert halts_of(checked) == {"bad.csv": "unreadable"}
 
@@ -122,21 +122,21 @@ def test_line_breaks_inside_quotes(spark, tmp_path):
 def test_undefined_bytes_make_a_file_unreadable(spark, tmp_path):
     put(tmp_path, "x.csv", b"date,price,customer\n2026-02-01,1,\x81\xe9\n")
     put(tmp_path, "ok.csv", "date,price,customer\n2026-02-01,1,Á\n")
-    assert halts_of(read_sales(spark, str(tmp_path))) == {"x.csv": "unreadable"}
+    assert halts_of(read_exports(spark, str(tmp_path))) == {"x.csv": "unreadable"}
 
 
 def test_same_export_under_two_names(spark, tmp_path):
     text = "date,price,product\n2026-02-01,1,A\n2026-02-02,2,B\n"
     put(tmp_path, "one.csv", text)
     put(tmp_path, "two.csv", text)
-    checked = read_sales(spark, str(tmp_path))
+    checked = read_exports(spark, str(tmp_path))
     assert {r["flag"] for r in rows_of(checked)} == {"flagged:duplicate"}
     assert {r["check"]: r["count"] for r in checked.issues.collect()} == {"cross_file_duplicate": 2}
 
 
 def test_two_headers_for_one_column(spark, tmp_path):
     put(tmp_path, "a.csv", "date,Unit Price,price,Item Name,Product Name\n2026-02-01,9,1,A,B\n")
-    checked = read_sales(spark, str(tmp_path))
+    checked = read_exports(spark, str(tmp_path))
     (row,) = rows_of(checked)
     assert row["price"] == 1.0 and row["product"] == "A"
     assert [r["check"] for r in checked.issues.collect()] == ["repeated_header"]
@@ -149,7 +149,7 @@ def test_no_files(spark, tmp_path):
 
 def test_only_rejected_files(spark, tmp_path):
     put(tmp_path, "a.csv", "x,y\n1,2\n")
-    checked = read_sales(spark, str(tmp_path))
+    checked = read_exports(spark, str(tmp_path))
     assert checked.rows.count() == 0 and halts_of(checked) == {"a.csv": "missing_columns"}
 
 
@@ -178,7 +178,7 @@ def test_workbook(spark, tmp_path):
         (datetime.date(2026, 7, 1), 12.5, "A & B", 17, 2), (None,) * 5, (datetime.date(2026, 7, 2), 3, None, "x", 1),
     ))
     put(tmp_path, "other.xlsx", book(("date", "qty"), (datetime.date(2026, 7, 1), 1)))
-    checked = read_sales(spark, str(tmp_path))
+    checked = read_exports(spark, str(tmp_path))
     first, second = rows_of(checked, "date")
     assert (first["price"], first["customer"], first["order_id"], first["quantity"]) == (12.5, "A & B", "17", 2.0)
     assert first["date"] == datetime.datetime(2026, 7, 1) 
@@ -186,7 +186,7 @@ def test_workbook(spark, tmp_path):
     assert halts_of(checked) == {"other.xlsx": "missing_columns"}
 
 
-def sales_text(month, n=20):
+def lines_text(month, n=20):
     lines = [f"2026-{month:02d}-{i % 28 + 1:02d},{10 + i},P{i % 3},C{i % 2},R{i % 2},{i % 4 + 1}" for i in range(n)]
     return "date,price,product,category,region,quantity\n" + "\n".join(lines) + "\n"
 
@@ -202,7 +202,7 @@ def test_equal_names_in_two_folders_are_two_files(spark, tmp_path):
     good = book(("date", "price"), (datetime.date(2026, 7, 1), 1), (datetime.date(2026, 7, 2), 2))
     put(tmp_path / "a", "export.xlsx", b"no workbook")
     put(tmp_path / "b", "export.xlsx", good)
-    checked = read_sales(spark, folders)
+    checked = read_exports(spark, folders)
     assert checked.rows.count() == 2
     (halt,) = checked.halts.collect()
     assert halt["source_file"] == "export.xlsx" and halt["file_path"].endswith("/a/export.xlsx")
@@ -212,7 +212,7 @@ def test_bad_dates_halt_one_of_two_equal_names(spark, tmp_path):
     folders = two_folders(tmp_path)
     put(tmp_path / "a", "e.csv", "date,price,order no\n" + "soon,1,\n" * 10)
     put(tmp_path / "b", "e.csv", "date,price,order no\n" + "".join(f"2026-07-{i % 28 + 1:02},{i},\n" for i in range(30)))
-    checked = read_sales(spark, folders)
+    checked = read_exports(spark, folders)
     assert checked.rows.count() == 30 and checked.rows.select("order_id").distinct().count() == 30
     assert [h["file_path"][-8:] for h in checked.halts.collect()] == ["/a/e.csv"]
 
@@ -221,13 +221,13 @@ def test_synthetic_ids_of_equal_names_differ(spark, tmp_path):
     folders = two_folders(tmp_path)
     put(tmp_path / "a", "e.csv", "date,price\n2026-07-01,1\n")
     put(tmp_path / "b", "e.csv", "date;price\n2026-07-02;1\n")
-    assert read_sales(spark, folders).rows.select("order_id").distinct().count() == 2
+    assert read_exports(spark, folders).rows.select("order_id").distinct().count() == 2
 
 
 def test_dates_with_an_offset(spark, tmp_path):
     put(tmp_path, "z.csv", "date,price\n" + "".join(f"2026-07-{i + 1:02}T23:30:00Z,{i}\n" for i in range(28)))
     put(tmp_path, "offset.csv", "date,price\n2026-07-01T23:30:00+02:00,1\n2026-07-02T00:10:00+02:00,1\n")
-    checked = read_sales(spark, str(tmp_path))
+    checked = read_exports(spark, str(tmp_path))
     assert not halts_of(checked) and checked.rows.count() == 30
     assert {str(r["date"]) for r in checked.rows.where("source_file = 'offset.csv'").collect()} == {"2026-07-01 23:30:00", "2026-07-02 00:10:00"}
 
@@ -245,8 +245,8 @@ def test_runs_replace_what_they_wrote(spark, tmp_path):
 
 def test_curated_table_loses_months_that_are_gone(spark, tmp_path):
     (tmp_path / "in").mkdir()
-    put(tmp_path / "in", "june.csv", sales_text(6))
-    put(tmp_path / "in", "july.csv", sales_text(7))
+    put(tmp_path / "in", "june.csv", lines_text(6))
+    put(tmp_path / "in", "july.csv", lines_text(7))
     out, curated = str(tmp_path / "out"), str(tmp_path / "curated")
     assert write_report(spark, str(tmp_path / "in"), curated, out) == "2026-07"
     assert write_report(spark, str(tmp_path / "in" / "june.csv"), curated, out) == "2026-06"
@@ -256,8 +256,8 @@ def test_curated_table_loses_months_that_are_gone(spark, tmp_path):
 
 def test_whole_report(spark, tmp_path):
     (tmp_path / "in").mkdir()
-    put(tmp_path / "in", "june.csv", sales_text(6))
-    put(tmp_path / "in", "july.csv", sales_text(7))
+    put(tmp_path / "in", "june.csv", lines_text(6))
+    put(tmp_path / "in", "july.csv", lines_text(7))
     out, curated = str(tmp_path / "out"), str(tmp_path / "curated")
     assert write_report(spark, str(tmp_path / "in"), curated, out) == "2026-07"
     category = read_section(spark, out, "by_category")
@@ -265,7 +265,7 @@ def test_whole_report(spark, tmp_path):
     assert read_section(spark, out, "by_month", "2026-07").count() == 2
     assert read_section(spark, out, "banner").first()["halts"] == 0
     # A later month replaces nothing of the earlier one.
-    put(tmp_path / "in", "august.csv", sales_text(8))
+    put(tmp_path / "in", "august.csv", lines_text(8))
     assert write_report(spark, str(tmp_path / "in"), curated, out) == "2026-08"
     assert read_section(spark, out, "by_category", "2026-07").count() == 2
     assert {r["report_period"] for r in read_section(spark, out, "summary").collect()} == {"2026-08"}
@@ -274,9 +274,9 @@ def test_whole_report(spark, tmp_path):
 def test_curated_table_is_pruned_by_month(spark, tmp_path):
     from tallyforge.operators.summaries import category_summary
 
-    put(tmp_path, "june.csv", sales_text(6))
-    put(tmp_path, "july.csv", sales_text(7))
-    out = write_curated(with_measures(read_sales(spark, str(tmp_path)).rows), str(tmp_path / "curated"))
+    put(tmp_path, "june.csv", lines_text(6))
+    put(tmp_path, "july.csv", lines_text(7))
+    out = write_curated(with_measures(read_exports(spark, str(tmp_path)).rows), str(tmp_path / "curated"))
     table = category_summary(curated_rows(spark, out), "2026-07", "2026-06")
     plan = table._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [period" in plan and "customer" not in plan.split("ReadSchema")[1]
@@ -285,12 +285,12 @@ def test_curated_table_is_pruned_by_month(spark, tmp_path):
 def test_new_files_only(spark, tmp_path):
     folder, table, state = tmp_path / "in", str(tmp_path / "table"), str(tmp_path / "state")
     folder.mkdir()
-    put(folder, "june.csv", sales_text(6))
+    put(folder, "june.csv", lines_text(6))
     put(folder, "bad.csv", "a,b\n1,2\n")
     ingest_new_files(spark, str(folder), table, state)
     assert stored_rows(spark, table).count() == 20
-    put(folder, "july.csv", sales_text(7))
-    put(folder, "june copy.csv", sales_text(6))
+    put(folder, "july.csv", lines_text(7))
+    put(folder, "june copy.csv", lines_text(6))
     ingest_new_files(spark, str(folder), table, state)
     rows = stored_rows(spark, table)
     assert rows.count() == 60 and rows.select("source_file").distinct().count() == 3
