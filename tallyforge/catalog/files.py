@@ -387,7 +387,7 @@ def write_report_tables(spark, d):
     out = shared_dir(spark)
     rows = curated_rows(spark, write_curated(with_measures(_report_rows(spark, d)), shared_dir(spark)))
     current, prior = latest_two(rows)
-    write_sections(report_sections(rows, current, prior), out, current)
+    write_sections(report_sections(rows, current, prior, staged=True), out, current)
     table_ = read_section(spark, out, "by_category", current).drop("bar", "is_marked", "shown_name")
     return rounded(table_, **_SUMMARY_ROUNDS)
 
@@ -409,6 +409,19 @@ _SECTION_ROWS = {
 }
 
 
+@query("headline_sections", items_sql("""
+    SELECT round(r, 2) AS revenue, round(p, 2) AS profit, round(p / nullif(r, 0) * 100, 6) AS margin, round(pr, 2) AS prior_revenue,
+           round((r - pr) / abs(nullif(pr, 0)) * 100, 6) AS revenue_change
+    FROM (SELECT sum(rev) FILTER (WHERE is_cur) AS r, sum(profit) FILTER (WHERE is_cur) AS p, sum(rev) FILTER (WHERE is_pri) AS pr FROM x)
+"""))
+def headline_sections(spark, d):
+    """Headline and change as the report derives them from the summaries."""
+    rows = star_items(spark, d, *_MEASURES, *S.DIMENSIONS)
+    sections = report_sections(rows.withColumns({c: F.lit(None).cast(t) for c, t in (("order_id", "string"), ("customer", "string"), ("sales_target", "double"))}), *periods(spark, d))
+    both = sections["headline"].crossJoin(sections["change"].drop("revenue"))
+    return rounded(both, revenue=2, profit=2, margin=6, prior_revenue=2, revenue_change=6)
+
+
 @query("report_sections", flags_sql(" UNION ALL ".join(
     f"SELECT '{name}' AS section, CAST(({rows}) AS BIGINT) AS n, strftime((SELECT c FROM cur), '%Y-%m') AS report_period"
     for name, rows in _SECTION_ROWS.items()
@@ -418,7 +431,7 @@ def sections(spark, d):
     out = shared_dir(spark)
     rows = curated_rows(spark, write_curated(with_measures(_report_rows(spark, d)), shared_dir(spark)))
     current, prior = latest_two(rows)
-    write_sections(report_sections(rows, current, prior), out, current)
+    write_sections(report_sections(rows, current, prior, staged=True), out, current)
     return _union([
         read_section(spark, out, name).groupBy("report_period").agg(_n()).withColumn("section", F.lit(name)) for name in _SECTION_ROWS
     ])

@@ -139,6 +139,43 @@ def revenue_change(rows: DataFrame, current: str | None, prior: str | None) -> D
     )
 
 
+def group_of(summaries: DataFrame, by: str) -> DataFrame:
+    """One dimension of long-form summaries, as ``grouped_summary`` gives it."""
+    return summaries.sparkSession.sql(
+        f"""
+        SELECT name AS {by}, revenue, profit, quantity, avg_discount, prior_revenue, margin, pct_change, dq_note
+        FROM {{summaries}} WHERE dimension = '{by}' ORDER BY revenue DESC, {by}
+        """,
+        summaries=summaries,
+    )
+
+
+def _of_all(column: str) -> str:
+    return f"max({column}) FILTER (WHERE dimension = 'all')"
+
+
+def headline_of(summaries: DataFrame) -> DataFrame:
+    """``headline_totals`` from long-form summaries."""
+    return summaries.sparkSession.sql(
+        f"""
+        SELECT *, {overall_margin("profit", "revenue")} AS margin
+        FROM (SELECT coalesce({_of_all("revenue")}, 0D) AS revenue, {_of_all("profit")} AS profit FROM {{summaries}})
+        """,
+        summaries=summaries,
+    )
+
+
+def change_of(summaries: DataFrame) -> DataFrame:
+    """``revenue_change`` from long-form summaries."""
+    return summaries.sparkSession.sql(
+        f"""
+        SELECT *, {pct_change("revenue", "prior_revenue")} AS revenue_change
+        FROM (SELECT coalesce({_of_all("revenue")}, 0D) AS revenue, {_of_all("prior_revenue")} AS prior_revenue FROM {{summaries}})
+        """,
+        summaries=summaries,
+    )
+
+
 _RISK = f"""
     avg_discount, revenue, profit, {safe_ratio("profit", "revenue")} AS margin,
     {margin_risk("avg_discount", safe_ratio("profit", "revenue"))} AS margin_risk

@@ -12,30 +12,37 @@ from ..operators.kpis import kpi_rows, kpis
 from ..operators.periods import latest_two
 from ..operators.quality import Checked, banner
 from ..operators.summaries import (
-    category_summary,
+    change_of,
     dimension_summaries,
     discount_analysis,
     discount_bands,
     discount_bands_by_product,
-    headline_totals,
+    group_of,
+    headline_of,
     monthly_summary,
-    region_summary,
-    revenue_change,
     with_bar_share,
     with_name_note,
     with_top_marker,
 )
+from ..session import stored
 from ..sinks.tables import write_curated, write_quality_report, write_sections
 from ..sources.exports import read_exports
 
 
-def report_sections(rows: DataFrame, current: str | None, prior: str | None) -> dict[str, DataFrame]:
-    """Section name -> table.  Nothing runs until a section is read or written."""
+def report_sections(rows: DataFrame, current: str | None, prior: str | None, staged: bool = False) -> dict[str, DataFrame]:
+    """Section name -> table.  Nothing runs until a section is read or written.
+
+    Seven sections come from the summaries of all dimensions, one row per group.
+    With ``staged`` these are computed at once and stored, so that writing the
+    sections aggregates them once.
+    """
     long = dimension_summaries(rows, current, prior)
+    if staged:
+        long = stored(long)
     flagged = flag_rows(long)
     return {
-        "by_category": with_name_note(with_bar_share(category_summary(rows, current, prior)), "category"),
-        "by_region": with_name_note(with_bar_share(region_summary(rows, current, prior)), "region"),
+        "by_category": with_name_note(with_bar_share(group_of(long, "category")), "category"),
+        "by_region": with_name_note(with_bar_share(group_of(long, "region")), "region"),
         "discounts_by_product": with_top_marker(discount_analysis(rows, "product", current), "product"),
         "discounts_by_category": with_top_marker(discount_analysis(rows, "category", current), "category"),
         "discount_bands": discount_bands(rows, current),
@@ -45,8 +52,8 @@ def report_sections(rows: DataFrame, current: str | None, prior: str | None) ->
         "flags": flagged,
         "flag_lines": flag_lines(flagged),
         "summary": summary_bullets(summary_facts(long), current, prior),
-        "headline": headline_totals(rows, current),
-        "change": revenue_change(rows, current, prior),
+        "headline": headline_of(long),
+        "change": change_of(long),
     }
 
 
@@ -74,7 +81,7 @@ def write_report(spark: SparkSession, source: str | list[str], curated: str, out
 def write_report_tables(rows: DataFrame, checked: Checked, out: str) -> str:
     current, prior = latest_two(rows)
     stamp = report_stamp(current)
-    write_sections(report_sections(rows, current, prior), out, stamp)
+    write_sections(report_sections(rows, current, prior, staged=True), out, stamp)
     write_quality_report(checked.issues, checked.halts, out, stamp, checked.reused_ids)
     write_sections({"banner": banner(checked.issues, checked.halts)}, out, stamp)
     return stamp
