@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from ..session import shared_dir
-from .common import byte_rows, cores, texts
+from .common import byte_rows, cores, small, texts
 
 #: Words of a chunk; a longer document is a chunk of its own.
 CHUNK_WORDS = 3_000_000
@@ -129,7 +129,7 @@ def stored_chunks(docs: DataFrame, split: Callable[[bytes], list[bytes]], part_o
             kinds = (pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 4)
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names)
 
-        for batch in batches:
+        for batch in small(batches):
             for doc_id, text in zip(batch.column(0).to_pylist(), byte_rows(batch.column(1)), strict=True):
                 part = part_of(doc_id) if part_of else 0
                 ids, lengths, words, vocabulary = held.setdefault(part, ([], [], [], {}))
@@ -166,7 +166,7 @@ def stored_texts(docs: DataFrame) -> DataFrame:
             kinds = (pa.int64(), pa.int64(), *[pa.binary()] * 3)
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names)
 
-        for batch in batches:
+        for batch in small(batches):
             for doc_id, text in zip(batch.column(0).to_pylist(), byte_rows(batch.column(1)), strict=True):
                 ids.append(doc_id)
                 found.append(text or b"")

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from ..session import stored
 from .chunks import mix
-from .common import fresh
+from .common import fresh, small
 
 #: Steps of a walk, steps between samples of a key, samples of a key.
 STEPS, GAP, SAMPLES = 24, 3, 5
@@ -224,7 +224,7 @@ def find(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, walks:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = index.value
             get = known.vocabulary.get
-            for batch in batches:
+            for batch in small(batches):
                 texts = batch.column(len(columns) + 1).to_pylist()
                 hits, at = batch.column(len(columns)).to_pylist(), 0
                 while at < len(texts):

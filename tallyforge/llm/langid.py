@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stored
-from .common import fresh
+from .common import fresh, small
 
 #: Hashed n-gram dimensions.
 DIMENSIONS = 1 << 13
@@ -110,7 +110,7 @@ def fit(docs: DataFrame, folds: int = 4, fold: int = 2, clusters: int = 4, sampl
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(DIMENSIONS, np.int64), 0
-        for batch in batches:
+        for batch in small(batches):
             for text in batch.column(0).to_pylist():
                 counts = grams(text)
                 if counts is not None:
@@ -169,7 +169,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
-        for batch in batches:
+        for batch in small(batches):
             answers = [known.predict(text) for text in batch.column(len(columns)).to_pylist()]
             made = [pa.array([a[i] for a in answers], k) for i, k in enumerate((pa.string(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], *made], [*columns, "lang_pred", "score", "rejected"])

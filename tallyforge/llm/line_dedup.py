@@ -15,19 +15,21 @@ without a suspect are not shuffled at all.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stored
-from .common import LOWER, byte_rows, fresh
+from .common import LOWER, byte_rows, fresh, small
 
 SLOT_BITS = 9
 PROBES = 3
@@ -78,7 +80,7 @@ def twice_seen(docs: DataFrame, least: int, filter_bits: int) -> dict[int, bytes
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
-        for batch in batches:
+        for batch in small(batches):
             for text in byte_rows(batch.column(0)):
                 if keys := long_keys(text, least):
                     held.append(_hashes(keys))
@@ -107,6 +109,17 @@ def twice_seen(docs: DataFrame, least: int, filter_bits: int) -> dict[int, bytes
     return {r["slot"]: r["bits"] for r in sent.groupBy("slot").applyInPandas(repeats, "slot int, bits binary").collect()}
 
 
+_slices: dict[str, dict[int, np.ndarray]] = {}
+
+
+def _unpacked(name: str, slices: dict[int, bytes]) -> dict[int, np.ndarray]:
+    """The slices of a filter; a worker keeps those of one."""
+    if name not in _slices:
+        _slices.clear()
+        _slices[name] = {slot: np.frombuffer(zlib.decompress(b), np.uint8) for slot, b in slices.items()}
+    return _slices[name]
+
+
 def drop_lines(docs: DataFrame, least: int = 20, min_docs: int = 3, filter_bits: int = 1 << 26) -> DataFrame:
     """Documents without their repeated lines, with ``n_lines`` (before) and ``n_dropped``.
 
@@ -122,11 +135,11 @@ def drop_lines(docs: DataFrame, least: int = 20, min_docs: int = 3, filter_bits:
     if filter_bits & (filter_bits - 1) or filter_bits >> SLOT_BITS < 64:
         raise ValueError("filter_bits is a power of two, 64 bits a slot at least")
     part = filter_bits >> SLOT_BITS
-    seen = spark.sparkContext.broadcast(twice_seen(docs, least, filter_bits))
-    at, keys_name, drops_name = columns.index("text"), fresh("suspects", columns), fresh("drops", columns)
+    seen = spark.sparkContext.broadcast((uuid.uuid4().hex, twice_seen(docs, least, filter_bits)))
+    at, drops_name = columns.index("text"), fresh("drops", columns)
 
     def suspects(texts: list[bytes | None]) -> Iterator[list[bytes] | None]:
-        bits = {slot: np.frombuffer(zlib.decompress(b), np.uint8) for slot, b in seen.value.items()}
+        bits = _unpacked(*seen.value)
         for text in texts:
             keys = long_keys(text, least) if bits else []
             hits = []
@@ -138,33 +151,44 @@ def drop_lines(docs: DataFrame, least: int = 20, min_docs: int = 3, filter_bits:
                         hits.append(key)
             yield hits or None
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows with a suspect; the others do not wait for them."""
+        for batch in small(batches):
             found = pa.array(suspects(byte_rows(batch.column(at))), pa.list_(pa.binary()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*columns, keys_name])
+            yield batch.filter(pa.compute.is_valid(found))
+
+    def clear(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows without a suspect, as they are."""
+        for batch in small(batches):
+            texts = byte_rows(batch.column(at))
+            found = pa.array(suspects(texts), pa.list_(pa.binary()))
+            rows = finished(batch, texts, [None] * len(texts))
+            yield rows.filter(pa.compute.is_null(found))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept, before, dropped = [], [], []
-            for text, drops in zip(byte_rows(batch.column(at)), batch.column(len(columns)).to_pylist(), strict=True):
-                lines = (text or b"").split(b"\n")
-                gone = set(drops or ())
-                stay = [x for x in lines if line_key(x) not in gone] if gone else lines
-                kept.append(b"\n".join(stay).decode())
-                before.append(len(lines))
-                dropped.append(len(lines) - len(stay))
-            out = list(batch.columns[: len(columns)])
-            out[at] = pa.array(kept, pa.string())
-            yield pa.RecordBatch.from_arrays([*out, pa.array(before, pa.int64()), pa.array(dropped, pa.int64())], [*columns, "n_lines", "n_dropped"])
+        for batch in small(batches):
+            yield finished(batch, byte_rows(batch.column(at)), batch.column(len(columns)).to_pylist())
+
+    def finished(batch: pa.RecordBatch, texts: list[bytes | None], drops: list[list[bytes] | None]) -> pa.RecordBatch:
+        kept, before, dropped = [], [], []
+        for text, gone in zip(texts, map(set, (d or () for d in drops)), strict=True):
+            lines = (text or b"").split(b"\n")
+            stay = [x for x in lines if line_key(x) not in gone] if gone else lines
+            kept.append(b"\n".join(stay).decode())
+            before.append(len(lines))
+            dropped.append(len(lines) - len(stay))
+        out = list(batch.columns[: len(columns)])
+        out[at] = pa.array(kept, pa.string())
+        return pa.RecordBatch.from_arrays([*out, pa.array(before, pa.int64()), pa.array(dropped, pa.int64())], [*columns, "n_lines", "n_dropped"])
 
     binaries = T.ArrayType(T.BinaryType())
     plain = T.StructType([T.StructField(f.name, f.dataType) for f in docs.schema])
-    marked = docs.mapInArrow(mark, T.StructType([*plain, T.StructField(keys_name, binaries)]))
+    done = T.StructType([*plain, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
     found = stored(
         docs.select("doc_id", "text").mapInArrow(
             lambda batches: (
                 pa.RecordBatch.from_arrays([b.column(0), pa.array(suspects(byte_rows(b.column(1))), pa.list_(pa.binary()))], ["doc_id", "keys"])
-                for b in batches
+                for b in small(batches)
             ),
             T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("keys", binaries)]),
         ).select("doc_id", F.explode("keys").alias("key"))
@@ -178,9 +202,6 @@ def drop_lines(docs: DataFrame, least: int = 20, min_docs: int = 3, filter_bits:
         )
     )
     ids = drops.withColumnRenamed("doc_id", fresh("drop_id", columns))
-    touched = marked.where(F.col(keys_name).isNotNull())
+    touched = docs.mapInArrow(marked, plain)
     joined = touched.join(ids, touched["doc_id"].eqNullSafe(ids[ids.columns[0]]), "left").select(*columns, drops_name)
-    clear = marked.where(F.col(keys_name).isNull()).select(*columns, F.lit(None).cast(binaries).alias(drops_name))
-    return clear.unionByName(joined).mapInArrow(
-        cut, T.StructType([*plain, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
-    )
+    return docs.mapInArrow(clear, done).unionByName(joined.mapInArrow(cut, done))

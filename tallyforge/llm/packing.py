@@ -14,7 +14,7 @@ import json
 import re
 from array import array
 from collections.abc import Callable, Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pandas as pd
@@ -26,9 +26,10 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from ..session import stored
+from .common import small
 
-#: Words a worker remembers.
-REMEMBERED = 800_000
+#: Words a worker remembers, and the length from which they are forgotten first.
+REMEMBERED, LONG = 300_000, 8
 #: Separators that Python, not the tokenizer, takes for white space.
 NOT_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
 #: Words whose normal form and parts need no tables: printable ASCII and Latin-1 letters.
@@ -55,7 +56,7 @@ class WordTokenizer:
     """
 
     def __init__(self, path: str):
-        self.whole = Tokenizer.from_file(path)
+        self.path = path
         self.known: dict[str, bytes] = {}
         with open(path, encoding="utf-8") as file:
             given = json.load(file)
@@ -72,6 +73,10 @@ class WordTokenizer:
                     ranks[bytes(byte[c] for c in body) + (b"\xff" if ends else b"")] = number
             self.merge = tiktoken.Encoding("words", pat_str=".+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
 
+    @cached_property
+    def whole(self) -> Tokenizer:
+        return Tokenizer.from_file(self.path)
+
     def _new(self, word: str) -> bytes:
         if self.merge and PLAIN(word) and not any(s in word for s in self.special):
             ids = [i for part in PARTS(word.lower()) for i in self.merge(part.encode() + b"\xff")]
@@ -88,9 +93,11 @@ class WordTokenizer:
         if None in found:
             new = {w: self._new(w) for w in {w for w, ids in zip(words, found, strict=True) if ids is None}}
             found = [new[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known.clear()
             self.known.update(new)
+            if len(self.known) > REMEMBERED:  # long words are rare ones
+                self.known = {w: ids for w, ids in self.known.items() if len(w) <= LONG}
+                if len(self.known) > REMEMBERED // 2:
+                    self.known.clear()
         return b"".join(found)
 
 
@@ -112,7 +119,7 @@ def token_pieces(docs: DataFrame, tokenizer: str | Callable[[], str], size: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_tokenizer(tokenizer() if callable(tokenizer) else tokenizer).encode
-        for batch in batches:
+        for batch in small(batches):
             rows: list[tuple] = []
             held = 0
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .boosting import Boosted
-from .common import fresh
+from .common import fresh, small
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -209,7 +209,7 @@ def fit(docs: DataFrame, sample: int = 8000, each: int = 50, least: int = 10, sh
     width = len(features("", (0, 0, 0)))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             made, kinds, confirmed = [], [], []
             for text in batch.column(0).to_pylist():
                 if not text:
@@ -264,7 +264,7 @@ def find(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
-        for batch in batches:
+        for batch in small(batches):
             texts = [t or "" for t in batch.column(len(columns)).to_pylist()]
             base = [base_spans(t) for t in texts]
             every = [sorted(b + m, key=lambda s: (s[1], s[0])) for b, m in zip(base, known.more(texts, base), strict=True)]
@@ -282,7 +282,7 @@ def redact(found: DataFrame) -> DataFrame:
     """The documents of ``find`` with each run of overlapping spans replaced by ``[kind]`` of its first span."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             at = batch.schema.get_field_index("text")
             texts = []
             for text, spans in zip(batch.column(at).to_pylist(), batch.column(batch.schema.get_field_index("spans")).to_pylist(), strict=True):

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stored
-from .common import LOWER, byte_rows, fresh, texts
+from .common import LOWER, byte_rows, fresh, small, texts
 from .components import components
 
 
@@ -53,7 +53,7 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             values = [fingerprint(t, words) for t in byte_rows(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.int64())], ["doc_id", "fp"])
 
@@ -149,7 +149,7 @@ def one_of_each(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame
     rows = docs.withColumn("text", F.col("text").cast("string"))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             values = [fingerprint(t, words) for t in byte_rows(batch.column(at))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.int64())], [*columns, name])
 
