@@ -31,7 +31,7 @@ from .common import fresh, small
 DIMENSIONS = 1 << 13
 UNKNOWN = "und"
 #: Texts with fewer n-gram occurrences are too short to be rejected by distance.
-JUDGED = 60
+JUDGED = 400
 #: Characters that are looked at in one go.
 BLOCK = 1 << 20
 
@@ -98,7 +98,7 @@ class Model:
         return self.languages[i], float(min(1.0, max(0.0, cosines[i]))), bool(cosines[i] < self.limits[i] and counts.sum() >= JUDGED)
 
 
-def fit(docs: DataFrame, folds: int = 4, fold: int = 2, clusters: int = 4, sample: int = 1000, slack: float = 0.4) -> Model:
+def fit(docs: DataFrame, folds: int = 4, fold: int = 2, clusters: int = 4, sample: int = 1000, slack: float = 0.3) -> Model:
     """A model from ``text`` and ``lang`` of rows whose crc32(doc_id as text) modulo ``folds`` is not ``fold``.
 
     Rows without a language or a letter are not learned from, nor rows without an id
