@@ -30,9 +30,9 @@ from ..session import shared_dir
 from .common import byte_rows, cores, small, texts
 
 #: Words of a chunk; a longer document is a chunk of its own.
-CHUNK_WORDS = 3_000_000
+CHUNK_WORDS = 2_000_000
 #: Words that share a hash range.
-RANGE_WORDS = 4_000_000
+RANGE_WORDS = 3_000_000
 
 #: Bytes of a chunk of texts.
 CHUNK_BYTES = 4_000_000
