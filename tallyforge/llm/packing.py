@@ -46,6 +46,25 @@ def _printable() -> dict[str, int]:
     return {chr(b): b for b in itself} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+class Known(dict):
+    """Ids of words, made when first asked for."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        self.make = make
+
+    def __missing__(self, word: str) -> bytes:
+        self[word] = ids = self.make(word)
+        return ids
+
+    def forget(self) -> None:
+        """Long words are rare ones and go first."""
+        if len(self) > REMEMBERED:
+            kept = {w: ids for w, ids in self.items() if len(w) <= LONG}
+            self.clear()
+            if len(kept) <= REMEMBERED // 2:
+                self.update(kept)
+
+
 class WordTokenizer:
     """Ids by a tokenizer file, faster for words met before and for plain words.
 
@@ -57,7 +76,7 @@ class WordTokenizer:
 
     def __init__(self, path: str):
         self.path = path
-        self.known: dict[str, bytes] = {}
+        self.known = Known(self._new)
         with open(path, encoding="utf-8") as file:
             given = json.load(file)
         self.special = [t["content"][:2] for t in given["added_tokens"]]
@@ -88,17 +107,9 @@ class WordTokenizer:
         """Ids as little-endian unsigned 32-bit numbers."""
         if any(c in text for c in NOT_SPACE):
             return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
-        words = text.split()
-        found = list(map(self.known.get, words))
-        if None in found:
-            new = {w: self._new(w) for w in {w for w, ids in zip(words, found, strict=True) if ids is None}}
-            found = [new[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
-            self.known.update(new)
-            if len(self.known) > REMEMBERED:  # long words are rare ones
-                self.known = {w: ids for w, ids in self.known.items() if len(w) <= LONG}
-                if len(self.known) > REMEMBERED // 2:
-                    self.known.clear()
-        return b"".join(found)
+        ids = b"".join(map(self.known.__getitem__, text.split()))
+        self.known.forget()
+        return ids
 
 
 @cache
