@@ -64,6 +64,7 @@ class Windows:
     """The windows at ``at``: distinct 96-bit hashes (sorted), the smallest local document of each."""
 
     def __init__(self, chunk: Chunk, at: np.ndarray, size: int, ranks: np.ndarray):
+        self.at = at
         values = chunk.word_hashes()[chunk.words] if len(at) else np.zeros(0, np.uint64)
         first = Rolling(values, BASES[0]).all(size)[at] if len(at) else np.zeros(0, np.uint64)
         second = Rolling(mix(values + np.uint64(1)), BASES[1]).all(size)[at] >> np.uint64(32) if len(at) else first
@@ -122,9 +123,7 @@ def remove_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
 
     def windows_of(chunk: Chunk, got: pd.DataFrame) -> Windows:
         at = _hits(chunk, Probes(chunk, block), block, size, got, ranges)
-        windows = Windows(chunk, at, size, _ranks(chunk))
-        windows.at = at
-        return windows
+        return Windows(chunk, at, size, _ranks(chunk))
 
     def confirm(chunk: Chunk, got: pd.DataFrame) -> pd.DataFrame:
         windows = windows_of(chunk, got)
