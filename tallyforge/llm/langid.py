@@ -3,19 +3,22 @@
 A text is the TF-IDF vector of its letter n-grams (1 to 3, in lower case, anything
 else a gap), hashed to a fixed number of dimensions and scaled to length one.  Each
 language's sample is clustered on the sphere; a text gets the language of the
-centroid with the highest cosine.  It is rejected if that cosine is well below what
-the language's own sample reaches, or if it has no letter; texts of a few letters say
-too little to be rejected by distance.
-
-Document frequencies count all training rows.  The clusters are fitted on at most
-``sample`` rows of each language, those with the smallest hash of their id.  What is
-sent to every task has a fixed size for each language.
+centroid with the highest cosine.  It is rejected if it has no letter, or if that
+cosine is below the limit of the language for texts of its length: a low quantile of
+what texts and pieces of texts of that length in that language reach.  Short texts
+reach less, so their limits are looser.
+
+Document frequencies and limits count all training rows.  The clusters are fitted on at
+most ``sample`` rows of each language, those with the smallest hash of their id.  What
+is sent to every task has a fixed size for each language.
 """
 
 from __future__ import annotations
 
+import random
 from collections.abc import Iterator
 from functools import cache
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -30,8 +33,10 @@ from .common import fresh, small
 #: Hashed n-gram dimensions.
 DIMENSIONS = 1 << 13
 UNKNOWN = "und"
-#: Texts with fewer n-gram occurrences are too short to be rejected by distance.
-JUDGED = 400
+#: Classes of length: n-gram occurrences from one power of two up to the next.
+LENGTHS = 32
+#: Cells of a histogram of cosines from 0 to 1.
+CELLS = 1024
 #: Characters that are looked at in one go.
 BLOCK = 1 << 20
 
@@ -68,6 +73,47 @@ def vector(counts: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, values / np.sqrt(values @ values)
 
 
+def length_class(counts: np.ndarray) -> int:
+    return min(int(counts.sum()).bit_length(), LENGTHS) - 1
+
+
+def pieces(text: str) -> Iterator[str]:
+    """The text, and a shorter piece for each class of length, at a place its hash chooses and from the start of a word if one is near."""
+    yield text
+    rnd = random.Random(crc32(text.encode("utf-8", "surrogatepass")))
+    for k in range(1, LENGTHS):
+        size = int(2**k * (1 + rnd.random()) / 3)  # a letter is in three n-grams
+        if 2 * size > len(text):
+            return
+        if size:
+            at = rnd.randrange(len(text) - size + 1)
+            gap = text.find(" ", at, at + 64)
+            at = gap + 1 if 0 <= gap < len(text) - size else at
+            yield text[at : at + size]
+
+
+def low_limits(seen: np.ndarray, share: float, slack: float, least: int = 100) -> np.ndarray:
+    """Limits by language and class of length, from histograms of cosines (language, class, cell).
+
+    A limit is ``slack`` times the cosine that all but ``share`` of the values and one
+    more reach, so no single row sets it.  With fewer than ``least`` values the class of all
+    languages counts, and with fewer in that, the limit of the class below.
+    """
+
+    def low(cells: np.ndarray) -> float:
+        n = int(cells.sum())
+        return slack * int(np.searchsorted(np.cumsum(cells), min(n, 2 + int(share * n)))) / CELLS if n else 0.0
+
+    pooled = seen.sum(axis=0)
+    limits = np.zeros(seen.shape[:2])
+    for i in range(len(seen)):
+        last = low(pooled.sum(axis=0))
+        for k in range(LENGTHS):
+            cells = seen[i, k] if seen[i, k].sum() >= least else pooled[k]
+            last = limits[i, k] = low(cells) if cells.sum() >= least else last
+    return limits
+
+
 def centroids(rows: np.ndarray, clusters: int, rounds: int = 10) -> np.ndarray:
     """Spherical k-means of unit rows: seeds are the row nearest the mean, then the farthest from all seeds."""
     seeds = [int((rows @ rows.mean(axis=0)).argmax())]
@@ -95,15 +141,16 @@ class Model:
         at, values = vector(counts, self.idf)
         cosines = self.centres[:, at] @ values
         i = int(cosines.argmax())
-        return self.languages[i], float(min(1.0, max(0.0, cosines[i]))), bool(cosines[i] < self.limits[i] and counts.sum() >= JUDGED)
+        return self.languages[i], float(min(1.0, max(0.0, cosines[i]))), bool(cosines[i] < self.limits[i, length_class(counts)])
 
 
-def fit(docs: DataFrame, folds: int = 4, fold: int = 2, clusters: int = 4, sample: int = 1000, slack: float = 0.3) -> Model:
+def fit(docs: DataFrame, folds: int = 4, fold: int = 2, clusters: int = 4, sample: int = 1000, share: float = 0.001, slack: float = 0.8) -> Model:
     """A model from ``text`` and ``lang`` of rows whose crc32(doc_id as text) modulo ``folds`` is not ``fold``.
 
     Rows without a language or a letter are not learned from, nor rows without an id
-    sampled.  The rejection limit of a language is ``slack`` times the lowest cosine of
-    its sample, but for texts too short to judge, with the nearest centroid.  Without training rows the model knows none.
+    sampled.  The rejection limits of a language come from the cosines of all its
+    training rows, whole and in pieces, with its nearest centroid (see ``low_limits``).
+    Without training rows the model knows none.
     """
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), docs["lang"].cast("string").alias("lang"))
     rows = rows.where(f"lang IS NOT NULL AND crc32(CAST(coalesce(CAST(doc_id AS string), '') AS binary)) % {folds} <> {fold}")
@@ -134,7 +181,7 @@ def fit(docs: DataFrame, folds: int = 4, fold: int = 2, clusters: int = 4, sampl
     )
 
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
-        own, judged = [], []
+        own = []
         for text in group["text"].head(2 * sample):  # ids may repeat
             counts = grams(text)
             if counts is not None:
@@ -142,18 +189,38 @@ def fit(docs: DataFrame, folds: int = 4, fold: int = 2, clusters: int = 4, sampl
                 full = np.zeros(DIMENSIONS, np.float32)
                 full[at] = values
                 own.append(full)
-                judged.append(counts.sum() >= JUDGED)
         if not own:
-            return pd.DataFrame(columns=["lang", "centre", "limit"], dtype=object)
+            return pd.DataFrame(columns=["lang", "centre"], dtype=object)
         points = np.stack(own)
         centres = centroids(points, clusters)
-        limit = slack * float((points @ centres.T).max(axis=1)[np.array(judged)].min()) if any(judged) else 0.0
-        return pd.DataFrame({"lang": group["lang"].iloc[0], "centre": [c.astype("<f4").tobytes() for c in centres], "limit": limit})
+        return pd.DataFrame({"lang": group["lang"].iloc[0], "centre": [c.astype("<f4").tobytes() for c in centres]})
 
-    learned = rows.join(few, "doc_id", "left_semi").groupBy("lang").applyInPandas(cluster, "lang string, centre binary, limit double").collect()
+    learned = rows.join(few, "doc_id", "left_semi").groupBy("lang").applyInPandas(cluster, "lang string, centre binary").collect()
     learned.sort(key=lambda r: (r["lang"], r["centre"]))
     centres = np.stack([np.frombuffer(r["centre"], "<f4") for r in learned]).astype(float) if learned else np.zeros((0, DIMENSIONS))
-    return Model(idf, [r["lang"] for r in learned], centres, np.array([r["limit"] for r in learned]))
+    languages = [r["lang"] for r in learned]
+    names = sorted(set(languages))
+    sent = docs.sparkSession.sparkContext.broadcast({n: centres[[i for i, m in enumerate(languages) if m == n]] for n in names})
+
+    def reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, seen = sent.value, {}
+        for batch in small(batches):
+            for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for piece in pieces(text) if text and lang in own else ():
+                    counts = grams(piece)
+                    if counts is not None:
+                        at, values = vector(counts, idf)
+                        cell = min(CELLS - 1, max(0, int(CELLS * (own[lang][:, at] @ values).max())))
+                        key = lang, length_class(counts) * CELLS + cell
+                        seen[key] = seen.get(key, 0) + 1
+        made = [pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.int32()), pa.array(list(seen.values()), pa.int64())]
+        yield pa.RecordBatch.from_arrays(made, ["lang", "at", "n"])
+
+    seen = np.zeros((len(names), LENGTHS * CELLS), np.int64)
+    for lang, at, n in rows.select("text", "lang").mapInArrow(reached, "lang string, at int, n long").groupBy("lang", "at").agg(F.sum("n")).collect() if names else ():
+        seen[names.index(lang), at] = n
+    limits = low_limits(seen.reshape(-1, LENGTHS, CELLS), share, slack)
+    return Model(idf, languages, centres, limits[[names.index(n) for n in languages]])
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

@@ -69,3 +69,26 @@ def test_nothing_to_learn_from(spark):
     assert langid.predict(cases.documents(spark, []), nothing).collect() == []
     blank = langid.fit(cases.documents(spark, [(1, None, "en", None, None), (3, "12", "en", None, None), (None, "abc", "de", None, None)]))
     assert blank.predict("some text")[0] == "und"
+
+
+def test_foreign_and_gibberish_are_rejected_short_and_long(spark, model):
+    rnd = random.Random(8)
+    clean = [t for i, t, *_ in made(600) if i >= 240]
+    assert sum(model.predict(t)[2] for t in clean) <= 2
+    for words in (4, 12, 300):
+        for letters in ("жщъыэюёик", "ωψξφχθ", "wvyzjpxq"):
+            for _ in range(5):
+                text = " ".join("".join(rnd.choice(letters) for _ in range(rnd.randint(4, 9))) for _ in range(words))
+                assert model.predict(text)[2], text[:40]
+
+
+def test_one_odd_row_does_not_lower_the_limits(spark, model):
+    odd = next(i for i in range(9000, 9100) if langid_fold(i) != 2)
+    rows = [*made(), (odd, "жщъ ыэю ёжик " * 100, "xa", None, None)]
+    few = langid.fit(cases.documents(spark, rows), sample=30)
+    assert few.predict("ωψξ φχθ ωωψ " * 30)[2] and few.predict("wvy zjpx qqw vyz " * 4)[2]
+
+
+def test_shorter_texts_have_looser_limits(model):
+    for limits in model.limits:
+        assert 0 < limits[3] < limits[8] < 1
