@@ -26,6 +26,8 @@ from .boosting import Boosted
 from .common import fresh, small
 
 KINDS = ("email", "ip", "card", "phone")
+#: Candidates that are scored in one go.
+ROWS = 20_000
 
 Span = tuple[int, int, int]  # kind, start, end
 
@@ -98,31 +100,37 @@ _NAME_BEFORE = re.compile(r"[\w.%+-]{1,64} ?\Z")
 _HOST_AFTER = re.compile(r" ?[\w-]{1,63}(?: ?(?:[(\[{] ?(?:dot|DOT) ?[)\]}]|\.) ?[\w-]{1,63}){1,4}")
 _MAIL_BEFORE = re.compile(r"[^\s@<>()\[\]\"',;:|]{1,64}\Z")
 _MAIL_AFTER = re.compile(r"[\w-]{1,63}(?:\.[\w-]{1,63}){1,8}")
-_PIECE = re.compile(r"[^ ]+")
-
-
-def _kind_of(number: str, n: int) -> int | None:
-    if number.count(".") == 3 and not re.search(r"[^0-9.]", number):
-        return 1
-    if 9 <= n <= 15 and (number[0] in "+(" or n < 12 or re.search(r"[()]", number)):
-        return 3
-    return 2 if 12 <= n <= 19 else None
+_GROUP = re.compile(r"[0-9]+")
+#: Digits of the longest number of any kind.
+MOST = 19
+
+
+def _windows(text: str, a: int, b: int) -> Iterator[Span]:
+    """Every window of consecutive digit groups of a run, for each kind its digits fit: at most ``MOST`` windows from a group."""
+    groups = [m.span() for m in _GROUP.finditer(text, a, b)]
+    for i, (start, _) in enumerate(groups):
+        lead = text[start - 1] if start > a else ""
+        n = 0
+        for j in range(i, len(groups)):
+            end = groups[j][1]
+            n += end - groups[j][0]
+            if n > MOST:
+                break
+            if j - i == 3 and end - start == n + 3 and text.count(".", start, end) == 3:
+                yield 1, start, end
+                continue
+            closed = text.find(")", start, end) >= 0
+            if 9 <= n <= 15:
+                yield 3, start - (lead == "+" or (lead == "(" and closed)), end
+            if 12 <= n and not closed and text.find("(", start, end) < 0:
+                yield 2, start, end
 
 
 def candidates(text: str) -> list[Span]:
-    """Proposed spans, which may overlap: whole numbers, their parts between spaces, and mail addresses."""
+    """Proposed spans, which may overlap: windows of digit groups, and mail addresses."""
     found = set()
     for m in _NUMBER.finditer(text):
-        spans = [m.span()]
-        if " " in m.group():
-            spans += [(m.start() + p.start(), m.start() + p.end()) for p in _PIECE.finditer(m.group())]
-        for a, b in spans:
-            if b - a > 64:
-                continue
-            part = text[a:b]
-            kind = _kind_of(part, len(_digits(part)))
-            if kind is not None:
-                found.add((kind, a, b))
+        found.update(_windows(text, *m.span()))
     at = text.find("@")
     while at >= 0:
         before, after = _MAIL_BEFORE.search(text[max(0, at - 64) : at]), _MAIL_AFTER.match(text, at + 1)
@@ -176,25 +184,35 @@ class Model:
 
     def more(self, texts: list[str], base: list[list[Span]]) -> list[list[Span]]:
         """The spans to add to each text's base spans."""
-        where, rows, marks = [], [], {}
+        out: list[list[Span]] = [[] for _ in texts]
+        where, marks = [], {}
         for i, text in enumerate(texts):
             proposed = candidates(text) if self.trees else []
             if proposed:
                 marks[i] = covered(text, base[i])
-            for span in proposed:
-                if self.limits[span[0]] < 1 and 1 not in marks[i][span[1] : span[2]]:
-                    where.append((i, span))
-                    rows.append(features(text, span))
-        out: list[list[Span]] = [[] for _ in texts]
-        if rows:
-            scores = self.trees.predict(np.array(rows, dtype=float)) / np.array([self.limits[s[0]] for _, s in where])
-            for k in np.lexsort(([s[1] - s[2] for _, s in where], -scores)).tolist():
-                i, span = where[k]
-                if scores[k] >= 1 and 1 not in marks[i][span[1] : span[2]]:
-                    marks[i][span[1] : span[2]] = b"\1" * (span[2] - span[1])
-                    out[i].append(span)
+            where += [(i, s) for s in proposed if self.limits[s[0]] < 1 and 1 not in marks[i][s[1] : s[2]]]
+            if len(where) >= ROWS:
+                self._select(texts, where, marks, out)
+                where, marks = [], {}
+        if where:
+            self._select(texts, where, marks, out)
         return out
 
+    def _select(self, texts: list[str], where: list[tuple[int, Span]], marks: dict[int, bytearray], out: list[list[Span]]) -> None:
+        scores = self.score(texts, where) / np.array([self.limits[s[0]] for _, s in where])
+        for k in np.lexsort(([s[1] - s[2] for _, s in where], -scores)).tolist():
+            i, span = where[k]
+            if scores[k] < 1:
+                break
+            if 1 not in marks[i][span[1] : span[2]]:
+                marks[i][span[1] : span[2]] = b"\1" * (span[2] - span[1])
+                out[i].append(span)
+
+    def score(self, texts: list[str], where: list[tuple[int, Span]]) -> np.ndarray:
+        """Scores of spans, given with the place of their text, some at a time."""
+        parts = [where[at : at + ROWS] for at in range(0, len(where), ROWS)]
+        return np.concatenate([self.trees.predict(np.array([features(texts[i], s) for i, s in part], dtype=float)) for part in parts])
+
 
 def fit(docs: DataFrame, sample: int = 8000, each: int = 50, least: int = 10, share: float = 0.95, slack: float = 0.5) -> Model:
     """A model from at most ``sample`` documents (smallest hash of the id) and ``each`` candidates of one.

@@ -99,3 +99,42 @@ def test_boosting():
     y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.5)).astype(float)
     trees = Boosted().fit(x[:1500], y[:1500])
     assert ((trees.predict(x[1500:]) > 0.5) == y[1500:]).mean() > 0.95
+
+
+@pytest.mark.parametrize(
+    "text, kind, part",
+    [
+        ("card 4111 1111 1111 1111 12/27", "card", "4111 1111 1111 1111"),
+        ("card 4111 1111 1111 1111 123", "card", "4111 1111 1111 1111"),
+        ("call (415) 555-0132 12 2024", "phone", "(415) 555-0132"),
+        ("2024-05-01 415-555-0132", "phone", "415-555-0132"),
+        ("rows 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20 21 22 23 24 25 26 27 4111-1111-1111-1111 28", "card", "4111-1111-1111-1111"),
+        ("at 12 10.20.30.40 99", "ip", "10.20.30.40"),
+        ("+49 30 1234567 2024", "phone", "+49 30 1234567"),
+        ("0049 30 1234567", "phone", "0049 30 1234567"),
+    ],
+)
+def test_every_window_of_digit_groups_is_proposed(text, kind, part):
+    at = text.index(part)
+    assert (pii.KINDS.index(kind), at, at + len(part)) in pii.candidates(text)
+
+
+def test_windows_against_brute_force():
+    rnd = random.Random(2)
+    for _ in range(300):
+        text = "".join(rnd.choice(["1", "22", "333", "4444", " ", "-", ". ", "x"]) for _ in range(30))
+        groups = [m.span() for m in re.finditer("[0-9]+", text)]
+        wanted = set()
+        for i, (a, _) in enumerate(groups):
+            for _, b in groups[i:]:
+                n = len(digits(text[a:b]))
+                if "x" in text[a:b] or re.search(r"[^0-9]{4}", text[a:b]) or re.fullmatch(r"[0-9]+(\.[0-9]+){3}", text[a:b]):
+                    continue
+                wanted |= {(k, a, b) for k, low, high in ((2, 12, 19), (3, 9, 15)) if low <= n <= high}
+        assert {s for s in pii.candidates(text) if s[0] > 1} == wanted
+
+
+def test_many_candidates_are_scored_in_parts(model):
+    text = "see 4111 1111 1111 1111 there " * 3 + "1 2 " * 30_000
+    found = model.more([text, text], [pii.base_spans(text)] * 2)
+    assert found[0] == found[1]
