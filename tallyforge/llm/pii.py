@@ -4,7 +4,9 @@ The rules give the base spans.  Generators with high recall then propose further
 overlapping spans: numbers in any grouping, dotted quads, mail addresses in free or
 written-out form.  Boosted trees score a candidate by its format and by what stands
 around it; they are trained to tell candidates that a rule confirms from the rest, on
-features that do not hold the rule's check digit or length test.  Confirmed
+features that do not hold what the rule tests: a check digit, a number's length, the
+size of an octet, a "+" or an "@".  A number cut short at a confirmed one, or run on into
+digits put beside it, is a negative; a phone number's national part is neither.  Confirmed
 candidates are only some of the true ones, so scores are not probabilities of being
 personal data; as in positive-unlabelled learning, the threshold of a kind is
 calibrated on what confirmed candidates score when held out.  Of overlapping
@@ -13,8 +15,10 @@ candidates the best stays; base spans always stay.
 
 from __future__ import annotations
 
+import random
 import re
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -156,26 +160,67 @@ def _class(c: str) -> int:
     return 0 if not c else 1 if c.isspace() else 2 if c.isalpha() else 3 if c.isdigit() else 4
 
 
+_WRITTEN = re.compile(r" ?(?:[(\[{] ?(?:at|AT|dot|DOT) ?[)\]}]|[@.]) ?")
+_WORD_BEFORE = re.compile(r"[^\W\d_]+(?=[\W\d_]*\Z)")
+#: Cells that the word before a candidate is hashed to.
+WORDS = 16
+
+
+def _plain(kind: int, part: str) -> str:
+    """A candidate without what only a rule's own form has.
+
+    That is the "+" and the country code after it of a phone number, and what stands
+    between the names of a mail address, written out or not.
+    """
+    if kind == 0:
+        return _WRITTEN.sub(".", part)
+    if kind == 3:
+        part = re.sub(r"\A\+[0-9]{1,3}[ .\-/]*(?=[ (.\-/])(?=[^0-9]*[0-9]+[^0-9]+[0-9])[ .\-/]*", "", part)
+        return part.lstrip("+")
+    return part
+
+
 def features(text: str, span: Span) -> list[float]:
-    """Format of the span, and the characters and words around it."""
+    """Format of the span, and the characters and words around it; nothing that the rule of its kind tests, but for the length of groups."""
     kind, a, b = span
-    part = text[a:b]
-    groups = re.findall(r"[0-9]+", part)
+    part = _plain(kind, text[a:b])
+    groups = _GROUP.findall(part)
     lengths = [len(g) for g in groups] or [0]
     before, after = text[max(0, a - 24) : a], text[b : b + 24]
+    word = _WORD_BEFORE.search(before)
+    words = [False] * WORDS
+    if word:
+        words[crc32(word.group().lower().encode("utf-8", "surrogatepass")) % WORDS] = True
     return [
         kind == 0, kind == 1, kind == 2, kind == 3,
         len(groups), max(lengths), min(lengths), lengths[0], lengths[-1],
-        sum(c.isalpha() for c in part), part.count("."), part.count("-"), part.count(" "), part.count("/"), part.count("@"),
-        part.startswith("+"), part.startswith("("), "(" in part,
-        max((min(int(g[-9:]), 999) for g in groups), default=0) if kind == 1 else 0,
+        sum(c.isalpha() for c in part), part.count("."), part.count("-"), part.count(" "), part.count("/"),
+        "(" in part, part.count("(") == part.count(")"),
         _class(text[a - 1 : a]), _class(text[b : b + 1]),
-        sum(c.isdigit() for c in before), sum(c.isdigit() for c in after),
         sum(c.isalpha() for c in before), sum(c.isalpha() for c in after),
-        before.rstrip()[-1:] in ("=", ":", '"', "#"),
+        before.rstrip()[-1:] in ("=", ":", '"', "#"), *words,
     ]
 
 
+def wrong(span: Span, base: list[Span]) -> bool:
+    """Whether an overlapping candidate is a number cut short or run on, so not another form of the confirmed one."""
+    return span[0] > 0 and not any(k == 0 and a < span[2] and span[1] < b or k == span[0] and span[2] == b for k, a, b in base)
+
+
+def run_on(text: str, span: Span) -> Iterator[tuple[str, Span, bool]]:
+    """A confirmed card or phone number with a further group of digits after or before it: with that group it is wrong, without it right."""
+    kind, a, b = span
+    head, part, tail = text[max(0, a - 64) : a], text[a:b], text[b : b + 64]
+    more = random.Random(crc32(part.encode()))
+    group = "".join(more.choice("0123456789") for _ in range(more.randint(1, 4)))
+    made = [(f"{head}{part} {group}{tail}", len(head), len(head))]
+    if kind == 2:
+        made.append((f"{head}{group} {part}{tail}", len(head) + len(group) + 1, len(head)))
+    for other, right, long in made:
+        yield other, (kind, right, right + len(part)), True
+        yield other, (kind, long, long + len(part) + 1 + len(group)), False
+
+
 class Model:
     """Trees, and for each kind the score from which a candidate is selected (infinite: the kind adds nothing)."""
 
@@ -236,11 +281,12 @@ def fit(docs: DataFrame, sample: int = 8000, each: int = 50, least: int = 10, sh
                 known, marks = set(base), covered(text, base)
                 for span in candidates(text)[:each]:
                     hit = span in known
-                    if not hit and 1 in marks[span[1] : span[2]]:
+                    if not hit and 1 in marks[span[1] : span[2]] and not wrong(span, base):
                         continue  # overlaps a confirmed one: neither class
-                    made.append([float(f) for f in features(text, span)])
-                    kinds.append(span[0])
-                    confirmed.append(hit)
+                    for row in [(text, span, hit), *(run_on(text, span) if hit and span[0] > 1 else ())]:
+                        made.append([float(f) for f in features(*row[:2])])
+                        kinds.append(span[0])
+                        confirmed.append(row[2])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(made, pa.list_(pa.float64())), pa.array(kinds, pa.int32()), pa.array(confirmed, pa.bool_())], ["x", "kind", "hit"]
             )

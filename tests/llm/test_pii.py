@@ -138,3 +138,44 @@ def test_many_candidates_are_scored_in_parts(model):
     text = "see 4111 1111 1111 1111 there " * 3 + "1 2 " * 30_000
     found = model.more([text, text], [pii.base_spans(text)] * 2)
     assert found[0] == found[1]
+
+
+def mixed(n=900):
+    """Confirmed phones, addresses and cards, with national, written-out and clean forms among them."""
+    rnd = random.Random(9)
+    rows, planted, clean = [], [], []
+    for i in range(n):
+        a, b, c = rnd.randint(200, 999), rnd.randint(200, 999), rnd.randint(1000, 9999)
+        said = rnd.random() < 0.2
+        phone = f"({a}) {b}-{c}" if said else f"+1 ({a}) {b}-{c}"
+        mail = f"ab{i} (at) mail{i % 5} (dot) com" if rnd.random() < 0.2 else f"ab{i}@mail{i % 5}.com"
+        serial = f"{rnd.randint(10, 99)}/{rnd.randint(10, 99)}/{rnd.randint(10, 99)}/{rnd.randint(1000, 9999)}"
+        rows.append((i, f"{cases.prose(rnd, 4)} phone {phone} or mail {mail} for serial {serial} end", "en", None, None))
+        planted += [(i, phone)] * said + [(i, mail)] * ("(at)" in mail)
+        clean.append((i, serial))
+    return rows, planted, clean
+
+
+def test_national_phones_and_written_out_mail_are_found_and_clean_numbers_not(spark):
+    rows, planted, clean = mixed()
+    docs = cases.documents(spark, rows)
+    found = {r["doc_id"]: {r["text"][s["start"] : s["end"]] for s in r["spans"]} for r in pii.find(docs, pii.fit(docs)).collect()}
+    assert len(planted) > 200 and sum(part in found[i] for i, part in planted) / len(planted) > 0.95
+    assert sum(any(part in s for s in found[i]) for i, part in clean) / len(clean) < 0.02
+
+
+def test_features_are_the_same_without_what_the_rule_tests():
+    for kind, plain, other in ((3, "+1 (415) 555-0132", "(415) 555-0132"), (0, "ab.c@host.com", "ab.c (at) host (dot) com"), (1, "10.20.30.40", "10.20.30.400"[:-1])):
+        texts = [f"say {part} now" for part in (plain, other)]
+        assert pii.features(texts[0], (kind, 4, 4 + len(plain))) == pii.features(texts[1], (kind, 4, 4 + len(other)))
+    assert pii.features("a 10.20.30.240 b", (1, 2, 14)) == pii.features("a 10.20.30.940 b", (1, 2, 14))
+
+
+def test_card_is_found_without_its_date(spark):
+    rnd = random.Random(4)
+    numbers = [" ".join(f"{rnd.randrange(10_000):04}" for _ in range(4)) for _ in range(600)]
+    rows = [(i, f"card {n} is {cases.prose(rnd, 3)} 12 of 2024 or so", "en", None, None) for i, n in enumerate(numbers)]
+    rows += [(1000, "card 4111 1111 1111 1111 12/27", "en", None, None), (1001, "card 4111 1111 1111 1111 123", "en", None, None)]
+    docs = cases.documents(spark, rows)
+    found = {r["doc_id"]: r["spans"] for r in pii.find(docs, pii.fit(docs)).where("doc_id >= 1000").collect()}
+    assert {(s["kind"], s["start"], s["end"]) for i in found for s in found[i]} == {("card", 5, 24)}
