@@ -9,7 +9,7 @@ size of an octet, a "+" or an "@".  A number cut short at a confirmed one, or ru
 digits put beside it, is a negative; a phone number's national part is neither.  Confirmed
 candidates are only some of the true ones, so scores are not probabilities of being
 personal data; as in positive-unlabelled learning, the threshold of a kind is
-calibrated on what confirmed candidates score when held out.  Of overlapping
+calibrated on what the confirmed candidates of all documents score when held out.  Of overlapping
 candidates the best stays; base spans always stay.
 """
 
@@ -22,10 +22,11 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import stored
 from .boosting import Boosted
 from .common import fresh, small
 
@@ -222,7 +223,7 @@ def run_on(text: str, span: Span) -> Iterator[tuple[str, Span, bool]]:
 
 
 class Model:
-    """Trees, and for each kind the score from which a candidate is selected (infinite: the kind adds nothing)."""
+    """Trees, and for each kind the score from which a candidate is selected."""
 
     def __init__(self, trees: Boosted | None, limits: list[float]):
         self.trees, self.limits = trees, limits
@@ -259,52 +260,106 @@ class Model:
         return np.concatenate([self.trees.predict(np.array([features(texts[i], s) for i, s in part], dtype=float)) for part in parts])
 
 
+#: Cells of a histogram of scores, by log odds from -16 to 16.
+CELLS = 1024
+
+
+def low_limits(seen: np.ndarray, share: float, slack: float, least: int) -> list[float]:
+    """For each kind, ``slack`` times the score that ``share`` of its values reach, from histograms (kind, cell); of all kinds' values if it has fewer than ``least``."""
+    limits = []
+    for cells in seen:
+        cells = cells if cells.sum() >= least else seen.sum(axis=0)
+        at = np.searchsorted(np.cumsum(cells), (1 - share) * cells.sum(), side="right")
+        limits.append(slack / (1 + np.exp(16 - 32 * at / CELLS)))
+    return limits
+
+
 def fit(docs: DataFrame, sample: int = 8000, each: int = 50, least: int = 10, share: float = 0.95, slack: float = 0.5) -> Model:
-    """A model from at most ``sample`` documents (smallest hash of the id) and ``each`` candidates of one.
+    """A model from all documents; its trees from at most ``sample`` and, for each kind, an eighth as many that a rule finds it in.
 
-    Each half of the candidates is scored by trees of the other half; the limit of a
-    kind is ``slack`` times the score that ``share`` of its confirmed candidates reach
-    there.  A kind with fewer than ``least`` confirmed candidates adds nothing,
-    nor does a table with so few.  Rows without an id or text are not sampled.
+    Sampled are those with the smallest hash of the id, and ``each`` candidates of one.
+    The limit of a kind is ``slack`` times the score that ``share`` of its confirmed
+    candidates in all documents reach, where trees of the other half of the ids score
+    them.  A kind with fewer than ``least`` confirmed candidates has the limit of all kinds together;
+    a table without any adds nothing.  Rows without an id or text are not sampled.
     """
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    ids = rows.where("doc_id IS NOT NULL").select("doc_id", F.xxhash64("doc_id").alias("at")).distinct().orderBy("at", "doc_id").limit(sample).select("doc_id")
+    hashed = F.coalesce(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)), F.lit(0)).cast("int").alias("side")
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).select("doc_id", "text", hashed)
     width = len(features("", (0, 0, 0)))
 
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches):
+            made = [(i, k) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for k in {s[0] for s in base_spans(t or "")}]
+            yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.int64()), pa.array([m[1] for m in made], pa.int32())], ["doc_id", "kind"])
+
+    named = rows.where("doc_id IS NOT NULL")
+    at = F.xxhash64("doc_id").alias("at")
+    first = named.select("doc_id", at).distinct().orderBy("at", "doc_id").limit(sample).select("doc_id")
+    order = Window.partitionBy("kind").orderBy("at", "doc_id")
+    marked = named.select("doc_id", "text").mapInArrow(held, "doc_id long, kind int").distinct()
+    rare = marked.select("doc_id", "kind", at).withColumn("n", F.row_number().over(order)).where(F.col("n") <= -(-sample // 8)).select("doc_id")
+    ids = stored(first.union(rare).distinct())
+
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            made, kinds, confirmed = [], [], []
-            for text in batch.column(0).to_pylist():
+            made, kinds, confirmed, sides = [], [], [], []
+            for text, side in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if not text:
                     continue
                 base = base_spans(text)
-                known, marks = set(base), covered(text, base)
-                for span in candidates(text)[:each]:
+                known, marks, some = set(base), covered(text, base), candidates(text)
+                if len(some) > each:
+                    some = random.Random(len(text)).sample(some, each)
+                for span in some:
                     hit = span in known
                     if not hit and 1 in marks[span[1] : span[2]] and not wrong(span, base):
                         continue  # overlaps a confirmed one: neither class
                     for row in [(text, span, hit), *(run_on(text, span) if hit and span[0] > 1 else ())]:
-                        made.append([float(f) for f in features(*row[:2])])
+                        made.append(np.array(features(*row[:2]), "<f4").tobytes())
                         kinds.append(span[0])
                         confirmed.append(row[2])
+                        sides.append(side)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(made, pa.list_(pa.float64())), pa.array(kinds, pa.int32()), pa.array(confirmed, pa.bool_())], ["x", "kind", "hit"]
+                [pa.array(made, pa.binary()), pa.array(kinds, pa.int32()), pa.array(confirmed, pa.bool_()), pa.array(sides, pa.int32())], ["x", "kind", "hit", "side"]
             )
 
-    got = rows.join(ids, "doc_id", "left_semi").select("text").mapInArrow(learn, "x array<double>, kind int, hit boolean").collect()
-    got.sort(key=lambda r: (r["kind"], r["x"], r["hit"]))
-    x = np.array([r["x"] for r in got], dtype=float).reshape(len(got), width)
-    y, kinds = np.array([r["hit"] for r in got], dtype=float), np.array([r["kind"] for r in got])
-    if y.sum() < least or y.all():
-        return Model(None, [np.inf] * len(KINDS))
-    scores, half = np.zeros(len(got)), np.arange(len(got)) % 2
+    got = rows.join(ids, "doc_id", "left_semi").select("text", "side").mapInArrow(learn, "x binary, kind int, hit boolean, side int").collect()
+    got.sort(key=lambda r: (r["kind"], bytes(r["x"]), r["hit"], r["side"]))
+    x = np.frombuffer(b"".join(bytes(r["x"]) for r in got), "<f4").astype(float).reshape(len(got), width)
+    y, sides = np.array([r["hit"] for r in got], dtype=float), np.array([r["side"] for r in got])
+    none = Model(None, [np.inf] * len(KINDS))
+    if not y.any():
+        return none
+    trees = _trees().fit(x, y)
+    others = []
     for side in (0, 1):
-        scores[half == side] = _trees().fit(x[half != side], y[half != side]).predict(x[half == side])
-    limits = []
-    for kind in range(len(KINDS)):
-        own = scores[(kinds == kind) & (y == 1)]
-        limits.append(slack * float(np.quantile(own, 1 - share)) if len(own) >= least else np.inf)
-    return Model(_trees().fit(x, y), limits)
+        other = y[sides != side]
+        whole = len(other) and other.any() and (not other.all() or y.all())
+        others.append(Model(_trees().fit(x[sides != side], other) if whole else trees, []))
+    sent = docs.sparkSession.sparkContext.broadcast(others)
+
+    def reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(len(KINDS) * CELLS, np.int64)
+        for batch in small(batches):
+            texts, sides = [t or "" for t in batch.column(0).to_pylist()], batch.column(1).to_pylist()
+            where = ([], [])
+            for i, text in enumerate(texts):
+                base = base_spans(text)
+                if base:
+                    known = set(base)
+                    where[sides[i]].extend((i, s) for s in candidates(text) if s in known)
+            for model, own in zip(sent.value, where, strict=True):
+                if own:
+                    score = np.clip(model.score(texts, own), 1e-9, 1 - 1e-9)
+                    cell = np.clip((np.log(score / (1 - score)) + 16) * CELLS / 32, 0, CELLS - 1).astype(np.int64)
+                    seen += np.bincount(np.array([s[0] for _, s in own]) * CELLS + cell, minlength=len(seen))
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(seen[at], pa.int64())], ["at", "n"])
+
+    seen = np.zeros(len(KINDS) * CELLS, np.int64)
+    for at, n in rows.select("text", "side").mapInArrow(reached, "at int, n long").groupBy("at").agg(F.sum("n")).collect():
+        seen[at] = n
+    return Model(trees, low_limits(seen.reshape(-1, CELLS), share, slack, least)) if seen.any() else none
 
 
 def _trees() -> Boosted:

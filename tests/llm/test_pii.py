@@ -179,3 +179,27 @@ def test_card_is_found_without_its_date(spark):
     docs = cases.documents(spark, rows)
     found = {r["doc_id"]: r["spans"] for r in pii.find(docs, pii.fit(docs)).where("doc_id >= 1000").collect()}
     assert {(s["kind"], s["start"], s["end"]) for i in found for s in found[i]} == {("card", 5, 24)}
+
+
+def test_a_kind_rare_in_the_sample_and_a_small_table_add_spans(spark):
+    rnd = random.Random(6)
+
+    def number(ok):
+        while True:
+            n = "".join(rnd.choice("0123456789") for _ in range(16))
+            if pii.luhn(n) == ok:
+                return n
+
+    rows = [(i, f"{cases.prose(rnd, 6)} mail ab{i}@mail.example.com now", "en", None, None) for i in range(1500)]
+    rare = [(i, f"{cases.prose(rnd, 6)} card {number(i % 2 == 0)} now", "en", None, None) for i in range(1500, 1540)]
+    for given, sample in ((rows + rare, 200), (rare[:12], 8000)):
+        docs = cases.documents(spark, given)
+        found = pii.find(docs, pii.fit(docs, sample=sample)).where("doc_id >= 1500 AND doc_id % 2 = 1").collect()
+        assert len(found) > 5 and all([s["kind"] for s in r["spans"]] == ["card"] for r in found)
+
+
+def test_few_confirmed_ones_have_the_pooled_limit():
+    seen = np.zeros((4, pii.CELLS), np.int64)
+    seen[0, 700], seen[1, 300] = 100, 3
+    limits = pii.low_limits(seen, 0.95, 0.5, 10)
+    assert all(0 < m < 0.5 for m in limits) and limits[1] == limits[2] == limits[3] != np.inf
