@@ -4,13 +4,12 @@ The CGK embedding walks over a word sequence and writes one word a step; a rando
 of the step and word decides whether the walk goes on to the next word.  Two
 sequences with few edits, walked with the same bits, write the same word at most
 steps: edit distance becomes Hamming distance.  Equality at sampled steps is then a
-locality-sensitive key.  Walks and samples are repeated, and items are embedded from
-several of their words on, until the target recall is reached for passages at the
-limit of the allowed edits.
-
-Windows of an item's size are embedded at every word of a document where an item can be
-at all: a match has most of its words from the benchmark, so other stretches are
-passed over without losing any.  Every candidate is verified by the exact distance of
+locality-sensitive key.  Items are embedded from each of their words on, documents from
+every fourth word on where an item can be at all: a match has most of its words from the
+benchmark, so other stretches are passed over without losing any.  The number of walks is
+fixed, not chosen for a target recall; a long item has many places for a key, an item under
+``SHORT`` words too few at the limit of the allowed edits.  Those are found without walks, by
+their rarest words, and none is missed.  Every candidate is verified by the exact distance of
 the item to the best part of the document around it.
 """
 
@@ -32,6 +31,8 @@ from .common import fresh, small
 
 #: Steps of a walk, steps between samples of a key, samples of a key.
 STEPS, GAP, SAMPLES = 24, 3, 5
+#: Items under so many words are looked for by their rarest words.
+SHORT = 30
 #: Words of documents that are looked at together.
 TOGETHER = 1 << 20
 
@@ -111,10 +112,10 @@ class Index:
         self.keys = all_keys[order]
         self.item, self.offset = (np.concatenate(x)[order] if x else np.zeros(0, np.int64) for x in (item, offset))
         self._densities()
-        self._short(every + GAP * (SAMPLES - 1) + 1)
+        self._short(max(SHORT, every + GAP * (SAMPLES - 1) + 1))
 
     def _short(self, length: int) -> None:
-        """Items too short for a key at every place: of any ``most + 1`` of their words a match has one unedited, so the rarest are looked for."""
+        """Items too short for walks: of any ``most + 1`` of their words a match has one unedited, so the rarest are looked for."""
         self.rarest: dict[int, list[tuple[int, int]]] = {}
         names = {number: word for word, number in self.vocabulary.items()}
         for i, x in enumerate(self.items):
@@ -202,8 +203,8 @@ def find(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, walks:
     ``floor((1 - similarity) * item_words)`` edits away from the item's words.  Words are
     runs of letters and digits in lower case.  Items without a word, and null or empty
     texts, match nothing; item ids may be null or repeat.  Every stretch of a document
-    is looked at; exact passages are always found, edited ones with the recall of the
-    walks.  The benchmark is sent to the tasks in blocks of about ``block_words``
+    is looked at; exact passages and items under ``SHORT`` words are always found, edited
+    passages of longer items with the recall of the walks.  The benchmark is sent to the tasks in blocks of about ``block_words``
     words, one pass over the documents for each.  All rows and columns stay; a given
     column named hits is replaced.
     """

@@ -95,3 +95,21 @@ def test_nothing(spark, case):
     docs, none = cases.documents(spark, docs), benchmark(spark, [])
     assert all(r["hits"] == [] for r in de.find(docs, none).collect())
     assert de.find(cases.documents(spark, []), benchmark(spark, [(i, t, "x") for i, t in items])).collect() == []
+
+
+@pytest.mark.parametrize("length, least", [(17, 1), (18, 1), (20, 1), (22, 1), (25, 1), (29, 1), (30, 0.95), (40, 0.97)])
+def test_recall_at_the_limit_by_length(length, least):
+    rnd = random.Random(length)
+    found = 0
+    for trial in range(100):
+        words = [f"w{rnd.randrange(5000)}" for _ in range(length)]
+        index = de.Index([(1, " ".join(words))], 0.8, 2, 4)
+        most = length // 5
+        if trial % 2:
+            for k in range(most):  # evenly spaced substitutions
+                words[(2 * k + 1) * length // (2 * most)] = "new"
+        else:
+            words = edited(rnd, words, most)
+        text = ["x"] * rnd.randint(0, 9) + words + ["y"] * 9
+        found += bool(index.search(np.array([index.vocabulary.get(w, 0) for w in text], dtype=np.int32), [len(text)])[0])
+    assert found >= least * 100
