@@ -9,8 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, line_dedup, lm_score, packing, pii, simhash, substring_dedup, suffix_dedup, topk
-from .common import table, texts
+from . import decontaminate, exact_dedup, langid, line_dedup, lm_score, merkle, packing, pii, repair, simhash, substring_dedup, suffix_dedup, topk
+from .common import LOWER_LETTERS, UPPER_LETTERS, lowered, table, texts
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -153,3 +153,72 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), size=400)
     return kept.selectExpr("doc_id", "n_bytes", "n_removed", "n_spans", "sha2(kept, 256) AS kept_sha256")
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired_after_damage(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+SQL["op12_exact_dedup"] = f"""
+WITH t AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER_LETTERS}', '{LOWER_LETTERS}') AS text FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(text) AS text_sha256
+FROM t WINDOW w AS (PARTITION BY text)
+"""
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = f"CASE WHEN crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 3 = 0 THEN {lowered('text')} ELSE text END"
+    found = merkle.manifest(table(spark, sf_dir, "documents"), found={"text": tampered})
+    proof = "sha2(array_join(transform(steps, s -> concat(s.left, s.right)), ''), 256)"
+    folded = found.selectExpr("doc_id", "leaf", "subroot", "root", f"{proof} AS proof_sha256", f"{merkle.fold('found_leaf')} AS folded_root")
+    return folded.selectExpr("*", "folded_root = root AS verified")
+
+
+def _crc32(text: str) -> str:
+    """DuckDB SQL of the CRC-32 of a text of ASCII digits, bit by bit."""
+    bits = f"""list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split({text}, ''), lambda c: ascii(c)::UBIGINT)),
+        lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]),
+            lambda x, n: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END))"""
+    return f"xor({bits}, 4294967295::UBIGINT)"
+
+
+def _merkle_sql(height: int = 7) -> str:
+    """The manifest in SQL, for groups of up to 8 ** height leaves and 8 ** 2 groups; a level is a step of the query."""
+
+    def leaf(text: str) -> str:
+        parts = [f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)]
+        return f"sha256({' || '.join(parts)})"
+
+    tampered = f"CASE WHEN {_crc32('CAST(doc_id AS VARCHAR)')} % 3 = 0 THEN translate(text, '{UPPER_LETTERS}', '{LOWER_LETTERS}') ELSE text END"
+    steps = [f"""n0 AS MATERIALIZED (SELECT coalesce('=' || lang, '') AS g, doc_id, {leaf('text')} AS leaf, {leaf(tampered)} AS fold, '' AS proof,
+                        row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n, '' AS tree FROM documents),
+                 v0 AS (SELECT g, i, n, leaf AS h FROM n0)"""]
+
+    def levels(nodes: str, rows: str, group: str, last: int) -> None:
+        """Reduces ``nodes`` (group, i, n, h) and moves ``rows`` (its fold and proof) up with them."""
+        for k in range(last):
+            left, right = (f"coalesce((SELECT string_agg(h, '' ORDER BY x.i) FROM {nodes}{k} AS x WHERE x.g = r.{group} AND x.i // 8 = r.i // 8 AND x.i {o} r.i), '')" for o in "<>")
+            steps.append(f"""{rows}{k}s AS MATERIALIZED (SELECT r.*, {left} AS l, {right} AS rt FROM {rows}{k} AS r),
+                {rows}{k + 1} AS MATERIALIZED (SELECT * EXCLUDE (l, rt) REPLACE (
+                    CASE WHEN n = 1 THEN fold ELSE sha256(l || fold || rt) END AS fold, CASE WHEN n = 1 THEN proof ELSE proof || l || rt END AS proof,
+                    i // 8 AS i, (n + 7) // 8 AS n) FROM {rows}{k}s),
+                {nodes}{k + 1} AS MATERIALIZED (SELECT g, i // 8 AS i, (max(n) + 7) // 8 AS n,
+                    CASE WHEN max(n) = 1 THEN max(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h FROM {nodes}{k} GROUP BY g, i // 8)""")
+
+    levels("v", "n", "g", height)
+    steps.append(f"""tops AS MATERIALIZED (SELECT g AS lang_key, h, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n FROM v{height}),
+        u0 AS (SELECT '' AS g, i, n, h FROM tops),
+        m0 AS (SELECT d.* REPLACE (t.i AS i, t.n AS n), t.h AS subroot FROM n{height} AS d JOIN tops AS t ON t.lang_key = d.g)""")
+    levels("u", "m", "tree", 2)
+    return f"""WITH {', '.join(steps)}
+        SELECT doc_id, leaf, subroot, (SELECT h FROM u2) AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = (SELECT h FROM u2) AS verified FROM m2"""
+
+
+SQL["op13_merkle_manifest"] = _merkle_sql()

@@ -5,12 +5,23 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..session import stored
 
 #: A-Z to a-z on UTF-8 bytes; other letters stay as they are.
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
+UPPER_LETTERS, LOWER_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def lowered(column: str) -> str:
+    """SQL text: A-Z to a-z; other letters stay as they are."""
+    return f"translate({column}, '{UPPER_LETTERS}', '{LOWER_LETTERS}')"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -50,3 +61,45 @@ def fresh(name: str, taken: list[str]) -> str:
     while name.lower() in used:
         name = f"_{name}"
     return name
+
+
+#: A key is hot from this part of all rows on; so fewer than PARTS keys are hot.
+PARTS = 1000
+
+
+def spread_join(rows: DataFrame, facts: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """``rows`` with the columns of ``facts``, one row for each key; keys are not null.
+
+    ``count`` says how many rows have the key and is left out of the result.  Hot keys
+    are looked up in a broadcast of fewer than PARTS rows, so that none of them is the
+    work of one task; all others meet in a join that Spark chooses.
+    """
+    hot = facts.where(F.col(count) > (facts.agg(F.sum(count) / PARTS).first()[0] or 0)).drop(count)
+    lean = facts.join(F.broadcast(hot.select(*keys)), keys, "left_anti").drop(count)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return rows.join(F.broadcast(hot), keys).unionByName(rest.join(lean, keys))
+
+
+def numbered(keys: DataFrame, order: list[str], name: str = "name") -> DataFrame:
+    """A stored table with a number for each row, ascending by ``order``, with gaps; sorted in ranges."""
+    return stored(keys.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(name, F.monotonically_increasing_id()))
+
+
+def running(table: DataFrame, group: list[str], order: list[str], count: str) -> DataFrame:
+    """The table with ``before``, the sum of ``count`` over the smaller rows of the group, and ``total``, that of the group.
+
+    ``group`` and ``order`` are not null and together differ between rows.  The rows are
+    dealt out by ranges of both, so that a large group is the work of many tasks; only
+    one sum for each range and group is added up in order.
+    """
+    spread = stored(table.repartitionByRange(*group, *order).withColumn("part", F.spark_partition_id()))
+    sums = spread.groupBy(*group, "part").agg(F.sum(count).alias("sum"))
+    all_of, up_to = Window.partitionBy(*group), Window.partitionBy(*group).orderBy("part")
+    sums = stored(sums.select(*group, "part", (F.sum("sum").over(up_to) - F.col("sum")).alias("earlier"), F.sum("sum").over(all_of).alias("total")))
+    own = F.sum(count).over(Window.partitionBy(*group, "part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    return (
+        spread.withColumn("own", F.coalesce(own, F.lit(0)))
+        .join(sums, [*group, "part"])
+        .withColumn("before", F.col("earlier") + F.col("own"))
+        .drop("part", "own", "earlier")
+    )

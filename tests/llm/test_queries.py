@@ -21,11 +21,14 @@ COLUMNS = {
     8: ["doc_id", "item_id", "edits", "item_words"],
     9: ["doc_id", "n_words", "n_removed", "kept_sha256"],
     10: ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+    11: ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
+    12: ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
+    13: ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
 }
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in catalog.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in catalog.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
@@ -36,7 +39,7 @@ def test_query(spark, name):
     assert rows
     if name in catalog.SQL:
         con = duckdb.connect()
-        for t in ("documents", "embeddings"):
+        for t in ("documents", "embeddings", "conversations"):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
         cursor = con.execute(catalog.SQL[name])
         order = [found.columns.index(c[0]) for c in cursor.description]
