@@ -71,11 +71,11 @@ def placed(leaves: DataFrame) -> DataFrame:
         return alone
     # The number spreads equal rows over ranges.
     repeated = stored(ranked.where("rows <> bit_count(bits)").selectExpr(
-        *leaves.columns, "word", "before AS earlier", "total AS whole", "coalesce(id, 0L) AS known",
+        *leaves.columns, "word", "before AS lower", "total AS whole", "coalesce(id, 0L) AS known",
         "monotonically_increasing_id() AS number", "1L AS one",
     ))
     ordered = running(repeated, ["grp", "word"], ["known", "leaf", "found", "number"], "one")
-    return alone.unionByName(ordered.selectExpr(*leaves.columns, "earlier + before AS place", "whole AS total"))
+    return alone.unionByName(ordered.selectExpr(*leaves.columns, "lower + before AS place", "whole AS total"))
 
 
 def _raised(nodes: DataFrame) -> list[DataFrame]:
