@@ -54,15 +54,13 @@ def _sequences(rows: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
     while True:
         one, two = print_of("block", attempt)
         printed = cut.selectExpr("*", f"{one} AS one", f"{two} AS two")
-        prints = stored(
-            printed.groupBy("one", "two")
-            .agg(F.count("*").alias("uses"), F.min("block").alias("low"), F.max("block").alias("high"))
-            .selectExpr("one", "two", "uses", "low = high AS same")
-        )
-        if prints.where("NOT same").isEmpty():
+        # The blocks themselves are compared here, as part of the key, and are not needed any more.
+        distinct = printed.groupBy("one", "two", "block").agg(F.count("*").alias("uses")).drop("block")
+        prints = stored(distinct.groupBy("one", "two").agg(F.sum("uses").alias("uses"), F.count("*").alias("blocks")))
+        if prints.where("blocks > 1").isEmpty():
             break
         attempt += 1
-    names = numbered(prints.drop("same"), ["one", "two"])
+    names = numbered(prints.drop("blocks"), ["one", "two"])
     placed = stored(printed.drop("block"))
     heads = placed.where("pos = 0").select("row", "doc_id", "text_sha256")
     return stored(spread_join(placed.select("row", "pos", "n", "one", "two"), names, ["one", "two"], "uses").drop("one", "two")), heads
@@ -77,7 +75,7 @@ def identities(rows: DataFrame, block: int = 1024) -> DataFrame:
     longest = state.agg(F.max("n")).first()[0] or 1
     done = state.where("n = 1").selectExpr("row", "0 AS round", "name")
     for round_ in range(1, (longest - 1).bit_length() + 1):
-        pairs = (
+        pairs = stored(
             state.where("n > 1")
             .groupBy("row", F.expr("shiftright(pos, 1)").alias("pos"))
             .agg(
