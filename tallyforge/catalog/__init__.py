@@ -1,6 +1,6 @@
 """Every query by name."""
 
-from . import extended, files, functions, quality, summaries
+from . import extended, files, functions, quality, stored, summaries
 from .base import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -6,6 +6,7 @@ import io
 import sys
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from xml.sax.saxutils import escape
 
 import pandas as pd
@@ -147,15 +148,39 @@ def write_workbooks(rows: DataFrame, out: str, broken: bool = False) -> str:
     return out
 
 
-def name_files(spark: SparkSession, out: str, name: str) -> None:
-    """Give the files that Spark wrote a name, or another suffix if it starts with a dot."""
+def name_files(spark: SparkSession, out: str, suffix: str) -> None:
+    """Give the files that Spark wrote another suffix."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     folder = hadoop.Path(out)
     files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for found in files.listStatus(folder):
         own = found.getPath().getName()
         if own.startswith("part-"):
-            files.rename(found.getPath(), hadoop.Path(folder, own.rsplit(".", 1)[0] + name if name.startswith(".") else name))
+            files.rename(found.getPath(), hadoop.Path(folder, own.rsplit(".", 1)[0] + suffix))
+
+
+def number_files(spark: SparkSession, out: str, name: str, suffix: str) -> None:
+    """Name the files that Spark wrote by their place in the folder: ``name_0``, ``name_1`` and so on."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(out)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = sorted(f.getPath().getName() for f in files.listStatus(folder) if f.getPath().getName().startswith("part-"))
+    for i, part in enumerate(parts):
+        files.rename(hadoop.Path(folder, part), hadoop.Path(folder, f"{name}_{i}{suffix}"))
+
+
+@contextmanager
+def file_splits(spark: SparkSession, size: int) -> Iterator[None]:
+    """Scans planned meanwhile split files into blocks of at most ``size`` bytes."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {n: spark.conf.get(n) for n in names}
+    for n in names:
+        spark.conf.set(n, str(size))
+    try:
+        yield
+    finally:
+        for n, value in before.items():
+            spark.conf.set(n, value)
 
 
 def workbooks_of(rows: DataFrame) -> DataFrame:

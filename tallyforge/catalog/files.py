@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import literal, to_number
+from ..functions import literal, null_tokens, to_number
 from ..operators import extended as X, summaries as S
 from ..operators.derive import GROSS_SALES, REVENUE, ensure_order_id, with_measures
 from ..operators.layout import detect_layout, map_header, missing_message, missing_required, to_line_items
-from ..operators.periods import latest_two
+from ..operators.periods import latest_two_stored, stored_periods
 from ..plans.calculations import clean_to_csv, write_extended_tables
 from ..plans.report import curated_rows, report_sections
-from ..session import shared_dir
+from ..session import shared_dir, stored
 from ..sinks.tables import (
     read_section,
     write_cleaned_csv,
@@ -21,7 +21,7 @@ from ..sinks.tables import (
     write_sections,
 )
 from ..sources.delimited import cell, read_delimited
-from ..sources.files import discover_files, list_files, profile_files
+from ..sources.files import catalogue, discover_files, list_files
 from ..sources.line_totals import read_line_totals, scan_cleaned
 from ..sources.exports import read_exports, scan_exports, with_dates
 from ..sources.star import star_line_totals, star_items, table
@@ -30,8 +30,9 @@ from .base import counted, money, periods, query, rounded, items_sql
 from .exports import (
     LINE_TOTAL_CELLS,
     UNDERSCORE_CELLS,
+    file_splits,
     mixed_exports,
-    name_files,
+    number_files,
     raw_cells,
     undated_export,
     write_csv,
@@ -62,9 +63,15 @@ def discover(spark, d):
     return lines.groupBy("suffix").agg(F.count_if("is_data").alias("data_lines"))
 
 
-def _delimited_parts(spark, paths):
-    plan = profile_files(spark, paths)
-    return [(layout, read_delimited(spark, layout, files)) for layout, files in plan.layouts.items()]
+def _delimited_rows(spark, paths):
+    """Cells of all files with the delimiter, charset and header of theirs."""
+    files = stored(catalogue(spark, paths).withColumn("used", F.size("header")))
+    rows, _ = read_delimited(spark, files)
+    return rows.join(files.select("file_path", "delimiter", "charset", "header"), "file_path")
+
+
+def _cell_of(header: str) -> str:
+    return null_tokens(f"get(cells, array_position(header, '{header}') - 1)")
 
 
 @query("read_delimited", """
@@ -77,19 +84,9 @@ def read_delimiters(spark, d):
     for status, sep in (("F", ","), ("O", ";"), ("P", "|")):
         out = write_csv(orders.where(F.col("o_orderstatus") == status), shared_dir(spark), sep)
         paths += list_files(spark, out)
-    parts = [
-        rows.select(
-            F.lit(layout.delimiter).alias("delimiter"),
-            F.expr(to_number(cell(layout.header.index("o_totalprice")))).alias("v"),
-            F.col(cell(layout.header.index("note"))).alias("note"),
-        )
-        for layout, rows in _delimited_parts(spark, paths)
-    ]
+    rows = _delimited_rows(spark, paths).selectExpr("delimiter", f"{to_number(_cell_of('o_totalprice'))} AS v", f"{_cell_of('note')} AS note")
     return rounded(
-        _union(parts).groupBy("delimiter").agg(
-            _n(), F.sum("v").alias("total"), F.count_if(F.col("note") == 'a,b;c|"d"').alias("quoted")
-        ),
-        total=2,
+        rows.groupBy("delimiter").agg(_n(), F.sum("v").alias("total"), F.count_if(F.col("note") == 'a,b;c|"d"').alias("quoted")), total=2
     )
 
 
@@ -112,13 +109,8 @@ def read_charsets(spark, d):
         for part, charset in ((customers.where(old), "ISO-8859-1"), (customers.where(~old), "UTF-8"))
         for p in list_files(spark, write_csv(part, shared_dir(spark), charset=charset))
     ]
-    parts = [
-        rows.select(
-            F.lit(layout.charset).alias("charset"), F.col(cell(layout.header.index("c_name"))).alias("name")
-        )
-        for layout, rows in _delimited_parts(spark, paths)
-    ]
-    return _union(parts).groupBy("charset").agg(_n(), F.count_if(F.col("name").endswith(" Émilie")).alias("with_accent"))
+    rows = _delimited_rows(spark, paths).selectExpr("charset", f"{_cell_of('c_name')} AS name")
+    return rows.groupBy("charset").agg(_n(), F.count_if(F.col("name").endswith(" Émilie")).alias("with_accent"))
 
 
 @query("read_workbook", items_sql("""
@@ -149,35 +141,76 @@ def read_errors_halt(spark, d):
         lines = spark.read.text(out).where(F.col("value") != "date,price")
         rows = lines if scan.rows is None else scan.rows
         found.append(
-            rows.agg(_n()).select(F.lit(status).alias("status"), "n", F.lit(bool(scan.halts)).alias("rejected"))
+            rows.agg(_n()).select(F.lit(status).alias("status"), "n", F.lit(not scan.halts.isEmpty()).alias("rejected"))
         )
     return _union(found)
 
 
 @query("equal_names", """
-    SELECT 'text' AS kind, (SELECT count(*) FROM orders WHERE o_orderstatus <> 'P') AS n, CAST(1 AS BIGINT) AS halts
-    UNION ALL SELECT 'workbook', (SELECT count(*) FROM nation), CAST(1 AS BIGINT)
+    SELECT 'text' AS kind, true AS others_halted, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE o_orderstatus <> 'P'
+    UNION ALL SELECT 'workbook', true, count(*), round(sum(c_acctbal), 2) FROM customer WHERE c_acctbal >= 0
 """)
 def equal_names(spark, d):
-    """Two folders with files of the same names, one of them broken: the good one's rows are all there."""
+    """Two folders with files of the same names, those of one broken: the good one's rows are all there."""
     orders = table(spark, d, "orders").selectExpr("o_orderstatus", "date_format(o_orderdate, 'yyyy-MM-dd') AS day", "string(o_totalprice) AS price")
-    books = table(spark, d, "nation").selectExpr("timestamp_ntz'2001-07-01' AS date", "double(n_nationkey) AS price")
+    books = table(spark, d, "customer").where("c_acctbal >= 0").selectExpr("timestamp_ntz'2001-07-01' AS date", "double(c_acctbal) AS price")
     found = []
-    for kind in ("text", "workbook"):
+    for kind, suffix in (("text", ".csv"), ("workbook", ".xlsx")):
         base = shared_dir(spark)
         for folder, good in (("a", False), ("b", True)):
             out = f"{base}/{folder}"
             if kind == "text":
                 line = "concat(day, ',', price)" if good else "concat(day, ',', price, ',9')"
-                rows = orders.where("o_orderstatus <> 'P'" if good else "o_orderstatus = 'P'").coalesce(1)
-                write_lines(rows, "date,price", line, out)
+                write_lines(orders.where("o_orderstatus <> 'P'" if good else "o_orderstatus = 'P'").repartition(4, "day"), "date,price", line, out)
             else:
-                write_workbooks(books.coalesce(1), out, broken=not good)
-            name_files(spark, out, "export.csv" if kind == "text" else "export.xlsx")
+                write_workbooks(books.repartition(4, "price"), out, broken=not good)
+            number_files(spark, out, "export", suffix)
         read = read_exports(spark, [f"{base}/a", f"{base}/b"])
-        halts = read.halts.agg(_n()).withColumnRenamed("n", "halts")
-        found.append(read.rows.agg(_n()).crossJoin(halts).select(F.lit(kind).alias("kind"), "n", "halts"))
-    return _union(found)
+        halted = discover_files(spark, f"{base}/a").join(read.halts.withColumnRenamed("file_path", "path"), "path", "left").agg(
+            F.every(F.col("reason") == "unreadable").alias("others_halted")
+        )
+        found.append(read.rows.agg(_n(), F.sum("price").alias("total")).crossJoin(halted).select(F.lit(kind).alias("kind"), "others_halted", "n", "total"))
+    return rounded(_union(found), total=2)
+
+
+@query("quoted_line_breaks", """
+    SELECT o_orderpriority AS priority, count(*) AS n, round(sum(o_totalprice), 2) AS total, true AS whole, true AS several_blocks FROM orders GROUP BY 1
+""")
+def quoted_line_breaks(spark, d):
+    """Every record of an export has line breaks, quotes and a blank line in a cell; its files are read in several blocks."""
+    orders = table(spark, d, "orders").selectExpr(
+        "date_format(o_orderdate, 'yyyy-MM-dd') AS date", "string(o_totalprice) AS price",
+        r"concat('a, \"b\"\n', o_orderpriority, '\n\n\"\"', o_orderkey) AS customer", "o_orderpriority AS category", "string(o_orderkey) AS `order no`",
+    )
+    out = write_csv(orders, shared_dir(spark))
+    size = discover_files(spark, out).agg(F.max("length")).first()[0]
+    with file_splits(spark, size // 5 + 1):
+        blocks = spark.read.text(out).select("_metadata.file_path", "_metadata.file_block_start").distinct().groupBy("file_path").count()
+        several = blocks.agg(F.max("count")).first()[0] > 1
+        rows = scan_exports(spark, out).rows
+    whole = F.expr(r"customer = concat('a, \"b\"\n', category, '\n\n\"\"', order_id)")
+    found = rows.groupBy(F.col("category").alias("priority")).agg(_n(), F.sum("price").alias("total"), F.every(whole).alias("whole"))
+    return rounded(found.withColumn("several_blocks", F.lit(several)), total=2)
+
+
+@query("header_maps", """
+    SELECT o_orderpriority AS category, count(*) AS n, round(sum(o_totalprice), 2) AS total, count(DISTINCT o_custkey) AS customers FROM orders GROUP BY 1
+""")
+def header_maps(spark, d):
+    """Many headers: other orders and names of the columns, others between them, all in one folder."""
+    orders = table(spark, d, "orders").selectExpr(
+        "date_format(o_orderdate, 'yyyy-MM-dd') AS day", "string(o_totalprice) AS amount", "string(o_custkey) AS who", "o_orderpriority AS kind", "o_orderkey"
+    )
+    out = shared_dir(spark)
+    for i in range(12):
+        columns = [("day", " Date"), ("amount", ("price", "Unit Price")[i % 2]), ("who", "CUSTOMER"), ("kind", "category ")]
+        columns = columns[i % 4 :] + columns[: i % 4]
+        columns.insert(i % 5, ("kind", f"Note {i}"))
+        part = orders.where(f"o_orderkey % 12 = {i}").selectExpr(*[f"{c} AS `{h}`" for c, h in columns])
+        part.write.mode("append").option("header", True).option("sep", ",;\t"[i % 3]).option("escape", '"').csv(out)
+    rows = scan_exports(spark, out).rows
+    found = rows.groupBy("category").agg(_n(), F.sum("price").alias("total"), F.count_distinct("customer").alias("customers"))
+    return rounded(found, total=2)
 
 
 _MIXED = items_sql("""
@@ -386,7 +419,7 @@ def _report_rows(spark, d):
 def write_report_tables(spark, d):
     out = shared_dir(spark)
     rows = curated_rows(spark, write_curated(with_measures(_report_rows(spark, d)), shared_dir(spark)))
-    current, prior = latest_two(rows)
+    current, prior = latest_two_stored(rows)
     write_sections(report_sections(rows, current, prior, staged=True), out, current)
     table_ = read_section(spark, out, "by_category", current).drop("bar", "is_marked", "shown_name")
     return rounded(table_, **_SUMMARY_ROUNDS)
@@ -430,7 +463,7 @@ def sections(spark, d):
     """Every section written and read back."""
     out = shared_dir(spark)
     rows = curated_rows(spark, write_curated(with_measures(_report_rows(spark, d)), shared_dir(spark)))
-    current, prior = latest_two(rows)
+    current, prior = latest_two_stored(rows)
     write_sections(report_sections(rows, current, prior, staged=True), out, current)
     return _union([
         read_section(spark, out, name).groupBy("report_period").agg(_n()).withColumn("section", F.lit(name)) for name in _SECTION_ROWS

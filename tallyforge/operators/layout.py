@@ -16,6 +16,7 @@ from ..functions import (
     fill_zero,
     literal,
     normalise_discount,
+    null_tokens,
     price_from_sales,
     title_case,
     to_number,
@@ -95,27 +96,68 @@ def missing_message(file: str, missing: list[str]) -> str:
     )
 
 
+#: Columns that a cell of a file can be meant for, in the order of ``positions``.
+TARGETS = ("date", "order_id", "customer", "product", "category", "region", "quantity", "price", "discount", "profit", "sales_target", "sales")
+
+
+def positions(mapping: HeaderMap) -> list[int]:
+    """For each target the place of its column, -1 for none."""
+    return [mapping.columns.get(t, -1) for t in TARGETS]
+
+
+def absent_columns(mapping: HeaderMap) -> list[str]:
+    """Optional columns that the header does not have."""
+    return [c for c in OPTIONAL_DEFAULTS if c not in mapping.columns]
+
+
 def to_line_items(raw: DataFrame, mapping: HeaderMap, cell) -> DataFrame:
-    """Typed line items of one layout; the date stays text until its format is known.
+    """Typed line items of rows that all have one header; ``cell(i)`` names the column at position i."""
+    cells = [cell(i) if i >= 0 else "CAST(NULL AS STRING)" for i in positions(mapping)]
+    return _typed(raw.selectExpr(
+        "file_path", "block_start", "row_id", f"'{mapping.layout}' AS layout",
+        f"array({', '.join(map(str, positions(mapping)))}) AS at",
+        f"CAST(array({', '.join(map(literal, absent_columns(mapping)))}) AS ARRAY<STRING>) AS absent",
+        *[f"{c} AS {_own(t)}" for t, c in zip(TARGETS, cells, strict=True)],
+    ))
+
+
+def cells_to_line_items(rows: DataFrame) -> DataFrame:
+    """Typed line items of ``file_path, block_start, row_id, cells`` with ``layout, at, absent`` of the row's file.
+
+    ``at`` has the positions of the targets, so the plan does not grow with the headers.
+    """
+    return _typed(rows.selectExpr(
+        "file_path", "block_start", "row_id", "layout", "at", "absent",
+        *[f"CASE WHEN at[{i}] >= 0 THEN get(cells, at[{i}]) END AS {_own(t)}" for i, t in enumerate(TARGETS)],
+    ).selectExpr(
+        "file_path", "block_start", "row_id", "layout", "at", "absent", *[f"{null_tokens(_own(t))} AS {_own(t)}" for t in TARGETS],
+    ))
+
+
+def _own(target: str) -> str:
+    return f"{target}_cell"
+
+
+def _typed(raw: DataFrame) -> DataFrame:
+    """Line items of text cells by target; the date stays text until its format is known.
 
-    ``cell(i)`` names the raw column at position i.  ``raw`` also carries
-    file_path, block_start and row_id.  The path is the file's identity;
-    source_file, its last part, is for display.
+    The path is the file's identity; source_file, its last part, is for display.
     """
-    source = {target: cell(i) for target, i in mapping.columns.items()}
-    typed = {CLEAN: _clean, UNDERSCORE: _underscore, LINE_TOTAL: _line_total}[mapping.layout](source)
-    absent = [c for c in OPTIONAL_DEFAULTS if c not in typed]
-    typed |= {c: _default(c) for c in absent}
-    own_id = source.get("order_id", "CAST(NULL AS STRING)")
+    rules = {CLEAN: _clean(), UNDERSCORE: _underscore(), LINE_TOTAL: _line_total()}
+
+    def value(column: str) -> str:
+        cases = " ".join(f"WHEN '{layout}' THEN {rule[column]}" for layout, rule in rules.items() if column in rule)
+        return f"CAST(CASE layout {cases} END AS {_type_of(column)})"
+
     return raw.selectExpr(
-        f"{source['date']} AS date_text",
-        *[f"CAST({typed[c]} AS {_type_of(c)}) AS {c}" for c in BUSINESS_COLUMNS if c != "date"],
-        f"{ensure_order_id(own_id, 'file_path', 'row_id')} AS order_id",
-        f"{own_id} AS given_order_id",
-        f"'{mapping.layout}' AS layout",
+        f"{_own('date')} AS date_text",
+        *[f"{value(c)} AS {c}" for c in BUSINESS_COLUMNS if c != "date"],
+        f"{ensure_order_id(_own('order_id'), 'file_path', 'row_id')} AS order_id",
+        f"{_own('order_id')} AS given_order_id",
+        "layout",
         "element_at(split(file_path, '/'), -1) AS source_file",
         "file_path",
-        f"CAST(array({', '.join(map(literal, absent))}) AS ARRAY<STRING>) AS missing_optional",
+        "absent AS missing_optional",
         "block_start",
         "row_id",
     )
@@ -130,7 +172,7 @@ def _default(column: str) -> str:
     return "NULL" if value is None else literal(value) if isinstance(value, str) else repr(value)
 
 
-def _clean(source: dict[str, str]) -> dict[str, str]:
+def _clean() -> dict[str, str]:
     rules = {
         "customer": trim_text, "product": trim_text, "category": trim_text, "region": trim_text,
         "quantity": lambda c: fill_zero(to_number(c)),
@@ -139,28 +181,35 @@ def _clean(source: dict[str, str]) -> dict[str, str]:
         "profit": to_number,
         "sales_target": to_number,
     }
-    return {name: rule(source[name]) for name, rule in rules.items() if name in source}
+
+    def given_or_default(column: str) -> str:
+        own = rules[column](_own(column))
+        if column not in OPTIONAL_DEFAULTS:
+            return own
+        return f"(CASE WHEN at[{TARGETS.index(column)}] < 0 THEN {_default(column)} ELSE {own} END)"
+
+    return {column: given_or_default(column) for column in rules}
 
 
-def _raw_common(source: dict[str, str]) -> dict[str, str]:
+def _raw_common() -> dict[str, str]:
     return {
-        "customer": trim_text(source["customer"]),
-        "product": trim_text(source["product"]),
-        "category": title_case(source["category"]),
-        "region": title_case(source["region"]),
-        "quantity": fill_zero(to_number(source["quantity"])),
-        "profit": fill_zero(clean_currency(source["profit"])),
+        "customer": trim_text(_own("customer")),
+        "product": trim_text(_own("product")),
+        "category": title_case(_own("category")),
+        "region": title_case(_own("region")),
+        "quantity": fill_zero(to_number(_own("quantity"))),
+        "profit": fill_zero(clean_currency(_own("profit"))),
     }
 
 
-def _underscore(source: dict[str, str]) -> dict[str, str]:
-    return _raw_common(source) | {
-        "price": fill_zero(clean_currency(source["price"])),
-        "discount": fill_zero(clean_percent(source["discount"])),
+def _underscore() -> dict[str, str]:
+    return _raw_common() | {
+        "price": fill_zero(clean_currency(_own("price"))),
+        "discount": fill_zero(clean_percent(_own("discount"))),
     }
 
 
-def _line_total(source: dict[str, str]) -> dict[str, str]:
-    discount = to_number(source["discount"])
-    price = price_from_sales(clean_currency(source["sales"]), to_number(source["quantity"]), discount)
-    return _raw_common(source) | {"price": price, "discount": fill_zero(discount)}
+def _line_total() -> dict[str, str]:
+    discount = to_number(_own("discount"))
+    price = price_from_sales(clean_currency(_own("sales")), to_number(_own("quantity")), discount)
+    return _raw_common() | {"price": price, "discount": fill_zero(discount)}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame
 
 from ..functions import month_start
@@ -37,6 +40,22 @@ def latest_two(rows: DataFrame) -> tuple[str | None, str | None]:
     return tuple(found + [None] * (2 - len(found)))
 
 
+def stored_periods(table: DataFrame) -> list[str]:
+    """The months of a table that is stored by ``period``, newest first, from the names of its directories.
+
+    ``table`` is the table as it was read: filters of rows do not count.  No file is
+    opened; the paths are those Spark listed when it read the table.
+    """
+    months = {unquote(m.group(1)) for m in map(re.compile("/period=([^/]*)/").search, table.inputFiles()) if m}
+    return sorted(months - {"__HIVE_DEFAULT_PARTITION__"}, reverse=True)
+
+
+def latest_two_stored(table: DataFrame) -> tuple[str | None, str | None]:
+    """``latest_two`` of a table stored by month, without a scan."""
+    found = stored_periods(table)[:2]
+    return tuple(found + [None] * (2 - len(found)))
+
+
 def is_period(period: str | None, date: str = "date") -> str:
     """True for the rows of a month, written as a range the scan can use."""
     if period is None:

@@ -19,16 +19,19 @@ from ..sinks.tables import write_cleaned_csv
 from ..sources.line_totals import read_line_totals, scan_cleaned
 
 
-def extended_tables(rows: DataFrame, categories: list[str] | None = None) -> dict[str, DataFrame]:
-    return {
-        "Region_Category": region_category_sales(rows),
-        "Product_Performance": product_performance(rows),
-        "Monthly_Trend": monthly_trend(rows),
-        "Underperformers": underperformers(rows),
-        "Discount_Impact": discount_impact(rows),
-        "Region_by_Category": region_category_pivot(rows, categories),
-        "Top_Products": top_products(rows),
-    }
+EXTENDED_TABLES = {
+    "Region_Category": region_category_sales,
+    "Product_Performance": product_performance,
+    "Monthly_Trend": monthly_trend,
+    "Underperformers": underperformers,
+    "Discount_Impact": discount_impact,
+    "Region_by_Category": region_category_pivot,
+    "Top_Products": top_products,
+}
+
+
+def extended_tables(rows: DataFrame) -> dict[str, DataFrame]:
+    return {name: build(rows) for name, build in EXTENDED_TABLES.items()}
 
 
 def clean_to_csv(spark: SparkSession, source: str, out: str) -> DataFrame:
@@ -37,7 +40,9 @@ def clean_to_csv(spark: SparkSession, source: str, out: str) -> DataFrame:
     return missing_profile(scan_cleaned(spark, out))
 
 
-def write_extended_tables(spark: SparkSession, cleaned: str, out: str) -> None:
-    """One Parquet table per extended table, replaced on every run."""
-    for name, table in extended_tables(scan_cleaned(spark, cleaned)).items():
-        table.write.mode("overwrite").parquet(f"{out.rstrip('/')}/{name}")
+def write_extended_tables(spark: SparkSession, cleaned: str, out: str, names: list[str] | None = None) -> None:
+    """One Parquet table per extended table, or only those named, replaced on every run."""
+    rows = scan_cleaned(spark, cleaned)
+    for name, build in EXTENDED_TABLES.items():
+        if names is None or name in names:
+            build(rows).write.mode("overwrite").parquet(f"{out.rstrip('/')}/{name}")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.derive import with_measures
 from ..operators.flags import flag_lines, flag_rows, summary_bullets, summary_facts
 from ..operators.kpis import kpi_rows, kpis
-from ..operators.periods import latest_two
+from ..operators.periods import latest_two_stored
 from ..operators.quality import Checked, banner
 from ..operators.summaries import (
     change_of,
@@ -25,7 +25,7 @@ from ..operators.summaries import (
     with_top_marker,
 )
 from ..session import stored
-from ..sinks.tables import write_curated, write_quality_report, write_sections
+from ..sinks.tables import quality_sections, write_curated, write_sections
 from ..sources.exports import read_exports
 
 
@@ -79,9 +79,10 @@ def write_report(spark: SparkSession, source: str | list[str], curated: str, out
 
 
 def write_report_tables(rows: DataFrame, checked: Checked, out: str) -> str:
-    current, prior = latest_two(rows)
+    """All tables of the report over the curated table ``rows``, made current together."""
+    current, prior = latest_two_stored(rows)
     stamp = report_stamp(current)
-    write_sections(report_sections(rows, current, prior, staged=True), out, stamp)
-    write_quality_report(checked.issues, checked.halts, out, stamp, checked.reused_ids)
-    write_sections({"banner": banner(checked.issues, checked.halts)}, out, stamp)
+    sections = report_sections(rows, current, prior, staged=True)
+    sections |= quality_sections(checked.issues, checked.halts, checked.reused_ids)
+    write_sections(sections | {"banner": banner(checked.issues, checked.halts)}, out, stamp)
     return stamp

@@ -2,36 +2,105 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession, Window, functions as F
 
-def _dated(out: str, section: str, stamp: str) -> str:
-    return f"{out.rstrip('/')}/{section}/dated/{stamp}"
 
+# Sections are written at the same time, as most are small and none waits for another.
+_AT_ONCE = 4
+COMMIT = "number long, run string, stamp string, sections array<string>"
 
-def _latest(out: str, section: str) -> str:
-    return f"{out.rstrip('/')}/{section}/latest"
 
+def _commits(out: str) -> str:
+    return f"{out.rstrip('/')}/_commits"
 
-def write_section(table: DataFrame, out: str, section: str, stamp: str) -> str:
-    """One section as Parquet tables: a dated copy, and the latest one, which is the last run's.
 
-    Each is a directory of its own that a run replaces as a whole, also by a table
-    without rows, whose columns stay readable.  Older dated copies stay.
-    """
-    path = _dated(out, section, stamp)
-    table.withColumn("report_period", F.lit(stamp)).write.mode("overwrite").parquet(path)
-    table.sparkSession.read.parquet(path).write.mode("overwrite").parquet(_latest(out, section))
-    return path
+def _directory(out: str, section: str, stamp: str, run: str) -> str:
+    return f"{out.rstrip('/')}/{section}/{stamp}/{run}"
+
+
+def commits(spark: SparkSession, out: str) -> list[Row]:
+    """What was written completely, oldest first: a row for each run."""
+    try:
+        found = spark.read.schema(COMMIT).parquet(_commits(out))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return found.orderBy("number", "run").collect()
 
 
 def write_sections(sections: dict[str, DataFrame], out: str, stamp: str) -> dict[str, str]:
-    return {name: write_section(table, out, name, stamp) for name, table in sections.items()}
+    """Sections as Parquet tables, each written once to a directory of this run, and then made current together.
+
+    A commit record that names the run is written last.  Until then, and for good if the
+    run fails, readers see what the runs before it wrote; afterwards all sections of
+    this run.  A table without rows keeps its columns.  Runs of one report follow each
+    other; of two at the same time, the one with the larger run id counts as the later.
+    """
+    if not sections:
+        return {}
+    spark = next(iter(sections.values())).sparkSession
+    run = uuid.uuid4().hex
+    paths = {name: _directory(out, name, stamp, run) for name in sections}
+    with ThreadPoolExecutor(_AT_ONCE) as pool:
+        written = [pool.submit(inheritable_thread_target(spark)(_write_one), table, paths[name], stamp) for name, table in sections.items()]
+        for job in written:
+            job.result()
+    number = max((c["number"] for c in commits(spark, out)), default=0) + 1
+    record = spark.createDataFrame([(number, run, stamp, sorted(sections))], COMMIT)
+    record.coalesce(1).write.mode("append").parquet(_commits(out))
+    return paths
+
+
+def _write_one(table: DataFrame, path: str, stamp: str) -> None:
+    table.withColumn("report_period", F.lit(stamp)).write.parquet(path)
+
+
+def write_section(table: DataFrame, out: str, section: str, stamp: str) -> str:
+    return write_sections({section: table}, out, stamp)[section]
 
 
 def read_section(spark: SparkSession, out: str, section: str, period: str | None = None) -> DataFrame:
-    """A dated copy, or what the last run wrote."""
-    return spark.read.parquet(_latest(out, section) if period is None else _dated(out, section, period))
+    """The section of the last run that wrote it, or of the last one for a month."""
+    return spark.read.parquet(section_paths(spark, out, period)[section])
+
+
+def section_paths(spark: SparkSession, out: str, period: str | None = None) -> dict[str, str]:
+    """Where the current copy of each section is, or that of a month."""
+    found = {}
+    for c in commits(spark, out):
+        if period is None or c["stamp"] == period:
+            found |= {name: _directory(out, name, c["stamp"], c["run"]) for name in c["sections"]}
+    return found
+
+
+def drop_superseded(spark: SparkSession, out: str) -> int:
+    """Removes the directories of runs that a later run for the same month replaced, and of failed ones; says how many.
+
+    Not while others read or write the report.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(out)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stamps = {c["stamp"] for c in commits(spark, out)}
+    current = {tuple(p.rsplit("/", 3)[1:]) for stamp in stamps for p in section_paths(spark, out, stamp).values()}
+    dropped = 0
+    for section in _folders(files, root):
+        for stamp in _folders(files, section):
+            for run in _folders(files, stamp):
+                if (section.getName(), stamp.getName(), run.getName()) not in current:
+                    files.delete(run, True)
+                    dropped += 1
+    return dropped
+
+
+def _folders(files, path) -> list:
+    return [f.getPath() for f in files.listStatus(path) if f.isDirectory() and not f.getPath().getName().startswith("_")]
 
 
 def write_cleaned_csv(cleaned: DataFrame, out: str) -> str:
@@ -57,11 +126,25 @@ def write_curated(rows: DataFrame, out: str) -> str:
     return out
 
 
+def dates_fall(spark: SparkSession, curated: str) -> DataFrame:
+    """``period, file_path, falls``: how often a row of a curated file is dated before the one above it.
+
+    Rows are compared in the order of their place in the file; 0 everywhere is what
+    ``write_curated`` promises.
+    """
+    rows = spark.read.parquet(curated).select("period", "date", "_metadata.file_path", "_metadata.row_index")
+    above = F.lag("date").over(Window.partitionBy("file_path").orderBy("row_index"))
+    falls = rows.withColumn("falls", F.col("date") < above).groupBy(F.col("period").cast("string").alias("period"), "file_path")
+    return falls.agg(F.count_if("falls").alias("falls"))
+
+
+def quality_sections(issues: DataFrame, halts: DataFrame, reused_ids: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Issues, halted files and, one row each, the order ids that a file uses again."""
+    sections = {"issues": issues, "halts": halts}
+    return sections if reused_ids is None else sections | {"reused_order_ids": reused_ids}
+
+
 def write_quality_report(
     issues: DataFrame, halts: DataFrame, out: str, stamp: str, reused_ids: DataFrame | None = None
 ) -> dict[str, str]:
-    """Issues, halted files and, one row each, the order ids that a file uses again."""
-    sections = {"issues": issues, "halts": halts}
-    if reused_ids is not None:
-        sections["reused_order_ids"] = reused_ids
-    return write_sections(sections, out, stamp)
+    return write_sections(quality_sections(issues, halts, reused_ids), out, stamp)

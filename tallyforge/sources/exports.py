@@ -2,118 +2,133 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
 from functools import reduce
 from typing import NamedTuple
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import guess_format, null_tokens, to_date
-from ..operators.layout import UNDERSCORE, HeaderMap, map_header, missing_message, missing_required, to_line_items
+from .. import schema
+from ..functions import guess_format, to_date
+from ..operators import layout
+from ..operators.layout import (
+    CLEAN,
+    UNDERSCORE,
+    absent_columns,
+    cells_to_line_items,
+    map_header,
+    missing_message,
+    missing_required,
+    positions,
+)
 from ..operators.quality import Checked, order_id_issues, order_id_reuse, validate
 from ..schema import LINE_ITEM
 from ..session import stored
-from .delimited import cell, overlong_files, read_delimited
-from .files import file_name, list_files, plain_path, profile_files
+from .delimited import BROKEN, read_delimited
+from .files import CATALOGUE, catalogue, file_name, list_files
 from .workbook import read_workbooks
 
-HALT_SCHEMA = "source_file string, reason string, message string, file_path string"
+# Headers are looked at in the workers, which need not have the package.
+for _module in (schema, layout, sys.modules[__name__]):
+    cloudpickle.register_pickle_by_value(_module)
+
 ISSUE_SCHEMA = "source_file string, check string, level string, count long, message string, file_path string"
 REUSED_SCHEMA = "file_path string, source_file string, order_id string, uses long"
 
 
+#: What a header says of a file: how its cells are read, or why not, and what is worth a note.
+MAPPED = (
+    "layout string, at array<int>, absent array<string>, used int, "
+    "reason string, message string, repeated int, note string"
+)
+
+
 class Scan(NamedTuple):
-    """Typed rows whose dates are still text, and what the headers told."""
+    """Typed rows whose dates are still text, and what the files and headers told."""
 
     rows: DataFrame | None
-    halts: list[tuple[str, str, str, str]]
-    issues: list[tuple[str, str, str, int, str, str]]
+    halts: DataFrame
+    issues: DataFrame
 
 
 def scan_exports(spark: SparkSession, path: str | list[str]) -> Scan:
-    """Read every export under ``path``; unusable files are reported, not raised."""
+    """Read every export under ``path``; unusable files are reported, not raised.
+
+    Headers become a table, one row per file, that the rows are joined with: the plan
+    does not grow with the number of different headers.  ``rows`` is None if no file can
+    be used.
+    """
     paths = list_files(spark, path)
     books = [p for p in paths if p.lower().endswith(".xlsx")]
-    texts = [p for p in paths if p not in set(books)]
-    parts: list[DataFrame] = []
-    halts: list[tuple[str, str, str, str]] = []
-    issues: list[tuple[str, str, str, int, str, str]] = []
-
-    def accept(header, files: list[str]) -> HeaderMap | None:
-        mapping = map_header(header)
-        missing = missing_required(mapping.columns) if mapping.layout == "clean" else []
-        for path in files:
-            f = file_name(path)
-            if missing:
-                halts.append((f, "missing_columns", missing_message(f, missing), path))
-            elif mapping.repeated:
-                names = ", ".join(sorted(set(mapping.repeated)))
-                issues.append((
-                    f, "repeated_header", "warn", len(mapping.repeated),
-                    f"{f} has more than one column for: {names} — the first one was used.", path,
-                ))
-        return None if missing else mapping
-
+    texts = [p for p in paths if not p.lower().endswith(".xlsx")]
+    found = []
     if texts:
-        plan = profile_files(spark, texts)
-        unreadable = dict(plan.unreadable)
-        for layout, files in plan.layouts.items():
-            if layout.multiline:
-                long = {
-                    plain_path(r["file_path"]): r["fields"] for r in overlong_files(spark, layout, files).collect()
-                }
-                unreadable |= {
-                    f: f"expected {len(layout.header)} fields in every line, saw {n}" for f, n in long.items()
-                }
-                files = [f for f in files if f not in long]
-            mapping = accept(layout.header, files) if files else None
-            if mapping:
-                parts.append(to_line_items(read_delimited(spark, layout, files), mapping, cell))
-        halts += [_unreadable(f, why) for f, why in unreadable.items()]
+        found.append(catalogue(spark, texts))
     if books:
-        parts += _workbook_parts(spark, books, accept, halts)
-    rows = reduce(DataFrame.unionByName, parts) if parts else None
-    return Scan(rows, halts, issues)
-
-
-def _unreadable(path: str, why: str) -> tuple[str, str, str, str]:
-    return file_name(path), "unreadable", f"'{file_name(path)}' couldn't be read: {why}", path
-
-
-def _workbook_parts(spark, books, accept, halts) -> list[DataFrame]:
-    # Unzipping is the expensive step and the rows are needed twice: keep them as a table.
-    cells = stored(read_workbooks(spark, books))
-    by_header: dict[tuple, list[str]] = {}
-    failed, found = set(), set()
-    for r in cells.where(F.col("row_id") <= 0).toLocalIterator():
-        path = plain_path(r["path"])
-        found.add(path)
-        if r["error"]:
-            failed.add(path)
-            halts.append(_unreadable(path, r["error"]))
-        else:
-            header = tuple((h or f"unnamed: {i}").strip() for i, h in enumerate(r["cells"]))
-            by_header.setdefault(header, []).append(path)
+        # Unzipping is the expensive step and the rows are needed twice: keep them as a table.
+        sheets = stored(read_workbooks(spark, books).withColumn("path", F.regexp_replace("path", "^file:/+", "file:/")))
+        found.append(_book_headers(spark, sheets, books))
+    files = stored(reduce(DataFrame.unionByName, found).mapInPandas(_mapped, f"{CATALOGUE}, {MAPPED}"))
+    usable = files.where("reason IS NULL")
     parts = []
-    for header, files in by_header.items():
-        files = [f for f in files if f not in failed]
-        mapping = accept(header, files) if files else None
-        if not mapping:
-            continue
-        ours = spark.createDataFrame([(f,) for f in files], "path string")
-        raw = (
-            cells.where((F.col("row_id") > 0) & F.col("error").isNull())
-            .withColumn("path", F.regexp_replace("path", "^file:/+", "file:/"))
-            .join(ours, "path", "left_semi")
-            .selectExpr(
-                *[f"{null_tokens(f'get(cells, {i})')} AS {cell(i)}" for i in range(len(header))],
-                "path AS file_path",
-                "0L AS block_start",
-                "row_id",
-            )
-        )
-        parts.append(to_line_items(raw, mapping, cell))
-    halts += [_unreadable(f, "no columns to parse from file") for f in books if f not in found]
-    return parts
+    broken = spark.createDataFrame([], BROKEN)
+    if texts:
+        rows, broken = read_delimited(spark, usable.where("delimiter IS NOT NULL"))
+        parts.append(rows)
+    if books:
+        parts.append(sheets.where("row_id > 0 AND error IS NULL").selectExpr("path AS file_path", "0L AS block_start", "row_id", "cells"))
+    rows = reduce(DataFrame.unionByName, parts).join(usable.select("file_path", "path", "layout", "at", "absent"), "file_path")
+    late = broken.join(files.select("file_path", "path"), "file_path")
+    halts = files.where("reason IS NOT NULL").select("path", "reason", "message").unionByName(
+        late.selectExpr("path", "'unreadable' AS reason", f"{_unreadable('error')} AS message")
+    )
+    issues = usable.where("repeated > 0").join(broken, "file_path", "left_anti")
+    name = "element_at(split(path, '/'), -1) AS source_file"
+    return Scan(
+        None if usable.isEmpty() else cells_to_line_items(rows.drop("file_path").withColumnRenamed("path", "file_path")),
+        halts.selectExpr(name, "reason", "message", "path AS file_path"),
+        issues.selectExpr(name, "'repeated_header' AS `check`", "'warn' AS level", "CAST(repeated AS LONG) AS count", "note AS message", "path AS file_path"),
+    )
+
+
+def _unreadable(error: str) -> str:
+    return f"concat('\\'', element_at(split(path, '/'), -1), '\\' couldn\\'t be read: ', {error})"
+
+
+def _book_headers(spark: SparkSession, sheets: DataFrame, books: list[str]) -> DataFrame:
+    """The catalogue's columns for workbooks; row 0 is the header, -1 says what failed."""
+    heads = sheets.where("row_id <= 0").groupBy("path").agg(F.max("error").alias("error"), F.max_by("cells", "row_id").alias("cells"))
+    listed = spark.createDataFrame([(p,) for p in books], "path string")
+    whole = listed.join(heads, "path", "left")
+    return whole.selectExpr(
+        "path", "path AS file_path",
+        "CASE WHEN cells IS NULL THEN 'no columns to parse from file' ELSE error END AS error",
+        "CAST(NULL AS STRING) AS delimiter", "CAST(NULL AS STRING) AS charset", "false AS multiline",
+        "transform(cells, (c, i) -> trim(coalesce(c, concat('unnamed: ', i)))) AS header",
+    )
+
+
+def _mapped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = [c.split()[0] for c in f"{CATALOGUE}, {MAPPED}".split(", ")]
+    for batch in batches:
+        yield pd.DataFrame([(*row, *_header_facts(*row)) for row in batch.itertuples(index=False, name=None)], columns=names)
+
+
+def _header_facts(path, file_path, error, delimiter, charset, multiline, header) -> tuple:
+    name = file_name(path)
+    if error:
+        return None, None, None, None, "unreadable", f"'{name}' couldn't be read: {error}", 0, None
+    mapping = map_header(list(header))
+    missing = missing_required(mapping.columns) if mapping.layout == CLEAN else []
+    if missing:
+        return None, None, None, None, "missing_columns", missing_message(name, missing), 0, None
+    at = positions(mapping)
+    twice = ", ".join(sorted(set(mapping.repeated)))
+    note = f"{name} has more than one column for: {twice} — the first one was used." if twice else None
+    return mapping.layout, at, absent_columns(mapping), max(at) + 1, None, None, len(mapping.repeated), note
 
 
 def with_dates(rows: DataFrame) -> DataFrame:
@@ -155,8 +170,8 @@ def read_exports(
         empty = spark.createDataFrame([], LINE_ITEM).withColumn("dq", F.array().cast("array<string>"))
         return Checked(
             empty.withColumn("row_id", F.lit(0).cast("long")),
-            spark.createDataFrame(scan.issues, ISSUE_SCHEMA),
-            spark.createDataFrame(scan.halts, HALT_SCHEMA),
+            scan.issues,
+            scan.halts,
             spark.createDataFrame([], REUSED_SCHEMA),
         )
     dated = with_dates(scan.rows)
@@ -169,7 +184,7 @@ def read_exports(
     reused = order_id_reuse(raw_ids).join(checked.halts.select("file_path"), "file_path", "left_anti")
     return Checked(
         checked.rows.drop("given_order_id", "layout", "missing_optional"),
-        checked.issues.unionByName(order_id_issues(reused)).unionByName(spark.createDataFrame(scan.issues, ISSUE_SCHEMA)),
-        checked.halts.unionByName(spark.createDataFrame(scan.halts, HALT_SCHEMA)),
+        checked.issues.unionByName(order_id_issues(reused)).unionByName(scan.issues),
+        checked.halts.unionByName(scan.halts),
         reused,
     )

@@ -1,45 +1,40 @@
 """Finding export files and reading what must be known before they are parsed.
 
-Delimiter, charset and header differ from file to file, and Spark's CSV reader
-takes one of each per scan.  ``profile_files`` finds them in one distributed
-pass over the text lines.  One small row per file reaches the driver, which
-holds the list of files for the reader anyway.
+Delimiter, charset and header differ from file to file, and Spark's CSV reader takes
+one delimiter and charset per scan.  ``catalogue`` finds them in one distributed pass
+over the text lines and keeps them as a table with one row per file; headers are split
+in the executors.  The driver sees the paths and which of the few kinds of scan each
+needs, as it hands the paths to the readers anyway.
 """
 
 from __future__ import annotations
 
 import csv
 import re
-from collections import defaultdict
-from typing import NamedTuple
+import sys
+from collections.abc import Iterator
 from urllib.parse import unquote
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions import literal
+from . import quotes
+from .quotes import DELIMITERS, cells_in, opens
+
+# Send these functions to the workers themselves, so that the package need not be installed there.
+for _module in (quotes, sys.modules[__name__]):
+    cloudpickle.register_pickle_by_value(_module)
 
-# Delimiters that may separate the fields, by preference.
-DELIMITERS = [",", ";", "\t", "|"]
 FILE_PATTERN = "*.{csv,tsv,xlsx}"
+CATALOGUE = (
+    "path string, file_path string, error string, delimiter string, charset string, multiline boolean, header array<string>"
+)
 
 # Bytes that have no character in windows-1252.
 _UNDEFINED_BYTES = "81|8D|8F|90|9D"
 
 
-class Layout(NamedTuple):
-    """What the files of one scan have in common."""
-
-    delimiter: str
-    charset: str
-    multiline: bool
-    header: tuple[str, ...]
-
-
-class FilePlan(NamedTuple):
-    layouts: dict[Layout, list[str]]
-    unreadable: dict[str, str]
-
-
 def discover_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Export files of a folder: path, name and length, without lock files.
 
@@ -67,10 +62,6 @@ def plain_path(path: str) -> str:
     return re.sub("^file:/+", "file:/", unquote(path))
 
 
-# The same as SQL text; a plus sign is no escape in a path.
-PLAIN_FILE_PATH = "regexp_replace(url_decode(replace(_metadata.file_path, '+', '%2B')), '^file:/+', 'file:/')"
-
-
 def literal_paths(paths: list[str]) -> list[str]:
     """Paths for a reader: characters of a glob pattern stand for themselves."""
     return [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]
@@ -81,77 +72,78 @@ def file_name(path: str) -> str:
 
 
 def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Text lines with their file and place in it."""
+    """Text lines with their file and place in it; the bytes as they are."""
     return spark.read.text(literal_paths(paths)).selectExpr(
         "value AS line",
         "_metadata.file_path AS file_path",
-        "struct(_metadata.file_block_start, monotonically_increasing_id() AS row_id) AS place",
+        "_metadata.file_block_start AS block_start",
+        "monotonically_increasing_id() AS row_id",
     )
 
 
-def without_quoted(line: str) -> str:
-    """The line without its quoted parts; only lines with quotes pay for it.  SQL text."""
-    return f"""CASE WHEN contains({line}, '"') THEN regexp_replace({line}, r'"([^"]|"")*"', '') ELSE {line} END"""
-
-
-def occurrences(line: str, char: str) -> str:
-    """How often an ASCII character occurs.  SQL text."""
-    return f"(octet_length({line}) - octet_length(replace({line}, {literal(char)})))"
-
-
 def profile_lines(lines: DataFrame) -> DataFrame:
-    """One row per file: header line, charset, quoting and widest line.
+    """One row per file: header line, charset, and by delimiter its widest line and whether a quoted cell runs over a line's end.
 
-    The widest line is kept for every candidate delimiter, so the pass need not
-    know the delimiter.  The set of validity flags makes this a hash aggregation:
-    next to the text buffer of ``min_by`` alone, Spark would sort all lines first.
+    These are kept for every candidate delimiter, so the pass need not know it.  The set
+    of validity flags makes this a hash aggregation: next to the text buffer of
+    ``min_by`` alone, Spark would sort all lines first.
     """
     not_ascii = "(NOT is_valid_utf8(line) OR length(line) <> octet_length(line))"
     undefined = f"{not_ascii} AND hex(CAST(line AS BINARY)) RLIKE '^(?:..)*?(?:{_UNDEFINED_BYTES})'"
-    widest = ", ".join(f"max({occurrences('bare', d)}) AS widest_{i}" for i, d in enumerate(DELIMITERS))
-    quote = '"'
+    widest = ", ".join(f"max({cells_in('line', d)})" for d in DELIMITERS)
+    opened = ", ".join(f"bool_or({opens('line', d)})" for d in DELIMITERS)
     return lines.sparkSession.sql(
         f"""
         SELECT file_path,
-               min_by(CAST(line AS BINARY), place) AS header,
+               min_by(CAST(line AS BINARY), struct(block_start, row_id)) AS header,
                NOT array_contains(collect_set(is_valid_utf8(line)), false) AS is_utf8,
                bool_or({undefined}) AS has_undefined_bytes,
-               bool_or({occurrences("line", quote)} % 2 = 1) AS open_quote,
-               {widest}
-        FROM (SELECT *, {without_quoted("line")} AS bare FROM {{lines}} WHERE length(trim(line)) > 0)
+               array({widest}) AS widest, array({opened}) AS opened
+        FROM {{lines}} WHERE length(trim(line)) > 0
         GROUP BY file_path
         """,
         lines=lines,
     )
 
 
-def profile_files(spark: SparkSession, paths: list[str]) -> FilePlan:
-    """Group delimited files by layout and name those that cannot be read."""
-    layouts: dict[Layout, list[str]] = defaultdict(list)
-    unreadable: dict[str, str] = {}
-    seen = set()
-    for row in profile_lines(read_lines(spark, paths)).toLocalIterator():
-        path = plain_path(row["file_path"])
-        seen.add(path)
-        if not row["is_utf8"] and row["has_undefined_bytes"]:
-            unreadable[path] = "it is neither UTF-8 nor windows-1252 text"
-            continue
-        charset = "UTF-8" if row["is_utf8"] else "windows-1252"
-        line = bytes(row["header"]).decode("utf-8" if row["is_utf8"] else "cp1252").lstrip("\ufeff")
-        delimiter = sniff_delimiter(line)
-        header = next(csv.reader([line], delimiter=delimiter))
-        widest = row[f"widest_{DELIMITERS.index(delimiter)}"] + 1
-        if line.count('"') % 2:
-            unreadable[path] = "its header has an unclosed quote"
-        elif widest > len(header) and not row["open_quote"]:
-            unreadable[path] = f"expected {len(header)} fields in every line, saw {widest}"
-        else:
-            key = Layout(delimiter, charset, row["open_quote"], tuple(h.strip() for h in header))
-            layouts[key].append(path)
-    for path in paths:
-        if path not in seen and path not in unreadable:
-            unreadable[path] = "no columns to parse from file"
-    return FilePlan(dict(layouts), unreadable)
+def catalogue(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """One row for each delimited file: how to read it, or why it cannot be read.
+
+    ``path`` is the plain one, ``file_path`` the same as file metadata has it.
+    """
+    found = profile_lines(read_lines(spark, paths)).mapInPandas(_described, CATALOGUE)
+    listed = spark.createDataFrame([(p,) for p in paths], "path string")
+    return spark.sql(
+        """SELECT path, file_path, CASE WHEN file_path IS NULL THEN 'no columns to parse from file' ELSE error END AS error,
+                  delimiter, charset, multiline, header
+           FROM {listed} LEFT JOIN {found} USING (path)""",
+        listed=listed, found=found,
+    )
+
+
+def _described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield pd.DataFrame([_file_facts(*row) for row in batch.itertuples(index=False, name=None)], columns=[c.split()[0] for c in CATALOGUE.split(", ")])
+
+
+def _file_facts(file_path, header, is_utf8, has_undefined_bytes, widest, opened) -> tuple:
+    path = plain_path(file_path)
+    if not is_utf8 and has_undefined_bytes:
+        return path, file_path, "it is neither UTF-8 nor windows-1252 text", None, None, None, None
+    line = bytes(header).decode("utf-8" if is_utf8 else "cp1252").lstrip("\ufeff")
+    delimiter = sniff_delimiter(line)
+    names = [h.strip() for h in next(csv.reader([line], delimiter=delimiter))]
+    at = DELIMITERS.index(delimiter)
+    error = None
+    if line.count('"') % 2:
+        error = "its header has an unclosed quote"
+    elif widest[at] > len(names) and not opened[at]:
+        error = too_wide(len(names), widest[at])
+    return path, file_path, error, delimiter, "UTF-8" if is_utf8 else "windows-1252", bool(opened[at]), names
+
+
+def too_wide(expected: int | str, seen: int | str) -> str:
+    return f"expected {expected} fields in every line, saw {seen}"
 
 
 def sniff_delimiter(header: str) -> str:

@@ -2,29 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import to_number
-from .delimited import cell, read_delimited
-from .files import list_files, profile_files
+from ..functions import literal, null_tokens, to_number
+from ..session import stored
+from .delimited import read_delimited
+from .files import catalogue, list_files
 
 NUMBERS = ["Sales", "Quantity", "Discount", "Profit"]
 
 
 def read_line_totals(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """The raw export with its own headers; numbers typed, dates as text."""
-    plan = profile_files(spark, list_files(spark, path))
-    if plan.unreadable:
-        raise ValueError(f"unreadable: {plan.unreadable}")
-    parts = []
-    for layout, files in plan.layouts.items():
-        raw = read_delimited(spark, layout, files)
-        cells = [to_number(cell(i)) if h in NUMBERS else cell(i) for i, h in enumerate(layout.header)]
-        parts.append(raw.selectExpr(*[f"{c} AS `{h}`" for c, h in zip(cells, layout.header)]))
-    first, *others = parts
-    for part in others:
-        first = first.unionByName(part, allowMissingColumns=True)
-    return first
+    """The raw export with its own headers; numbers typed, dates as text.
+
+    Files may have different headers: each cell goes to the column of its name, and
+    columns that a file does not have are null.
+    """
+    files = stored(catalogue(spark, list_files(spark, path)).withColumn("used", F.size("header")))
+    unreadable = {r["path"]: r["error"] for r in files.where("error IS NOT NULL").collect()}
+    if unreadable:
+        raise ValueError(f"unreadable: {unreadable}")
+    rows, broken = read_delimited(spark, files)
+    if found := broken.collect():
+        raise ValueError(f"unreadable: {dict(map(tuple, found))}")
+    # The names are the result's columns, so the driver has them anyway; in order of their place in a header.
+    named = files.selectExpr("posexplode(header) AS (at, name)").groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name")
+    names = [r["name"] for r in named.collect()]
+
+    def column(name: str) -> str:
+        cell = null_tokens(f"get(cells, array_position(header, {literal(name)}) - 1)")
+        return f"{to_number(cell) if name in NUMBERS else cell} AS `{name}`"
+
+    return rows.join(files.select("file_path", "header"), "file_path").selectExpr(*map(column, names))
 
 
 def scan_cleaned(spark: SparkSession, path: str) -> DataFrame:

@@ -1,17 +1,19 @@
 """Export files: delimiters, charsets, layouts, halts, workbooks, sinks."""
 
 import datetime
+import random
 
 import pytest
 
-from tallyforge.catalog.exports import _sheet
+from tallyforge.catalog.exports import _sheet, file_splits
 from tallyforge.operators.derive import with_measures
 from tallyforge.operators.labels import dq_flag
+from tallyforge.operators.periods import latest_two, latest_two_stored, stored_periods
 from tallyforge.operators.layout import detect_layout, map_header
 from tallyforge.plans.report import curated_rows, write_report
-from tallyforge.sinks.tables import read_section, write_curated, write_section
-from tallyforge.sources.files import list_files, profile_files, sniff_delimiter
-from tallyforge.sources.exports import read_exports
+from tallyforge.sinks.tables import commits, dates_fall, drop_superseded, read_section, section_paths, write_curated, write_section, write_sections
+from tallyforge.sources.files import catalogue, list_files, sniff_delimiter
+from tallyforge.sources.exports import read_exports, scan_exports
 from tallyforge.streaming.incremental import ingest_new_files, review_rows, stored_issues, stored_rows
 
 import pandas as pd
@@ -160,12 +162,85 @@ def test_headers():
     assert mapped.columns == {"order_id": 0, "product": 1, "target": 2, "sales_target": 3}
 
 
-def test_profile_groups_files_of_one_layout(spark, tmp_path):
-    for name in ("a.csv", "b.csv"):
-        put(tmp_path, name, "date,price\n2026-02-01,1\n")
-    put(tmp_path, "c.csv", "date;price\n2026-02-01;1\n")
-    plan = profile_files(spark, list_files(spark, str(tmp_path)))
-    assert sorted(len(files) for files in plan.layouts.values()) == [1, 2] and not plan.unreadable
+def test_catalogue_has_a_row_for_each_file(spark, tmp_path):
+    put(tmp_path, "a.csv", "date,price\n2026-02-01,1\n")
+    put(tmp_path, "c.csv", 'date;"price;"\n2026-02-01;"1\n"\n')
+    put(tmp_path, "e.csv", "\n \n")
+    found = {r["path"][-5:]: (r["delimiter"], r["multiline"], r["header"], r["error"]) for r in catalogue(spark, list_files(spark, str(tmp_path))).collect()}
+    assert found == {
+        "a.csv": (",", False, ["date", "price"], None), "c.csv": (";", True, ["date", "price;"], None),
+        "e.csv": (None, None, None, "no columns to parse from file"),
+    }
+
+
+def messy_table(rnd, n):
+    """Records whose cells have line breaks, blank lines, quotes, delimiters, and quotes that open nothing."""
+    parts = ["a", "b c", '"', '""', ",", "\n", "\n\n", ",x", '",', "é", '\n"', " "]
+    return [[f"2026-02-{i % 28 + 1:02}", str(i), "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 9))).strip() or "-"] for i in range(n)]
+
+
+def as_csv(table, rnd):
+    lines = []
+    for cells in table:
+        out = []
+        for c in cells:
+            needed = c[:1] == '"' or any(x in c for x in ",\n")
+            out.append('"' + c.replace('"', '""') + '"' if needed or rnd.random() < 0.2 else c)
+        lines.append(",".join(out))
+        if rnd.random() < 0.1:
+            lines.append(rnd.choice(["", "  "]))
+    return "date,price,customer\n" + "\n".join(lines) + "\n"
+
+
+@pytest.mark.parametrize(("seed", "size"), [(0, 37), (1, 200), (2, 1000), (3, 10**7)])
+def test_quoted_files_in_blocks_of_any_size(spark, tmp_path, seed, size):
+    rnd = random.Random(seed)
+    tables = {name: messy_table(rnd, 120) for name in ("a.csv", "b.csv")}
+    for name, table in tables.items():
+        put(tmp_path, name, as_csv(table, rnd).replace("\n", "\r\n" if name == "b.csv" else "\n"))
+    put(tmp_path, "open.csv", 'date,price,customer\n2026-02-01,1,"A\n2026-02-01,2,b\n')
+    put(tmp_path, "wide.csv", 'date,price,customer\n2026-02-01,1,"A\n"\n2026-02-01,2,"b\n",c\n')
+    with file_splits(spark, size):
+        scan = scan_exports(spark, str(tmp_path))
+        found = {(r["source_file"], r["date_text"], r["price"], r["customer"]) for r in scan.rows.collect()}
+        halts = {r["source_file"]: r["message"] for r in scan.halts.collect()}
+    assert found == {(name, d, float(p), c.strip()) for name, table in tables.items() for d, p, c in table}
+    assert halts == {
+        "open.csv": "'open.csv' couldn't be read: a quoted cell is not closed at the end of the file",
+        "wide.csv": "'wide.csv' couldn't be read: expected 3 fields in every line, saw 4",
+    }
+
+
+def test_a_quote_within_a_cell_opens_nothing(spark, tmp_path):
+    put(tmp_path, "pipes.csv", 'date,price,product,customer\n2026-02-01,1,5" pipe,A\n2026-02-01,2,6" pipe,"B ""b"""\n')
+    checked = read_exports(spark, str(tmp_path))
+    assert {(r["product"], r["customer"]) for r in checked.rows.collect()} == {('5" pipe', "A"), ('6" pipe', 'B "b"')}
+
+
+def test_long_quoted_cells(spark, tmp_path):
+    long = 'x ""y"", ' * 20_000
+    put(tmp_path, "one.csv", f'date,price,customer\n2026-02-01,1,"{long}"\n')
+    put(tmp_path, "two.csv", f'date,price,customer\n2026-02-01,1,"{long}\n{long}"\n')
+    got = {r["source_file"]: len(r["customer"]) for r in read_exports(spark, str(tmp_path)).rows.collect()}
+    cell = long.replace('""', '"')
+    assert got == {"one.csv": len(cell.strip()), "two.csv": len(f"{cell}\n{cell}".strip())}
+
+
+def test_the_plan_does_not_grow_with_the_headers(spark, tmp_path):
+    sizes, rows = [], []
+    for n in (3, 300):
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        for i in range(n):
+            names = ["date", ("price", "Unit Price")[i % 2], "customer", f"extra {i}"]
+            at = [(k + i) % 4 for k in range(4)]
+            cells = ["2026-02-01", str(i), f"c{i}", "-"]
+            put(folder, f"f{i}.csv", ",".join(names[k] for k in at) + "\n" + ",".join(cells[k] for k in at) + "\n")
+        scan = scan_exports(spark, str(folder))
+        sizes.append(sum(c.isalpha() for c in scan.rows._jdf.queryExecution().optimizedPlan().toString() if c not in "0123456789"))
+        rows.append({(r["price"], r["customer"]) for r in scan.rows.collect()})
+        assert rows[-1] == {(float(i), f"c{i}") for i in range(n)}
+    assert abs(sizes[1] - sizes[0]) < 0.05 * sizes[0]
 
 
 def book(*rows):
@@ -301,3 +376,70 @@ def test_new_files_only(spark, tmp_path):
     assert issues == {"cross_file_duplicate": 20}
     ingest_new_files(spark, str(folder), table, state)
     assert stored_rows(spark, table).count() == 60
+
+
+def test_a_second_batch_reads_only_its_own_months(spark, tmp_path):
+    folder, table, state = tmp_path / "in", tmp_path / "table", str(tmp_path / "state")
+    folder.mkdir()
+    put(folder, "june.csv", lines_text(6))
+    put(folder, "july.csv", lines_text(7) + lines_text(7, 3).split("\n", 1)[1])
+    ingest_new_files(spark, str(folder), str(table), state)
+    assert {r["check"]: r["count"] for r in stored_issues(spark, str(table)).collect()} == {"duplicate": 3, "cross_file_duplicate": 3}
+    # Nothing can read June any more: its rows and counts are no Parquet files.
+    june = [p for kind in ("rows", "keys") for p in (table / kind / "period=2026-06").rglob("*.parquet")]
+    kept = {p: p.read_bytes() for p in june}
+    for p in june:
+        p.write_bytes(b"gone")
+        (p.parent / f".{p.name}.crc").unlink(missing_ok=True)
+    put(folder, "july copy.csv", lines_text(7, 5))
+    ingest_new_files(spark, str(folder), str(table), state)
+    for p, content in kept.items():
+        p.write_bytes(content)
+    issues = {(r["source_file"], r["check"]): r["count"] for r in stored_issues(spark, str(table)).collect()}
+    assert issues == {("july.csv", "duplicate"): 3, (None, "cross_file_duplicate"): 8}
+    whole = {(r["source_file"], r["check"]): r["count"] for r in read_exports(spark, str(folder)).issues.collect()}
+    assert issues == whole
+
+
+def test_months_of_a_stored_table_without_a_scan(spark, tmp_path):
+    put(tmp_path, "june.csv", lines_text(6))
+    put(tmp_path, "july.csv", lines_text(7))
+    out = write_curated(with_measures(read_exports(spark, str(tmp_path)).rows), str(tmp_path / "curated"))
+    rows = curated_rows(spark, out)
+    assert stored_periods(rows) == ["2026-07", "2026-06"] and latest_two_stored(rows) == latest_two(rows)
+    for p in (tmp_path / "curated").rglob("*.parquet"):
+        p.write_bytes(b"gone")
+    assert latest_two_stored(rows) == ("2026-07", "2026-06")
+    assert latest_two_stored(spark.read.schema("date timestamp_ntz, period string").parquet(str(tmp_path / "curated" / "period=2026-07"))) == ("2026-07", None)
+
+
+def test_file_order_is_noticed(spark, tmp_path):
+    put(tmp_path, "june.csv", lines_text(6, 60))
+    rows = with_measures(read_exports(spark, str(tmp_path)).rows)
+    assert dates_fall(spark, write_curated(rows, str(tmp_path / "a"))).agg({"falls": "sum"}).first()[0] == 0
+    rows.coalesce(1).write.partitionBy("period").parquet(str(tmp_path / "b"))
+    assert dates_fall(spark, str(tmp_path / "b")).agg({"falls": "sum"}).first()[0] > 0
+
+
+def test_readers_see_whole_runs_only(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    out = str(tmp_path / "report")
+    table = spark.range(3).withColumnRenamed("id", "n")
+    write_sections({"a": table, "b": table}, out, "2026-06")
+    broken = table.withColumn("n", F.expr("CASE WHEN n = 2 THEN raise_error('stopped') ELSE n END"))
+    open_before = read_section(spark, out, "a")
+    with pytest.raises(Exception, match="stopped"):
+        write_sections({"a": table.limit(1), "b": broken}, out, "2026-06")
+    assert len(commits(spark, out)) == 1
+    for section in ("a", "b"):
+        assert read_section(spark, out, section).count() == read_section(spark, out, section, "2026-06").count() == 3
+    write_sections({"a": table.limit(2)}, out, "2026-07")
+    write_sections({"a": table.limit(1)}, out, "2026-06")
+    assert read_section(spark, out, "a").count() == 1 and read_section(spark, out, "a", "2026-07").count() == 2
+    assert read_section(spark, out, "b").count() == 3 and open_before.count() == 3
+    # The failed run's two directories, if it began both, and the replaced one of June.
+    assert drop_superseded(spark, out) >= 2 and drop_superseded(spark, out) == 0
+    assert set(section_paths(spark, out)) == {"a", "b"} and read_section(spark, out, "b").count() == 3
+    with pytest.raises(KeyError):
+        read_section(spark, out, "c")
