@@ -66,8 +66,8 @@ def discover(spark, d):
 def _delimited_rows(spark, paths):
     """Cells of all files with the delimiter, charset and header of theirs."""
     files = stored(catalogue(spark, paths).withColumn("used", F.size("header")))
-    rows, _ = read_delimited(spark, files)
-    return rows.join(files.select("file_path", "delimiter", "charset", "header"), "file_path")
+    parts, _ = read_delimited(spark, files)
+    return _union(parts).join(files.select("file_path", "delimiter", "charset", "header"), "file_path")
 
 
 def _cell_of(header: str) -> str:

@@ -128,7 +128,7 @@ def cells_to_line_items(rows: DataFrame) -> DataFrame:
     """
     return _typed(rows.selectExpr(
         "file_path", "block_start", "row_id", "layout", "at", "absent",
-        *[f"CASE WHEN at[{i}] >= 0 THEN get(cells, at[{i}]) END AS {_own(t)}" for i, t in enumerate(TARGETS)],
+        *[f"get(cells, at[{i}]) AS {_own(t)}" for i, t in enumerate(TARGETS)],
     ).selectExpr(
         "file_path", "block_start", "row_id", "layout", "at", "absent", *[f"{null_tokens(_own(t))} AS {_own(t)}" for t in TARGETS],
     ))

@@ -21,7 +21,6 @@ _C1_DEFINED = [b for b in _C1 if bytes([b]).decode("cp1252", errors="ignore")]
 _C1_READ = "".join(map(chr, _C1_DEFINED))
 _C1_MEANT = bytes(_C1_DEFINED).decode("cp1252")
 
-ROWS = "file_path string, block_start long, row_id long, cells array<string>"
 BROKEN = "file_path string, error string"
 
 
@@ -29,8 +28,8 @@ def cell(i: int) -> str:
     return f"c{i}"
 
 
-def read_delimited(spark: SparkSession, files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``file_path, block_start, row_id, cells`` of all files, and ``file_path, error`` of those found unreadable meanwhile.
+def read_delimited(spark: SparkSession, files: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """``file_path, block_start, row_id, cells`` of all files, a table for each kind of scan, and ``file_path, error`` of files found unreadable meanwhile.
 
     ``files`` is a stored catalogue without unreadable files, with ``used``, how many
     cells of its rows are wanted.  Cells that a row does not have are null or missing at
@@ -51,10 +50,7 @@ def read_delimited(spark: SparkSession, files: DataFrame) -> tuple[DataFrame, Da
         else:
             rows = _read_split(spark, kind[1], kind[2], paths, used[kind])
         parts.append(rows)
-    whole = spark.createDataFrame([], ROWS) if not parts else parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole, broken
+    return parts, broken
 
 
 def _read_split(spark: SparkSession, delimiter: str, charset: str, paths: list[str], used: int) -> DataFrame:

@@ -28,7 +28,7 @@ from ..operators.quality import Checked, order_id_issues, order_id_reuse, valida
 from ..schema import LINE_ITEM
 from ..session import stored
 from .delimited import BROKEN, read_delimited
-from .files import CATALOGUE, catalogue, file_name, list_files
+from .files import CATALOGUE, catalogue, column_names, file_name, list_files
 from .workbook import read_workbooks
 
 # Headers are looked at in the workers, which need not have the package.
@@ -66,21 +66,22 @@ def scan_exports(spark: SparkSession, path: str | list[str]) -> Scan:
     texts = [p for p in paths if not p.lower().endswith(".xlsx")]
     found = []
     if texts:
-        found.append(catalogue(spark, texts))
+        found.append(catalogue(spark, texts, _header_facts, MAPPED))
     if books:
         # Unzipping is the expensive step and the rows are needed twice: keep them as a table.
         sheets = stored(read_workbooks(spark, books).withColumn("path", F.regexp_replace("path", "^file:/+", "file:/")))
-        found.append(_book_headers(spark, sheets, books))
-    files = stored(reduce(DataFrame.unionByName, found).mapInPandas(_mapped, f"{CATALOGUE}, {MAPPED}"))
+        found.append(_book_headers(spark, sheets, books).mapInPandas(_mapped, f"{CATALOGUE}, {MAPPED}"))
+    files = stored(reduce(DataFrame.unionByName, found))
     usable = files.where("reason IS NULL")
     parts = []
     broken = spark.createDataFrame([], BROKEN)
     if texts:
-        rows, broken = read_delimited(spark, usable.where("delimiter IS NOT NULL"))
-        parts.append(rows)
+        parts, broken = read_delimited(spark, usable.where("delimiter IS NOT NULL"))
     if books:
         parts.append(sheets.where("row_id > 0 AND error IS NULL").selectExpr("path AS file_path", "0L AS block_start", "row_id", "cells"))
-    rows = reduce(DataFrame.unionByName, parts).join(usable.select("file_path", "path", "layout", "at", "absent"), "file_path")
+    facts = usable.select("file_path", "path", "layout", "at", "absent")
+    # Each scan is typed in the stage that reads it; there are a few kinds of scan, whatever the number of files.
+    items = [cells_to_line_items(p.join(facts, "file_path").drop("file_path").withColumnRenamed("path", "file_path")) for p in parts]
     late = broken.join(files.select("file_path", "path"), "file_path")
     halts = files.where("reason IS NOT NULL").select("path", "reason", "message").unionByName(
         late.selectExpr("path", "'unreadable' AS reason", f"{_unreadable('error')} AS message")
@@ -88,7 +89,7 @@ def scan_exports(spark: SparkSession, path: str | list[str]) -> Scan:
     issues = usable.where("repeated > 0").join(broken, "file_path", "left_anti")
     name = "element_at(split(path, '/'), -1) AS source_file"
     return Scan(
-        None if usable.isEmpty() else cells_to_line_items(rows.drop("file_path").withColumnRenamed("path", "file_path")),
+        None if usable.isEmpty() else reduce(DataFrame.unionByName, items),
         halts.selectExpr(name, "reason", "message", "path AS file_path"),
         issues.selectExpr(name, "'repeated_header' AS `check`", "'warn' AS level", "CAST(repeated AS LONG) AS count", "note AS message", "path AS file_path"),
     )
@@ -112,7 +113,7 @@ def _book_headers(spark: SparkSession, sheets: DataFrame, books: list[str]) -> D
 
 
 def _mapped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = [c.split()[0] for c in f"{CATALOGUE}, {MAPPED}".split(", ")]
+    names = column_names(f"{CATALOGUE}, {MAPPED}")
     for batch in batches:
         yield pd.DataFrame([(*row, *_header_facts(*row)) for row in batch.itertuples(index=False, name=None)], columns=names)
 

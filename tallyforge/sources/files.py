@@ -12,7 +12,7 @@ from __future__ import annotations
 import csv
 import re
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import unquote
 
 import pandas as pd
@@ -62,6 +62,11 @@ def plain_path(path: str) -> str:
     return re.sub("^file:/+", "file:/", unquote(path))
 
 
+def plain(column: str) -> str:
+    """The same as SQL text; a plus sign is no escape in a path."""
+    return f"regexp_replace(url_decode(replace({column}, '+', '%2B')), '^file:/+', 'file:/')"
+
+
 def literal_paths(paths: list[str]) -> list[str]:
     """Paths for a reader: characters of a glob pattern stand for themselves."""
     return [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]
@@ -106,28 +111,34 @@ def profile_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def catalogue(spark: SparkSession, paths: list[str]) -> DataFrame:
+def catalogue(spark: SparkSession, paths: list[str], facts: Callable[..., tuple] | None = None, schema: str = "") -> DataFrame:
     """One row for each delimited file: how to read it, or why it cannot be read.
 
-    ``path`` is the plain one, ``file_path`` the same as file metadata has it.
+    ``path`` is the plain one, ``file_path`` the same as file metadata has it.  ``facts``
+    makes further columns, named by ``schema``, of a row's own.
     """
-    found = profile_lines(read_lines(spark, paths)).mapInPandas(_described, CATALOGUE)
     listed = spark.createDataFrame([(p,) for p in paths], "path string")
-    return spark.sql(
-        """SELECT path, file_path, CASE WHEN file_path IS NULL THEN 'no columns to parse from file' ELSE error END AS error,
-                  delimiter, charset, multiline, header
-           FROM {listed} LEFT JOIN {found} USING (path)""",
-        listed=listed, found=found,
+    found = spark.sql(
+        f"SELECT * FROM {{listed}} LEFT JOIN (SELECT {plain('file_path')} AS path, * FROM {{profile}}) USING (path)",
+        listed=listed, profile=profile_lines(read_lines(spark, paths)),
     )
+    whole = f"{CATALOGUE}, {schema}" if schema else CATALOGUE
+
+    def described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [_file_facts(*row) for row in batch.itertuples(index=False, name=None)]
+            yield pd.DataFrame([(*r, *facts(*r)) for r in rows] if facts else rows, columns=column_names(whole))
+
+    return found.mapInPandas(described, whole)
 
 
-def _described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield pd.DataFrame([_file_facts(*row) for row in batch.itertuples(index=False, name=None)], columns=[c.split()[0] for c in CATALOGUE.split(", ")])
+def column_names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
 
 
-def _file_facts(file_path, header, is_utf8, has_undefined_bytes, widest, opened) -> tuple:
-    path = plain_path(file_path)
+def _file_facts(path, file_path, header, is_utf8, has_undefined_bytes, widest, opened) -> tuple:
+    if file_path is None:
+        return path, None, "no columns to parse from file", None, None, None, None
     if not is_utf8 and has_undefined_bytes:
         return path, file_path, "it is neither UTF-8 nor windows-1252 text", None, None, None, None
     line = bytes(header).decode("utf-8" if is_utf8 else "cp1252").lstrip("\ufeff")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import literal, null_tokens, to_number
@@ -22,7 +24,7 @@ def read_line_totals(spark: SparkSession, path: str | list[str]) -> DataFrame:
     unreadable = {r["path"]: r["error"] for r in files.where("error IS NOT NULL").collect()}
     if unreadable:
         raise ValueError(f"unreadable: {unreadable}")
-    rows, broken = read_delimited(spark, files)
+    parts, broken = read_delimited(spark, files)
     if found := broken.collect():
         raise ValueError(f"unreadable: {dict(map(tuple, found))}")
     # The names are the result's columns, so the driver has them anyway; in order of their place in a header.
@@ -33,7 +35,8 @@ def read_line_totals(spark: SparkSession, path: str | list[str]) -> DataFrame:
         cell = null_tokens(f"get(cells, array_position(header, {literal(name)}) - 1)")
         return f"{to_number(cell) if name in NUMBERS else cell} AS `{name}`"
 
-    return rows.join(files.select("file_path", "header"), "file_path").selectExpr(*map(column, names))
+    headers = files.select("file_path", "header")
+    return reduce(DataFrame.unionByName, [p.join(headers, "file_path").selectExpr(*map(column, names)) for p in parts])
 
 
 def scan_cleaned(spark: SparkSession, path: str) -> DataFrame:
