@@ -204,9 +204,12 @@ def find(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, walks:
     runs of letters and digits in lower case.  Items without a word, and null or empty
     texts, match nothing; item ids may be null or repeat.  Every stretch of a document
     is looked at; exact passages and items under ``SHORT`` words are always found, edited
-    passages of longer items with the recall of the walks.  The benchmark is sent to the tasks in blocks of about ``block_words``
+    passages of longer items with the recall of the walks.  Every item that is held is
+    named, so there are no ties between items; rows of one text have the same hits, and
+    rows may repeat.  The benchmark is sent to the tasks in blocks of about ``block_words``
     words, one pass over the documents for each.  All rows and columns stay; a given
-    column named hits is replaced.
+    column named hits is replaced.  Without documents there are no rows, without items
+    no hits.
     """
     docs, spark = docs.drop("hits"), docs.sparkSession
     items = benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"].cast("string").alias("text"))

@@ -170,19 +170,20 @@ def fit(docs: DataFrame, folds: int = 4, fold: int = 2, clusters: int = 4, sampl
     seen = np.array([found.get(i, 0) for i in range(DIMENSIONS)], dtype=float)
     idf = np.log((1 + found.get(-1, 0)) / (1 + seen)) + 1
 
-    order = Window.partitionBy("lang").orderBy("at", "doc_id")
+    # Rows equal in id, language and text count once, so a sample has at most ``sample`` rows, however often one repeats.
+    key, order = ["doc_id", "lang", "of"], Window.partitionBy("lang").orderBy("at", "doc_id", "of")
+    hashed = rows.where("doc_id IS NOT NULL").withColumn("of", F.xxhash64("text"))
     few = stored(
-        rows.where("doc_id IS NOT NULL")
-        .select("doc_id", "lang", F.xxhash64("doc_id").alias("at"))
+        hashed.select(*key).distinct()
+        .withColumn("at", F.xxhash64("doc_id"))
         .withColumn("n", F.row_number().over(order))
         .where(F.col("n") <= sample)
-        .select("doc_id")
-        .distinct()
+        .select(*key)
     )
 
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
         own = []
-        for text in group["text"].head(2 * sample):  # ids may repeat
+        for text in group.sort_values(["doc_id", "of"])["text"]:
             counts = grams(text)
             if counts is not None:
                 at, values = vector(counts, idf)
@@ -195,7 +196,7 @@ def fit(docs: DataFrame, folds: int = 4, fold: int = 2, clusters: int = 4, sampl
         centres = centroids(points, clusters)
         return pd.DataFrame({"lang": group["lang"].iloc[0], "centre": [c.astype("<f4").tobytes() for c in centres]})
 
-    learned = rows.join(few, "doc_id", "left_semi").groupBy("lang").applyInPandas(cluster, "lang string, centre binary").collect()
+    learned = hashed.join(few, key, "left_semi").dropDuplicates(key).groupBy("lang").applyInPandas(cluster, "lang string, centre binary").collect()
     learned.sort(key=lambda r: (r["lang"], r["centre"]))
     centres = np.stack([np.frombuffer(r["centre"], "<f4") for r in learned]).astype(float) if learned else np.zeros((0, DIMENSIONS))
     languages = [r["lang"] for r in learned]
@@ -226,8 +227,11 @@ def fit(docs: DataFrame, folds: int = 4, fold: int = 2, clusters: int = 4, sampl
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """The documents with ``lang_pred``, ``score`` and ``rejected``; only ``text`` is looked at.
 
-    Null texts and texts without a letter are ``und`` with score 0 and rejected.  All
-    rows and columns stay; given columns of the added names are replaced.
+    Null texts and texts without a letter are ``und`` with score 0 and rejected.  Of
+    centroids that are equally near the first one counts, in order of language.  A text
+    has the same answer in every row, so rows may repeat; texts are read whole.  All
+    rows and columns stay; given columns of the added names are replaced.  An empty
+    table gives no rows.
     """
     docs = docs.drop("lang_pred", "score", "rejected")
     sent = docs.sparkSession.sparkContext.broadcast(model)

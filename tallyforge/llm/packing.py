@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from ..session import stored
-from .common import small
+from .common import fresh, small
 
 #: Words a worker remembers, and the length from which they are forgotten first.
 REMEMBERED, LONG = 300_000, 8
@@ -190,32 +190,41 @@ def pack(pieces: DataFrame, size: int = 2048, shard_rows: int = 1 << 16) -> Data
     """Pieces with ``sequence_id`` and ``offset``: sequences hold at most ``size`` ids, offsets have no gaps from 0.
 
     ``pieces`` has ``length`` (1 to ``size``; others raise an error) and any further
-    columns, which stay; it is read twice, so pass a stored table.  No piece is left
-    out.  Rows may repeat; equal lengths are placed in the order of a hash of the row,
-    so placing is repeatable for rows that differ.  An empty table gives no rows.
+    columns, which stay, whatever their names; it is read twice, so pass a stored table.
+    No piece is left out.  Equal rows are pieces of their own and go to different shards:
+    a shard is dealt by a hash of the row and its number in the table, which stays the
+    same for a stored table that is read alike.  Equal lengths are placed in the order of
+    the hash.  An empty table gives no rows.
     """
     pieces = pieces.drop("sequence_id", "offset")
     shards = max(1, -(-pieces.count() // shard_rows))
     columns = pieces.columns
+    order, shard = fresh("order_of", columns), fresh("shard_of", columns)
     key = F.xxhash64(*[c for c in columns if c != "ids"])
     out = T.StructType(
         [*(T.StructField(f.name, f.dataType) for f in pieces.schema), T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
     )
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "_order"], ascending=[False, True], kind="stable")
+        rows = rows.sort_values(["length", order], ascending=[False, True], kind="stable")
         lengths = rows["length"].to_numpy()
         if len(lengths) and (lengths.min() < 1 or lengths.max() > size):
             raise ValueError(f"a piece is 1 to {size} ids long")
         bins, offsets = place(lengths, size)
-        return rows[columns].assign(sequence_id=bins * shards + int(rows["_shard"].iloc[0]), offset=offsets)
+        return rows[columns].assign(sequence_id=bins * shards + int(rows[shard].iloc[0]), offset=offsets)
 
-    dealt = pieces.withColumn("_order", key).withColumn("_shard", F.pmod(F.xxhash64("_order"), F.lit(shards)).cast("int"))
-    return dealt.groupBy("_shard").applyInPandas(run, out)
+    at = F.xxhash64(F.col(order), F.monotonically_increasing_id())
+    dealt = pieces.withColumn(order, key).withColumn(shard, F.pmod(at, F.lit(shards)).cast("int"))
+    return dealt.groupBy(shard).applyInPandas(run, out)
 
 
 def sequences(packed: DataFrame) -> DataFrame:
-    """``sequence_id, ids`` from packed pieces that carry their ids: the pieces joined in order of offset."""
+    """``sequence_id, ids`` from packed pieces that carry their ids: the pieces joined in order of offset.
+
+    A sequence's offsets differ, so there are no ties; a null ``ids`` counts as no ids.
+    Rows that repeat would be joined as often as they are there.  An empty table gives
+    no rows.
+    """
     return packed.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("parts")).selectExpr(
         "sequence_id", "unhex(array_join(transform(parts, p -> hex(p.ids)), '')) AS ids"
     )

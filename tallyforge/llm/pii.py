@@ -370,8 +370,12 @@ def find(docs: DataFrame, model: Model) -> DataFrame:
     """The documents with ``base`` and ``spans``: arrays of (kind, start, end), code points, end exclusive.
 
     ``base`` are the rules' spans; ``spans`` also has those the model adds, ordered by
-    start, then kind.  Null and empty texts have none.  All rows and columns stay;
-    given columns of the added names are replaced.
+    start, then kind.  Of overlapping candidates of equal score the first one counts, as
+    the model orders them, so a text has the same spans in every row and rows may
+    repeat.  Null and empty texts have none; texts are read whole, but a local part of
+    more than 64 characters is no candidate for a written-out address.  All rows and
+    columns stay; given columns of the added names are replaced.  An empty table gives
+    no rows.
     """
     docs = docs.drop("base", "spans")
     columns, hidden = docs.columns, fresh("text_of", docs.columns)
@@ -398,7 +402,11 @@ def find(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def redact(found: DataFrame) -> DataFrame:
-    """The documents of ``find`` with each run of overlapping spans replaced by ``[kind]`` of its first span."""
+    """The documents of ``find`` with each run of overlapping spans replaced by ``[kind]`` of its first span.
+
+    A null text stays null, null ``spans`` count as none, and an empty table gives no
+    rows.  Spans that begin at the same place are in the order of ``spans``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):

@@ -1,4 +1,6 @@
+import math
 import random
+from collections import Counter
 
 import pytest
 
@@ -92,3 +94,81 @@ def test_one_odd_row_does_not_lower_the_limits(spark, model):
 def test_shorter_texts_have_looser_limits(model):
     for limits in model.limits:
         assert 0 < limits[3] < limits[8] < 1
+
+
+def plain_counts(text):
+    """n-gram counts letter by letter, in Python's own numbers."""
+    text = text.lower()
+    if not any(c.isalpha() for c in text):
+        return None
+    points = [32]
+    for i, c in enumerate(text):
+        if c.isalpha():
+            points.append(ord(c))
+        elif i and text[i - 1].isalpha():
+            points.append(32)
+    points.append(32)
+    counts, low = Counter(), (1 << 32) - 1
+    for n in range(3):
+        for at in range(len(points) - n):
+            x = points[at]
+            for p in points[at + 1 : at + n + 1]:
+                x = (x * 0x01000193 + p) & low
+            counts[((((x * 0x9E3779B1) & low) + n) * 0x85EBCA6B & low) >> 19] += 1
+    return counts
+
+
+def plain_cosines(text, idf, centres):
+    counts = plain_counts(text)
+    if counts is None:
+        return None, 0
+    values = {at: (1 + math.log(n)) * idf[at] for at, n in counts.items()}
+    length = math.sqrt(sum(v * v for v in values.values()))
+    return [sum(v * c[at] for at, v in values.items()) / length for c in centres], sum(counts.values())
+
+
+def test_against_a_plain_model(spark, model):
+    rows = made()
+    train = [(t, lang) for i, t, lang, *_ in rows if langid_fold(i) != 2]
+    holding = Counter(at for t, _ in train for at in plain_counts(t))
+    idf = [math.log((1 + len(train)) / (1 + holding[at])) + 1 for at in range(langid.DIMENSIONS)]
+    assert max(abs(a - b) for a, b in zip(idf, model.idf, strict=True)) < 1e-9
+    # Every centroid is a unit vector: a scaled sum of its members' vectors.
+    assert all(abs(sum(x * x for x in c) - 1) < 1e-4 for c in model.centres)
+
+    # The limits: of all training rows and their pieces, the value that all but one in a thousand and one more reach.
+    reached = {}
+    for text, lang in train:
+        own = [c for c, name in zip(model.centres, model.languages, strict=True) if name == lang]
+        for piece in langid.pieces(text):
+            cosines, n = plain_cosines(piece, idf, own)
+            if cosines:
+                reached.setdefault((lang, n.bit_length() - 1), []).append(min(langid.CELLS - 1, max(0, int(langid.CELLS * max(cosines)))))
+    def low(cells):
+        return 0.8 * sorted(cells)[min(len(cells), 2 + int(0.001 * len(cells))) - 1] / langid.CELLS
+
+    for lang in SYLLABLES:
+        last = low([c for cells in reached.values() for c in cells])
+        for k in range(langid.LENGTHS):
+            own = reached.get((lang, k), [])
+            cells = own if len(own) >= 100 else [c for name in SYLLABLES for c in reached.get((name, k), [])]
+            last = low(cells) if len(cells) >= 100 else last
+            found = {model.limits[i, k] for i, name in enumerate(model.languages) if name == lang}
+            assert len(found) == 1 and abs(found.pop() - last) < 0.8 * 1.5 / langid.CELLS
+    assert any(len(cells) >= 100 for cells in ([c for name in SYLLABLES for c in reached.get((name, k), [])] for k in range(langid.LENGTHS)))
+
+    texts = [t for _, t, *_ in rows] + ["que", "жщъ ыэю", "a ba ko", "Schl, eng. ORF"]
+    for r in langid.predict(cases.documents(spark, [(i, t, None, None, None) for i, t in enumerate(texts)]), model).collect():
+        cosines, n = plain_cosines(r["text"], idf, model.centres)
+        best = max(range(len(cosines)), key=lambda i: cosines[i])
+        assert r["lang_pred"] == model.languages[best] and abs(r["score"] - min(1, max(0, cosines[best]))) < 1e-6
+        gap = cosines[best] - model.limits[best, n.bit_length() - 1]
+        assert abs(gap) < 1e-9 or r["rejected"] == (gap < 0)
+
+
+def test_a_row_that_repeats_fills_no_sample(spark):
+    rows = made()
+    often = next(i for i, _, lang, *_ in rows if lang == "xa" and langid_fold(i) != 2)
+    many = rows + [r for r in rows if r[0] == often] * 500
+    few = langid.fit(cases.documents(spark, many), sample=30)
+    assert few.languages == langid.fit(cases.documents(spark, rows), sample=30).languages

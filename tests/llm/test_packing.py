@@ -121,3 +121,16 @@ def test_bad_lengths_and_empty(spark):
     with pytest.raises(Exception, match="1 to 10 ids"):
         packing.pack(spark.createDataFrame([(1, 11)], "doc_id long, length long"), 10).collect()
     assert packing.packed_digest(cases.documents(spark, []), PATH).collect() == []
+
+
+def test_clashing_names_and_equal_rows(spark):
+    pieces = spark.range(3000).selectExpr("7 AS doc_id", "5 AS length", "1 AS _order", "2 AS _shard", "3 AS order_of", "4 AS shard_of", "5 AS Shard_Of_", "6 AS sequence_id")
+    packed = packing.pack(pieces, 100, shard_rows=100)
+    assert packed.columns == ["doc_id", "length", "_order", "_shard", "order_of", "shard_of", "Shard_Of_", "sequence_id", "offset"]
+    rows = packed.collect()
+    sums = Counter()
+    for r in rows:
+        sums[r["sequence_id"]] += r["length"]
+    assert len(rows) == 3000 and max(sums.values()) <= 100 and len({r["shard_of"] for r in rows}) == 1
+    # 30 shards: none has much more than its part of the equal rows.
+    assert max(Counter(s % 30 for s in (r["sequence_id"] for r in rows)).values()) < 200
