@@ -1,7 +1,9 @@
 """The corpus pipeline: its stages in order, and a run over the documents.
 
 Every stage takes what its predecessor kept and returns the columns of documents; the
-last one returns where each piece of each document was packed.
+last one returns where each piece of each document was packed.  Columns besides
+``doc_id`` and ``text`` may have any names and nulls.  An empty table gives no rows in
+every stage.
 """
 
 from __future__ import annotations
@@ -26,12 +28,20 @@ def _through(docs: DataFrame, used: set[str], operator: Callable[[DataFrame], Da
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the language model does not reject."""
+    """Documents that the language model does not reject.
+
+    A null text, or one without a letter, is rejected.  Rows of one text share their
+    answer, so rows may repeat; of equally near centroids the first one counts.
+    """
     return _through(docs, {"doc_id", "text", "lang"}, lambda rows: langid.predict(rows, langid.fit(rows)).where("NOT rejected"))
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that larger ids repeat; n_chars follows a changed text."""
+    """Documents without the lines that larger ids repeat; n_chars follows a changed text.
+
+    A null text comes back empty.  Of a repeated line the largest doc_id keeps its lines,
+    rows that repeat this id alike; a row without an id keeps none that some id keeps.
+    """
 
     def dropped(rows: DataFrame) -> DataFrame:
         kept = line_dedup.drop_lines(rows)
@@ -44,18 +54,30 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id."""
+    """One document of each group of near duplicates: the one with the smallest id.
+
+    Texts without words are one group.  Of several rows with the smallest id, one with
+    the smallest fingerprint stays; of rows equal in both, any one.
+    """
     return _through(docs, {"doc_id", "text"}, lambda rows: simhash.one_of_each(rows, words=4, max_bits=4))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item.
+
+    Null and empty texts hold none, and items without a word are in no document.  Rows of
+    one text share their answer, so rows may repeat.
+    """
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return _through(docs, {"doc_id", "text"}, lambda rows: decontaminate.find(rows, benchmark).where("size(hits) = 0"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` of every piece."""
+    """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` of every piece.
+
+    A null or empty text is a piece of one id.  Repeated rows are documents of their own,
+    and pieces of equal length are placed in the order of a hash.
+    """
     return packing.packed_digest(docs, word_tokenizer, size=2048)
 
 
