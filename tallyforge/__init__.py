@@ -1 +1 @@
-"""Sales-order analytics on Spark DataFrames."""
+"""Order analytics on Spark DataFrames."""

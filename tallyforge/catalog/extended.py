@@ -34,7 +34,7 @@ query("region_category_sales", _sql(
     'SELECT "Region", "Category", round(sum("Sales"), 2) AS "Sales" FROM t GROUP BY 1, 2'
 ))(
     lambda spark, d: rounded(
-        X.region_category_sales(star_line_totals(spark, d, "Region", "Category", "Sales")), **money("Sales")
+        X.region_category_totals(star_line_totals(spark, d, "Region", "Category", "Sales")), **money("Sales")
     )
 )
 

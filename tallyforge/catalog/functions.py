@@ -71,7 +71,7 @@ query("derive_price_from_sales", _totals_sql(
 ))(
     lambda spark, d: _totals(
         table(spark, d, "lineitem"),
-        fn.price_from_sales(
+        fn.price_from_total(
             "l_extendedprice * (1 - l_discount)",
             "CASE WHEN l_linestatus = 'F' AND l_returnflag = 'R' THEN 0D ELSE l_quantity END",
             "l_discount",
@@ -239,6 +239,26 @@ def to_date(spark, d):
     )
 
 
+_TIMED = {
+    "A0": "yyyy/M/d H:mm", "A1": "MMM d, yyyy h:mm a", "N0": "MMMM d, yyyy h:mm:ss a", "N1": "d MMM yyyy H:mm:ss",
+    "R0": "d.M.yyyy H:mm", "R1": "d-MMM-yyyy H:mm:ss",
+}
+
+
+@query("to_date_with_time", """
+    SELECT l_returnflag || (l_orderkey % 2) AS source_file, count(*) AS n, count(*) AS parsed,
+           min(CAST(l_shipdate AS TIMESTAMP) + INTERVAL 785 MINUTE) AS first_moment, max(CAST(l_shipdate AS TIMESTAMP) + INTERVAL 785 MINUTE) AS last_moment
+    FROM lineitem GROUP BY 1
+""")
+def to_date_with_time(spark, d):
+    """Month names and slashes with a time of day, a format for each file."""
+    cases = " ".join(f"WHEN '{file}' THEN date_format(at, {fn.literal(pattern)})" for file, pattern in _TIMED.items())
+    rows = table(spark, d, "lineitem").selectExpr(
+        "concat(l_returnflag, l_orderkey % 2) AS file_path", "CAST(l_shipdate AS TIMESTAMP_NTZ) + INTERVAL 785 MINUTE AS at"
+    ).selectExpr("file_path", "file_path AS source_file", f"CASE file_path {cases} END AS date_text", "0L AS block_start", "monotonically_increasing_id() AS row_id")
+    return counted(with_dates(rows), "source_file", "count(date) AS parsed", "min(date) AS first_moment", "max(date) AS last_moment")
+
+
 query("parse_us_date", """
     SELECT strftime(l_shipdate, '%Y') AS year, count(*) AS n, count(*) FILTER (WHERE l_returnflag <> 'R' OR day(l_shipdate) <= 12) AS parsed
     FROM lineitem GROUP BY 1

@@ -17,7 +17,7 @@ from .numbers import (
     fill_zero,
     normalise_discount,
     pct_change,
-    price_from_sales,
+    price_from_total,
     round_half_even,
     safe_ratio,
     to_number,

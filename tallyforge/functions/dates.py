@@ -31,6 +31,27 @@ DATE_FORMATS = [
     "MMM d, yyyy",
     "MMMM d, yyyy",
     "d.M.yyyy",
+    "yyyy/M/d H:mm",
+    "yyyy/M/d H:mm:ss",
+    "M/d/yyyy h:mm:ss a",
+    "d/M/yyyy H:mm:ss",
+    "M-d-yyyy H:mm",
+    "M-d-yyyy H:mm:ss",
+    "d.M.yyyy H:mm",
+    "d.M.yyyy H:mm:ss",
+    "d MMMM yyyy",
+    "d MMM yyyy H:mm",
+    "d MMM yyyy H:mm:ss",
+    "d-MMM-yyyy H:mm",
+    "d-MMM-yyyy H:mm:ss",
+    "MMM d, yyyy H:mm",
+    "MMM d, yyyy H:mm:ss",
+    "MMM d, yyyy h:mm a",
+    "MMM d, yyyy h:mm:ss a",
+    "MMMM d, yyyy H:mm",
+    "MMMM d, yyyy H:mm:ss",
+    "MMMM d, yyyy h:mm a",
+    "MMMM d, yyyy h:mm:ss a",
 ]
 
 

@@ -54,9 +54,9 @@ def pct_change(current: str, prior: str) -> str:
     return f"{safe_ratio(f'{_nested(current)} - {_nested(prior)}', f'abs({prior})')} * 100"
 
 
-def price_from_sales(sales: str, quantity: str, discount: str) -> str:
+def price_from_total(total: str, quantity: str, discount: str) -> str:
     """Unit price behind a line total; 0 where it cannot be told."""
-    return fill_zero(safe_ratio(sales, f"{_nested(quantity)} * (1 - {_nested(discount)})"))
+    return fill_zero(safe_ratio(total, f"{_nested(quantity)} * (1 - {_nested(discount)})"))
 
 
 def round_half_even(c: str, digits: int) -> str:

@@ -31,7 +31,7 @@ def _sql(rows: DataFrame, text: str) -> DataFrame:
     return rows.sparkSession.sql(text, rows=rows)
 
 
-def region_category_sales(rows: DataFrame) -> DataFrame:
+def region_category_totals(rows: DataFrame) -> DataFrame:
     return _sql(rows, f"""
         SELECT Region, Category, {_total("Sales")} AS Sales
         FROM {{rows}} WHERE Region IS NOT NULL AND Category IS NOT NULL
@@ -40,7 +40,7 @@ def region_category_sales(rows: DataFrame) -> DataFrame:
 
 
 def product_performance(rows: DataFrame) -> DataFrame:
-    """Sales and profit by product, region, segment and month; undated rows form a month."""
+    """Totals and profit by product, region, segment and month; undated rows form a month."""
     return _sql(rows, f"""
         SELECT `Product Name`, Region, Segment, coalesce(date_format(month, 'yyyy-MM'), 'NaT') AS Month,
                Total_Sales, Total_Profit
@@ -90,12 +90,12 @@ def discount_impact(rows: DataFrame) -> DataFrame:
 
 
 def region_category_pivot(rows: DataFrame, categories: list[str] | None = None) -> DataFrame:
-    """Regions down, categories across, summed sales, 0 where nothing was sold.
+    """Regions down, categories across, summed totals, 0 where nothing was sold.
 
     The columns of a table must be known when it is planned.  Pass them if they
     are; otherwise a first job lists the categories present.
     """
-    sums = region_category_sales(rows)
+    sums = region_category_totals(rows)
     if categories is None:
         found = sums.select("Category").distinct().orderBy("Category").collect()
         categories = [r["Category"] for r in found]

@@ -17,7 +17,7 @@ from ..functions import (
     literal,
     normalise_discount,
     null_tokens,
-    price_from_sales,
+    price_from_total,
     title_case,
     to_number,
     trim_text,
@@ -211,5 +211,5 @@ def _underscore() -> dict[str, str]:
 
 def _line_total() -> dict[str, str]:
     discount = to_number(_own("discount"))
-    price = price_from_sales(clean_currency(_own("sales")), to_number(_own("quantity")), discount)
+    price = price_from_total(clean_currency(_own("sales")), to_number(_own("quantity")), discount)
     return _raw_common() | {"price": price, "discount": fill_zero(discount)}

@@ -10,7 +10,7 @@ from ..operators.extended import (
     monthly_trend,
     product_performance,
     region_category_pivot,
-    region_category_sales,
+    region_category_totals,
     top_products,
     underperformers,
 )
@@ -20,7 +20,7 @@ from ..sources.line_totals import read_line_totals, scan_cleaned
 
 
 EXTENDED_TABLES = {
-    "Region_Category": region_category_sales,
+    "Region_Category": region_category_totals,
     "Product_Performance": product_performance,
     "Monthly_Trend": monthly_trend,
     "Underperformers": underperformers,

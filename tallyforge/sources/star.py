@@ -1,4 +1,4 @@
-"""Sales line items from a star schema of Parquet tables.
+"""Line items from a star schema of Parquet tables.
 
 Line items carry their own date, quantity and price; product and category come
 from ``part``, the region from the supplier's nation and the customer from the
@@ -61,7 +61,7 @@ def _facts(spark: SparkSession, sf_dir: str, wanted: set[str]) -> DataFrame:
 _PRICE = "double(floor(l_extendedprice / l_quantity))"
 _PROFIT = "CASE WHEN l_linenumber <> 7 THEN double(floor(l_extendedprice)) * ((l_partkey % 10) - 2) / 20D END"
 
-# Sales column -> (expression, dimension column it needs)
+# Column -> (expression, dimension column it needs)
 ITEM_SOURCES = {
     "date": ("l_shipdate", None),
     "order_id": ("string(l_orderkey)", None),

@@ -89,12 +89,12 @@ def test_pct_change_uses_the_size_of_the_prior(spark):
     assert [r[0] for r in rows.select(F.expr(fn.pct_change("a", "b"))).collect()] == [150.0, None, -50.0, None]
 
 
-def test_price_from_sales(spark):
+def test_price_from_total(spark):
     rows = spark.createDataFrame(
         [(160.0, 2.0, 0.2), (160.0, 2.0, 1.0), (160.0, 0.0, 0.2), (160.0, 2.0, None), (160.0, 1.0, 20.0)],
         "s double, q double, d double",
     )
-    price = [r[0] for r in rows.select(F.expr(fn.price_from_sales("s", "q", "d"))).collect()]
+    price = [r[0] for r in rows.select(F.expr(fn.price_from_total("s", "q", "d"))).collect()]
     assert price[:4] == [100.0, 0.0, 0.0, 0.0] and price[4] < 0
 
 
@@ -129,3 +129,15 @@ def test_parse_us_date(spark):
 def test_bar_length(spark):
     check(spark, lambda c: fn.bar_length(c, "200D"), {200.0: 100.0, 1.0: 2.0, 50.0: 25.0}, "double")
     check(spark, lambda c: fn.bar_length(c, "0D"), {0.0: 0.0}, "double")
+
+
+def test_usual_dates_with_a_time(spark):
+    given = {
+        "2026/7/5 14:03": "2026-07-05 14:03:00", "Jul 5, 2026 2:03 PM": "2026-07-05 14:03:00", "July 5, 2026 2:03:04 PM": "2026-07-05 14:03:04",
+        "5 July 2026": "2026-07-05 00:00:00", "5 Jul 2026 14:03": "2026-07-05 14:03:00", "5-Jul-2026 14:03:04": "2026-07-05 14:03:04",
+        "5.7.2026 14:03": "2026-07-05 14:03:00", "7/5/2026 2:03:04 PM": "2026-07-05 14:03:04", "Jul 5, 2026 14:03:04": "2026-07-05 14:03:04",
+    }
+    guessed = values(spark, list(given), fn.guess_format)
+    assert all(guessed)
+    rows = spark.createDataFrame(list(zip(given, guessed, strict=True)), "c string, f string")
+    assert [str(r[0]) for r in rows.select(F.expr(fn.to_date("c", "f"))).collect()] == list(given.values())

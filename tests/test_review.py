@@ -115,8 +115,8 @@ SAMPLE = [
 def sample(spark):
     rows = []
     for region, category, product, *months in SAMPLE:
-        for month, (sales, pct, profit) in zip((JULY, JUNE), months):
-            price = round(sales / (1 - pct / 100), 2)
+        for month, (amount, pct, profit) in zip((JULY, JUNE), months):
+            price = round(amount / (1 - pct / 100), 2)
             rows.append((
                 DAY[month], f"{product}{month}", "Sample Customer", product, category, region, 1.0, price, pct / 100,
                 float(profit), None, [],
