@@ -80,6 +80,30 @@ def spread_join(rows: DataFrame, facts: DataFrame, keys: list[str], count: str)
     return rows.join(F.broadcast(hot), keys).unionByName(rest.join(lean, keys))
 
 
+#: Parts that the rows of a hot key are dealt to.
+SALTS = 64
+
+
+def salted_join(rows: DataFrame, facts: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """The same as ``spread_join`` for keys of any size: of keys, only the hashes of hot ones are broadcast.
+
+    The rows of a hot key are dealt to SALTS parts by a hash of the whole row, and each
+    part gets a copy of its one row of facts.  Both sides tell a hot key by its hash, so
+    a key that shares it is only dealt out, too.
+    """
+    least = facts.agg(F.sum(count) / PARTS).first()[0] or 0
+    hashed = F.xxhash64(*keys)
+    hot = F.broadcast(facts.where(F.col(count) > least).select(hashed.alias("hot_key")).distinct())
+
+    def dealt(table: DataFrame, salt: str) -> DataFrame:
+        return table.join(hot, hashed == F.col("hot_key"), "left").withColumn("salt", F.expr(salt)).drop("hot_key")
+
+    row = ", ".join(f"`{c}`" for c in rows.columns)
+    many = dealt(rows, f"CASE WHEN hot_key IS NULL THEN -1 ELSE CAST(pmod(xxhash64('salt', {row}), {SALTS}) AS INT) END")
+    one = dealt(facts.drop(count), f"explode(CASE WHEN hot_key IS NULL THEN array(-1) ELSE sequence(0, {SALTS - 1}) END)")
+    return many.join(one, [*keys, "salt"]).drop("salt")
+
+
 def numbered(keys: DataFrame, order: list[str], name: str = "name") -> DataFrame:
     """A stored table with a number for each row, ascending by ``order``, with gaps; sorted in ranges."""
     return stored(keys.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(name, F.monotonically_increasing_id()))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stored
-from .common import LOWER, byte_rows, fresh, small
+from .common import salted_join, LOWER, byte_rows, fresh, small
 
 SLOT_BITS = 9
 PROBES = 3
@@ -184,24 +184,24 @@ def drop_lines(docs: DataFrame, least: int = 20, min_docs: int = 3, filter_bits:
     binaries = T.ArrayType(T.BinaryType())
     plain = T.StructType([T.StructField(f.name, f.dataType) for f in docs.schema])
     done = T.StructType([*plain, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
+    # A text's hash stands beside the id, so that rows of one id, or without any, are no group together.
+    of, drop_id = fresh("text_hash", columns), fresh("drop_id", columns)
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("of"), "text")
     found = stored(
-        docs.select("doc_id", "text").mapInArrow(
+        hashed.mapInArrow(
             lambda batches: (
-                pa.RecordBatch.from_arrays([b.column(0), pa.array(suspects(byte_rows(b.column(1))), pa.list_(pa.binary()))], ["doc_id", "keys"])
+                pa.RecordBatch.from_arrays(
+                    [b.column(0), b.column(1), pa.array(suspects(byte_rows(b.column(2))), pa.list_(pa.binary()))], ["doc_id", "of", "keys"]
+                )
                 for b in small(batches)
             ),
-            T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("keys", binaries)]),
-        ).select("doc_id", F.explode("keys").alias("key"))
+            T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("of", T.LongType()), T.StructField("keys", binaries)]),
+        ).select("doc_id", "of", F.explode("keys").alias("key"))
     )
-    drops = stored(
-        spark.sql(
-            f"""WITH gone AS (SELECT key, max(doc_id) AS keeper FROM {{found}} GROUP BY key HAVING count(*) >= {int(min_docs)})
-                SELECT doc_id, collect_set(key) AS `{drops_name}` FROM {{found}} JOIN gone USING (key)
-                WHERE NOT (doc_id <=> keeper) GROUP BY doc_id""",
-            found=found,
-        )
-    )
-    ids = drops.withColumnRenamed("doc_id", fresh("drop_id", columns))
+    gone = stored(found.groupBy("key").agg(F.max("doc_id").alias("keeper"), F.count("*").alias("uses")).where(F.col("uses") >= int(min_docs)))
+    lost = salted_join(found, gone, ["key"], "uses").where("NOT (doc_id <=> keeper)")
+    drops = stored(lost.groupBy("doc_id", "of").agg(F.collect_set("key").alias(drops_name)).withColumnsRenamed({"doc_id": drop_id, "of": of}))
     touched = docs.mapInArrow(marked, plain)
-    joined = touched.join(ids, touched["doc_id"].eqNullSafe(ids[ids.columns[0]]), "left").select(*columns, drops_name)
+    same = (F.xxhash64(touched["text"]) == drops[of]) & touched["doc_id"].eqNullSafe(drops[drop_id])
+    joined = touched.join(drops, same, "left").select(*columns, drops_name)
     return docs.mapInArrow(clear, done).unionByName(joined.mapInArrow(cut, done))

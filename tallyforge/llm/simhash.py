@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stored
-from .common import LOWER, byte_rows, fresh, small, texts
+from .common import LOWER, byte_rows, fresh, small, spread_join, texts
 from .components import components
 
 
@@ -121,18 +121,17 @@ def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataF
     loses none between rows: copies reach each other through their fingerprint.
     """
     rows = stored(fingerprints(docs, words))
-    prints = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    prints = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("uses")))
     roots = stored(components(links(prints, max_bits)))
-    return rows.sparkSession.sql(
+    named = rows.sparkSession.sql(
         """WITH low AS (SELECT root, min(first_id) AS low_id FROM {roots} JOIN {prints} ON fp = node GROUP BY root),
                 linked AS (SELECT node, root, low_id FROM {roots} JOIN low USING (root)),
-                named AS (SELECT fp, CASE WHEN node IS NULL THEN first_id ELSE low_id END AS component_id, coalesce(root, fp) AS root
-                          FROM {prints} LEFT JOIN linked ON fp = node)
-           SELECT doc_id, fp, component_id, root FROM {rows} JOIN named USING (fp)""",
+                linked_prints AS (SELECT * FROM {prints} LEFT JOIN linked ON fp = node)
+           SELECT fp, uses, CASE WHEN node IS NULL THEN first_id ELSE low_id END AS component_id, coalesce(root, fp) AS root FROM linked_prints""",
         roots=roots,
         prints=prints,
-        rows=rows,
     )
+    return spread_join(rows, stored(named), ["fp"], "uses").select("doc_id", "fp", "component_id", "root")
 
 
 def one_of_each(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:

@@ -43,6 +43,14 @@ def test_lines_without_a_document_id(spark):
     assert sum(r["n_dropped"] for r in found.collect()) == 0
 
 
+def test_rows_of_one_id_or_without_any_are_no_group(spark):
+    shared = ["a line that very many rows hold", "another line of many rows, too"]
+    rows = [(None if i % 3 else 4, f"{shared[i % 2]}\nown line number {i} of this row\n{shared[1]}", None, None, None) for i in range(300)]
+    rows += [(i, shared[i % 2], None, None, None) for i in range(50)]
+    found = line_dedup.drop_lines(cases.documents(spark, rows))
+    assert Counter((r["doc_id"], r["n_lines"], r["n_dropped"], r["text"]) for r in found.collect()) == by_hand(rows, 20, 3)
+
+
 def test_a_line_counts_code_points(spark):
     rows = [(i, "é" * 19, None, None, None) for i in range(3)] + [(i, "é" * 20, None, None, None) for i in range(3, 6)]
     found = line_dedup.drop_lines(cases.documents(spark, rows))
