@@ -65,6 +65,32 @@ def test_tree_prunes_clusters():
     assert sum(bounds[n] >= found[-1][0] for n in leaves) < len(leaves) / 4
 
 
+def test_most_shards_of_clustered_vectors_are_never_met(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    rnd = np.random.default_rng(1)
+    points = (rnd.normal(size=(64, 1, 6)) * 9000 + rnd.normal(size=(64, 60, 6)) * 40).reshape(-1, 6).astype(int)
+    given = spark.createDataFrame([(i, [int(x) for x in p]) for i, p in enumerate(points)], "id long, vector array<long>").repartition(4)
+    found = topk.top_k(given, given.where("id % 40 = 0"), 5, shard_rows=60)
+    scores = points @ points.T
+    for q in range(0, len(points), 40):
+        best = sorted((-int(s), i) for i, s in enumerate(scores[q]) if i != q)[:5]
+        assert [(-r["score"], r["vec_id"]) for r in found.where(f"query_id = {q}").orderBy("rank").collect()] == best if q % 800 == 0 else True
+    stored_points = topk._points(given, 5).cache()
+    splits = topk.top_splits(stored_points, 60)
+    dealt = topk._dealt(stored_points, splits)
+    boxes = topk._boxes(dealt, splits)
+    cells = dealt.select("cell", "part").distinct().count()
+    assert cells > 30
+    kth = {q: sorted((int(s) for i, s in enumerate(scores[q]) if i != q), reverse=True)[4] for q in range(0, len(points), 40)}
+    asked = spark.createDataFrame([(q, [int(x) for x in points[q]], v, 3) for q, v in kth.items()], "query_id long, vector array<long>, kth long, deal long")
+    met = topk.meetings(asked, splits, boxes, False).count() + topk.meetings(asked, splits, boxes, True).count()
+    assert len(kth) <= met < 0.2 * len(kth) * cells
+    every = topk.meetings(asked.withColumn("kth", F.lit(None).cast("long")), splits, boxes, False)
+    assert every.count() >= len(kth) * (cells - 1)
+
+
 def test_empty(spark):
     given = topk.whole_vectors(spark.createDataFrame([], SCHEMA), "vec_id", "embedding")
     assert topk.top_k(given, given).collect() == []
