@@ -95,9 +95,9 @@ def mixed_exports(spark: SparkSession, d: str) -> str:
 
 def undated_export(spark: SparkSession, d: str, out: str) -> None:
     """A further export whose dates cannot be read, and one without a price."""
-    regions = table(spark, d, "nation")
-    for cells in (["'soon' AS date", "'5' AS price", "n_name AS product"], ["'2001-01-01' AS date", "n_name AS product"]):
-        regions.selectExpr(*cells).write.mode("append").option("header", True).csv(out)
+    rows = table(spark, d, "customer")
+    for cells in (["'soon' AS date", "'5' AS price", "c_name AS product"], ["'2001-01-01' AS date", "c_name AS product"]):
+        rows.selectExpr(*cells).write.mode("append").option("header", True).csv(out)
 
 
 # --------------------------------------------------------------- workbooks

@@ -262,12 +262,12 @@ def union_files(spark, d):
     return rounded(rows.agg(_n(), F.sum("quantity").alias("units")), units=2)
 
 
-@query("halts_by_reason", "SELECT unnest(['bad_dates', 'missing_columns']) AS reason, (SELECT count(*) FROM nation) AS lines")
+@query("halts_by_reason", "SELECT unnest(['bad_dates', 'missing_columns']) AS reason, (SELECT count(*) FROM customer) AS lines")
 def halts_by_reason(spark, d):
     out = shared_dir(spark)
     undated_export(spark, d, out)
     found = read_exports(spark, out)
-    # Every line of the two rejected exports is a nation: count them behind the names.
+    # Every line of the two rejected exports is a customer: count them behind the names.
     lines = spark.read.text(out).select(F.col("_metadata.file_name").alias("source_file"), "value")
     data = lines.where(~F.col("value").startswith("date"))
     return found.halts.join(data, "source_file").groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
