@@ -6,17 +6,22 @@ sequences with few edits, walked with the same bits, write the same word at most
 steps: edit distance becomes Hamming distance.  Equality at sampled steps is then a
 locality-sensitive key.  Items are embedded from each of their words on, documents from
 every fourth word on where an item can be at all: a match has most of its words from the
-benchmark, so other stretches are passed over without losing any.  The number of walks is
-fixed, not chosen for a target recall; a long item has many places for a key, an item under
-``SHORT`` words too few at the limit of the allowed edits.  Those are found without walks, by
-their rarest words, and none is missed.  Every candidate is verified by the exact distance of
-the item to the best part of the document around it.
+benchmark, so other stretches are passed over without losing any.
+
+Walks are repeated until a target recall is reached: for each length of an item and its
+number of allowed edits, ``walks_for`` walks made-up items and copies with all of these
+edits, half of them evenly spaced substitutions, which leave the shortest runs, and half
+edits of all kinds at random places, and counts how many share a key after each walk.
+Items too short to reach the target in ``MOST`` walks are found without walks, by their
+rarest words, and none of them is missed.  Every candidate is verified by the exact
+distance of the item to the best part of the document around it.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
 from math import ceil, floor
 
 import numpy as np
@@ -31,8 +36,8 @@ from .common import fresh, small
 
 #: Steps of a walk, steps between samples of a key, samples of a key.
 STEPS, GAP, SAMPLES = 24, 3, 5
-#: Items under so many words are looked for by their rarest words.
-SHORT = 30
+#: Walks at most, and items made up to count what they find.
+MOST, TRIALS = 3, 400
 #: Words of documents that are looked at together.
 TOGETHER = 1 << 20
 
@@ -85,11 +90,50 @@ def edits(item: np.ndarray, part: np.ndarray, most: int) -> tuple[int, int] | No
     return int(row[end]), end
 
 
+def _made(rnd: np.random.Generator, length: int, most: int, trial: int) -> tuple[np.ndarray, np.ndarray]:
+    """An item of random words, and a copy with ``most`` edits in a document of other words."""
+    item = rnd.integers(1, 1 << 30, length)
+    if trial % 2:
+        copy = item.copy()
+        copy[(2 * np.arange(most) + 1) * length // (2 * max(1, most))] = 0
+    else:
+        copy, kinds = list(item), rnd.integers(0, 3, most)
+        for at, kind in zip(sorted(rnd.choice(length, most, replace=False))[::-1], kinds, strict=True):
+            copy[at : at + 1] = ([0], [], [copy[at], 0])[kind]
+    return item, np.concatenate([np.zeros(rnd.integers(0, 8), np.int64), copy, np.zeros(8, np.int64)])
+
+
+@cache
+def walks_for(length: int, most: int, recall: float, every: int) -> int | None:
+    """The walks after which at least ``recall`` of the made-up copies share a key with their item; None if ``MOST`` do not suffice."""
+    rnd = np.random.default_rng(length * 1009 + most)
+    pairs = [_made(rnd, length, most, n) for n in range(TRIALS)]
+    sides = []
+    for side, step in ((0, 1), (1, every)):
+        sizes = np.array([len(p[side]) for p in pairs])
+        ends = np.cumsum(sizes)
+        within = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)
+        starts = np.flatnonzero(within % step == 0)
+        trial = np.repeat(np.arange(TRIALS), sizes)[starts]
+        sides.append((np.concatenate([p[side] for p in pairs]), starts, np.repeat(ends, sizes)[starts], trial))
+    met = np.zeros(TRIALS, bool)
+    for walk in range(MOST):
+        found = []
+        for numbers, starts, ends, trial in sides:
+            own = keys(numbers, starts, ends, walk)
+            marked = mix(own ^ (trial[:, None].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+            found.append((marked[own > 0], np.broadcast_to(trial[:, None], own.shape)[own > 0]))
+        met[found[1][1][np.isin(found[1][0], found[0][0])]] = True
+        if met.mean() >= recall:
+            return walk + 1
+    return None
+
+
 class Index:
-    """Items as word numbers and the sorted keys of their walks."""
+    """Items as word numbers and the sorted keys of as many walks as the target recall needs of each."""
 
-    def __init__(self, items: list[tuple[int, str]], similarity: float, walks: int, every: int):
-        self.walks, self.similarity, self.every = walks, similarity, every
+    def __init__(self, items: list[tuple[int, str]], similarity: float, recall: float, every: int):
+        self.similarity, self.every = similarity, every
         self.vocabulary: dict[str, int] = {}
         self.ids, self.items = [], []
         for item_id, text in items:
@@ -98,10 +142,13 @@ class Index:
                 self.ids.append(item_id)
                 self.items.append(np.array(numbers, dtype=np.int32))
         self.most = [floor((1 - similarity) * len(x) + 1e-9) for x in self.items]
+        # A length stands for those up to the next multiple of five, which have more places for a key.
+        needed = [walks_for(min(120, len(x) // 5 * 5), min(m, min(120, len(x) // 5 * 5)) if len(x) < 120 else int((1 - similarity) * 120 + 1e-9), recall, every) for x, m in zip(self.items, self.most, strict=True)]
+        self.walks = max((n for n in needed if n), default=0)
         found, item, offset = [], [], []
         for i, x in enumerate(self.items):
             starts = np.arange(len(x))
-            for walk in range(walks):
+            for walk in range(needed[i] or 0):
                 own = keys(x, starts, np.full(len(starts), len(x)), walk)
                 found.append(own.ravel())
                 item.append(np.full(own.size, i))
@@ -112,14 +159,15 @@ class Index:
         self.keys = all_keys[order]
         self.item, self.offset = (np.concatenate(x)[order] if x else np.zeros(0, np.int64) for x in (item, offset))
         self._densities()
-        self._short(max(SHORT, every + GAP * (SAMPLES - 1) + 1))
+        self._short([i for i, n in enumerate(needed) if not n])
 
-    def _short(self, length: int) -> None:
+    def _short(self, items: list[int]) -> None:
         """Items too short for walks: of any ``most + 1`` of their words a match has one unedited, so the rarest are looked for."""
         self.rarest: dict[int, list[tuple[int, int]]] = {}
         names = {number: word for word, number in self.vocabulary.items()}
-        for i, x in enumerate(self.items):
-            if len(x) < length:
+        for i in items:
+            x = self.items[i]
+            if len(x):
                 order = sorted(range(len(x)), key=lambda n: (self.spread[x[n]], -len(names[int(x[n])]), n))
                 for n in order[: self.most[i] + 1]:
                     self.rarest.setdefault(int(x[n]), []).append((i, n))
@@ -196,15 +244,16 @@ class Index:
         return out
 
 
-def find(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, walks: int = 2, every: int = 4, block_words: int = 1 << 20) -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, recall: float = 0.99, every: int = 4, block_words: int = 1 << 20) -> DataFrame:
     """The documents with ``hits``: an array of (item_id, edits, item_words) of the benchmark items that they hold.
 
     A document holds an item if some stretch of its words is at most
     ``floor((1 - similarity) * item_words)`` edits away from the item's words.  Words are
     runs of letters and digits in lower case.  Items without a word, and null or empty
     texts, match nothing; item ids may be null or repeat.  Every stretch of a document
-    is looked at; exact passages and items under ``SHORT`` words are always found, edited
-    passages of longer items with the recall of the walks.  Every item that is held is
+    is looked at; exact passages and items too short for walks are always found, edited
+    passages of longer items with at least the target ``recall`` at the limit of edits,
+    as ``walks_for`` counts it, and more below it.  Every item that is held is
     named, so there are no ties between items; rows of one text have the same hits, and
     rows may repeat.  The benchmark is sent to the tasks in blocks of about ``block_words``
     words, one pass over the documents for each.  All rows and columns stay; a given
@@ -223,7 +272,7 @@ def find(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, walks:
 
     def pass_over(rows: DataFrame, block: int) -> DataFrame:
         some = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).select("item_id", "text").collect()
-        index = spark.sparkContext.broadcast(Index([tuple(r) for r in sorted(some, key=lambda r: (r[0] is None, r[0] or 0, r[1]))], similarity, walks, every))
+        index = spark.sparkContext.broadcast(Index([tuple(r) for r in sorted(some, key=lambda r: (r[0] is None, r[0] or 0, r[1]))], similarity, recall, every))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = index.value

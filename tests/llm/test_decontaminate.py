@@ -103,7 +103,7 @@ def test_recall_at_the_limit_by_length(length, least):
     found = 0
     for trial in range(100):
         words = [f"w{rnd.randrange(5000)}" for _ in range(length)]
-        index = de.Index([(1, " ".join(words))], 0.8, 2, 4)
+        index = de.Index([(1, " ".join(words))], 0.8, 0.99, 4)
         most = length // 5
         if trial % 2:
             for k in range(most):  # evenly spaced substitutions
@@ -113,3 +113,29 @@ def test_recall_at_the_limit_by_length(length, least):
         text = ["x"] * rnd.randint(0, 9) + words + ["y"] * 9
         found += bool(index.search(np.array([index.vocabulary.get(w, 0) for w in text], dtype=np.int32), [len(text)])[0])
     assert found >= least * 100
+
+
+def test_walks_follow_from_the_target():
+    needed = {n: de.walks_for(n, n // 5, 0.99, 4) for n in (15, 20, 30, 40, 60, 120)}
+    assert needed[15] is None and needed[120] == 1 and all(n is None or n <= de.MOST for n in needed.values())
+    assert [n or 99 for n in needed.values()] == sorted((n or 99 for n in needed.values()), reverse=True)
+    assert (de.walks_for(40, 8, 0.6, 4) or 99) <= (de.walks_for(40, 8, 0.99, 4) or 99)
+    assert de.walks_for(40, 0, 0.999, 4) == 1
+
+
+@pytest.mark.parametrize("length", [33, 37, 48, 55, 74, 99, 140])
+def test_the_target_recall_is_reached(length):
+    rnd = random.Random(length)
+    found = 0
+    for trial in range(200):
+        words = [f"w{rnd.randrange(5000)}" for _ in range(length)]
+        index = de.Index([(1, " ".join(words))], 0.8, 0.99, 4)
+        most = length // 5
+        if trial % 2:
+            for k in range(most):
+                words[(2 * k + 1) * length // (2 * most)] = "new"
+        else:
+            words = edited(rnd, words, most)
+        text = ["x"] * rnd.randint(0, 9) + words + ["y"] * 9
+        found += bool(index.search(np.array([index.vocabulary.get(w, 0) for w in text], dtype=np.int32), [len(text)])[0])
+    assert found >= 0.97 * 200  # 0.99 less what 200 trials vary
