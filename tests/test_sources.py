@@ -443,3 +443,36 @@ def test_readers_see_whole_runs_only(spark, tmp_path):
     assert set(section_paths(spark, out)) == {"a", "b"} and read_section(spark, out, "b").count() == 3
     with pytest.raises(KeyError):
         read_section(spark, out, "c")
+
+
+def test_old_charset_in_quoted_files(spark, tmp_path):
+    put(tmp_path, "old.csv", 'date;price;customer\r\n2026-02-01;1;"Zoë €5\r\nx"\r\n2026-02-02;2;"Ÿ"\r\n', "cp1252")
+    checked = read_exports(spark, str(tmp_path))
+    assert {r["customer"] for r in checked.rows.collect()} == {"Zoë €5\nx", "Ÿ"} and not halts_of(checked)
+
+
+def test_header_lines_once_more_and_header_alone(spark, tmp_path):
+    header = "date,price,customer\n"
+    put(tmp_path, "twice.csv", header + "".join(f"2026-02-{i % 28 + 1:02},{i},c\n" for i in range(40)) + header)
+    put(tmp_path, "quoted.csv", header + "".join(f'2026-02-{i % 28 + 1:02},{i},"c\n"\n' for i in range(40)) + header)
+    put(tmp_path, "alone.csv", header)
+    checked = read_exports(spark, str(tmp_path))
+    assert not halts_of(checked) and checked.rows.count() == 80
+    assert {(r["source_file"], r["check"]): r["count"] for r in checked.issues.where("check = 'bad_date'").collect()} == {
+        ("twice.csv", "bad_date"): 1, ("quoted.csv", "bad_date"): 1,
+    }
+
+
+def test_line_totals_of_files_with_different_headers(spark, tmp_path):
+    from tallyforge.sources.line_totals import read_line_totals
+
+    put(tmp_path, "a.csv", "Order ID,Sales,Region\nA,1.5,West\nB,NA,\n")
+    put(tmp_path, "b.csv", 'Region;Order ID;Note\nEast;C;"two\nlines"\n')
+    rows = read_line_totals(spark, str(tmp_path))
+    assert sorted(rows.columns) == ["Note", "Order ID", "Region", "Sales"]
+    assert {(r["Order ID"], r["Sales"], r["Region"], r["Note"]) for r in rows.collect()} == {
+        ("A", 1.5, "West", None), ("B", None, None, None), ("C", None, "East", "two\nlines"),
+    }
+    put(tmp_path, "c.csv", "Order ID,Sales\nA,1,2\n")
+    with pytest.raises(ValueError, match="saw 3"):
+        read_line_totals(spark, str(tmp_path))
