@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from .text import literal, strip
 
-# The formats tried in this order on a file's first date.
+# The formats tried in this order on a file's first date.  MMM is a month's name, short or
+# written out: in May one cannot tell.
 DATE_FORMATS = [
     "yyyy-MM-dd",
     "yyyy-MM-dd HH:mm:ss",
@@ -29,7 +30,6 @@ DATE_FORMATS = [
     "d-MMM-yy",
     "d MMM yyyy",
     "MMM d, yyyy",
-    "MMMM d, yyyy",
     "d.M.yyyy",
     "yyyy/M/d H:mm",
     "yyyy/M/d H:mm:ss",
@@ -39,7 +39,6 @@ DATE_FORMATS = [
     "M-d-yyyy H:mm:ss",
     "d.M.yyyy H:mm",
     "d.M.yyyy H:mm:ss",
-    "d MMMM yyyy",
     "d MMM yyyy H:mm",
     "d MMM yyyy H:mm:ss",
     "d-MMM-yyyy H:mm",
@@ -48,10 +47,6 @@ DATE_FORMATS = [
     "MMM d, yyyy H:mm:ss",
     "MMM d, yyyy h:mm a",
     "MMM d, yyyy h:mm:ss a",
-    "MMMM d, yyyy H:mm",
-    "MMMM d, yyyy H:mm:ss",
-    "MMMM d, yyyy h:mm a",
-    "MMMM d, yyyy h:mm:ss a",
 ]
 
 
@@ -67,7 +62,8 @@ def _moment(text: str, date_format: str) -> str:
         # A text without an offset is not of this format.
         bare = f"regexp_replace({text}, {literal(_OFFSET)}, '')"
         return f"CASE WHEN {bare} <> {text} THEN try_to_timestamp({bare}, {literal(date_format.removesuffix('XXX'))}) END"
-    return f"try_to_timestamp({text}, {literal(date_format)})"
+    pattern = date_format.replace("MMM", "[MMMM][MMM]")
+    return f"try_to_timestamp({text}, {literal(pattern)})"
 
 
 def parse_date(c: str, date_format: str) -> str:

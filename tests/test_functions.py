@@ -141,3 +141,11 @@ def test_usual_dates_with_a_time(spark):
     assert all(guessed)
     rows = spark.createDataFrame(list(zip(given, guessed, strict=True)), "c string, f string")
     assert [str(r[0]) for r in rows.select(F.expr(fn.to_date("c", "f"))).collect()] == list(given.values())
+
+
+def test_a_file_that_begins_in_may(spark):
+    for first, others in (("May 1, 1995", ["July 4, 1996", "Jul 4, 1996"]), ("1 May 1995 1:02", ["4 July 1996 1:02", "4 Jul 1996 1:02"])):
+        (guessed,) = values(spark, [first], fn.guess_format)
+        rows = spark.createDataFrame([(c, guessed) for c in [first, *others]], "c string, f string")
+        days = [str(r[0])[:10] for r in rows.select(F.expr(fn.to_date("c", "f"))).collect()]
+        assert days == ["1995-05-01", "1996-07-04", "1996-07-04"]
