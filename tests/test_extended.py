@@ -70,3 +70,38 @@ def test_write_tables(spark, cleaned, tmp_path):
     write_extended_tables(spark, path, str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out" / "Top_Products")).count() == 3
     assert read_line_totals(spark, path).columns == cleaned.columns
+
+
+def test_cleaned_files_are_looked_through_once(spark, tmp_path, monkeypatch):
+    from tallyforge.sources import line_totals
+
+    (tmp_path / "in.csv").write_text(
+        "Order Date,Ship Date,Region,Category,Product Name,Segment,Sales,Discount,Profit,Order ID\n"
+        '06/01/2026,06/02/2026,West,Tech,"Pen, blue",A, 5 ,0.1,NA,1\n06/01/2026,06/02/2026,East,Tech,Cap,A,1d,0.1,-2,2\n'
+    )
+    passes = []
+    catalogue = line_totals.catalogue
+    monkeypatch.setattr(line_totals, "catalogue", lambda spark, paths: passes.append(paths) or catalogue(spark, paths))
+    out = str(tmp_path / "cleaned")
+    clean_to_csv(spark, str(tmp_path / "in.csv"), out)
+    write_extended_tables(spark, out, str(tmp_path / "tables"))
+    assert len(passes) == 2  # the export and the cleaned files
+    sales = spark.read.parquet(str(tmp_path / "tables" / "Region_Category"))
+    assert {(r["Region"], r["Sales"]) for r in sales.collect()} == {("West", 5.0), ("East", 0.0)}
+    # Another file beside them: what was kept is no longer of these files.
+    (tmp_path / "cleaned" / "more.csv").write_text("Region;Sales\nNorth;7\n")
+    rows = scan_cleaned(spark, out)
+    assert len(passes) == 3
+    assert {(r["Region"], r["Sales"], r["Product Name"]) for r in rows.collect()} == {
+        ("West", 5.0, "Pen, blue"), ("East", None, "Cap"), ("North", 7.0, None),
+    }
+
+
+def test_tables_of_one_header_parse_only_their_cells(spark, tmp_path):
+    from tallyforge.sources.line_totals import read_line_totals
+
+    (tmp_path / "a.csv").write_text("Region,Sales,Note\nWest,1,x\n")
+    (tmp_path / "b.csv").write_text("Region,Sales,Note\nEast,2,y\n")
+    rows = read_line_totals(spark, str(tmp_path)).select("Sales")
+    assert "ReadSchema: struct<c1:string>" in rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["Sales"] for r in rows.collect()) == [1.0, 2.0]
