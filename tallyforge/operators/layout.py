@@ -121,33 +121,41 @@ def to_line_items(raw: DataFrame, mapping: HeaderMap, cell) -> DataFrame:
     ))
 
 
-def cells_to_line_items(rows: DataFrame) -> DataFrame:
-    """Typed line items of ``file_path, block_start, row_id, cells`` with ``layout, at, absent`` of the row's file.
+def cells_to_line_items(rows: DataFrame, facts: DataFrame, layouts: list[str] | None = None, at: list[int] | None = None) -> DataFrame:
+    """Typed line items of ``file_path, block_start, row_id, cells``; ``facts`` has ``file_path, path, layout, at, absent`` of each file.
 
     ``at`` has the positions of the targets, so the plan does not grow with the headers.
+    If all files have the same, pass it: the scan then parses only the cells meant.
+    ``layouts`` are those that the files have, if known; the plan has the rules of these only.
     """
-    return _typed(rows.selectExpr(
-        "file_path", "block_start", "row_id", "layout", "at", "absent",
-        *[f"get(cells, at[{i}]) AS {_own(t)}" for i, t in enumerate(TARGETS)],
-    ).selectExpr(
-        "file_path", "block_start", "row_id", "layout", "at", "absent", *[f"{null_tokens(_own(t))} AS {_own(t)}" for t in TARGETS],
-    ))
+
+    def picked(rows: DataFrame, place) -> DataFrame:
+        others = [c for c in rows.columns if c != "cells"]
+        cells = [f"get(cells, {place(i)}) AS {_own(t)}" for i, t in enumerate(TARGETS)]
+        return rows.selectExpr(*others, *cells).selectExpr(*others, *[f"{null_tokens(_own(t))} AS {_own(t)}" for t in TARGETS])
+
+    if at is None:
+        found = picked(rows.join(facts, "file_path"), lambda i: f"at[{i}]")
+    else:
+        found = picked(rows, lambda i: at[i]).join(facts, "file_path")
+    return _typed(found.drop("file_path").withColumnRenamed("path", "file_path"), layouts)
 
 
 def _own(target: str) -> str:
     return f"{target}_cell"
 
 
-def _typed(raw: DataFrame) -> DataFrame:
+def _typed(raw: DataFrame, layouts: list[str] | None = None) -> DataFrame:
     """Line items of text cells by target; the date stays text until its format is known.
 
     The path is the file's identity; source_file, its last part, is for display.
     """
     rules = {CLEAN: _clean(), UNDERSCORE: _underscore(), LINE_TOTAL: _line_total()}
+    rules = {layout: rule for layout, rule in rules.items() if layouts is None or layout in layouts}
 
     def value(column: str) -> str:
         cases = " ".join(f"WHEN '{layout}' THEN {rule[column]}" for layout, rule in rules.items() if column in rule)
-        return f"CAST(CASE layout {cases} END AS {_type_of(column)})"
+        return f"CAST({f'CASE layout {cases} END' if cases else 'NULL'} AS {_type_of(column)})"
 
     return raw.selectExpr(
         f"{_own('date')} AS date_text",

@@ -73,15 +73,22 @@ def scan_exports(spark: SparkSession, path: str | list[str]) -> Scan:
         found.append(_book_headers(spark, sheets, books).mapInPandas(_mapped, f"{CATALOGUE}, {MAPPED}"))
     files = stored(reduce(DataFrame.unionByName, found))
     usable = files.where("reason IS NULL")
-    parts = []
-    broken = spark.createDataFrame([], BROKEN)
-    if texts:
-        parts, broken = read_delimited(spark, usable.where("delimiter IS NOT NULL"))
-    if books:
-        parts.append(sheets.where("row_id > 0 AND error IS NULL").selectExpr("path AS file_path", "0L AS block_start", "row_id", "cells"))
     facts = usable.select("file_path", "path", "layout", "at", "absent")
-    # Each scan is typed in the stage that reads it; there are a few kinds of scan, whatever the number of files.
-    items = [cells_to_line_items(p.join(facts, "file_path").drop("file_path").withColumnRenamed("path", "file_path")) for p in parts]
+    broken = spark.createDataFrame([], BROKEN)
+    items, book_layouts = [], []
+    # Each scan is typed in the stage that reads it; there are a few kinds of scan in each layout, whatever the number of files.
+    groups = usable.groupBy("layout", F.col("delimiter").isNull().alias("book")).agg(F.min("at").alias("least"), F.max("at").alias("most"))
+    for group in groups.orderBy("book", "layout").collect():
+        if group["book"]:
+            book_layouts.append(group["layout"])
+            continue
+        parts, unread = read_delimited(spark, usable.where((F.col("layout") == group["layout"]) & F.col("delimiter").isNotNull()))
+        broken = broken.unionByName(unread)
+        at = group["least"] if group["least"] == group["most"] else None
+        items += [cells_to_line_items(p, facts, [group["layout"]], at) for p in parts]
+    if book_layouts:
+        rows = sheets.where("row_id > 0 AND error IS NULL").selectExpr("path AS file_path", "0L AS block_start", "row_id", "cells")
+        items.append(cells_to_line_items(rows, facts, book_layouts))
     late = broken.join(files.select("file_path", "path"), "file_path")
     halts = files.where("reason IS NOT NULL").select("path", "reason", "message").unionByName(
         late.selectExpr("path", "'unreadable' AS reason", f"{_unreadable('error')} AS message")
@@ -89,7 +96,7 @@ def scan_exports(spark: SparkSession, path: str | list[str]) -> Scan:
     issues = usable.where("repeated > 0").join(broken, "file_path", "left_anti")
     name = "element_at(split(path, '/'), -1) AS source_file"
     return Scan(
-        None if usable.isEmpty() else reduce(DataFrame.unionByName, items),
+        None if not items else reduce(DataFrame.unionByName, items),
         halts.selectExpr(name, "reason", "message", "path AS file_path"),
         issues.selectExpr(name, "'repeated_header' AS `check`", "'warn' AS level", "CAST(repeated AS LONG) AS count", "note AS message", "path AS file_path"),
     )
@@ -135,7 +142,8 @@ def _header_facts(path, file_path, error, delimiter, charset, multiline, header)
 def with_dates(rows: DataFrame) -> DataFrame:
     """Read each file's dates with the format of its first date.
 
-    The formats are stored, so Spark knows that they are one small row per file.
+    The formats are stored, so Spark knows that they are one small row per file.  The
+    plan has only those that occur, of the few dozen known.
     """
     # The set keeps this a hash aggregation; with text buffers alone Spark would sort the rows first.
     first = rows.sparkSession.sql(
@@ -150,9 +158,11 @@ def with_dates(rows: DataFrame) -> DataFrame:
         """,
         rows=rows.select("file_path", "date_text", "block_start", "row_id"),
     )
+    first = stored(first)
+    formats = [r["date_format"] for r in first.select("date_format").distinct().collect()]
     return (
-        rows.join(stored(first), "file_path", "left")
-        .withColumn("date", F.expr(to_date("date_text", "date_format")))
+        rows.join(first, "file_path", "left")
+        .withColumn("date", F.expr(to_date("date_text", "date_format", formats)))
         .drop("date_text", "date_format", "block_start")
     )
 

@@ -476,3 +476,31 @@ def test_line_totals_of_files_with_different_headers(spark, tmp_path):
     put(tmp_path, "c.csv", "Order ID,Sales\nA,1,2\n")
     with pytest.raises(ValueError, match="saw 3"):
         read_line_totals(spark, str(tmp_path))
+
+
+def test_the_plan_has_only_the_layouts_and_date_formats_that_occur(spark, tmp_path):
+    from tallyforge.sources.exports import with_dates
+
+    put(tmp_path, "a.csv", "date,price,product,note\n2026-02-01,5,Pen,x\n2026-02-03,6,Cap,y\n")
+    put(tmp_path, "b.csv", "date,price,product,note\n3/1/2026,7,Pen,x\n")
+    rows = scan_exports(spark, str(tmp_path)).rows
+    dated = with_dates(rows)
+    plan = dated._jdf.queryExecution().executedPlan().toString()
+    assert "d-MMM-yyyy" not in plan and "line_total" not in plan and "c3" not in plan
+    assert {(r["date"].isoformat()[:10], r["price"]) for r in dated.collect()} == {("2026-02-01", 5.0), ("2026-02-03", 6.0), ("2026-03-01", 7.0)}
+    # A file whose first date is in no known format is read value by value, with all formats.
+    put(tmp_path, "c.csv", "date,price\nsoon,8\n5-Feb-2026,9\n")
+    mixed = with_dates(scan_exports(spark, str(tmp_path)).rows)
+    assert {(str(r["date"])[:10], r["price"]) for r in mixed.collect()} == {
+        ("2026-02-01", 5.0), ("2026-02-03", 6.0), ("2026-03-01", 7.0), ("None", 8.0), ("2026-02-05", 9.0),
+    }
+
+
+def test_layouts_with_other_places_of_columns_in_one_folder(spark, tmp_path):
+    put(tmp_path, "a.csv", "date,price,region\n2026-02-01,5,West\n")
+    put(tmp_path, "b.csv", "region,date,price\nEast,2026-02-02,6\n")
+    put(tmp_path, "c.csv", "Order ID;Order Date;Customer Name;Product Name;Category;Region;Quantity;Discount;Profit;Sales\n1;02/03/2026;Ann;Pen;o'brien;MIDDLE EAST;2;0;1;14\n")
+    checked = read_exports(spark, str(tmp_path))
+    assert {(r["region"], r["price"], r["category"], r["date"].day) for r in checked.rows.collect()} == {
+        ("West", 5.0, "Unknown", 1), ("East", 6.0, "Unknown", 2), ("Middle East", 7.0, "O'Brien", 3),
+    }
