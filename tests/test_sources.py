@@ -504,3 +504,20 @@ def test_layouts_with_other_places_of_columns_in_one_folder(spark, tmp_path):
     assert {(r["region"], r["price"], r["category"], r["date"].day) for r in checked.rows.collect()} == {
         ("West", 5.0, "Unknown", 1), ("East", 6.0, "Unknown", 2), ("Middle East", 7.0, "O'Brien", 3),
     }
+
+
+def test_counting_copies_writes_no_rows(spark, tmp_path, monkeypatch):
+    from tallyforge.schema import BUSINESS_COLUMNS
+    from tallyforge.streaming import incremental
+
+    kept = []
+    store = incremental.stored
+    monkeypatch.setattr(incremental, "stored", lambda table: kept.append(table.columns) or store(table))
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name, rows in (("a", ["2026-01-01,1,Pen", "2026-01-01,1,Pen", "2026-02-01,1,Pen", "2026-02-01,2,"]), ("b", ["2026-01-01,1,Pen", "2026-02-01,2,", "2026-02-02,2,Pen"])):
+        put(folder, f"{name}.csv", "\n".join(["date,price,product", *rows, ""]))
+        ingest_new_files(spark, str(folder), str(tmp_path / "table"), str(tmp_path / "state"))
+    assert kept and not any(set(BUSINESS_COLUMNS) & set(columns) for columns in kept)
+    found = stored_issues(spark, str(tmp_path / "table")).where("check IN ('duplicate', 'cross_file_duplicate')")
+    assert {(r["source_file"], r["count"]) for r in found.collect()} == {("a.csv", 1), (None, 3)}
