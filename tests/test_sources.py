@@ -486,7 +486,7 @@ def test_the_plan_has_only_the_layouts_and_date_formats_that_occur(spark, tmp_pa
     rows = scan_exports(spark, str(tmp_path)).rows
     dated = with_dates(rows)
     plan = dated._jdf.queryExecution().executedPlan().toString()
-    assert "d-MMM-yyyy" not in plan and "line_total" not in plan and "c3" not in plan
+    assert "d-MMM-yyyy" not in plan and "line_total" not in plan and "c3:string" not in plan and "c2:string" in plan
     assert {(r["date"].isoformat()[:10], r["price"]) for r in dated.collect()} == {("2026-02-01", 5.0), ("2026-02-03", 6.0), ("2026-03-01", 7.0)}
     # A file whose first date is in no known format is read value by value, with all formats.
     put(tmp_path, "c.csv", "date,price\nsoon,8\n5-Feb-2026,9\n")
@@ -521,3 +521,14 @@ def test_counting_copies_writes_no_rows(spark, tmp_path, monkeypatch):
     assert kept and not any(set(BUSINESS_COLUMNS) & set(columns) for columns in kept)
     found = stored_issues(spark, str(tmp_path / "table")).where("check IN ('duplicate', 'cross_file_duplicate')")
     assert {(r["source_file"], r["count"]) for r in found.collect()} == {("a.csv", 1), (None, 3)}
+
+
+def test_each_date_of_a_workbook_is_formatted_once(monkeypatch):
+    from tallyforge.sources import workbook
+
+    made = []
+    monkeypatch.setattr(workbook, "timedelta", lambda **parts: made.append(parts) or datetime.timedelta(**parts))
+    days = [pd.Timestamp("2026-02-01 23:00"), pd.Timestamp("1899-12-29 01:00"), pd.Timestamp("2026-02-01")] * 3
+    rows = list(workbook.sheet_rows(_sheet([("date", "price"), *[(d, 1.5) for d in days]])))
+    assert rows[1:] == [["2026-02-01 00:00:00", "1.5"], ["1899-12-29 00:00:00", "1.5"], ["2026-02-01 00:00:00", "1.5"]] * 3
+    assert len(made) == 2
