@@ -3,9 +3,13 @@
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
+from tallyforge.functions import parse_date, parse_us_date
 from tallyforge.operators import extended as X
 from tallyforge.plans.calculations import clean_to_csv, extended_tables, write_extended_tables
+from tallyforge.sinks.tables import write_cleaned_csv
+from tallyforge.sources import line_totals
 from tallyforge.sources.line_totals import read_line_totals, scan_cleaned
 
 TEXT = (
@@ -105,3 +109,28 @@ def test_tables_of_one_header_parse_only_their_cells(spark, tmp_path):
     rows = read_line_totals(spark, str(tmp_path)).select("Sales")
     assert "ReadSchema: struct<c1:string>" in rows._jdf.queryExecution().executedPlan().toString()
     assert sorted(r["Sales"] for r in rows.collect()) == [1.0, 2.0]
+
+
+def test_of_written_files_one_is_looked_through(spark, tmp_path, monkeypatch):
+    rows = spark.range(40).selectExpr("concat('p \"', id, '\", x') AS `Product Name`", "double(id) AS Sales", "string(NULL) AS Region").repartition(4)
+    for kind, table in (("plain", rows), ("empty", rows.where("Sales < 0")), ("broken", rows.withColumn("Region", F.lit("a\nb"))), ("other", rows.withColumnRenamed("Region", "a;b;c;d"))):
+        out = str(tmp_path / kind)
+        write_cleaned_csv(table, out)
+        known = line_totals._stored_catalogue(spark, out).orderBy("path").collect()
+        line_totals.store_catalogue(spark, out)
+        assert known == line_totals._stored_catalogue(spark, out).orderBy("path").collect(), kind
+    looked_at = []
+    look = line_totals.catalogue
+    monkeypatch.setattr(line_totals, "catalogue", lambda spark, paths: looked_at.append(len(paths)) or look(spark, paths))
+    write_cleaned_csv(rows, str(tmp_path / "again"))
+    assert scan_cleaned(spark, str(tmp_path / "again")).count() == 40 and looked_at == [1]
+
+
+def test_plain_us_dates_are_read_as_by_the_format(spark):
+    texts = [f"{m:02d}/{d:02d}/{y}" for y in ("0000", "0001", "1900", "1999", "2000", "2024") for m in range(14) for d in (0, 1, 9, 28, 29, 30, 31, 32)]
+    texts += ["1/2/2001", " 01/02/2001 ", "01/02/2001\n", "01/02/2001 ", "01/2 /2001", "01/02/201", "+1/02/2001", "01-02-2001", "01/02/20011", "", None, "١١/١١/٢٠٠١"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    both = rows.selectExpr("t", f"string({parse_us_date('t')}) AS fast", f"string({parse_date('t', 'M/d/yyyy')}) AS slow").collect()
+    assert [r["t"] for r in both if r["fast"] != r["slow"]] == []
+    plan = rows.selectExpr(parse_us_date("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "substr" in plan
