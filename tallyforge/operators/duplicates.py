@@ -7,12 +7,14 @@ and send every row through a shuffle on ten columns.  Here
    are shuffled, and copies collapse before it;
 2. only rows whose hash occurs more than once are grouped by the columns
    themselves, which makes the count exact; Spark knows the size of the stored
-   hashes and chooses the join.  The repeated rows found are written
-   to the shared folder, so their number and size are known from here on;
-3. rows look their count up in that table.  Spark broadcasts it if its size
-   allows.  Otherwise a group holding more than 1/10,000 of the copies is
-   looked up in a broadcast of its own - there are fewer than 10,000 such groups
-   by counting alone - and its rows are spread over the shuffle.
+   hashes and chooses the join;
+3. a hash that belongs to one key only, as nearly all do, stands for the key: rows
+   look their count up by those eight bytes in a stored table, and the columns are
+   not sent along.  Rows of a hash that several keys share are looked up by the
+   columns.  Spark broadcasts the table of hashes if its size allows.  Otherwise a
+   hash holding more than 1/10,000 of the copies is looked up in a broadcast of its
+   own - there are fewer than 10,000 such hashes by counting alone - and its rows
+   are spread over the shuffle.
 """
 
 from __future__ import annotations
@@ -40,47 +42,64 @@ def repeated_rows(rows: DataFrame, keys: list[str] | None = None, split: list[st
     more than one over all of them together.
     """
     keys = keys or BUSINESS_COLUMNS
-    split = split or []
-    hashed = rows.select(*keys, *split, F.xxhash64(*keys).alias("key_hash"))
-    suspects = stored(copy_groups(hashed, ["key_hash"]).where("copies > 1").select("key_hash"))
-    groups = copy_groups(hashed.join(suspects, "key_hash", "left_semi"), ["key_hash", *keys, *split])
+    groups = _suspect_groups(rows, keys, split or [])
     if not split:
         groups = groups.where("copies > 1")
     return stored(groups.drop("key_hash"))
 
 
+def _suspect_groups(rows: DataFrame, keys: list[str], split: list[str]) -> DataFrame:
+    """``copies`` by hash and key of all rows whose hash is not alone; a key of one row is there if another shares its hash."""
+    hashed = rows.select(*keys, *split, _hash(keys).alias("key_hash"))
+    suspects = stored(copy_groups(hashed, ["key_hash"]).where("copies > 1").select("key_hash"))
+    return copy_groups(hashed.join(suspects, "key_hash", "left_semi"), ["key_hash", *keys, *split])
+
+
+def _hash(keys: list[str]):
+    return F.xxhash64(*keys)
+
+
 def with_copies(
-    rows: DataFrame, keys: list[str] | None = None, row_id: str = "row_id", repeated: DataFrame | None = None
+    rows: DataFrame, keys: list[str] | None = None, row_id: str = "row_id", groups: DataFrame | None = None
 ) -> DataFrame:
     """Add ``copies``: how many rows share this row's key (1 = it is alone).
 
     ``row_id`` is any value that differs between copies; it only spreads them.
-    ``repeated`` is the table of repeated keys, if it is there already.
+    ``groups`` counts the rows of the repeated keys and of all keys that share a hash
+    with another, if that is there already.
     """
     keys = keys or BUSINESS_COLUMNS
-    if repeated is None:
-        repeated = repeated_rows(rows, keys)
-    threshold = repeated.agg(F.sum("copies") / F.lit(HOT_GROUPS)).scalar()
-    hot = _renamed(repeated.where(F.col("copies") > threshold), keys, "h")
-    cold = _renamed(repeated.where(F.col("copies") <= threshold), keys, "c")
+    groups = _suspect_groups(rows, keys, []) if groups is None else groups.withColumn("key_hash", _hash(keys))
+    hashes = stored(groups.groupBy("key_hash").agg(F.count("*").alias("n_keys"), F.sum("copies").alias("copies")))
+    shared = hashes.where("n_keys > 1")
+    found = rows.withColumn("key_hash", _hash(keys))
+    own = "CAST(NULL AS BIGINT)"
+    if not shared.isEmpty():
+        several = _renamed(groups.join(F.broadcast(shared), "key_hash", "left_semi"), ["key_hash", *keys], "s")
+        found = found.join(F.broadcast(several), _same(["key_hash", *keys], "s"), "left")
+        own = "s_copies"
+    alone = hashes.where("n_keys = 1")
+    threshold = hashes.agg(F.sum("copies") / F.lit(HOT_GROUPS)).scalar()
+    hot = _renamed(alone.where(F.col("copies") > threshold), ["key_hash"], "h")
+    cold = _renamed(alone.where(F.col("copies") <= threshold), ["key_hash"], "c")
     # The other side of ``spread`` is 0 for every row, but must not be a constant: Spark would
     # take it out of the join keys.
     zero = F.expr("pmod(c_copies, 1L)")
     spread = f"CASE WHEN h_copies IS NULL THEN 0L ELSE pmod(xxhash64({row_id}), {SPREAD - 1}L) + 1 END"
     return (
-        rows.join(F.broadcast(hot), _same(keys, "h"), "left")
+        found.join(F.broadcast(hot), F.expr("key_hash = h_key_hash"), "left")
         .withColumn("spread", F.expr(spread))
-        .join(cold.withColumn("c_spread", zero), _same([*keys, "spread"], "c"), "left")
-        .selectExpr(*[f"`{c}`" for c in rows.columns], "coalesce(h_copies, c_copies, 1L) AS copies")
+        .join(cold.withColumn("c_spread", zero), F.expr("key_hash = c_key_hash AND spread = c_spread"), "left")
+        .selectExpr(*[f"`{c}`" for c in rows.columns], f"coalesce({own}, h_copies, c_copies, 1L) AS copies")
     )
 
 
 def tag_duplicates(
-    rows: DataFrame, keys: list[str] | None = None, row_id: str = "row_id", repeated: DataFrame | None = None
+    rows: DataFrame, keys: list[str] | None = None, row_id: str = "row_id", groups: DataFrame | None = None
 ) -> DataFrame:
     """Append the duplicate label to ``dq`` on every copy of a repeated row."""
     label = append_label("dq", "copies > 1", DUPLICATE)
-    return with_copies(rows, keys, row_id, repeated).withColumn("dq", F.expr(label)).drop("copies")
+    return with_copies(rows, keys, row_id, groups).withColumn("dq", F.expr(label)).drop("copies")
 
 
 def _renamed(groups: DataFrame, keys: list[str], prefix: str) -> DataFrame:

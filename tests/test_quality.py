@@ -1,6 +1,7 @@
 """Row and file rules on the 25-row frame."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyforge.operators import duplicates, quality as Q
 from tallyforge.operators.labels import dq_flag
@@ -177,6 +178,32 @@ def test_hot_rows_are_spread_over_the_shuffle(spark):
     assert "spread" in join.split("], [")[0]
 
 
+def test_copies_are_exact_where_keys_share_a_hash(spark, monkeypatch):
+    """Few hashes: repeated keys and lone ones meet in all of them."""
+    monkeypatch.setattr(duplicates, "_hash", lambda keys: F.pmod(F.xxhash64(*keys), F.lit(7)))
+    rows = spark.range(300).selectExpr("CASE WHEN id < 200 THEN int(id / 4) WHEN id < 210 THEN NULL ELSE id + 1000 END AS k", "id % 2 AS f", "id AS row_id")
+    expected = {(None, 10): 10, ("few", 4): 200, ("alone", 1): 90}
+    per_split = duplicates.repeated_rows(rows, ["k"], ["f"]).groupBy("k").agg(F.sum("copies").alias("copies"))
+    for groups in (None, per_split):
+        counted = duplicates.with_copies(rows, ["k"], groups=groups)
+        kinds = counted.withColumn("kind", F.expr("CASE WHEN k < 1000 THEN 'few' WHEN k >= 1000 THEN 'alone' END"))
+        assert {(r["kind"], r["copies"]): r["count"] for r in kinds.groupBy("kind", "copies").count().collect()} == expected
+
+
+def test_looking_up_copies_shuffles_no_key_columns(spark):
+    rows = spark.range(100).selectExpr("concat('name ', id % 60) AS k", "double(id % 2) * -0D AS z", "id AS row_id")
+    counted = duplicates.with_copies(rows, ["k", "z"])
+    assert {(r["copies"], r["count"]) for r in counted.groupBy("copies").count().collect()} == {(1, 20), (2, 80)}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = counted.select("copies")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    (join,) = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert "key_hash" in join and "k#" not in join.replace("key_hash#", "")
+
+
 def test_every_reused_order_id_is_a_row(spark):
     rows = spark.range(500).selectExpr("'f.csv' AS source_file", "concat('S', lpad(int(id / 2), 3, '0')) AS order_id")
     reused = Q.order_id_reuse(rows)
