@@ -7,7 +7,8 @@ and send every row through a shuffle on ten columns.  Here
    are shuffled, and copies collapse before it;
 2. only rows whose hash occurs more than once are grouped by the columns
    themselves, which makes the count exact; Spark knows the size of the stored
-   hashes and chooses the join;
+   hashes and chooses the join, and if they are many, a bitmap of them keeps most
+   other rows out of its shuffle;
 3. a hash that belongs to one key only, as nearly all do, stands for the key: rows
    look their count up by those eight bytes in a stored table, and the columns are
    not sent along.  Rows of a hash that several keys share are looked up by the
@@ -28,6 +29,9 @@ from .labels import append_label
 # A hot group has more than one part in HOT_GROUPS of all copies.
 HOT_GROUPS = 10_000
 SPREAD = 4096
+# Of more suspects than this, a bitmap keeps other rows out of the shuffle: BITS bits, 32 MB however many rows there are.
+FILTER_FROM = 500_000
+BITS = 1 << 28
 
 
 def copy_groups(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -52,7 +56,26 @@ def _suspect_groups(rows: DataFrame, keys: list[str], split: list[str]) -> DataF
     """``copies`` by hash and key of all rows whose hash is not alone; a key of one row is there if another shares its hash."""
     hashed = rows.select(*keys, *split, _hash(keys).alias("key_hash"))
     suspects = stored(copy_groups(hashed, ["key_hash"]).where("copies > 1").select("key_hash"))
-    return copy_groups(hashed.join(suspects, "key_hash", "left_semi"), ["key_hash", *keys, *split])
+    same = ["key_hash"]
+    if suspects.count() > FILTER_FROM:
+        # The bucket, found by the bitmap, is a key too: or else Spark would put the semi-join before the bitmap.
+        same = ["key_hash", "bucket"]
+        suspects = suspects.withColumn("bucket", F.expr(f"bitmap_bucket_number({_BIT})"))
+        hashed = _with_bit(hashed, suspects)
+    return copy_groups(hashed.join(suspects, same, "left_semi"), [*same, *keys, *split]).select("key_hash", *keys, *split, "copies")
+
+
+_BIT = f"pmod(key_hash, {BITS}L)"
+
+
+def _with_bit(hashed: DataFrame, suspects: DataFrame) -> DataFrame:
+    """The rows whose hash has its bit set, with its ``bucket``: all suspects and a few others, which the exact join drops."""
+    placed = suspects.selectExpr("bucket", f"bitmap_bit_position({_BIT}) AS place")
+    bits = placed.repartition("bucket").groupBy("bucket").agg(F.expr("bitmap_construct_agg(place)").alias("bits"))
+    place = f"bitmap_bit_position({_BIT})"
+    byte = f"CAST(conv(hex(substr(bits, CAST({place} DIV 8 AS INT) + 1, 1)), 16, 10) AS INT)"
+    found = hashed.join(F.broadcast(bits), F.expr(f"bitmap_bucket_number({_BIT}) = bucket"))
+    return found.where(f"shiftright({byte}, CAST({place} % 8 AS INT)) & 1 = 1").select(*hashed.columns, "bucket")
 
 
 def _hash(keys: list[str]):

@@ -190,6 +190,30 @@ def test_copies_are_exact_where_keys_share_a_hash(spark, monkeypatch):
         assert {(r["kind"], r["copies"]): r["count"] for r in kinds.groupBy("kind", "copies").count().collect()} == expected
 
 
+@pytest.mark.parametrize("bits", [1 << 28, 64, 1])
+def test_a_bitmap_keeps_rows_out_of_the_shuffle(spark, monkeypatch, bits):
+    monkeypatch.setattr(duplicates, "FILTER_FROM", 0)
+    monkeypatch.setattr(duplicates, "_BIT", f"pmod(key_hash, {bits}L)")
+    rows = spark.range(5000).selectExpr("CASE WHEN id < 900 THEN int(id / 3) WHEN id >= 4990 THEN NULL ELSE id END AS k", "id AS row_id")
+    hashed = rows.select("k", duplicates._hash(["k"]).alias("key_hash"))
+    suspects = duplicates.copy_groups(hashed, ["key_hash"]).where("copies > 1").selectExpr("key_hash", f"bitmap_bucket_number({duplicates._BIT}) AS bucket")
+    left = duplicates._with_bit(hashed, suspects)
+    assert left.where("k < 300 OR k IS NULL").count() == 910
+    assert left.count() == 910 if bits == 1 << 28 else left.count() > 910
+    found = duplicates.repeated_rows(rows, ["k"])
+    assert {(r["copies"], r["count"]) for r in found.groupBy("copies").count().collect()} == {(3, 300), (10, 1)}
+    per_split = duplicates.repeated_rows(rows.withColumn("f", F.expr("row_id % 2")), ["k"], ["f"])
+    assert per_split.columns == ["k", "f", "copies"] and per_split.agg(F.sum("copies")).first()[0] == 910
+    made = []
+    with monkeypatch.context() as patch:
+        patch.setattr(duplicates, "stored", lambda table: made.append(table) or table)
+        duplicates.repeated_rows(rows, ["k"])
+    plan = made[-1]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftSemi") < plan.index("bits")  # the rows of the join are those with a bit
+    counted = duplicates.with_copies(rows, ["k"])
+    assert {(r["copies"], r["count"]) for r in counted.groupBy("copies").count().collect()} == {(1, 4090), (3, 900), (10, 10)}
+
+
 def test_looking_up_copies_shuffles_no_key_columns(spark):
     rows = spark.range(100).selectExpr("concat('name ', id % 60) AS k", "double(id % 2) * -0D AS z", "id AS row_id")
     counted = duplicates.with_copies(rows, ["k", "z"])
