@@ -49,6 +49,15 @@ def test_null_tokens(spark):
     check(spark, fn.null_tokens, {"NA": None, "n/a": None, "": None, "<NA>": None, "Nope": "Nope", "none": "none", None: None})
 
 
+def test_cells_longer_than_any_null_token_are_not_looked_up(spark):
+    from tallyforge.schema import NA_TOKENS
+
+    texts = [*NA_TOKENS, "#N/A N/A ", "é" * 5, "0123456789", "é", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("t", f"{fn.null_tokens('t')} AS given")
+    assert [r["given"] for r in rows.collect()] == [None if t in NA_TOKENS else t for t in texts]
+    assert "octet_length" in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_normalise_discount(spark):
     check(spark, fn.normalise_discount, {10.0: 0.1, 1.5: 0.015, 150.0: 1.5, 1.0: 1.0, -0.2: -0.2, 0.3: 0.3}, "double")
 

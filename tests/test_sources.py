@@ -173,6 +173,32 @@ def test_catalogue_has_a_row_for_each_file(spark, tmp_path):
     }
 
 
+def test_lines_are_looked_through_by_their_files_delimiter(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from tallyforge.sources.files import read_lines, widest_lines
+
+    put(tmp_path, "a.csv", 'date,price\n2026-02-01,"1;;;\n;"\n')
+    put(tmp_path, "b.csv", 'date;price\n2026-02-01;1,2,3\n')
+    put(tmp_path, "c.csv", "date;price\n2026-02-01;1;2\n")
+    put(tmp_path, "d.csv", b"date,price\n2026-02-01,\x81\xe9\n")
+    put(tmp_path, "e.csv", "date,pr\u00e9\n2026-02-01,1,2,3\n", "cp1252")
+    paths = list_files(spark, str(tmp_path))
+    found = {r["path"][-5:]: (r["delimiter"], r["charset"], r["multiline"], r["error"]) for r in catalogue(spark, paths).collect()}
+    assert found == {
+        "a.csv": (",", "UTF-8", True, None), "b.csv": (";", "UTF-8", False, None),
+        "c.csv": (";", "UTF-8", False, "expected 2 fields in every line, saw 3"),
+        "d.csv": (None, None, None, "it is neither UTF-8 nor windows-1252 text"),
+        "e.csv": (",", "windows-1252", False, "expected 2 fields in every line, saw 4"),
+    }
+    lines = read_lines(spark, paths)
+    own = lines.select("file_path").distinct().where("file_path NOT LIKE '%d.csv'").withColumn(
+        "delimiter", F.expr("CASE WHEN file_path RLIKE '[bc].csv' THEN ';' ELSE ',' END")
+    )
+    assert {r["file_path"][-5:]: (r["widest"], r["opened"]) for r in widest_lines(lines, own).collect()} == {
+        "a.csv": (2, True), "b.csv": (2, False), "c.csv": (3, False), "e.csv": (4, False),
+    }
+
+
 def messy_table(rnd, n):
     """Records whose cells have line breaks, blank lines, quotes, delimiters, and quotes that open nothing."""
     parts = ["a", "b c", '"', '""', ",", "\n", "\n\n", ",x", '",', "é", '\n"', " "]
