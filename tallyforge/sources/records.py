@@ -5,7 +5,8 @@ can only do four things: leave it as it is, turn it round, or end outside or ins
 whatever came before.  So each block of a file is reduced to what it does, and to how
 many records begin in it in either case; these few rows, in order, say how every block
 begins, and with that each line knows its record.  Lines are shuffled once, by block;
-only the pieces of records over several lines are gathered again.
+only the pieces of records over several lines are gathered again, and what they make
+is stored, as records are looked through before they are parsed.
 """
 
 from __future__ import annotations
@@ -101,8 +102,9 @@ def quoted_records(spark: SparkSession, files: DataFrame, paths: list[str]) -> t
     )
     whole = placed.where("inside = 0 AND ends_inside = 0 AND NOT blank").select("file_path", "number", F.col("line").alias("record"))
     pieces = F.array_sort(F.collect_list(F.struct("block_start", "row_id", "line")))
-    joined = placed.where("inside = 1 OR ends_inside = 1").groupBy("file_path", "number").agg(pieces.alias("pieces")).selectExpr(
+    gathered = placed.where("inside = 1 OR ends_inside = 1").groupBy("file_path", "number").agg(pieces.alias("pieces")).selectExpr(
         "file_path", "number", r"array_join(transform(pieces, p -> p.line), '\n') AS record"
     )
+    joined = stored(gathered)
     return whole.unionByName(joined), blocks.where("ends_open").select("file_path").distinct()
 

@@ -199,6 +199,18 @@ def test_lines_are_looked_through_by_their_files_delimiter(spark, tmp_path):
     }
 
 
+def test_records_over_several_lines_are_gathered_once(spark, tmp_path):
+    from tallyforge.session import stored
+    from tallyforge.sources.records import quoted_records
+
+    put(tmp_path, "a.csv", 'a,b\n1,"x\n\ny"\n2,z\n')
+    paths = list_files(spark, str(tmp_path))
+    records, unclosed = quoted_records(spark, stored(catalogue(spark, paths)), paths)
+    assert "collect_list" not in records._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r["number"], r["record"]) for r in records.collect()) == [(1, "a,b"), (2, '1,"x\n\ny"'), (3, "2,z")]
+    assert unclosed.isEmpty()
+
+
 def messy_table(rnd, n):
     """Records whose cells have line breaks, blank lines, quotes, delimiters, and quotes that open nothing."""
     parts = ["a", "b c", '"', '""', ",", "\n", "\n\n", ",x", '",', "é", '\n"', " "]
