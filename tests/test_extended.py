@@ -76,6 +76,20 @@ def test_write_tables(spark, cleaned, tmp_path):
     assert read_line_totals(spark, path).columns == cleaned.columns
 
 
+def test_several_tables_parse_only_their_columns(spark, cleaned, tmp_path, monkeypatch):
+    from tallyforge.plans import calculations
+
+    path, kept = str(tmp_path / "c"), []
+    cleaned.write.option("header", True).option("escape", '"').csv(path)
+    store = calculations.stored
+    monkeypatch.setattr(calculations, "stored", lambda rows: kept.append(rows.columns) or store(rows))
+    write_extended_tables(spark, path, str(tmp_path / "out"))
+    assert len(kept) == 1 and not {"Ship Date", "Discount", "Quantity", "Loss_Flag"} & set(kept[0])
+    for name, expected in extended_tables(cleaned).items():
+        found = spark.read.parquet(str(tmp_path / "out" / name))
+        assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect())), name
+
+
 def test_cleaned_files_are_looked_through_once(spark, tmp_path, monkeypatch):
     from tallyforge.sources import line_totals
 
