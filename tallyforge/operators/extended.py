@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from ..functions import discount_percent, loss_flag, month_start, parse_us_date
 from ..schema import UNDERPERFORMER_QUANTILE
+from ..session import stored
 
 CLEAN_REQUIRED = ["Order Date", "Ship Date", "Discount", "Profit"]
 
@@ -93,10 +94,12 @@ def region_category_pivot(rows: DataFrame, categories: list[str] | None = None)
     """Regions down, categories across, summed totals, 0 where nothing was sold.
 
     The columns of a table must be known when it is planned.  Pass them if they
-    are; otherwise a first job lists the categories present.
+    are; otherwise the sums are stored, so that listing the categories present does not
+    read the rows a second time.
     """
     sums = region_category_totals(rows)
     if categories is None:
+        sums = stored(sums)
         found = sums.select("Category").distinct().orderBy("Category").collect()
         categories = [r["Category"] for r in found]
     return sums.groupBy("Region").pivot("Category", categories).sum("Sales").na.fill(0.0)

@@ -63,6 +63,14 @@ def test_tables(cleaned):
     assert [r["Sales"] for r in t["Top_Products"].collect()] == [160, 50, 7]
 
 
+def test_pivot_reads_its_rows_once(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Region,Category,Sales\nWest,Tech,1\nWest,Office,2\nWest,Tech,3\nEast,,4\nNorth,Office,\n")
+    pivot = X.region_category_pivot(read_line_totals(spark, str(tmp_path)))
+    (tmp_path / "a.csv").unlink()
+    assert {r["Region"]: (r["Office"], r["Tech"]) for r in pivot.collect()} == {"West": (2.0, 4.0), "North": (0.0, 0.0)}
+    assert pivot.columns == ["Region", "Office", "Tech"]
+
+
 def test_percentile_is_linear(spark):
     rows = spark.createDataFrame([("C", f"R{i}", float(i)) for i in range(1, 5)], "Category string, Region string, Profit double")
     assert [r["Profit"] for r in X.underperformers(rows).collect()] == [1.0]
