@@ -96,12 +96,16 @@ def _cells(prints: DataFrame, groups: int) -> DataFrame:
 
 
 def links(prints: DataFrame, max_bits: int = 4) -> DataFrame:
-    """``a, b`` for distinct fingerprints (column ``fp``) that differ in at most ``max_bits`` bits, a < b."""
+    """``a, b`` for distinct fingerprints (column ``fp``) that differ in at most ``max_bits`` bits, a < b.
+
+    Spark takes the cells for no larger than the fingerprints they were exploded from,
+    some fifty to one, so it is told to shuffle them: broadcast, they fill the driver.
+    """
     if not 0 <= max_bits <= 20:
         raise ValueError("max_bits is 0 to 20")
     cells = _cells(prints, max_bits // 3 + 1)
     return prints.sparkSession.sql(
-        f"""SELECT DISTINCT x.fp AS a, y.fp AS b
+        f"""SELECT /*+ MERGE(x, y) */ DISTINCT x.fp AS a, y.fp AS b
             FROM {{cells}} x JOIN {{cells}} y
               ON x.part = y.part AND x.cell = y.cell AND x.fp < y.fp
              AND (x.step = 0 OR (y.step <> 0 AND x.step <> y.step AND abs(x.step) <= abs(y.step)))

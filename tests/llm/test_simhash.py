@@ -103,3 +103,10 @@ def test_empty(spark):
     empty = cases.documents(spark, [])
     assert simhash.near_duplicates(empty).collect() == []
     assert simhash.one_of_each(empty).collect() == []
+
+
+def test_cells_are_not_broadcast(spark):
+    """Fifty cells a fingerprint: their size is not that of the fingerprints, which Spark goes by."""
+    prints = spark.range(100).selectExpr("xxhash64(id) AS fp")
+    plan = simhash.links(prints)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
