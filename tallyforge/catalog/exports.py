@@ -13,16 +13,16 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import shared_dir
+from ..session import shared_dir, shuffles_dropped
 from ..sources.star import star_items, table
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def write_csv(rows: DataFrame, out: str, sep: str = ",", charset: str = "UTF-8") -> str:
-    rows.write.option("header", True).option("sep", sep).option("encoding", charset).option(
-        "escape", '"'
-    ).csv(out)
+    writer = rows.write.option("header", True).option("sep", sep).option("encoding", charset).option("escape", '"')
+    with shuffles_dropped(rows.sparkSession):
+        writer.csv(out)
     return out
 
 

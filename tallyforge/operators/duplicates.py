@@ -66,16 +66,44 @@ def _suspect_groups(rows: DataFrame, keys: list[str], split: list[str]) -> DataF
 
 
 _BIT = f"pmod(key_hash, {BITS}L)"
+_PLACE = f"bitmap_bit_position({_BIT})"
+_IS_SET = f"shiftright(CAST(conv(hex(substr(bits, CAST({_PLACE} DIV 8 AS INT) + 1, 1)), 16, 10) AS INT), CAST({_PLACE} % 8 AS INT)) & 1 = 1"
 
 
 def _with_bit(hashed: DataFrame, suspects: DataFrame) -> DataFrame:
     """The rows whose hash has its bit set, with its ``bucket``: all suspects and a few others, which the exact join drops."""
-    placed = suspects.selectExpr("bucket", f"bitmap_bit_position({_BIT}) AS place")
-    bits = placed.repartition("bucket").groupBy("bucket").agg(F.expr("bitmap_construct_agg(place)").alias("bits"))
-    place = f"bitmap_bit_position({_BIT})"
-    byte = f"CAST(conv(hex(substr(bits, CAST({place} DIV 8 AS INT) + 1, 1)), 16, 10) AS INT)"
-    found = hashed.join(F.broadcast(bits), F.expr(f"bitmap_bucket_number({_BIT}) = bucket"))
-    return found.where(f"shiftright({byte}, CAST({place} % 8 AS INT)) & 1 = 1").select(*hashed.columns, "bucket")
+    found = hashed.join(F.broadcast(_bits(suspects)), F.expr(f"bitmap_bucket_number({_BIT}) = bucket"))
+    return found.where(_IS_SET).select(*hashed.columns, "bucket")
+
+
+def _bits(suspects: DataFrame) -> DataFrame:
+    """``bucket, bits``: the bitmap of the suspects' hashes."""
+    placed = suspects.selectExpr("bucket", f"{_PLACE} AS place")
+    return placed.repartition("bucket").groupBy("bucket").agg(F.expr("bitmap_construct_agg(place)").alias("bits"))
+
+
+def distinct_rows(rows: DataFrame) -> DataFrame:
+    """``rows.dropDuplicates()`` for rows that are cheap to read again, as those of a file scan are.
+
+    They are read to count them by a hash of all columns, and to give them out: a row
+    whose hash is alone has no copy and is not shuffled.  Only if there are hashes that
+    several rows share, they are read once more for the rows of those, which are
+    compared by all columns.  The hashes are looked up in a broadcast; of more than
+    FILTER_FROM, in a bitmap of fixed size, which takes a few other rows for suspects.
+    """
+    columns = [f"`{c}`" for c in rows.columns]
+    hashed = rows.select(*columns, _hash(columns).alias("key_hash"))
+    suspects = stored(copy_groups(hashed.select("key_hash"), ["key_hash"]).where("copies > 1").select("key_hash"))
+    found = suspects.count()
+    if not found:
+        return rows
+    if found > FILTER_FROM:
+        bits = _bits(suspects.withColumn("bucket", F.expr(f"bitmap_bucket_number({_BIT})")))
+        marked = hashed.join(F.broadcast(bits), F.expr(f"bitmap_bucket_number({_BIT}) = bucket"), "left")
+        alone, several = marked.where(f"bits IS NULL OR NOT ({_IS_SET})"), marked.where(_IS_SET)
+    else:
+        alone, several = (hashed.join(F.broadcast(suspects), "key_hash", how) for how in ("left_anti", "left_semi"))
+    return alone.select(*columns).unionByName(several.select(*columns).dropDuplicates())
 
 
 def _hash(keys: list[str]):

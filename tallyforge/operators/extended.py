@@ -7,17 +7,21 @@ from pyspark.sql import DataFrame
 from ..functions import discount_percent, loss_flag, month_start, parse_us_date
 from ..schema import UNDERPERFORMER_QUANTILE
 from ..session import stored
+from .duplicates import distinct_rows
 
 CLEAN_REQUIRED = ["Order Date", "Ship Date", "Discount", "Profit"]
 
 
-def clean_export(raw: DataFrame) -> DataFrame:
-    """Drop exact copies, parse the dates, add ``Discount %`` and ``Loss_Flag``."""
+def clean_export(raw: DataFrame, scanned: bool = False) -> DataFrame:
+    """Drop exact copies, parse the dates, add ``Discount %`` and ``Loss_Flag``.
+
+    ``scanned`` rows are read again, as that is cheaper than to shuffle them whole.
+    """
     missing = [c for c in CLEAN_REQUIRED if c not in raw.columns]
     if missing:
         raise ValueError(f"missing required column(s): {', '.join(missing)}")
     text = {c for c, kind in raw.dtypes if c in ("Order Date", "Ship Date") and kind == "string"}
-    return raw.dropDuplicates().selectExpr(
+    return (distinct_rows(raw) if scanned else raw.dropDuplicates()).selectExpr(
         *[f"{parse_us_date(f'`{c}`')} AS `{c}`" if c in text else f"`{c}`" for c in raw.columns],
         f"{discount_percent('Discount')} AS `Discount %`",
         f"{loss_flag('Profit')} AS Loss_Flag",

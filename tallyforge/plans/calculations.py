@@ -16,7 +16,7 @@ from ..operators.extended import (
 )
 from ..operators.quality import missing_profile
 from ..sinks.tables import write_cleaned_csv
-from ..session import stored
+from ..session import configured, shuffles_dropped, stored
 from ..sources.line_totals import read_line_totals, scan_cleaned
 
 
@@ -39,7 +39,8 @@ def extended_tables(rows: DataFrame) -> dict[str, DataFrame]:
 
 def clean_to_csv(spark: SparkSession, source: str, out: str) -> DataFrame:
     """Clean an export, write it, and return its missing values per column."""
-    write_cleaned_csv(clean_export(read_line_totals(spark, source)), out)
+    with shuffles_dropped(spark):
+        write_cleaned_csv(clean_export(read_line_totals(spark, source), scanned=True), out)
     return missing_profile(scan_cleaned(spark, out))
 
 
@@ -49,8 +50,10 @@ def write_extended_tables(spark: SparkSession, cleaned: str, out: str, names: li
     For several tables the text of their columns is parsed once; each of them then reads its own.
     """
     wanted = [n for n in EXTENDED_TABLES if names is None or n in names]
-    rows = scan_cleaned(spark, cleaned)
-    if len(wanted) > 1:
-        rows = stored(rows.select(*[f"`{c}`" for c in rows.columns if c in TABLE_COLUMNS]))
-    for name in wanted:
-        EXTENDED_TABLES[name](rows).write.mode("overwrite").parquet(f"{out.rstrip('/')}/{name}")
+    with shuffles_dropped(spark):
+        rows = scan_cleaned(spark, cleaned)
+        if len(wanted) > 1:
+            with configured(spark, "spark.sql.parquet.compression.codec", "zstd"):
+                rows = stored(rows.select(*[f"`{c}`" for c in rows.columns if c in TABLE_COLUMNS]))
+        for name in wanted:
+            EXTENDED_TABLES[name](rows).write.mode("overwrite").parquet(f"{out.rstrip('/')}/{name}")

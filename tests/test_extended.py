@@ -1,13 +1,15 @@
 """Line-total export: cleaning, the seven tables and their files."""
 
 import datetime
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyforge.functions import parse_date, parse_us_date
-from tallyforge.operators import extended as X
+from tallyforge.operators import duplicates, extended as X
 from tallyforge.plans.calculations import clean_to_csv, extended_tables, write_extended_tables
+from tallyforge.session import shuffles_dropped
 from tallyforge.sinks.tables import write_cleaned_csv
 from tallyforge.sources import line_totals
 from tallyforge.sources.line_totals import read_line_totals, scan_cleaned
@@ -156,3 +158,41 @@ def test_plain_us_dates_are_read_as_by_the_format(spark):
     assert [r["t"] for r in both if r["fast"] != r["slow"]] == []
     plan = rows.selectExpr(parse_us_date("t"))._jdf.queryExecution().optimizedPlan().toString()
     assert "substr" in plan
+
+
+# ------------------------------------------------------------ copies of scanned rows
+
+_COPIES = [("a", 0.0, "x"), ("a", -0.0, "x"), ("a", 0.0, None), (None, None, "x"), (None, None, "x"), ("x", None, None), (None, None, None), ("b", 1.0, "y")]
+
+
+@pytest.mark.parametrize("filter_from", [duplicates.FILTER_FROM, 0])
+def test_distinct_rows_are_those_of_drop_duplicates(spark, monkeypatch, filter_from):
+    monkeypatch.setattr(duplicates, "FILTER_FROM", filter_from)
+    rows = spark.createDataFrame(_COPIES, "`Order ID` string, Sales double, Region string")
+    found = duplicates.distinct_rows(rows)
+    assert found.schema == rows.schema
+    assert sorted(map(str, found.collect())) == sorted(map(str, rows.dropDuplicates().collect()))
+    assert len(found.collect()) == 6
+    assert duplicates.distinct_rows(rows.limit(0)).collect() == []
+
+
+def test_rows_without_copies_are_not_shuffled(spark):
+    """Cleaning a scanned export shuffled every row with all its columns."""
+    rows = spark.range(100).selectExpr("'a' AS `Order Date`", "'b' AS `Ship Date`", "double(id) AS Discount", "1D AS Profit")
+    plan = X.clean_export(rows, scanned=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_written_tables_leave_no_shuffle_files(spark, tmp_path):
+    def left():
+        return str(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(",")).count("shuffle_")
+
+    before = left()
+    with shuffles_dropped(spark):
+        spark.range(1000).repartition(3).write.parquet(str(tmp_path / "table"))
+    for _ in range(50):
+        if left() <= before:
+            break
+        time.sleep(0.1)
+    assert left() <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
