@@ -14,6 +14,7 @@ from tallyforge.plans.report import curated_rows, write_report
 from tallyforge.sinks.tables import commits, dates_fall, drop_superseded, read_section, section_paths, write_curated, write_section, write_sections
 from tallyforge.sources.files import catalogue, list_files, sniff_delimiter
 from tallyforge.sources.exports import read_exports, scan_exports
+from tallyforge.streaming import incremental
 from tallyforge.streaming.incremental import ingest_new_files, review_rows, stored_issues, stored_rows
 
 import pandas as pd
@@ -570,3 +571,12 @@ def test_each_date_of_a_workbook_is_formatted_once(monkeypatch):
     rows = list(workbook.sheet_rows(_sheet([("date", "price"), *[(d, 1.5) for d in days]])))
     assert rows[1:] == [["2026-02-01 00:00:00", "1.5"], ["1899-12-29 00:00:00", "1.5"], ["2026-02-01 00:00:00", "1.5"]] * 3
     assert len(made) == 2
+
+
+def test_rows_are_shuffled_by_month_without_their_measures(spark):
+    """What is made of a row's columns need not be sent along with them."""
+    rows = spark.sql("SELECT TIMESTAMP_NTZ'2026-07-01' AS date, id * 1D AS quantity, 2D AS price, 0D AS discount, 1D AS profit FROM range(10)")
+    found = incremental._by_month(rows)
+    assert found.columns == [*rows.columns, "gross_sales", "discount_amount", "revenue", "margin", "period"]
+    above, sent, below = found._jdf.queryExecution().optimizedPlan().toString().partition("RebalancePartitions")
+    assert sent and "gross_sales" in above and "gross_sales" not in below
